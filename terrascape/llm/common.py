@@ -12,8 +12,10 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 #: Rows and text bytes that one Python step of an Arrow batch holds at most
 #: (a single longer text is a step of its own).
 STEP_ROWS, STEP_BYTES = 512, 2 << 20
+#: Bits of a bitmap of keys: 4 MiB at any size of the input; a full one only filters less.
+FILTER_BITS = 1 << 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +97,50 @@ def schema(ddl: str) -> T.StructType:
     return T._parse_datatype_string(ddl) if SparkSession.getActiveSession() else T.StructType.fromDDL(ddl)
 
 
+def marks(keys: DataFrame) -> bytes:
+    """A bitmap of fixed size with a bit set for each of the (text) keys in the only
+    column of ``keys``."""
+
+    def mark(batches):
+        own = np.zeros(FILTER_BITS // 8, np.uint8)
+        for batch in batches:
+            at = np.array([_slot(k) for k in batch.column(0).to_pylist()], np.int64)
+            np.bitwise_or.at(own, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        full = np.flatnonzero(own)
+        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(own[full].astype(np.int16))], ["at", "bits"])
+
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    parts = keys.mapInArrow(mark, "at int, bits short").groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    for r in parts.toLocalIterator():  # at most FILTER_BITS / 8 rows, whatever the input
+        bits[r["at"]] = r["bits"]
+    return bits.tobytes()
+
+
+def _slot(key: str) -> int:
+    return xxhash.xxh3_64_intdigest(key) % FILTER_BITS
+
+
+def marked(held: bytes, key: str) -> bool:
+    at = _slot(key)
+    return bool(held[at >> 3] >> (at & 7) & 1)
+
+
+def rows_marked(df: DataFrame, held: bytes, id_col: str, text_col: str) -> DataFrame:
+    """``id`` (long) and ``text`` of the rows whose id is marked, and a few others (a
+    bitmap has false positives); null ids are out, null texts count as empty."""
+    sent = df.sparkSession.sparkContext.broadcast(held)
+
+    def make():
+        def run(step):
+            found = [(i, t or "") for i, t in zip(*step) if i is not None and marked(sent.value, str(i))]
+            return [[i for i, _ in found], [t for _, t in found]]
+
+        return run
+
+    d = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return map_text(d, ["id", "text"], schema("id long, text string"), make)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)`` (bigint): ``node, component`` with
     the smallest node of the component, for nodes that have an edge.

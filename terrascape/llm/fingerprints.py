@@ -11,16 +11,12 @@ from __future__ import annotations
 import hashlib
 import unicodedata
 
-import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrascape.llm.common import durable, map_text, schema
-
-#: Bits of the filter that tells whether a digest may occur twice: 4 MiB at any size.
-FILTER_BITS = 1 << 25
+from terrascape.llm.common import durable, map_text, marked, marks, rows_marked, schema
 
 
 def canonical(text: str | None) -> str:
@@ -39,36 +35,6 @@ def digests(texts: DataFrame, id_cols: list[str], text_col: str = "text") -> Dat
     return map_text(texts, [*id_cols, text_col], schema(f"{fields}, digest string"), lambda: lambda step: [*step[:-1], [digest(canonical(t)) for t in step[-1]]])
 
 
-def marks(keys: DataFrame) -> bytes:
-    """A bitmap of fixed size with a bit set for each of the (text) keys in the only
-    column of ``keys``."""
-
-    def mark(batches):
-        import pyarrow as pa
-
-        own = np.zeros(FILTER_BITS // 8, np.uint8)
-        for batch in batches:
-            at = np.array([_slot(k) for k in batch.column(0).to_pylist()], np.int64)
-            np.bitwise_or.at(own, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        full = np.flatnonzero(own)
-        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(own[full].astype(np.int16))], ["at", "bits"])
-
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    parts = keys.mapInArrow(mark, "at int, bits short").groupBy("at").agg(F.bit_or("bits").alias("bits"))
-    for r in parts.toLocalIterator():  # at most FILTER_BITS / 8 rows, whatever the input
-        bits[r["at"]] = r["bits"]
-    return bits.tobytes()
-
-
-def _slot(key: str) -> int:
-    return xxhash.xxh3_64_intdigest(key) % FILTER_BITS
-
-
-def marked(held: bytes, key: str) -> bool:
-    at = _slot(key)
-    return bool(held[at >> 3] >> (at & 7) & 1)
-
-
 def forms_of(texts: DataFrame, held: bytes, text_col: str = "text") -> DataFrame:
     """``digest, form`` of the rows whose digest is marked; copies meet before the
     exchange that follows (``distinct`` groups within a task first)."""
@@ -198,16 +164,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     pairs = durable(repeat.select("id", "next_id", "n_chars"))
     if not pairs.isEmpty():
         wanted = marks(pairs.select(F.explode(F.array("id", "next_id")).alias("k")).where("k IS NOT NULL").select(F.col("k").cast("string")))
-        sent = docs.sparkSession.sparkContext.broadcast(wanted)
-
-        def make():
-            def run(step):
-                found = [(i, t) for i, t in zip(*step) if i is not None and marked(sent.value, str(i))]
-                return [[i for i, _ in found], [t or "" for _, t in found]]
-
-            return run
-
-        few = map_text(docs.withColumn(id_col, F.col(id_col).cast("long")), [id_col, text_col], schema("id long, text string"), make)
+        few = rows_marked(docs, wanted, id_col, text_col)
         both = pairs.join(few, "id").join(few.select(F.col("id").alias("next_id"), F.col("text").alias("next_text")), "next_id")
         kept = F.col("n_chars") - F.floor(F.col("n_chars") / 4)
         made = both.select(F.concat(F.substring("text", F.lit(1), kept.cast("int")), F.substring("next_text", F.lit(1), (F.col("n_chars") - kept).cast("int"))).alias("text"))

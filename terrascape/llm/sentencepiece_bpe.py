@@ -7,8 +7,8 @@ the arrays; words without a mergeable pair leave.  Where a merge would create a
 that precedes the words' remaining merges, only the leftmost one is done in that
 round, so the result is that of the sequential algorithm.
 
-No piece of the model has a blank after another character, and characters that occur
-in no longer piece bound merges, so a text is the concatenation of its words.
+A text is cut where no piece of the vocabulary reaches across, so its ids are those of
+its words, and a word met before is not merged again.
 """
 
 from __future__ import annotations
@@ -66,10 +66,24 @@ class Model:
         clash = self.table[slot] != np.arange(len(keys))
         self.clash_keys = keys[clash]
         self.clash_at = np.flatnonzero(clash)
-        joined = {c for p in self.id_of if len(p) > 1 for c in p}
-        alone = sorted(c for c in {*self.id_of, "\n"} if len(c) == 1 and c not in joined)
-        bound = "".join(re.escape(c) for c in alone if ord(c) < 128)  # other lone characters need no split: they don't merge
-        self.word = re.compile(f" *[^ {bound}]+| +|[{bound}]") if bound else re.compile(" *[^ ]+| +")
+        self.word = re.compile(self._word_pattern())
+
+    def _word_pattern(self) -> str:
+        """Where no piece joins the characters on both sides, a text can be cut: after
+        and before characters that no longer piece has, before blanks, and (if the
+        vocabulary has no piece across) between letters and other characters."""
+        long = [p.lstrip(BLANK) for p in self.id_of if len(p) > 1]
+        joined = set("".join(p for p in self.id_of if len(p) > 1))
+        alone = "".join(re.escape(c) for c in sorted({*self.id_of, "\n"} - joined) if len(c) == 1 and c.isascii())
+        letter = re.compile(r"[^\W\d_]")
+        across = {(a, b) for p in long for a, b in zip(p, p[1:]) if bool(letter.match(a)) != bool(letter.match(b))}
+        odd = {c for pair in across for c in pair if letter.match(c) and not c.isalpha()}  # such as superior digits
+        still = {(a, b) for p in long for a, b in zip(p, p[1:]) if (bool(letter.match(a)) and a not in odd) != (bool(letter.match(b)) and b not in odd)}
+        if still or not alone:
+            return f" *[^ {alone}]+| +|[{alone}]" if alone else " *[^ ]+| +"
+        more = "".join(re.escape(c) for c in sorted(odd))
+        other = f"[^\\w {alone}]|[_{more}]|(?![0-9])\\d"
+        return f" *[^\\W\\d_{more}]+| *(?:{other})+|[{alone}]| +|."
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
