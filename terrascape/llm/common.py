@@ -93,6 +93,20 @@ def map_text(df: DataFrame, columns: list[str], schema: T.StructType, make: Call
     return df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, schema)
 
 
+def filter_text(df: DataFrame, text_col: str, make: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
+    """The rows of ``df``, whole, for whose text a Python function says so; no join, no
+    exchange.  ``make()`` runs once a task."""
+
+    def run(batches):
+        keep = make()
+        for batch in batches:
+            text = batch.select([text_col])
+            said = [k for step in steps(text, 0) for k in keep(step[0])]
+            yield batch.filter(pa.array(said, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def schema(ddl: str) -> T.StructType:
     return T._parse_datatype_string(ddl) if SparkSession.getActiveSession() else T.StructType.fromDDL(ddl)
 

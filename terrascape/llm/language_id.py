@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrascape.llm.common import map_text, schema
+from terrascape.llm.common import filter_text, map_text, schema
 
 #: Bound of the fit: expected labelled rows per language (chosen by a hash of the id).
 FIT_ROWS = 400
@@ -185,6 +185,29 @@ def identify(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col
     return map_text(docs, [id_col, text_col], schema(f"`{id_col}` {kind}, lang_pred string, score double, coverage double"), make)
 
 
+#: Share of a text's n-grams that its language must hold for the text to be of it.
+COVERAGE = 0.05
+
+
+def keep_identified(docs: DataFrame, filters: Filters, text_col: str = "text", coverage: float = COVERAGE) -> DataFrame:
+    """The rows, whole, whose text is in one of the languages: it has a letter, and
+    at least ``coverage`` of its n-grams are in the best language's filter.  Filters
+    without a language reject nothing that has a letter."""
+    sent = docs.sparkSession.sparkContext.broadcast(filters)
+
+    def make():
+        filters = sent.value
+
+        def run(texts):
+            fair, total, letters = evidence(filters, texts)
+            best = fair.max(axis=1) if filters.languages else total
+            return [bool(n) and b >= coverage * t for n, b, t in zip(letters, best, total)]
+
+        return run
+
+    return filter_text(docs, text_col, make)
+
+
 def held_out(id_col: str = "doc_id"):
     """Rows that no model may learn from."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))

@@ -227,3 +227,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_class = classes.select("set_key", "rep").join(named, "rep", "left").select("set_key", F.coalesce("c", "rep").alias("c"))
     out = sketch.join(of_class, "set_key", "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("c", "id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+    """The rows, whole, less those that are not the first of their component."""
+    gone = near_duplicates(docs, id_col, text_col, percent).where("NOT kept").select(F.col("id").alias("__gone")).distinct()
+    return docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrascape.llm.common import map_text, schema
+from terrascape.llm.common import filter_text, map_text, schema
 
 #: Bound of the fit: expected rows of label 1 and of label 0 (chosen by a hash of the id).
 FIT_TOXIC, FIT_CLEAN = 1200, 2000
@@ -272,3 +272,13 @@ def score(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: s
         return run
 
     return map_text(docs, [id_col, text_col], schema(f"`{id_col}` {kind}, score double, predicted int"), make)
+
+
+def keep_clean(docs: DataFrame, grammar: Grammar, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, whole, whose score stays below the threshold."""
+
+    def make():
+        scorer = Scorer(grammar)
+        return lambda texts: [scorer.score(t) < threshold for t in texts]
+
+    return filter_text(docs, text_col, make)
