@@ -159,12 +159,48 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)`` (bigint): ``node, component`` with
     the smallest node of the component, for nodes that have an edge.
 
-    Contraction rounds: every node hooks to its smallest neighbour, pointer
-    jumping flattens the hooks, and edges are renamed to the roots until none
-    joins two of them.  Each round at least halves the roots of a component and
-    all state stays in tables; hubs meet only partial minima and joins that
-    adaptive execution splits.
+    First every partition of the edges, dealt by range, joins its own edges, which
+    leaves a root for each node there; where a node has several roots these are the
+    edges of a graph of roots, nearly always a tiny one.  That one is contracted in
+    rounds: every node hooks to its smallest neighbour, pointer jumping flattens the
+    hooks, and edges are renamed until none joins two roots; a round at least halves
+    the roots of a component.  All state stays in tables; a partition is bounded by
+    the exchange, and hubs meet only as partial minima.
     """
+    fields = pa.schema([("n", pa.int64()), ("r", pa.int64())])
+
+    def join_own(batches):
+        root: dict[int, int] = {}
+
+        def find(n):
+            while (r := root.setdefault(n, n)) != n:
+                root[n] = root[r]
+                n = root[n]
+            return n
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if (x := find(a)) != (y := find(b)):
+                    root[max(x, y)] = min(x, y)
+        nodes = list(root)
+        for at in range(0, len(nodes), 50_000):
+            part = nodes[at : at + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([find(n) for n in part], pa.int64())], schema=fields)
+
+    dealt = edges.where("a <> b").select("a", "b").repartitionByRange("a", "b")
+    stars = durable(dealt.mapInArrow(join_own, "n long, r long"))
+    roots = stars.groupBy("n").agg(F.min("r").alias("p"))
+    several = stars.groupBy("n").agg(F.min("r").alias("p"), F.max("r").alias("q")).where("p <> q").select("n", "p")
+    between = stars.join(several, "n").where("r <> p").select(F.col("p").alias("a"), F.col("r").alias("b"))
+    upper = _contract(between)
+    if upper is None:
+        return roots.select(F.col("n").alias("node"), F.col("p").alias("component"))
+    named = roots.join(upper.select(F.col("n").alias("p"), F.col("p").alias("top")), "p", "left")
+    return named.select(F.col("n").alias("node"), F.coalesce("top", "p").alias("component"))
+
+
+def _contract(edges: DataFrame) -> DataFrame | None:
+    """``n, p``: the smallest node of the component of each node; None without edges."""
     live = durable(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     labels, old = None, []
     while not live.isEmpty():
@@ -187,11 +223,8 @@ def components(edges: DataFrame) -> DataFrame:
             old += [labels, hooks]
             labels = new
         a, b = hooks.select(F.col("n").alias("a"), F.col("p").alias("ra")), hooks.select(F.col("n").alias("b"), F.col("p").alias("rb"))
-        renamed = live.join(a, "a").join(b, "b").where("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
-        new = durable(renamed)
+        new = durable(live.join(a, "a").join(b, "b").where("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
         discard(live)
         live = new
     discard(live, *old)
-    if labels is None:
-        return edges.sparkSession.createDataFrame([], "node bigint, component bigint")
-    return labels.select(F.col("n").alias("node"), F.col("p").alias("component"))
+    return labels

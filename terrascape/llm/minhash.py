@@ -6,16 +6,18 @@ Bands of registers are keys under which similar documents meet.  Pairs whose Jac
 estimate, corrected for chance collisions of registers, is out of reach are dropped;
 the others are confirmed on the full sets.
 
-No group is expanded into its pairs: equal sets are one node, the members of a bucket
-are first compared with its smallest member, and only buckets that then still hold
-several components are compared blockwise, for pairs of different components.
+No group is expanded into its pairs: equal sets are one node; a node is first compared
+with the smallest member of its buckets, then with those of buckets where it is of
+another component, and only buckets that still hold several components are compared
+blockwise, for pairs of different components.
 """
 
 from __future__ import annotations
 
 
+import itertools
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -170,11 +172,23 @@ def _confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, perc
     return both.mapInArrow(run, "a long, b long")
 
 
+def _named(band: DataFrame, labels: DataFrame) -> DataFrame:
+    """``band, rep, c``: each member of a bucket with its component so far."""
+    return band.join(labels.withColumnsRenamed({"node": "rep", "component": "c"}), "rep", "left").select("band", "rep", F.coalesce("c", "rep").alias("c"))
+
+
+def _other_heads(band: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of a bucket's smallest member and its members of other components."""
+    named = _named(band, labels)
+    heads = named.groupBy("band").agg(F.min(F.struct("rep", "c")).alias("h"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band", "h")
+    return named.join(heads, "band").where("c <> h.c").select(F.col("h.rep").alias("a"), F.col("rep").alias("b")).distinct()
+
+
 def _left_over(band: DataFrame, classes: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
     """Pairs of different components that share a bucket of three or more members and
     may reach the threshold.  A large bucket is dealt into blocks, and each pair of
     blocks is one group of bounded size."""
-    named = band.join(labels.withColumnsRenamed({"node": "rep", "component": "c"}), "rep", "left").select("band", "rep", F.coalesce("c", "rep").alias("c"))
+    named = _named(band, labels)
     open_ = named.groupBy("band").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("n > 2 AND lo <> hi").select("band", "n")
     members = named.join(open_, "band").join(classes.select("rep", "registers"), "rep")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -182,23 +196,32 @@ def _left_over(band: DataFrame, classes: DataFrame, labels: DataFrame, threshold
     dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select("band", "rep", "c", "registers", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
-        _, i, j = key
-        left, right = rows[rows["own"] == i], rows[rows["own"] == j]
-        out_a, out_b = [], []
-        if len(left) and len(right):
-            lr, rr = left["rep"].to_numpy(), right["rep"].to_numpy()
-            lc, rc = left["c"].to_numpy(), right["c"].to_numpy()
-            x = np.frombuffer(b"".join(left["registers"]), np.uint16).reshape(len(left), -1)
-            y = np.frombuffer(b"".join(right["registers"]), np.uint16).reshape(len(right), -1)
-            for k in range(len(lr)):
-                at = np.flatnonzero((rc != lc[k]) & ((rr > lr[k]) if i == j else True))
-                at = at[reachable(x[k], y[at], threshold)] if len(at) else at
-                out_a.append(np.minimum(lr[k], rr[at])), out_b.append(np.maximum(lr[k], rr[at]))
-        join = lambda p: np.concatenate(p) if p else np.zeros(0, np.int64)
-        return pd.DataFrame({"a": join(out_a), "b": join(out_b)})
-
-    return dealt.groupBy("band", "i", "j").applyInPandas(run, "a long, b long").distinct()
+    def compare(own, rep, c, reg, i, j):
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        for k in left.tolist() if len(right) else ():
+            at = right[(c[right] != c[k]) & ((rep[right] > rep[k]) if i == j else True)]
+            if len(at) and len(at := at[reachable(reg[k], reg[at], threshold)]):
+                yield np.minimum(rep[k], rep[at]), np.maximum(rep[k], rep[at])
+
+    def run(batches):
+        fields = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        held = None  # rows of the group that a batch may have cut
+        for batch in itertools.chain(batches, [None]):
+            table = held if batch is None else pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if table is None or not table.num_rows:
+                continue
+            band, i, j, own, rep, c = (table.column(n).to_numpy() for n in ("band", "i", "j", "own", "rep", "c"))
+            cuts = np.flatnonzero((band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            bounds = [0, *cuts.tolist(), *([table.num_rows] if batch is None else [])]
+            done = bounds[-1]
+            reg = np.frombuffer(b"".join(table.column("registers").slice(0, done).to_pylist()), np.uint16).reshape(-1, 1 << BUCKET_BITS)
+            found = [x for s, e in zip(bounds, bounds[1:]) for x in compare(own[s:e], rep[s:e], c[s:e], reg[s:e], int(i[s]), int(j[s]))]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in found])) for k in (0, 1)], schema=fields)
+            held = table.slice(done)
+
+    # the groups of a task are streamed in order; a group has at most about 2 * BLOCK rows
+    return dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, width: int = WORDS) -> DataFrame:
@@ -215,14 +238,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketch = durable(sketches(docs, id_col, text_col, width))
     classes = durable(sketch.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_key").agg(F.min("id").alias("rep"), F.first("registers").alias("registers")))
     band = durable(bands(classes))
+    # first each class with the smallest head of its buckets: a pair a class at most
     heads = band.groupBy("band").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "head")
-    stars = band.join(heads, "band").where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
-    tried = durable(_screen(stars, classes, threshold))
-    edges = durable(_confirm(tried, docs, id_col, text_col, percent, width))
-    labels = components(edges)
-    more = durable(_left_over(band, classes, labels, threshold).join(tried, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        labels = components(edges.unionByName(_confirm(more, docs, id_col, text_col, percent, width)))
+    first = band.join(heads, "band").where("rep <> head").groupBy(F.col("rep").alias("b")).agg(F.min("head").alias("a")).select("a", "b")
+    first = durable(first)
+    edges = durable(_confirm(durable(_screen(first, classes, threshold)), docs, id_col, text_col, percent, width))
+    # then with the heads of the buckets in which it is of another component
+    labels = durable(components(edges))
+    second = durable(_other_heads(band, labels).join(first, ["a", "b"], "left_anti"))
+    if not second.isEmpty():
+        edges = durable(edges.unionByName(_confirm(durable(_screen(second, classes, threshold)), docs, id_col, text_col, percent, width)))
+        labels = durable(components(edges))
+    # last, within the buckets that hold several components still
+    third = durable(_left_over(band, classes, labels, threshold).join(first.unionByName(second), ["a", "b"], "left_anti"))
+    if not third.isEmpty():
+        labels = components(edges.unionByName(_confirm(third, docs, id_col, text_col, percent, width)))
     named = labels.withColumnsRenamed({"node": "rep", "component": "c"})
     of_class = classes.select("set_key", "rep").join(named, "rep", "left").select("set_key", F.coalesce("c", "rep").alias("c"))
     out = sketch.join(of_class, "set_key", "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("c", "id")).alias("component_id"))
