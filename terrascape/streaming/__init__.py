@@ -1,0 +1,3 @@
+"""No streaming operator: the workloads of this library are batch analyses.  Its
+operators without a driver loop (masks, joins, per-cell scores) also run on streaming
+DataFrames, since they are plain projections, filters and joins."""
