@@ -55,6 +55,7 @@ def assign(rows: DataFrame, key: str = "doc_id", shards: int = 40, order: list[s
     sizes are added up first, so no task sees a whole shard; only the sizes of
     shards * PARTS parts meet in one place.
     """
+    rows = rows.drop("law", "shard", "grown_shard", "slot")  # results replace columns of their names
     order = order or rows.columns
     part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in order]), F.lit(PARTS)).cast("int")
     both = rows.withColumns({"shard": shard_of(F.col(f"`{key}`"), shards), "grown_shard": shard_of(F.col(f"`{key}`"), shards + 1), "__part": part})
