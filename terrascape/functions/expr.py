@@ -67,19 +67,37 @@ def check_expression(text: str) -> None:
         tree = ast.parse(text.strip(), mode="eval").body
     except (SyntaxError, ValueError) as e:
         raise ExpressionError(f"not an expression: {text!r}") from e
-    allowed = (ast.Name, ast.Constant, ast.UnaryOp, ast.BinOp, ast.Compare, ast.Call, ast.Attribute, ast.Load, ast.unaryop, ast.operator, ast.cmpop)
-    for node in ast.walk(tree):
-        good = isinstance(node, allowed)
-        if isinstance(node, ast.Name):
-            good = node.id in ("value", "np")
-        elif isinstance(node, ast.Attribute):
-            good = isinstance(node.value, ast.Name) and node.value.id == "np" and node.attr in _CALLS
-        elif isinstance(node, ast.Compare):
-            good = len(node.ops) == 1 and type(node.ops[0]) in _COMPARE
-        elif isinstance(node, ast.BinOp):
-            good = type(node.op) in _ARITHMETIC or isinstance(node.op, (ast.BitAnd, ast.BitOr))
-        if not good:
-            raise ExpressionError(f"not allowed in an expression: {ast.unparse(node)!r}")
+    _kind(tree)
+
+
+def _kind(node: ast.AST) -> str:
+    """``num`` or ``bool``: what an expression yields."""
+    if isinstance(node, ast.Name) and node.id == "value":
+        return "num"
+    if isinstance(node, ast.Constant) and isinstance(node.value, (bool, int, float)):
+        return "bool" if isinstance(node.value, bool) else "num"
+    if isinstance(node, ast.UnaryOp):
+        inner = _kind(node.operand)
+        if isinstance(node.op, (ast.USub, ast.UAdd)):
+            return "num"
+        if isinstance(node.op, ast.Invert) and inner == "bool":
+            return "bool"
+    if isinstance(node, ast.BinOp):
+        both = {_kind(node.left), _kind(node.right)}
+        if isinstance(node.op, (ast.BitAnd, ast.BitOr)) and both == {"bool"}:
+            return "bool"
+        if type(node.op) in _ARITHMETIC:
+            return "num"
+    if isinstance(node, ast.Compare) and len(node.ops) == 1 and type(node.ops[0]) in _COMPARE:
+        _kind(node.left), _kind(node.comparators[0])
+        return "bool"
+    if isinstance(node, ast.Call) and isinstance(node.func, ast.Attribute) and isinstance(node.func.value, ast.Name) and node.func.value.id == "np" and not node.keywords:
+        name = node.func.attr
+        if name in _CALLS and len(node.args) == _CALLS[name][0]:
+            for a in node.args:
+                _kind(a)
+            return "bool" if name in ("isnan", "isfinite") or name.startswith("logical_") else "num"
+    raise ExpressionError(f"not allowed in an expression: {ast.unparse(node)!r}")
 
 
 def _visit(node: ast.AST, value: Column) -> tuple[Column, str]:

@@ -34,6 +34,8 @@ def erode_to_area(cells: DataFrame, max_cells: float, tolerance: float, iteratio
         high /= 2
         if not left(high):
             return area.limit(0)
+    if abs(left(high) - max_cells) <= tolerance:  # areas fall in steps here, so the bracket's end may be the answer
+        return depth.df.where(F.col("d2") > high * high).select("row_i", "col_j")
     for _ in range(iterations):
         middle = (low + high) / 2
         n = left(middle)

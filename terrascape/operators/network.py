@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from terrascape.sources.durable import Stage
 
-_DOWN = "next_down IS NOT NULL AND next_down <> 0"
+_DOWN = "coalesce(next_down, 0) <> 0"
 
 
 def downstream_closure(seeds: DataFrame, edges: DataFrame, key: list[str] | None = None) -> DataFrame:
@@ -43,6 +43,7 @@ def terminal_sinks(edges: DataFrame) -> DataFrame:
     are the logarithm of the longest path.  A node on a cycle has sink null."""
     ids = edges.select("hybas_id", F.when(F.expr(_DOWN), F.col("next_down")).otherwise(F.col("hybas_id")).alias("p"))
     absent = edges.where(_DOWN).select(F.col("next_down").alias("hybas_id")).distinct().join(edges, "hybas_id", "left_anti").select("hybas_id", F.col("hybas_id").alias("p"))
+    outlets = edges.where(f"NOT ({_DOWN})").select("hybas_id").unionByName(absent.select("hybas_id")).distinct()
     state = Stage(ids.unionByName(absent))
     rounds = max(1, state.df.count()).bit_length()
     for _ in range(rounds):
@@ -54,7 +55,7 @@ def terminal_sinks(edges: DataFrame) -> DataFrame:
         if not still:
             break
     ends = state.df.select("hybas_id", "p")
-    own = ends.where("hybas_id = p").select(F.col("hybas_id").alias("p"), F.lit(True).alias("end"))
+    own = outlets.select(F.col("hybas_id").alias("p"), F.lit(True).alias("end"))
     return ends.join(own, "p", "left").select("hybas_id", F.when(F.col("end"), F.col("p")).alias("next_sink"))
 
 

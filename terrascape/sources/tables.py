@@ -21,7 +21,7 @@ def write_raster(cells: DataFrame, grid: Grid, path: str, raster_id: str, value:
     """Tiles and header of one raster; other rasters under ``path`` stay."""
     tiles = grids.to_tiles(cells, value, tile).withColumn("raster_id", F.lit(raster_id))
     tiles.write.mode("append").partitionBy("raster_id").parquet(f"{path}/tiles")
-    row = (raster_id, grid.x0, grid.y0, grid.dx, grid.dy, grid.width, grid.height, None, grid.crs)
+    row = (raster_id, *map(float, (grid.x0, grid.y0, grid.dx, grid.dy)), grid.width, grid.height, None, grid.crs)
     cells.sparkSession.createDataFrame([row], HEADERS).coalesce(1).write.mode("append").parquet(f"{path}/headers")
 
 
