@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrascape.model import NEIGHBOURS
-from terrascape.sources.durable import Stage
+from terrascape.operators.reach import GROUP_CELLS, least_values
+from terrascape.sources.durable import Growing, Stage
 
 
 def _around(cells: DataFrame, keep: list[str]) -> DataFrame:
@@ -40,13 +41,10 @@ def reachable(edges: DataFrame, start: DataFrame) -> DataFrame:
     """``row_i, col_j`` of the cells that flow from ``start`` reaches, start included."""
     key = ["row_i", "col_j"]
     links = edges.select(*key, "to_i", "to_j")
-    seen = Stage(start.select(*key).distinct())
-    front = seen
-    while not front.df.isEmpty():
-        to = front.df.join(links, key).select(F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j")).distinct()
-        new = Stage(to.join(seen.df, key, "left_anti"))
-        seen = Stage(seen.df.unionByName(new.df))
-        front = new
+    seen = Growing(start.select(*key).distinct())
+    while not seen.front.isEmpty():
+        to = seen.front.join(links, key).select(F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j")).distinct()
+        seen.add(to.join(seen.df, key, "left_anti"))
     return seen.df
 
 
@@ -66,22 +64,22 @@ def accumulate(shares: DataFrame, weights: DataFrame) -> DataFrame:
     return total.df
 
 
-def fill_pits(dem: DataFrame) -> DataFrame:
+def fill_pits(dem: DataFrame, plan: str | None = None, tile: int = 256, group_cells: int = GROUP_CELLS) -> DataFrame:
     """``row_i, col_j, elev`` where every cell drains to the border: the smallest level
     over paths from the border of the highest cell on the path (Barnes and others, 2014).
-    Border cells (a neighbour is missing) keep their elevation.  Levels are lowered in
-    rounds from the border; only cells that a round lowers go on."""
+    Border cells (a neighbour is missing) keep their elevation.  ``plan``: ``group``
+    (one task) up to ``group_cells`` cells, else ``tiles``, as in ``reach``."""
     key = ["row_i", "col_j"]
-    dem = Stage(dem.where("elev IS NOT NULL").select(*key, "elev"))
-    present = dem.df.select(F.col("row_i").alias("ni"), F.col("col_j").alias("nj"), F.lit(1).alias("there"))
-    whole = _around(dem.df, key).join(present, ["ni", "nj"], "left_semi").groupBy(*key).count().where("count = 8").select(*key)
-    best = Stage(dem.df.join(whole, key, "left_anti").select(*key, F.col("elev").alias("level")))
-    front = best
-    inner = Stage(dem.df.join(whole, key, "left_semi"))
-    while not front.df.isEmpty():
-        spread = _around(front.df, [*key, "level"]).select(F.col("ni").alias("row_i"), F.col("nj").alias("col_j"), "level").groupBy(*key).agg(F.min("level").alias("level"))
-        offered = spread.join(inner.df, key).select(*key, F.greatest("level", "elev").alias("level"))
-        better = Stage(offered.join(best.df.withColumnRenamed("level", "was"), key, "left").where("was IS NULL OR level < was").drop("was"))
-        best = Stage(best.df.unionByName(better.df).groupBy(*key).agg(F.min("level").alias("level")))
-        front = better
-    return best.df.select(*key, F.col("level").alias("elev"))
+    dem = dem.where("elev IS NOT NULL").select(*key, "elev")
+    present = dem.select(F.col("row_i").alias("ni"), F.col("col_j").alias("nj"))
+    whole = _around(dem, key).join(present, ["ni", "nj"], "left_semi").groupBy(*key).count().where("count = 8").select(*key, F.lit(True).alias("inner"))
+    edge = F.col("inner").isNull()
+    grid = dem.join(whole, key, "left").select(F.lit("dem").alias("aoi_id"), *key, F.col("elev").cast("double").alias("cost"), edge.alias("closed"), F.when(edge, F.col("elev").cast("double")).alias("v"))
+    if plan is None:
+        plan = "group" if dem.count() <= group_cells else "tiles"
+    kind = dem.schema["elev"].dataType.simpleString()
+    return least_values(grid, _rise, plan, tile).select(*key, F.col("v").cast(kind).alias("elev"))
+
+
+def _rise(level: float, elevation: float, slant: bool) -> float:
+    return max(level, float(elevation))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrascape.sources.durable import Stage
+from terrascape.sources.durable import Growing, Stage
 
 _DOWN = "coalesce(next_down, 0) <> 0"
 
@@ -21,13 +21,10 @@ def downstream_closure(seeds: DataFrame, edges: DataFrame, key: list[str] | None
     key = key or []
     cols = [*key, "hybas_id"]
     links = edges.where(_DOWN).select("hybas_id", "next_down")
-    seen = Stage(seeds.select(*cols).where("hybas_id IS NOT NULL AND hybas_id <> 0").distinct())
-    front = seen
-    while not front.df.isEmpty():
-        below = front.df.join(links, "hybas_id").select(*key, F.col("next_down").alias("hybas_id")).distinct()
-        new = Stage(below.join(seen.df, cols, "left_anti"))
-        seen = Stage(seen.df.unionByName(new.df))
-        front = new
+    seen = Growing(seeds.select(*cols).where("hybas_id IS NOT NULL AND hybas_id <> 0").distinct())
+    while not seen.front.isEmpty():
+        below = seen.front.join(links, "hybas_id").select(*key, F.col("next_down").alias("hybas_id")).distinct()
+        seen.add(below.join(seen.df, cols, "left_anti"))
     return seen.df
 
 

@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from terrascape.model import NEIGHBOURS
 from terrascape.sources.durable import Stage
 
-OUT = "aoi_id string, row_i int, col_j int, t float"
 #: Cells of an area that one task may hold.
 GROUP_CELLS = 4_000_000
 
@@ -32,37 +31,46 @@ def step_lengths(cell_len: float) -> tuple[np.float32, np.float32]:
     return np.float32(cell_len), np.float32(np.sqrt(np.float64(2.0 * cell_len * cell_len)))
 
 
-def settle(rows, cols, friction, source, seeds, max_time, cell_len):
-    """Times of cells by a heap over one area or tile.
-
-    ``seeds``: (cell index, time) to start from.  Returns the arrays of times (NaN:
-    not reached) and of cells that were improved.
-    """
+def travel(max_time: float, cell_len: float):
+    """The rule of travel: arrival in 32-bit arithmetic, None beyond the bound."""
     straight, diagonal = step_lengths(cell_len)
     limit = np.float32(max_time)
+
+    def enter(time: float, friction: float, slant: bool) -> float | None:
+        arrive = np.float32(time) + np.float32(friction) * (diagonal if slant else straight)
+        return float(arrive) if arrive <= limit else None
+
+    return enter
+
+
+def settle(rows, cols, cost, closed, seeds, enter):
+    """Least values of the cells of one area or tile, by a heap.
+
+    ``closed`` cells are not entered; ``seeds``: cell index to value; ``enter(value,
+    cost, slant)``: the value on entering a cell of that cost from a neighbour, never
+    less than the neighbour's, or None.  Returns the values, infinite where no seed's
+    way leads.
+    """
     index = {rc: k for k, rc in enumerate(zip(rows.tolist(), cols.tolist()))}
-    cost = np.where(np.isnan(friction), 0, friction).astype(np.float32)
-    time = np.full(len(rows), np.inf, np.float32)
-    heap = []
-    for k, t in seeds:
-        if t < time[k]:
-            time[k] = t
-            heap.append((float(t), k))
+    best = np.full(len(rows), np.inf)
+    heap = [(float(v), k) for k, v in seeds.items()]
+    for v, k in heap:
+        best[k] = v
     heapq.heapify(heap)
     while heap:
-        t, k = heapq.heappop(heap)
-        if t > time[k]:
+        v, k = heapq.heappop(heap)
+        if v > best[k]:
             continue
         r, c = int(rows[k]), int(cols[k])
         for i, j, slant in NEIGHBOURS:
             n = index.get((r + i, c + j))
-            if n is None or source[n] or not cost[n] > 0:
+            if n is None or closed[n]:
                 continue
-            arrive = np.float32(t) + cost[n] * (diagonal if slant else straight)
-            if arrive <= limit and arrive < time[n]:
-                time[n] = arrive
-                heapq.heappush(heap, (float(arrive), n))
-    return time
+            arrive = enter(v, cost[n], slant)
+            if arrive is not None and arrive < best[n]:
+                best[n] = arrive
+                heapq.heappush(heap, (arrive, n))
+    return best
 
 
 def reach(cells: DataFrame, max_time: float, cell_len: float = 1.0, group_cells: int = GROUP_CELLS, tile: int = 256, plan: str | None = None) -> DataFrame:
@@ -75,73 +83,80 @@ def reach(cells: DataFrame, max_time: float, cell_len: float = 1.0, group_cells:
     if plan is None:
         most = cells.groupBy("aoi_id").agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
         plan = "group" if most <= group_cells else "tiles"
+    enter = travel(max_time, cell_len)
+    wall = F.isnan("friction") | F.col("friction").isNull() | (F.col("friction") <= 0)
+    start = F.when(F.col("source"), F.lit(0.0))
+    grid = cells.select("aoi_id", "row_i", "col_j", F.col("friction").cast("double").alias("cost"), (F.col("source") | wall).alias("closed"), start.alias("v"))
+    return least_values(grid, enter, plan, tile).select("aoi_id", "row_i", "col_j", F.col("v").cast("float").alias("t"))
+
+
+def least_values(grid: DataFrame, enter, plan: str, tile: int = 256) -> DataFrame:
+    """``aoi_id, row_i, col_j, v`` of the cells that the seeds' ways reach.
+
+    ``grid``: ``aoi_id, row_i, col_j, cost double, closed boolean, v double`` where v is
+    the value of a seed, else NULL; ``enter`` as in ``settle``.
+    """
     if plan == "tiles":
-        return _by_tiles(cells, max_time, cell_len, tile)
+        return _by_tiles(grid, enter, tile)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        src = rows["source"].to_numpy(bool)
-        time = settle(rows["row_i"].to_numpy(), rows["col_j"].to_numpy(), rows["friction"].to_numpy(np.float32), src, [(k, np.float32(0)) for k in np.flatnonzero(src)], max_time, cell_len)
-        return rows[["aoi_id", "row_i", "col_j"]].assign(t=time)[np.isfinite(time)]
+        start = rows["v"].to_numpy(np.float64)
+        best = settle(rows["row_i"].to_numpy(), rows["col_j"].to_numpy(), rows["cost"].to_numpy(np.float64), rows["closed"].to_numpy(bool), {int(k): start[k] for k in np.flatnonzero(~np.isnan(start))}, enter)
+        return rows[["aoi_id", "row_i", "col_j"]].assign(v=best)[np.isfinite(best)]
 
-    return cells.groupBy("aoi_id").applyInPandas(run, OUT)
+    return grid.groupBy("aoi_id").applyInPandas(run, "aoi_id string, row_i int, col_j int, v double")
 
 
-def _by_tiles(cells: DataFrame, max_time: float, cell_len: float, tile: int) -> DataFrame:
-    straight, diagonal = step_lengths(cell_len)
-    limit = np.float32(max_time)
-    tiled = cells.withColumns({"tr": F.floor(F.col("row_i") / tile).cast("int"), "tc": F.floor(F.col("col_j") / tile).cast("int")})
-    state = Stage(tiled.withColumn("t", F.when(F.col("source"), F.lit(0.0).cast("float"))).withColumn("fresh", F.col("source")))
-    # a message is an arrival at a cell: the time at the neighbour and the step's length
-    mail = None
+def _by_tiles(grid: DataFrame, enter, tile: int) -> DataFrame:
+    tiled = grid.withColumns({"tr": F.floor(F.col("row_i") / tile).cast("int"), "tc": F.floor(F.col("col_j") / tile).cast("int")})
+    state = Stage(tiled.withColumn("fresh", F.col("v").isNotNull()))
+    mail = None  # values at neighbours in other tiles, and whether the step is diagonal
     keys = ["aoi_id", "tr", "tc"]
-    ddl = "aoi_id string, row_i int, col_j int, friction float, source boolean, tr int, tc int, t float, fresh boolean, mail boolean, from_t float, length float"
+    own = ["aoi_id", "row_i", "col_j", "cost", "closed", "v", "tr", "tc", "fresh"]
+    ddl = "aoi_id string, row_i int, col_j int, cost double, closed boolean, v double, tr int, tc int, fresh boolean, mail boolean, from_v double, slant boolean"
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         held = rows[~rows["mail"].astype(bool)].reset_index(drop=True)
         sent = rows[rows["mail"].astype(bool)]
         r, c = held["row_i"].to_numpy(), held["col_j"].to_numpy()
-        cost, src = held["friction"].to_numpy(np.float32), held["source"].to_numpy(bool)
-        old = held["t"].to_numpy(np.float32)
-        old = np.where(np.isnan(old), np.inf, old).astype(np.float32)
+        cost, closed, fresh = held["cost"].to_numpy(np.float64), held["closed"].to_numpy(bool), held["fresh"].to_numpy(bool)
+        old = held["v"].to_numpy(np.float64)
+        old = np.where(np.isnan(old), np.inf, old)
         index = {rc: k for k, rc in enumerate(zip(r.tolist(), c.tolist()))}
-        seeds = {int(k): np.float32(old[k]) for k in np.flatnonzero(held["fresh"].to_numpy(bool))}
-        for i, j, t, length in zip(sent["row_i"], sent["col_j"], sent["from_t"], sent["length"]):
+        seeds = {int(k): old[k] for k in np.flatnonzero(fresh)}
+        for i, j, v, slant in zip(sent["row_i"], sent["col_j"], sent["from_v"], sent["slant"]):
             k = index.get((i, j))
-            if k is None or src[k] or not cost[k] > 0:
+            if k is None or closed[k]:
                 continue
-            arrive = np.float32(t) + cost[k] * np.float32(length)
-            if arrive <= limit and arrive < min(old[k], seeds.get(k, np.float32(np.inf))):
+            arrive = enter(v, cost[k], bool(slant))
+            if arrive is not None and arrive < min(old[k], seeds.get(k, np.inf)):
                 seeds[k] = arrive
-        new = np.minimum(old, settle(r, c, cost, src, [(k, t) for k, t in seeds.items()], max_time, cell_len)) if seeds else old
-        better = np.flatnonzero((new < old) | held["fresh"].to_numpy(bool))
-        out = held.assign(t=np.where(np.isfinite(new), new, np.nan).astype(np.float32), fresh=False, mail=False, from_t=np.float32(0), length=np.float32(0))
+        new = np.minimum(old, settle(r, c, cost, closed, seeds, enter)) if seeds else old
+        out = held.assign(v=np.where(np.isfinite(new), new, np.nan), fresh=False, mail=False, from_v=0.0, slant=False)
         letters = []
-        for k in better.tolist():
+        for k in np.flatnonzero((new < old) | fresh).tolist():
             for i, j, slant in NEIGHBOURS:
                 a, b = int(r[k]) + i, int(c[k]) + j
                 if (a // tile, b // tile) != (int(r[k]) // tile, int(c[k]) // tile):
-                    letters.append((held["aoi_id"].iloc[0], a, b, a // tile, b // tile, new[k], diagonal if slant else straight))
+                    letters.append((held["aoi_id"].iloc[0], a, b, a // tile, b // tile, new[k], slant))
         if letters:
-            post = pd.DataFrame(letters, columns=["aoi_id", "row_i", "col_j", "tr", "tc", "from_t", "length"]).assign(friction=np.float32(0), source=False, t=np.float32(np.nan), fresh=False, mail=True)
+            post = pd.DataFrame(letters, columns=["aoi_id", "row_i", "col_j", "tr", "tc", "from_v", "slant"]).assign(cost=0.0, closed=False, v=np.nan, fresh=False, mail=True)
             out = pd.concat([out, post[out.columns]])
         return out
 
     while True:
-        busy = state.df.where("fresh").select(*keys) if mail is None else mail.df.select(*keys)
-        busy = busy.distinct()
-        held = state.df.join(busy, keys, "left_semi").select("aoi_id", "row_i", "col_j", "friction", "source", "tr", "tc", "t", "fresh").withColumns({"mail": F.lit(False), "from_t": F.lit(0.0).cast("float"), "length": F.lit(0.0).cast("float")})
+        busy = (state.df.where("fresh") if mail is None else mail.df).select(*keys).distinct()
+        held = state.df.join(busy, keys, "left_semi").select(*own).withColumns({"mail": F.lit(False), "from_v": F.lit(0.0), "slant": F.lit(False)})
         rows = held if mail is None else held.unionByName(mail.df)
         done = Stage(rows.groupBy(*keys).applyInPandas(run, ddl))
-        calm = state.df.join(busy, keys, "left_anti")
-        kept = Stage(calm.unionByName(done.df.where("NOT mail").drop("mail", "from_t", "length")))
+        kept = Stage(state.df.join(busy, keys, "left_anti").unionByName(done.df.where("NOT mail").select(*own)))
         letters = Stage(done.df.where("mail"))
-        state.drop(), done.drop()
-        if mail is not None:
-            mail.drop()
+        for old in (state, done, *([mail] if mail else [])):
+            old.drop()
         state, mail = kept, letters
         if mail.df.isEmpty():
             mail.drop()
-            return state.df.where("t IS NOT NULL").select("aoi_id", "row_i", "col_j", "t")
+            return state.df.where("v IS NOT NULL").select("aoi_id", "row_i", "col_j", "v")
 
 
 def reach_relaxed(cells: DataFrame, max_time: float, cell_len: float = 1.0) -> DataFrame:

@@ -31,3 +31,21 @@ class Stage:
             jvm = self.df.sparkSession._jvm
             path = jvm.org.apache.hadoop.fs.Path(self.path)
             path.getFileSystem(self.df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+class Growing:
+    """A durable table that grows by rounds: ``front`` is the last part, ``df`` reads
+    all parts; a round writes its own rows only."""
+
+    def __init__(self, first: DataFrame) -> None:
+        stage = Stage(first)
+        self.paths, self.schema, self.front = [stage.path], first.schema, stage.df
+
+    def add(self, rows: DataFrame) -> None:
+        stage = Stage(rows.select(*self.schema.names))
+        self.paths.append(stage.path)
+        self.front = stage.df
+
+    @property
+    def df(self) -> DataFrame:
+        return self.front.sparkSession.read.schema(self.schema).parquet(*self.paths)

@@ -151,6 +151,7 @@ def test_hydro(spark):
     dem = spark.createDataFrame([(i, j, v) for i, row in enumerate(z) for j, v in enumerate(row)], "row_i int, col_j int, elev long")
     filled = {(r.row_i, r.col_j): r.elev for r in hydro.fill_pits(dem).collect()}
     assert filled[2, 2] == 7 and filled[3, 2] == 7 and filled[4, 2] == 7 and filled[0, 0] == 9 and len(filled) == 25
+    assert {(r.row_i, r.col_j): r.elev for r in hydro.fill_pits(dem, "tiles", 2).collect()} == filled
     edges = hydro.flow_edges(dem)
     assert {(r.row_i, r.col_j) for r in hydro.reachable(edges, dem.where("row_i = 4 AND col_j = 2")).collect()} >= {(4, 2), (3, 2), (2, 2)}
     shares = hydro.flow_shares(edges)
@@ -261,7 +262,7 @@ def test_scalars():
     assert [scalars.part_count(n, 4) for n in (0, 1, 4, 5)] == [1, 1, 1, 2]
 
 
-HEAVY = {"pit_fill", "flow_accumulation", "downstream_population", "travel_time_reach_tiled"}
+HEAVY = {"flow_accumulation", "downstream_population", "travel_time_reach_tiled"}
 
 
 @pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - HEAVY))
