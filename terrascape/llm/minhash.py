@@ -7,8 +7,8 @@ estimate, corrected for chance collisions of registers, is out of reach are drop
 the others are confirmed on the full sets.
 
 No group is expanded into its pairs: equal sets are one node; a node is first compared
-with the smallest member of its buckets, then with those of buckets where it is of
-another component, and only buckets that still hold several components are compared
+with the head (the smallest member) that most of its buckets share, then with heads of
+other components that several share, and only buckets that still hold several components are compared
 blockwise, for pairs of different components.
 """
 
@@ -29,6 +29,9 @@ from terrascape.llm.common import components, durable, map_text, marks, rows_mar
 WORDS, BUCKET_BITS, MANTISSA, BANDS, ROWS = 5, 7, 10, 25, 5
 #: Standard errors by which an estimate may miss the threshold before a pair is dropped.
 SLACK = 4.0
+#: Shared buckets that make a head worth a comparison before the blocks (at a similarity
+#: of 0.8 a pair shares 8 of 25 on average).
+SEVERAL = 5
 #: Members of a block of a bucket that is compared blockwise.
 BLOCK = 1024
 #: Distinct words that a task remembers before it starts anew.
@@ -178,10 +181,11 @@ def _named(band: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _other_heads(band: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a bucket's smallest member and its members of other components."""
+    """Pairs of a bucket's smallest member and its members of other components that
+    meet in SEVERAL buckets; what meets in fewer is left to the blocks."""
     named = _named(band, labels)
     heads = named.groupBy("band").agg(F.min(F.struct("rep", "c")).alias("h"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band", "h")
-    return named.join(heads, "band").where("c <> h.c").select(F.col("h.rep").alias("a"), F.col("rep").alias("b")).distinct()
+    return named.join(heads, "band").where("c <> h.c").groupBy(F.col("h.rep").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("n")).where(F.col("n") >= SEVERAL).select("a", "b")
 
 
 def _left_over(band: DataFrame, classes: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
@@ -238,12 +242,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketch = durable(sketches(docs, id_col, text_col, width))
     classes = durable(sketch.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_key").agg(F.min("id").alias("rep"), F.first("registers").alias("registers")))
     band = durable(bands(classes))
-    # first each class with the smallest head of its buckets: a pair a class at most
+    # first each class with the head that it shares most buckets with: a pair a class
     heads = band.groupBy("band").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "head")
-    first = band.join(heads, "band").where("rep <> head").groupBy(F.col("rep").alias("b")).agg(F.min("head").alias("a")).select("a", "b")
-    first = durable(first)
+    met = band.join(heads, "band").where("rep <> head").groupBy(F.col("head").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("n"))
+    first = durable(met.groupBy("b").agg(F.min_by("a", F.struct(-F.col("n"), F.col("a"))).alias("a")).select("a", "b"))
     edges = durable(_confirm(durable(_screen(first, classes, threshold)), docs, id_col, text_col, percent, width))
-    # then with the heads of the buckets in which it is of another component
+    # then with heads of other components that it shares several buckets with
     labels = durable(components(edges))
     second = durable(_other_heads(band, labels).join(first, ["a", "b"], "left_anti"))
     if not second.isEmpty():
