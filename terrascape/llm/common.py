@@ -8,7 +8,6 @@ names, which every executor can read, so a lost executor costs a re-read only.
 from __future__ import annotations
 
 import contextlib
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -21,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from terrascape.sources.durable import shared_dir
+
 #: Rows and text bytes that one Python step of an Arrow batch holds at most
 #: (a single longer text is a step of its own).
 STEP_ROWS, STEP_BYTES = 512, 2 << 20
@@ -33,17 +34,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder for durable tables: ``spark.checkpoint.dir``; where that is
-    unset (tests, local sessions) a fresh local folder, remembered in the
-    session."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("terrascape.shared.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="terrascape-")
-        spark.conf.set("terrascape.shared.dir", found)
-    return found.rstrip("/")
-
-
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table."""
     spark = df.sparkSession
@@ -108,7 +98,7 @@ def filter_text(df: DataFrame, text_col: str, make: Callable[[], Callable[[list]
 
 
 def schema(ddl: str) -> T.StructType:
-    return T._parse_datatype_string(ddl) if SparkSession.getActiveSession() else T.StructType.fromDDL(ddl)
+    return T.StructType.fromDDL(ddl)
 
 
 def marks(keys: DataFrame) -> bytes:

@@ -130,7 +130,7 @@ def _cell_links(nodes: DataFrame, d: int, total: int, threshold: float) -> tuple
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select("cell", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "own", "node", "copies", "v")
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         _, i, j = key
         parts = [rows[rows["mine"] == b] for b in ({i, j})]
         left, right = parts[0], parts[-1]

@@ -184,7 +184,7 @@ def pack(cut: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, group
     dealt = rest.withColumn("__g", F.pmod(F.hash("__r", F.monotonically_increasing_id()), F.lit(groups)))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema if f.name != "__r")
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", id_col, "piece"], ascending=[False, True, True], kind="stable")
         bins, offsets = sum_of_squares(rows["length"].to_numpy(np.int64), capacity)
         return rows[names].assign(sequence_id=bins * groups + key[0], offset=offsets)
