@@ -7,11 +7,12 @@ to every lower neighbour, in shares by slope (Quinn and others, 1991); flats don
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrascape.model import NEIGHBOURS
-from terrascape.operators.reach import GROUP_CELLS, least_values
+from terrascape.operators.reach import GROUP_CELLS, choose_plan, least_values
 from terrascape.sources.durable import Growing, Stage
 
 
@@ -75,11 +76,15 @@ def fill_pits(dem: DataFrame, plan: str | None = None, tile: int = 256, group_ce
     whole = _around(dem, key).join(present, ["ni", "nj"], "left_semi").groupBy(*key).count().where("count = 8").select(*key, F.lit(True).alias("inner"))
     edge = F.col("inner").isNull()
     grid = dem.join(whole, key, "left").select(F.lit("dem").alias("aoi_id"), *key, F.col("elev").cast("double").alias("cost"), edge.alias("closed"), F.when(edge, F.col("elev").cast("double")).alias("v"))
-    if plan is None:
-        plan = "group" if dem.count() <= group_cells else "tiles"
+    plan = plan or choose_plan(grid, group_cells)
     kind = dem.schema["elev"].dataType.simpleString()
-    return least_values(grid, _rise, plan, tile).select(*key, F.col("v").cast(kind).alias("elev"))
+    return least_values(grid, Rise(), plan, tile).select(*key, F.col("v").cast(kind).alias("elev"))
 
 
-def _rise(level: float, elevation: float, slant: bool) -> float:
-    return max(level, float(elevation))
+class Rise:
+    """The rule of filling: the higher of the level and the cell."""
+
+    dtype = np.float64
+
+    def __call__(self, level: np.ndarray, elevation: np.ndarray, slant) -> np.ndarray:
+        return np.maximum(level, elevation)

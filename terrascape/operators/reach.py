@@ -5,15 +5,13 @@ Arithmetic is 32-bit.  Friction that is null, NaN or at most 0 can't be entered;
 equal to the bound is within it; source cells are always covered and never re-entered.
 
 ``reach`` has two plans of the same result: one task per area (bounded by
-``group_cells``), or rounds over tiles, where a tile settles all its cells at once and
+``group_cells`` cells of its box), or rounds over tiles, where a tile settles all its cells at once and
 sends the times of its border to its neighbours, so rounds follow tile crossings, not
 cell steps, and no task holds more than a tile.
 """
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -31,83 +29,94 @@ def step_lengths(cell_len: float) -> tuple[np.float32, np.float32]:
     return np.float32(cell_len), np.float32(np.sqrt(np.float64(2.0 * cell_len * cell_len)))
 
 
-def travel(max_time: float, cell_len: float):
-    """The rule of travel: arrival in 32-bit arithmetic, None beyond the bound."""
-    straight, diagonal = step_lengths(cell_len)
-    limit = np.float32(max_time)
+class Travel:
+    """The rule of travel: arrival in 32-bit arithmetic, infinite beyond the bound."""
 
-    def enter(time: float, friction: float, slant: bool) -> float | None:
-        arrive = np.float32(time) + np.float32(friction) * (diagonal if slant else straight)
-        return float(arrive) if arrive <= limit else None
+    dtype = np.float32
 
-    return enter
+    def __init__(self, max_time: float, cell_len: float) -> None:
+        self.straight, self.diagonal = step_lengths(cell_len)
+        self.limit = np.float32(max_time)
 
+    def __call__(self, time: np.ndarray, friction: np.ndarray, slant) -> np.ndarray:
+        arrive = time + friction * np.where(slant, self.diagonal, self.straight)
+        return np.where(arrive <= self.limit, arrive, np.float32(np.inf))
 
-def settle(rows, cols, cost, closed, seeds, enter):
-    """Least values of the cells of one area or tile, by a heap.
 
-    ``closed`` cells are not entered; ``seeds``: cell index to value; ``enter(value,
-    cost, slant)``: the value on entering a cell of that cost from a neighbour, never
-    less than the neighbour's, or None.  Returns the values, infinite where no seed's
-    way leads.
+def settle(rows, cols, cost, closed, start, rule) -> np.ndarray:
+    """Least values of the cells of one area or tile.
+
+    ``closed`` cells are not entered; ``start``: values of seeds, infinite elsewhere;
+    ``rule(values, costs, slant)``: values on entering cells from neighbours, never less
+    than the neighbours'.  All cells of the box around the last round's changes are
+    relaxed at once, until nothing changes; values only fall, so the result is that of
+    any order.
     """
-    index = {rc: k for k, rc in enumerate(zip(rows.tolist(), cols.tolist()))}
-    best = np.full(len(rows), np.inf)
-    heap = [(float(v), k) for k, v in seeds.items()]
-    for v, k in heap:
-        best[k] = v
-    heapq.heapify(heap)
-    while heap:
-        v, k = heapq.heappop(heap)
-        if v > best[k]:
-            continue
-        r, c = int(rows[k]), int(cols[k])
+    r, c = rows - rows.min() + 1, cols - cols.min() + 1
+    shape = (int(r.max()) + 2, int(c.max()) + 2)
+    value, price, shut = np.full(shape, np.inf, rule.dtype), np.zeros(shape, rule.dtype), np.ones(shape, bool)
+    value[r, c] = start
+    price[r, c] = np.where(closed, 0, cost)
+    shut[r, c] = closed
+    seeds = np.flatnonzero(np.isfinite(start))
+    if not len(seeds):
+        return start
+    top, bottom, left, right = r[seeds].min(), r[seeds].max(), c[seeds].min(), c[seeds].max()
+    while True:
+        a, b = max(1, top - 1), min(shape[0] - 1, bottom + 2)
+        d, e = max(1, left - 1), min(shape[1] - 1, right + 2)
+        old = value[a:b, d:e]
+        best = old.copy()
         for i, j, slant in NEIGHBOURS:
-            n = index.get((r + i, c + j))
-            if n is None or closed[n]:
-                continue
-            arrive = enter(v, cost[n], slant)
-            if arrive is not None and arrive < best[n]:
-                best[n] = arrive
-                heapq.heappush(heap, (arrive, n))
-    return best
+            np.minimum(best, rule(value[a + i : b + i, d + j : e + j], price[a:b, d:e], slant), out=best)
+        fell = (best < old) & ~shut[a:b, d:e]
+        if not fell.any():
+            return value[r, c]
+        old[fell] = best[fell]
+        y, x = np.flatnonzero(fell.any(axis=1)), np.flatnonzero(fell.any(axis=0))
+        top, bottom, left, right = a + y[0], a + y[-1], d + x[0], d + x[-1]
 
 
 def reach(cells: DataFrame, max_time: float, cell_len: float = 1.0, group_cells: int = GROUP_CELLS, tile: int = 256, plan: str | None = None) -> DataFrame:
     """``aoi_id, row_i, col_j, t`` of the covered cells of each area.
 
     ``cells``: ``aoi_id, row_i, col_j, friction, source`` (boolean), a cell once an area.
-    ``plan``: ``group``, ``tiles`` or None (by the largest area's cell count).
+    ``plan``: ``group``, ``tiles`` or None (by the cells of the largest area's box).
     """
     cells = cells.select("aoi_id", "row_i", "col_j", F.col("friction").cast("float").alias("friction"), F.coalesce("source", F.lit(False)).alias("source"))
-    if plan is None:
-        most = cells.groupBy("aoi_id").agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
-        plan = "group" if most <= group_cells else "tiles"
-    enter = travel(max_time, cell_len)
+    plan = plan or choose_plan(cells, group_cells)
     wall = F.isnan("friction") | F.col("friction").isNull() | (F.col("friction") <= 0)
     start = F.when(F.col("source"), F.lit(0.0))
     grid = cells.select("aoi_id", "row_i", "col_j", F.col("friction").cast("double").alias("cost"), (F.col("source") | wall).alias("closed"), start.alias("v"))
-    return least_values(grid, enter, plan, tile).select("aoi_id", "row_i", "col_j", F.col("v").cast("float").alias("t"))
+    return least_values(grid, Travel(max_time, cell_len), plan, tile).select("aoi_id", "row_i", "col_j", F.col("v").cast("float").alias("t"))
 
 
-def least_values(grid: DataFrame, enter, plan: str, tile: int = 256) -> DataFrame:
+def choose_plan(cells: DataFrame, group_cells: int) -> str:
+    """``group`` where the box of every area has at most so many cells."""
+    side = lambda c: F.max(c).cast("long") - F.min(c) + 1
+    most = cells.groupBy("aoi_id").agg((side("row_i") * side("col_j")).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+    return "group" if most <= group_cells else "tiles"
+
+
+def least_values(grid: DataFrame, rule, plan: str, tile: int = 256) -> DataFrame:
     """``aoi_id, row_i, col_j, v`` of the cells that the seeds' ways reach.
 
     ``grid``: ``aoi_id, row_i, col_j, cost double, closed boolean, v double`` where v is
-    the value of a seed, else NULL; ``enter`` as in ``settle``.
+    the value of a seed, else NULL; ``rule`` as in ``settle``.
     """
     if plan == "tiles":
-        return _by_tiles(grid, enter, tile)
+        return _by_tiles(grid, rule, tile)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         start = rows["v"].to_numpy(np.float64)
-        best = settle(rows["row_i"].to_numpy(), rows["col_j"].to_numpy(), rows["cost"].to_numpy(np.float64), rows["closed"].to_numpy(bool), {int(k): start[k] for k in np.flatnonzero(~np.isnan(start))}, enter)
+        start = np.where(np.isnan(start), np.inf, start)
+        best = settle(rows["row_i"].to_numpy(np.int64), rows["col_j"].to_numpy(np.int64), rows["cost"].to_numpy(np.float64), rows["closed"].to_numpy(bool), start, rule).astype(np.float64)
         return rows[["aoi_id", "row_i", "col_j"]].assign(v=best)[np.isfinite(best)]
 
     return grid.groupBy("aoi_id").applyInPandas(run, "aoi_id string, row_i int, col_j int, v double")
 
 
-def _by_tiles(grid: DataFrame, enter, tile: int) -> DataFrame:
+def _by_tiles(grid: DataFrame, rule, tile: int) -> DataFrame:
     tiled = grid.withColumns({"tr": F.floor(F.col("row_i") / tile).cast("int"), "tc": F.floor(F.col("col_j") / tile).cast("int")})
     state = Stage(tiled.withColumn("fresh", F.col("v").isNotNull()))
     mail = None  # values at neighbours in other tiles, and whether the step is diagonal
@@ -115,26 +124,27 @@ def _by_tiles(grid: DataFrame, enter, tile: int) -> DataFrame:
     own = ["aoi_id", "row_i", "col_j", "cost", "closed", "v", "tr", "tc", "fresh"]
     ddl = "aoi_id string, row_i int, col_j int, cost double, closed boolean, v double, tr int, tc int, fresh boolean, mail boolean, from_v double, slant boolean"
 
+    def rim(r, c):
+        return (r % tile == 0) | (r % tile == tile - 1) | (c % tile == 0) | (c % tile == tile - 1)
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         held = rows[~rows["mail"].astype(bool)].reset_index(drop=True)
-        sent = rows[rows["mail"].astype(bool)]
-        r, c = held["row_i"].to_numpy(), held["col_j"].to_numpy()
+        sent = rows[rows["mail"].astype(bool)].merge(held[["row_i", "col_j"]].assign(k=np.arange(len(held))), on=["row_i", "col_j"])
+        r, c = held["row_i"].to_numpy(np.int64), held["col_j"].to_numpy(np.int64)
         cost, closed, fresh = held["cost"].to_numpy(np.float64), held["closed"].to_numpy(bool), held["fresh"].to_numpy(bool)
         old = held["v"].to_numpy(np.float64)
         old = np.where(np.isnan(old), np.inf, old)
-        index = {rc: k for k, rc in enumerate(zip(r.tolist(), c.tolist()))}
-        seeds = {int(k): old[k] for k in np.flatnonzero(fresh)}
-        for i, j, v, slant in zip(sent["row_i"], sent["col_j"], sent["from_v"], sent["slant"]):
-            k = index.get((i, j))
-            if k is None or closed[k]:
-                continue
-            arrive = enter(v, cost[k], bool(slant))
-            if arrive is not None and arrive < min(old[k], seeds.get(k, np.inf)):
-                seeds[k] = arrive
-        new = np.minimum(old, settle(r, c, cost, closed, seeds, enter)) if seeds else old
+        start = old.copy()
+        if len(sent):
+            k = sent["k"].to_numpy()
+            arrive = rule(sent["from_v"].to_numpy(rule.dtype), np.where(closed[k], 0, cost[k]).astype(rule.dtype), sent["slant"].to_numpy(bool)).astype(np.float64)
+            np.minimum.at(start, k, np.where(closed[k], np.inf, arrive))
+        # only what is new spreads; other values are settled already
+        moved = fresh | (start < old)
+        new = np.minimum(start, settle(r, c, cost, closed, np.where(moved, start, np.inf), rule).astype(np.float64)) if len(held) else start
         out = held.assign(v=np.where(np.isfinite(new), new, np.nan), fresh=False, mail=False, from_v=0.0, slant=False)
         letters = []
-        for k in np.flatnonzero((new < old) | fresh).tolist():
+        for k in np.flatnonzero(((new < old) | fresh) & rim(r, c)).tolist():
             for i, j, slant in NEIGHBOURS:
                 a, b = int(r[k]) + i, int(c[k]) + j
                 if (a // tile, b // tile) != (int(r[k]) // tile, int(c[k]) // tile):
