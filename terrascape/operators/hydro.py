@@ -41,7 +41,7 @@ def flow_shares(edges: DataFrame) -> DataFrame:
 def reachable(edges: DataFrame, start: DataFrame) -> DataFrame:
     """``row_i, col_j`` of the cells that flow from ``start`` reaches, start included."""
     key = ["row_i", "col_j"]
-    links = edges.select(*key, "to_i", "to_j")
+    links = Stage(edges.select(*key, "to_i", "to_j")).df  # read in every round
     seen = Growing(start.select(*key).distinct())
     while not seen.front.isEmpty():
         to = seen.front.join(links, key).select(F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j")).distinct()
@@ -56,13 +56,12 @@ def accumulate(shares: DataFrame, weights: DataFrame) -> DataFrame:
     the longest path; flow edges have no cycle.
     """
     key = ["row_i", "col_j"]
-    total = Stage(weights.select(*key, F.col("w").cast("double").alias("acc")))
-    moving = total
-    while not moving.df.isEmpty():
-        sent = moving.df.where("acc <> 0").join(shares, key).select(F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j"), (F.col("acc") * F.col("share")).alias("acc"))
-        moving = Stage(sent.groupBy(*key).agg(F.sum("acc").alias("acc")))
-        total = Stage(total.df.unionByName(moving.df).groupBy(*key).agg(F.sum("acc").alias("acc")))
-    return total.df
+    links = Stage(shares).df  # read in every round
+    water = Growing(weights.select(*key, F.col("w").cast("double").alias("acc")))
+    while not water.front.isEmpty():
+        sent = water.front.where("acc <> 0").join(links, key).select(F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j"), (F.col("acc") * F.col("share")).alias("acc"))
+        water.add(sent.groupBy(*key).agg(F.sum("acc").alias("acc")))
+    return water.df.groupBy(*key).agg(F.sum("acc").alias("acc"))
 
 
 def fill_pits(dem: DataFrame, plan: str | None = None, tile: int = 256, group_cells: int = GROUP_CELLS) -> DataFrame:
