@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrascape.llm.common import durable, map_text, marked, marks, rows_marked, schema
+from terrascape.llm.common import durable, map_text, marked, marks, parts_for, rows_marked, schema
 
 
 def canonical(text: str | None) -> str:
@@ -113,7 +113,7 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts
 
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    parts = parts or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = parts or parts_for(d)
     cuts = d.stat.approxQuantile("id", [k / parts for k in range(1, parts)], 1 / (4 * parts)) if parts > 1 else []
     cuts = sorted({int(c) for c in cuts})  # at most ``parts`` numbers
     if cuts:  # the range of an id: cuts not above it
