@@ -20,6 +20,16 @@ def edges_of(features: DataFrame, key: list[str]) -> DataFrame:
     return ring.select(*key, "ring", F.explode(pairs).alias("e")).select(*key, "ring", "e.*")
 
 
+def repair(features: DataFrame) -> DataFrame:
+    """Rings without repeated points and without a closing point, of at least three
+    points; features that keep no ring are dropped.  Self-crossing rings are left: the
+    even-odd rule gives them a defined inside."""
+    same = lambda a, b: (a["x"] == b["x"]) & (a["y"] == b["y"])
+    before = lambda ring, k: F.element_at(ring, F.when(k > 0, k).otherwise(F.size(ring)))
+    clean = F.transform("rings", lambda ring: F.filter(ring, lambda p, k: ~same(p, before(ring, k)) | (F.size(ring) == 1)))
+    return features.withColumn("rings", F.filter(clean, lambda r: F.size(r) >= 3)).where(F.size("rings") > 0)
+
+
 def measures(features: DataFrame, key: list[str]) -> DataFrame:
     """``area, cx, cy`` by the shoelace formula; holes turn against their shell."""
     e = edges_of(features, key).withColumn("c", F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1"))

@@ -6,14 +6,26 @@ Areas of interest are a column of every table, so all areas of a run are one pla
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrascape.functions.scalars import buffer_metres
+from terrascape.model import Grid
 from terrascape.operators import focal, hydro, masks, network, reach
+from terrascape.operators.grid import common_bounds
 from terrascape.plans.config import CONDITIONAL, TRAVEL_TIME, Config
 
 
+def full_extent_area(spark: SparkSession, grids: list[Grid], name: str = "full_raster_extent") -> DataFrame:
+    """The generated area of interest: the box that all rasters share (in one system of
+    degrees), as a feature; no common area or a raster without a system is an error."""
+    if any(not g.crs for g in grids):
+        raise ValueError("a raster has no coordinate system")
+    minx, miny, maxx, maxy = (float(v) for v in common_bounds([g.bounds for g in grids]))
+    ring = [{"x": x, "y": y} for x, y in ((minx, miny), (maxx, miny), (maxx, maxy), (minx, maxy))]
+    return spark.createDataFrame([(name, [ring])], "aoi_id string, rings array<array<struct<x:double,y:double>>>")
+
+
 def travel_population(cells: DataFrame, max_hours: float, cell_len: float) -> DataFrame:
     """``aoi_id, row_i, col_j, pop``: population that reaches an area within the time.
 

@@ -179,6 +179,18 @@ def test_vector(spark):
         grid.common_bounds([(0, 0, 1, 1), (2, 2, 3, 3)])
 
 
+def test_repair_and_full_extent(spark):
+    p = lambda *xy: [{"x": float(x), "y": float(y)} for x, y in xy]
+    rows = [(1, [p((0, 0), (2, 0), (2, 0), (2, 2), (0, 0))]), (2, [p((1, 1), (1, 1))]), (3, [])]
+    got = vector.repair(spark.createDataFrame(rows, FEATURE)).collect()
+    assert [(r.fid, len(r.rings[0])) for r in got] == [(1, 3)]
+    grids = [Grid(0, 10, 1, -1, 10, 10, "EPSG:4326"), Grid(4, 12, 1, -1, 10, 10, "EPSG:4326")]
+    area = vector.boxes(workflow.full_extent_area(spark, grids), ["aoi_id"]).first()
+    assert (area.minx, area.miny, area.maxx, area.maxy) == (4, 2, 10, 10)
+    with pytest.raises(ValueError, match="no coordinate"):
+        workflow.full_extent_area(spark, [Grid(0, 1, 1, -1, 1, 1)])
+
+
 def test_box_join_finds_each_once(spark):
     rng = np.random.default_rng(1)
     low = rng.uniform(-50, 50, (80, 2))
