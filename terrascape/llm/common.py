@@ -163,7 +163,8 @@ def components(edges: DataFrame) -> DataFrame:
     rounds: every node hooks to its smallest neighbour, pointer jumping flattens the
     hooks, and edges are renamed until none joins two roots; a round at least halves
     the roots of a component.  All state stays in tables; a partition is bounded by
-    the exchange, and hubs meet only as partial minima.
+    the exchange, and hubs meet only as partial minima.  Dealing by range reads the
+    edges twice, so they are best a durable table.
     """
     fields = pa.schema([("n", pa.int64()), ("r", pa.int64())])
 

@@ -256,7 +256,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # last, within the buckets that hold several components still
     third = durable(_left_over(band, classes, labels, threshold).join(first.unionByName(second), ["a", "b"], "left_anti"))
     if not third.isEmpty():
-        labels = components(edges.unionByName(_confirm(third, docs, id_col, text_col, percent, width)))
+        labels = components(durable(edges.unionByName(_confirm(third, docs, id_col, text_col, percent, width))))
     named = labels.withColumnsRenamed({"node": "rep", "component": "c"})
     of_class = classes.select("set_key", "rep").join(named, "rep", "left").select("set_key", F.coalesce("c", "rep").alias("c"))
     out = sketch.join(of_class, "set_key", "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("c", "id")).alias("component_id"))
