@@ -189,23 +189,66 @@ def _other_heads(band: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _left_over(band: DataFrame, classes: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of different components that share a bucket of three or more members and
-    may reach the threshold.  A large bucket is dealt into blocks, and each pair of
-    blocks is one group of bounded size."""
+    """What may still link: a spanning forest (a, b) of the pairs of different components
+    that share a bucket of three or more members and may reach the threshold."""
     named = _named(band, labels)
-    open_ = named.groupBy("band").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("n > 2 AND lo <> hi").select("band", "n")
-    members = named.join(open_, "band").join(classes.select("rep", "registers"), "rep")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("band", "rep", "c", "registers", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-
-    def compare(own, rep, c, reg, i, j):
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        for k in left.tolist() if len(right) else ():
-            at = right[(c[right] != c[k]) & ((rep[right] > rep[k]) if i == j else True)]
-            if len(at) and len(at := at[reachable(reg[k], reg[at], threshold)]):
-                yield np.minimum(rep[k], rep[at]), np.maximum(rep[k], rep[at])
+    open_ = named.groupBy("band").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("n > 2 AND lo <> hi").select(F.col("band").alias("g"), "n")
+    members = named.withColumnRenamed("band", "g").join(open_, "g").join(classes.select("rep", "registers"), "rep").withColumn("text", F.lit(None).cast("string"))
+
+    def compare(rep, c, reg, texts, pairs):
+        group = np.arange(len(rep))
+        for k, right in pairs:
+            at = right[(c[right] != c[k]) & (group[right] != group[k])]
+            at = at[reachable(reg[k], reg[at], threshold)] if len(at) else at
+            while len(at):
+                t = at[0]
+                yield rep[k], rep[t]
+                group[group == group[t]] = group[k]
+                at = at[group[at] != group[k]]
+
+    return _blockwise(members, BLOCK, compare).distinct()
+
+
+def _confirm_groups(forest: DataFrame, docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, labels: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links (a, b) between the components of each tree of ``forest``, confirmed on the
+    full sets: enough of them to join what is linked, none where components are joined."""
+    threshold = percent / 100
+    tree = durable(components(forest).select(F.col("component").alias("g"), F.col("node").alias("rep")))
+    few = rows_marked(docs, marks(tree.select(F.col("rep").cast("string"))), id_col, text_col).groupBy("id").agg(F.min("text").alias("text"))
+    named = tree.join(labels.withColumnsRenamed({"node": "rep", "component": "c"}), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
+    members = named.join(classes.select("rep", "registers"), "rep").join(few.withColumnRenamed("id", "rep"), "rep").join(tree.groupBy("g").agg(F.count("*").alias("n")), "g")
+
+    def compare(rep, c, reg, texts, pairs):
+        words, sets = _Words(), {}
+        joined = c.copy()
+
+        def full(k):
+            if k not in sets:
+                sets[k] = shingles(texts[k].as_py(), words, width)
+            return sets[k]
+
+        for k, right in pairs:
+            at = right[joined[right] != joined[k]]
+            for t in at[reachable(reg[k], reg[at], threshold)].tolist() if len(at) else ():
+                if joined[t] == joined[k]:
+                    continue
+                x, y = full(k), full(t)
+                n = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * n >= percent * (len(x) + len(y) - n):
+                    yield rep[k], rep[t]
+                    joined[joined == joined[t]] = joined[k]
+
+    return _blockwise(members, BLOCK // 4, compare)
+
+
+def _blockwise(members: DataFrame, block: int, compare) -> DataFrame:
+    """Deal the members of groups (``g, n, rep, c, registers, text``; n: their number)
+    into blocks and give each pair of blocks of a group to ``compare``, whose links
+    (a, b) are returned.  A pair of blocks has about 2 * ``block`` rows, however large
+    the group is; a task streams its pairs of blocks in order."""
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    dealt = members.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "c", "registers", "text")
 
     def run(batches):
         fields = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -214,18 +257,23 @@ def _left_over(band: DataFrame, classes: DataFrame, labels: DataFrame, threshold
             table = held if batch is None else pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
             if table is None or not table.num_rows:
                 continue
-            band, i, j, own, rep, c = (table.column(n).to_numpy() for n in ("band", "i", "j", "own", "rep", "c"))
-            cuts = np.flatnonzero((band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            g, i, j, own, rep, c = (table.column(n).to_numpy() for n in ("g", "i", "j", "own", "rep", "c"))
+            cuts = np.flatnonzero((g[1:] != g[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
             bounds = [0, *cuts.tolist(), *([table.num_rows] if batch is None else [])]
             done = bounds[-1]
             reg = np.frombuffer(b"".join(table.column("registers").slice(0, done).to_pylist()), np.uint16).reshape(-1, 1 << BUCKET_BITS)
-            found = [x for s, e in zip(bounds, bounds[1:]) for x in compare(own[s:e], rep[s:e], c[s:e], reg[s:e], int(i[s]), int(j[s]))]
+            found = []
+            for s, e in zip(bounds, bounds[1:]):
+                left, right = np.flatnonzero(own[s:e] == i[s]), np.flatnonzero(own[s:e] == j[s])
+                r = rep[s:e]
+                pairs = ((k, right[r[right] > r[k]] if i[s] == j[s] else right) for k in left.tolist())
+                found += compare(r, c[s:e], reg[s:e], table.column("text").slice(s, e - s), pairs)
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in found])) for k in (0, 1)], schema=fields)
+                a, b = np.array(found, np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=fields)
             held = table.slice(done)
 
-    # the groups of a task are streamed in order; a group has at most about 2 * BLOCK rows
-    return dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(run, "a long, b long").distinct()
+    return dealt.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, width: int = WORDS) -> DataFrame:
@@ -254,9 +302,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         edges = durable(edges.unionByName(_confirm(durable(_screen(second, classes, threshold)), docs, id_col, text_col, percent, width)))
         labels = durable(components(edges))
     # last, within the buckets that hold several components still
-    third = durable(_left_over(band, classes, labels, threshold).join(first.unionByName(second), ["a", "b"], "left_anti"))
+    third = durable(_left_over(band, classes, labels, threshold))
     if not third.isEmpty():
-        labels = components(durable(edges.unionByName(_confirm(third, docs, id_col, text_col, percent, width))))
+        labels = components(durable(edges.unionByName(_confirm_groups(third, docs, id_col, text_col, classes, labels, percent, width))))
     named = labels.withColumnsRenamed({"node": "rep", "component": "c"})
     of_class = classes.select("set_key", "rep").join(named, "rep", "left").select("set_key", F.coalesce("c", "rep").alias("c"))
     out = sketch.join(of_class, "set_key", "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("c", "id")).alias("component_id"))
