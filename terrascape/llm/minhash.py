@@ -8,8 +8,8 @@ the others are confirmed on the full sets.
 
 No group is expanded into its pairs: equal sets are one node; a node is first compared
 with the head (the smallest member) that most of its buckets share, then with heads of
-other components that several share, and only buckets that still hold several components are compared
-blockwise, for pairs of different components.
+other components that several share; what buckets that still hold several components leave is compared
+last: pairs alone in a bucket one by one, larger buckets blockwise, for pairs of different components.
 """
 
 from __future__ import annotations
@@ -209,6 +209,12 @@ def _left_over(band: DataFrame, classes: DataFrame, labels: DataFrame, threshold
     return _blockwise(members, BLOCK, compare).distinct()
 
 
+def _alone(band: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that are the only two members of a bucket."""
+    pair = _named(band, labels).groupBy("band").agg(F.count("*").alias("n"), F.min("rep").alias("a"), F.max("rep").alias("b"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    return pair.where("n = 2 AND lo <> hi").select("a", "b").distinct()
+
+
 def _confirm_groups(forest: DataFrame, docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, labels: DataFrame, percent: int, width: int) -> DataFrame:
     """Links (a, b) between the components of each tree of ``forest``, confirmed on the
     full sets: enough of them to join what is linked, none where components are joined."""
@@ -301,8 +307,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not second.isEmpty():
         edges = durable(edges.unionByName(_confirm(durable(_screen(second, classes, threshold)), docs, id_col, text_col, percent, width)))
         labels = durable(components(edges))
-    # last, within the buckets that hold several components still
-    third = durable(_left_over(band, classes, labels, threshold))
+    # last, within the buckets that hold several components still; a pair alone in its bucket needs no block
+    alone = durable(_alone(band, labels).join(first.unionByName(second), ["a", "b"], "left_anti"))
+    third = durable(_left_over(band, classes, labels, threshold).unionByName(_screen(alone, classes, threshold)).distinct())
     if not third.isEmpty():
         labels = components(durable(edges.unionByName(_confirm_groups(third, docs, id_col, text_col, classes, labels, percent, width))))
     named = labels.withColumnsRenamed({"node": "rep", "component": "c"})

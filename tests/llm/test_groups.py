@@ -109,6 +109,26 @@ def test_minhash_blocks(spark, monkeypatch):
     assert {(2 * g, 2 * g + 1) for g in range(12)} <= pairs
 
 
+def test_minhash_alone(spark):
+    """A pair that meets in four buckets of its own only, while its second member is first
+    compared with another head (chosen by search), is compared too."""
+
+    def copy(seed):
+        rng, words = random.Random(seed), [f"v{k}" for k in range(800)]
+        for at in rng.sample(range(800), 12):
+            words[at] = f"z{seed}x{at}"
+        return " ".join(words)
+
+    rows = [(1, copy(367)), (2, copy(4)), (3, " ".join(f"v{k}" for k in range(800)))]
+    x, y, z = (minhash.registers(minhash.shingles(t))[: minhash.BANDS * minhash.ROWS].reshape(-1, minhash.ROWS) for _, t in rows)
+    own, other = (x == z).all(1), (y == z).all(1)
+    assert own.sum() == 4 < minhash.SEVERAL and other.sum() == 5 and not (own & other).any()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for percent in (80, 85):
+        got = {r.id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(df, percent=percent).collect()}
+        assert got == brute_near(rows, percent) and {c for _, c in got.values()} == {1}
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 16))
