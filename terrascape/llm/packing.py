@@ -9,6 +9,7 @@ dealt evenly into packing groups of bounded size, each packed by one task.
 
 from __future__ import annotations
 
+import functools
 import re
 import struct
 import unicodedata
@@ -107,6 +108,12 @@ class Tokens:
         return [b"".join([memory[w] for w in words]) for words in split]
 
 
+@functools.lru_cache(maxsize=2)
+def tokens_of(path: str) -> Tokens:
+    """One reader, and its bounded memory of words, for all tasks of a Python worker."""
+    return Tokens(path)
+
+
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int | None = END) -> DataFrame:
     """One row per piece: the id, ``piece`` (from 0), ``start``, ``length`` and
     ``ids_crc32``.  A document is its ids, then the id ``end``; only documents longer
@@ -116,7 +123,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     tail = b"" if end is None else np.array([end], "<u4").tobytes()
 
     def make():
-        tokens = Tokens(tokenizer)
+        tokens = tokens_of(tokenizer)
 
         def run(step):
             out = [[], [], [], [], []]
