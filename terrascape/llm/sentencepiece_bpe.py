@@ -13,6 +13,7 @@ its words, and a word met before is not merged again.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 
@@ -223,8 +224,9 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text, the end id last."""
+        split = self.learn(texts)
         memory = self.memory
-        return [[i for w in words for i in memory[w]] + [self.model.end] for words in self.learn(texts)]
+        return [[i for w in words for i in memory[w]] + [self.model.end] for words in split]
 
     def decode(self, ids, begin: bool = True) -> str:
         """The text of the ids: control ids vanish, runs of byte ids are UTF-8 (each
@@ -272,13 +274,24 @@ def utf8(data: bytes) -> str:
         return "".join(out)
 
 
+@functools.lru_cache(maxsize=2)
+def codec_of(path: str, shown: bool = False) -> Codec:
+    """One codec, and its bounded memory of words, for all tasks of a Python worker.
+    With ``shown`` a word is kept as the number of its ids, the ids as text, and their
+    text: a word holds whole characters, so the text of its ids is part of that of all."""
+    if not shown:
+        return Codec(path)
+    codec = Codec(path, lambda ids: (len(ids), " ".join(map(str, ids)), codec.decode(ids, begin=False)))
+    return codec
+
+
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: the id and ``ids`` (array of int, the end id last).
     Null and empty texts give the end id alone; repeated rows give repeated results."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def make():
-        codec = Codec(model_path)
+        codec = codec_of(model_path)
         return lambda step: [step[0], codec.encode([t or "" for t in step[1]])]
 
     return map_text(docs, [id_col, text_col], schema(f"`{id_col}` {kind}, ids array<int>"), make)
@@ -290,7 +303,7 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
     joined = encoded.select(F.col(id_col), F.concat_ws(" ", F.col(ids_col)).alias("__ids"), F.col(ids_col).isNull().alias("__null"))
 
     def make():
-        codec = Codec(model_path)
+        codec = codec_of(model_path)
 
         def run(step):
             keys, nulls, ids = step
@@ -307,8 +320,7 @@ def digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
     kind = docs.schema[id_col].dataType.simpleString()
 
     def make():
-        # a word holds whole characters, so the text of the words' ids is that of all ids
-        codec = Codec(model_path, lambda ids: (len(ids), " ".join(map(str, ids)), codec.decode(ids, begin=False)))
+        codec = codec_of(model_path, shown=True)
         model = codec.model
 
         def run(step):
