@@ -1,15 +1,17 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Five transducers read the classes of a clause's words: *insult* and *threat* emit
-a weight when they accept, *target* strengthens what follows or precedes it,
-*negation* and *reported speech* weaken it.  Their product is built once
-(``compose``), so a clause is one walk through one table.  What is scored is the
-accepted clause, never a word by itself; a document's score is a logistic function
-of its clauses' evidence.
+Five transducers read the classes of a clause's words.  *Insult* emits a weight at its
+words and *threat* at its words where the clause states an intent; *target*, *negation*
+and *reported speech* change what they emit, from before or after.  As what stands after
+a word counts too, the clause is read from both ends: the product of the transducers'
+states (``compose``, built once) runs forwards and backwards, and the two states that
+meet at a word give its factor.  What is scored is the accepted clause, never a word by
+itself; a document's score is a logistic function of its clauses' evidence.
 
 The vocabulary of the insult transducer is learned: words and word stems (a stem
 stands for any inflection) that mark labelled documents, taken greedily by the
-documents they newly explain, beside a short fixed list.
+documents they newly explain, beside a short fixed list.  The other classes are closed
+lists in four languages.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import itertools
 import math
 import re
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -28,26 +30,45 @@ from terrascape.llm.common import filter_text, map_text, schema
 
 #: Bound of the fit: expected rows of label 1 and of label 0 (chosen by a hash of the id).
 FIT_TOXIC, FIT_CLEAN = 1200, 2000
-#: Lengths of learned stems; entries learned at most; labelled documents that an entry needs.
-STEM, ENTRIES, SUPPORT = range(3, 9), 64, 2
+#: Lengths of learned stems; labelled documents that an entry needs at least.
+STEM, SUPPORT = range(3, 9), 2
 THRESHOLD = 0.3
 
-# Seed words of each class (lower case).
+# Seed words of each class (lower case), in English, German, French, Spanish.
 SEEDS = {
-    "insult": "idiot idiots moron morons stupid worthless pathetic disgusting loser losers scum trash imbecile vermin",
-    "threat": "kill hurt destroy beat shoot stab burn strangle",
-    "intent": "will gonna shall going",
-    "target": "you your you're u he she they them him her those these everyone",
-    "negation": "not never no isn't aren't wasn't without hardly",
-    "report": "said says wrote claimed called quoted according reported alleged",
+    "insult": """idiot idiots moron morons stupid worthless pathetic disgusting loser losers scum trash imbecile vermin
+        idiotin idioten dummkopf trottel arschloch abschaum versager
+        idiote imbécile imbéciles abruti abrutie crétin connard connasse ordure
+        idiota idiotas imbécil imbéciles estúpido estúpida escoria basura""",
+    "threat": """kill hurt destroy beat shoot stab burn strangle
+        töten umbringen verletzen verprügeln erschießen erwürgen
+        tuer frapper détruire brûler égorger étrangler
+        matar matarte golpear destruir quemar estrangular""",
+    "intent": """will gonna shall going i'll we'll
+        werde werden wird wollen
+        vais vas allons vont
+        voy vas vamos van""",
+    "target": """you your you're u he she they them him her those these everyone
+        du dich dir euch dein deine er sie
+        tu toi vous il elle ils vos
+        tú ti usted ustedes él ella ellos""",
+    "negation": """not never no isn't aren't wasn't without hardly
+        nicht kein keine keinen keiner nie niemals
+        pas jamais aucun aucune nullement
+        no nunca jamás ningún ninguna tampoco""",
+    "report": """said says wrote claimed called quoted according reported alleged
+        sagte sagt schrieb behauptete nannte zitierte laut angeblich
+        dit écrivit affirme déclare selon appelle
+        dijo dice escribió afirmó llamó según""",
 }
 # Weight of an accepted clause, and factors of the modifying transducers.
 WEIGHT = {"insult": 1.0, "threat": 2.0, "target": 1.25, "negation": 0.5, "report": 0.5}
 
-WORD = re.compile(r"[^\W_]+(?:['’][^\W\d_]+)*|[.!?;:\n|]+")
-CLAUSE_END = frozenset(".!?;:\n|")
+CLAUSE_ENDS = ".!?;\n|"
+WORD = re.compile(r"[^\W_]+(?:['’][^\W\d_]+)*")
+END = re.compile("[.!?;\n|]")
 CLASSES = ("other", "insult", "threat", "intent", "target", "negation", "report")
-#: Words after which a negation no longer weakens.
+#: Words on either side that a negation reaches.
 REACH = 3
 
 
@@ -59,55 +80,55 @@ class Grammar:
     stems: dict[str, float]
     slope: float = 2.0
     base: float = -3.0
-    table: list = field(default_factory=list)
+    off: frozenset = frozenset()  # names of transducers that are left out
 
 
-def _insult(state: int, c: int) -> tuple[int, bool]:
-    return 0, CLASSES[c] == "insult"
-
+def _latch(name: str):
+    """Whether a word of the class was met."""
+    return lambda state, c: 1 if CLASSES[c] == name else state
 
-def _threat(state: int, c: int) -> tuple[int, bool]:
-    """A threat word after a word of intent."""
-    name = CLASSES[c]
-    return (1 if name == "intent" else state), bool(state) and name == "threat"
 
+def _countdown(name: str):
+    """The words that the class still reaches."""
+    return lambda state, c: REACH if CLASSES[c] == name else max(0, state - 1)
 
-def _latch(name: str):
-    return lambda state, c: (1 if CLASSES[c] == name else state, False)
 
+#: Each transducer's step, from a state (0 at first) by a class to a state.
+STEPS = {"insult": lambda state, c: 0, "threat": _latch("intent"), "target": _latch("target"), "negation": _countdown("negation"), "report": _latch("report")}
 
-def _negation(state: int, c: int) -> tuple[int, bool]:
-    """Counts down the words that a negation still reaches."""
-    return (REACH if CLASSES[c] == "negation" else max(0, state - 1)), False
 
+def emit(name: str, before: int, after: int, c: int) -> float:
+    """What one transducer contributes at a word of class ``c`` between its two states:
+    the weight that insult or threat emits there (0: none), the others' factor."""
+    if name == "insult":
+        return WEIGHT[name] * (CLASSES[c] == "insult")
+    if name == "threat":
+        return WEIGHT[name] * (CLASSES[c] == "threat" and bool(before or after))
+    return WEIGHT[name] if before or after else 1.0
 
-MACHINES = {"insult": _insult, "threat": _threat, "target": _latch("target"), "negation": _negation, "report": _latch("report")}
 
-
-def compose() -> list[list[tuple[int, float]]]:
-    """The product of the machines: ``table[state][class] = (next state, factor)``,
-    where the factor is not 0 where the insult or threat machine accepts."""
-    names = list(MACHINES)
+def compose(off: frozenset = frozenset()) -> tuple[list[list[int]], list[list[list[float]]]]:
+    """The product: ``move[state][class]`` is the next state, for either direction, and
+    ``factor[state before][state after][class]`` what a word emits (0: nothing)."""
+    names = list(STEPS)
     start = (0,) * len(names)
-    index, table, todo = {start: 0}, [], [start]
+    index, move, todo = {start: 0}, [], [start]
     while todo:
-        state = todo.pop(0)
-        row = []
+        state, row = todo.pop(0), []
         for c in range(len(CLASSES)):
-            moved = [MACHINES[m](s, c) for m, s in zip(names, state)]
-            after = tuple(s for s, _ in moved)
-            factor = WEIGHT["insult"] * moved[0][1] + WEIGHT["threat"] * moved[1][1]
-            for k, m in enumerate(names[2:], 2):
-                if m == "negation":
-                    factor *= WEIGHT[m] if state[k] else 1
-                else:
-                    factor *= WEIGHT[m] if after[k] else 1
+            after = tuple(STEPS[n](s, c) for n, s in zip(names, state))
             if after not in index:
                 index[after] = len(index)
                 todo.append(after)
-            row.append((index[after], factor))
-        table.append(row)
-    return table
+            row.append(index[after])
+        move.append(row)
+
+    def one(x: tuple, y: tuple, c: int) -> float:
+        said = {n: emit(n, i, j, c) for n, i, j in zip(names, x, y) if n not in off}
+        found = said.pop("insult", 0.0) + said.pop("threat", 0.0)
+        return found * math.prod(said.values())
+
+    return move, [[[one(x, y, c) for c in range(len(CLASSES))] for y in index] for x in index]
 
 
 class Scorer:
@@ -116,8 +137,9 @@ class Scorer:
     def __init__(self, grammar: Grammar) -> None:
         import ahocorasick
 
-        self.g, self.table = grammar, grammar.table or compose()
-        self.cls = {w: CLASSES.index(c) for c in ("report", "negation", "target", "intent", "threat") for w in SEEDS[c].split()}
+        self.g = grammar
+        self.move, self.factor = compose(grammar.off)
+        self.cls = {w: CLASSES.index(c) for c in ("report", "target", "intent", "negation", "threat") for w in SEEDS[c].split()}
         self.find = ahocorasick.Automaton()
         for w in {*grammar.words, *grammar.stems, *SEEDS["threat"].split()}:
             self.find.add_word(w, w)
@@ -130,37 +152,34 @@ class Scorer:
             return w
         return max((self.g.stems.get(word[:n], 0.0) for n in self.lengths if n <= len(word)), default=0.0)
 
-    def _walk(self, clause: list[str]) -> float:
-        """Evidence of one clause: the strongest reading, and a little for each more."""
-        state, found = 0, []
-        for word in clause:
-            w = self.weight(word)
-            state, factor = self.table[state][1 if w else self.cls.get(word, 0)]
-            if factor:
-                found.append(factor * (w or 1.0))
-        return sum(found)
+    def clause(self, words: list[str]) -> float:
+        """Evidence of one clause: the sum of what its words emit."""
+        weights = [self.weight(w) for w in words]
+        classes = [1 if w else self.cls.get(word, 0) for w, word in zip(weights, words)]
+        after, state = [0] * len(words), 0
+        for k in range(len(words) - 1, -1, -1):
+            after[k] = state
+            state = self.move[state][classes[k]]
+        state, total = 0, 0.0
+        for c, w, behind in zip(classes, weights, after):
+            if c == 1 or c == 2:
+                total += self.factor[state][behind][c] * (w or 1.0)
+            state = self.move[state][c]
+        return total
 
     def evidence(self, text: str | None) -> float:
         """Sum over the clauses that hold an insult or threat word."""
         text = (text or "").lower()
-        total, done = 0.0, -1
+        total, done = 0.0, 0  # the text before ``done`` is read
         for end, word in self.find.iter(text):
             at = end - len(word) + 1
-            if at <= done or at and text[at - 1].isalpha():
+            if at < done or at and text[at - 1].isalpha():
                 continue
-            left = at
-            while left and text[left - 1] not in CLAUSE_END:
-                left -= 1
-                if at - left > 400 and text[left - 1].isspace():  # a clause without an end: its nearest words
-                    break
-            right = end + 1
-            while right < len(text) and text[right] not in CLAUSE_END:
-                if right - end > 400 and text[right].isspace():
-                    break
-                right += 1
-            left = max(left, done + 1)
-            total += self._walk([w for w in WORD.findall(text[left:right]) if w[0] not in CLAUSE_END])
-            done = right - 1
+            left = max([done, *(text.rfind(c, done, at) + 1 for c in CLAUSE_ENDS)])
+            stop = END.search(text, end + 1)
+            right = stop.start() if stop else len(text)
+            total += self.clause(WORD.findall(text, left, right))
+            done = right
         return total
 
     def score(self, text: str | None) -> float:
@@ -178,9 +197,19 @@ def _features(text: str, only: set | None = None) -> dict[tuple[str, bool], int]
     return out
 
 
+def _telling(new: int, against: int, toxic: int, clean: int) -> float:
+    """Log-likelihood ratio of a feature of ``new`` of the toxic and ``against`` of the
+    clean rows, over one that tells nothing."""
+    n, share = new + against, toxic / (toxic + clean)
+    p = new / n
+    return sum(k * math.log(q / r) for k, q, r in ((new, p, share), (against, 1 - p, 1 - share)) if k) if p > share else 0.0
+
+
 def fit_texts(toxic: list[str], clean: list[str], prior: float) -> Grammar:
     """Learn the vocabulary and the curve from two lists of texts; ``prior`` is the
-    share of label 1 among all labelled rows."""
+    share of label 1 among all labelled rows.  An entry is taken while what it tells of
+    the rows not explained yet is more than the best of all candidates would by chance
+    (the logarithm of their number), so the vocabulary grows with what the rows show."""
     words = {w: 2.0 for w in SEEDS["insult"].split()}
     stems: dict[str, float] = {}
     toxic, clean = sorted(set(toxic)), sorted(set(clean))
@@ -200,11 +229,12 @@ def fit_texts(toxic: list[str], clean: list[str], prior: float) -> Grammar:
     for i, x in enumerate(have):
         for f in x:
             owners.setdefault(f, set()).add(i)
-    while left and len(words) + len(stems) < ENTRIES:
+    chance = math.log(len(owners) + 1)
+    while left and clean:
         best, best_gain = None, 0.0
         for f, who in owners.items():
             new = len(who & left)
-            if new < max(SUPPORT, 0.02 * len(left)):
+            if new < SUPPORT or _telling(new, against[f], len(left), len(clean)) <= chance:
                 continue
             wrong = scale * against[f]
             p = (cover[f] + 0.5) / (cover[f] + wrong + 1)
@@ -218,7 +248,7 @@ def fit_texts(toxic: list[str], clean: list[str], prior: float) -> Grammar:
         p = (cover[best] + 0.5) / (cover[best] + scale * against[best] + 1)
         (stems if is_stem else words)[text] = min(2.0, max(0.5, math.log(p / (1 - p)) / 2)) / least
         left -= owners[best]
-    grammar = Grammar(words, stems, table=compose())
+    grammar = Grammar(words, stems)
     scorer = Scorer(grammar)
     x = np.log1p([scorer.evidence(t) for t in toxic + clean])
     y = np.r_[np.ones(len(toxic)), np.zeros(len(clean))]

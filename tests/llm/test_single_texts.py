@@ -153,14 +153,57 @@ def test_toxicity(spark, docs):
 
 
 def test_toxicity_grammar():
-    scorer = toxicity.Scorer(toxicity.Grammar({"idiot": 2.0}, {"achl": 1.0}, table=toxicity.compose()))
+    scorer = toxicity.Scorer(toxicity.Grammar({"idiot": 2.0}, {"achl": 1.0}))
     plain = scorer.evidence("what an idiot.")
     assert scorer.evidence("you idiot.") > plain > scorer.evidence("not an idiot.")
-    assert plain > scorer.evidence("he said idiot") * 0.99 / 1.25
     assert scorer.evidence("i will hurt you") > 0 == scorer.evidence("it does hurt")
     assert scorer.evidence("achlich") == 1.0 and scorer.evidence("xachlich") == 0
     assert scorer.evidence("idiot. " * 3) == pytest.approx(3 * plain)
     assert scorer.evidence("word " * 50000 + "idiot") > 0 == scorer.evidence(None)
+    far = "you " + "word " * 50000  # a clause without an end is read whole
+    assert scorer.evidence(far + "idiot") == 1.25 * plain == scorer.evidence("idiot " + "word " * 50000 + "you")
+
+
+@pytest.mark.parametrize(
+    "bare, negated, reported, aimed",
+    [
+        ("an idiot here", "never an idiot here", '"an idiot here", a man said', "idiot that you are"),
+        ("ein idiot ist", "kein idiot ist", "ein idiot, sagte man, ist", "ein idiot bist du"),
+        ("un idiot ici", "pas un idiot ici", "un idiot ici, dit la dame", "quel idiot tu es"),
+        ("un idiota es", "nunca un idiota es", "un idiota es, dijo la gente", "qué idiota eres tú"),
+    ],
+)
+def test_toxicity_transducers(bare, negated, reported, aimed):
+    """Each modifying transducer changes what it is about, in every language, on either side."""
+    score = lambda text, *off: toxicity.Scorer(toxicity.Grammar({"idiot": 2.0, "idiota": 2.0}, {}, off=frozenset(off))).score(text)
+    assert score(bare) > score(negated) == pytest.approx(score(reported)) and score(aimed) > score(bare)
+    for name, text in (("negation", negated), ("report", reported), ("target", aimed)):
+        assert score(text, name) == pytest.approx(score(bare)) and score(bare, name) == score(bare)
+    assert score(bare, "insult") < score(bare)
+
+
+@pytest.mark.parametrize("text", ["i will hurt you", "ich werde dich töten", "töten werde ich", "je vais te tuer", "voy a matarte"])
+def test_toxicity_threats(text):
+    scorer, without = (toxicity.Scorer(toxicity.Grammar({}, {}, off=frozenset(off))) for off in ((), ("threat",)))
+    assert scorer.evidence(text) >= toxicity.WEIGHT["threat"] and without.evidence(text) == 0
+
+
+def test_toxicity_product_is_the_machines():
+    """One walk through the product gives what the transducers say one by one."""
+    rng = random.Random(4)
+    scorer = toxicity.Scorer(toxicity.Grammar({"idiot": 2.0, "scum": 0.5}, {}))
+    said = {c: toxicity.SEEDS[c].split() for c in ("threat", "intent", "target", "negation", "report")}
+    for _ in range(2000):
+        words = [rng.choice(["x", "y", "idiot", "scum", *(rng.choice(v) for v in said.values())]) for _ in range(rng.randint(1, 14))]
+        want = 0.0
+        for k, w in enumerate(words):
+            others = words[:k] + words[k + 1 :]
+            near = words[max(0, k - toxicity.REACH) : k] + words[k + 1 : k + 1 + toxicity.REACH]
+            base = {"idiot": 2.0, "scum": 0.5}.get(w, 0.0) or (2.0 if w in said["threat"] and set(others) & set(said["intent"]) - set(said["target"]) else 0.0)
+            base *= 1.25 if set(others) & set(said["target"]) else 1
+            base *= 0.5 if set(others) & set(said["report"]) else 1
+            want += base * (0.5 if set(near) & set(said["negation"]) else 1)
+        assert scorer.evidence(" ".join(words)) == pytest.approx(want)
 
 
 def test_op4_columns(spark, small):
