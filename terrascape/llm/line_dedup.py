@@ -1,13 +1,21 @@
 """Line deduplication by content-defined chunks, in DataFrame operations alone.
 
-A document is its lines.  A hash that rolls over the hashes of adjacent lines ends a
-chunk where it falls into one residue class, so boundaries depend on nearby content
-only and lines inserted elsewhere don't shift them; a long line (a paragraph) is a
-chunk of its own, worth several short ones.  Chunks that occur more than once in the
-corpus are removed but for their first occurrence, after their bytes are compared.
-
-Only ids and hashes of chunks travel to be counted; texts travel once by document to
-meet their flags, and candidates' bytes are grouped within tasks first.
+A document is its lines.  A hash that rolls over the hashes of WINDOW adjacent lines
+ends a chunk where it falls into one residue class, so boundaries depend on nearby
+content only and lines inserted elsewhere don't shift them.  What is looked for in the
+corpus is every run of several lines inside a chunk, and the two lines on both sides of
+a boundary: a passage shared by two documents is made of such runs in both, whatever
+stands around it.  (Whole chunks alone would leave the ends of passages, and most
+passages of a few lines.)  Chunks bound the runs that a line is part of.  A line of
+``least`` characters, such as a paragraph, is a run by itself.
+
+Runs that occur more than once are removed but for their first occurrence; runs that
+overlap or touch make one passage, and passages of fewer than ``least`` characters stay.
+A run is compared by the hashes of its lines, and the lines behind equal hashes byte by
+byte.
+
+Only ids, places and hashes of runs travel to be counted; texts travel once by document
+to meet their places, and candidate lines are made distinct within tasks first.
 """
 
 from __future__ import annotations
@@ -19,9 +27,11 @@ from pyspark.sql import functions as F
 
 from terrascape.llm.common import discard, durable
 
-#: Mean lines between boundaries, characters of a long line, and characters that a
-#: removed chunk has at least (shorter ones are phrases, not passages).
-MEAN, LONG, LEAST = 3, 96, 64
+#: Lines that the rolling hash sees; mean lines of a chunk; most lines of a chunk;
+#: characters of the shortest passage that goes (50 words of three letters).
+WINDOW, MEAN, MOST, LEAST = 4, 2, 8, 200
+# Factor of the rolling hash, and the prime that it is reduced by.
+FACTOR, PRIME = 31, 1_000_003
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -29,88 +39,153 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def chunks(text: Column, mean: int = MEAN, long: int = LONG) -> Column:
-    """The chunks of a text in order, as structs ``lines, text``; joined by newlines
-    they are the text.  Null counts as empty."""
+def lines_of(text: Column) -> Column:
+    """The lines of a text; null counts as empty."""
+    return F.split(F.coalesce(text, F.lit("")), "\n")
+
+
+def boundaries(lines: Column, window: int = WINDOW, mean: int = MEAN, most: int = MOST) -> Column:
+    """The numbers (from 1) of the lines that end a chunk, the last line included."""
 
     def line_hash(line: Column) -> Column:
         return F.conv(F.substring(F.md5(line), 1, 7), 16, 10).cast("long")
 
-    def ends(lines: Column, hashes: Column, sizes: Column) -> Column:
-        n = F.size(lines)
-        rolled = lambda i: F.when(i > 1, F.element_at(hashes, F.greatest(i - 1, F.lit(1)))).otherwise(0) * 31 + F.element_at(hashes, i)
-        after = lambda i: F.element_at(sizes, F.least(i + 1, n))
-        return F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | (F.element_at(sizes, i) >= long) | (after(i) >= long) | (rolled(i) % mean == 0))
+    def rolled(hashes: Column, i: Column) -> Column:
+        total = F.lit(0).cast("long")
+        for k in range(window):
+            total = total + F.when(i > k, F.element_at(hashes, F.greatest(i - k, F.lit(1)))).otherwise(0) * FACTOR**k
+        return total % PRIME
+
+    def ends(hashes: Column) -> Column:
+        n = F.size(hashes)
+        return F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | (rolled(hashes, i) % mean == 0))
+
+    def bounded(stops: Column) -> Column:  # a chunk of more than ``most`` lines is cut
+        def one(stop: Column, k: Column) -> Column:
+            before = F.when(k > 0, F.element_at(stops, F.greatest(k, F.lit(1)))).otherwise(0)
+            extra = F.when(stop - before > most, F.sequence(before + most, F.greatest(stop - 1, before + most), F.lit(most))).otherwise(F.expr("cast(array() as array<int>)"))
+            return F.concat(extra, F.array(stop))
+
+        return F.flatten(F.transform(stops, one))
+
+    return _let(F.transform(lines, line_hash), lambda hashes: _let(ends(hashes), bounded))
+
 
-    def cut(lines: Column, stops: Column) -> Column:
+def runs(lines: Column, keys: Column, least: int = LEAST, window: int = WINDOW, mean: int = MEAN, most: int = MOST) -> Column:
+    """The runs of a text as structs ``at`` (first line, from 1), ``n`` (lines) and
+    ``key`` (the lines' own ``keys``)."""
+
+    def of_chunk(stops: Column, total: Column):
         def one(stop: Column, k: Column) -> Column:
-            start = F.when(k > 0, F.element_at(stops, F.greatest(k, F.lit(1)))).otherwise(0)
-            return F.struct((stop - start).alias("lines"), F.array_join(F.slice(lines, start + 1, stop - start), "\n").alias("text"))
+            first = F.when(k > 0, F.element_at(stops, F.greatest(k, F.lit(1)))).otherwise(0) + 1
+            inside = F.flatten(F.transform(F.sequence(first, stop), lambda a: F.transform(F.sequence(a, stop), lambda b: F.struct(a.alias("at"), (b - a + 1).alias("n")))))
+            across = F.when(stop < total, F.array(F.struct(stop.alias("at"), F.lit(2).alias("n")))).otherwise(F.expr("cast(array() as array<struct<at:int,n:int>>)"))
+            return F.concat(inside, across)
+
+        return one
+
+    def found(stops: Column) -> Column:
+        every = F.flatten(F.transform(stops, of_chunk(stops, F.size(lines))))
+        wanted = F.filter(every, lambda r: (r["n"] > 1) | (F.length(F.element_at(lines, r["at"])) >= least))
+        return F.transform(wanted, lambda r: F.struct(r["at"].alias("at"), r["n"].alias("n"), F.slice(keys, r["at"], r["n"]).alias("key")))
+
+    return _let(boundaries(lines, window, mean, most), found)
+
+
+def line_key(line: Column) -> Column:
+    """The hash by which lines are told apart until their bytes are compared."""
+    return F.xxhash64(line)
+
+
+def _places(base: DataFrame, key: Callable[[Column], Column], least: int, window: int, mean: int, most: int) -> DataFrame:
+    """``id, h`` of a document and ``places``: its runs (``at, n, later``) that occur more
+    than once in the corpus; ``later``: not the first of its kind."""
+    found = runs(F.col("lines"), F.transform("lines", key), least, window, mean, most)
+    every = durable(base.withColumn("lines", lines_of(F.col("text"))).select("id", "h", F.explode(found).alias("r")).select("id", "h", "r.at", "r.n", "r.key"))
+    first = F.min(F.struct("id", "h", "at")).alias("first")
+    repeated = every.groupBy("key").agg(F.count("*").alias("times"), first).where("times > 1").select("key", "first")
+    flagged = every.join(repeated, "key").select("id", "h", F.struct("at", "n", (~F.struct("id", "h", "at").eqNullSafe(F.col("first"))).alias("later")).alias("p"))
+    got = durable(flagged.groupBy("id", "h").agg(F.collect_set("p").alias("places")))  # of one document
+    discard(every)
+    return got
 
-        return F.transform(stops, one)
 
-    return _let(
-        F.split(F.coalesce(text, F.lit("")), "\n"),
-        lambda lines: _let(F.struct(F.transform(lines, line_hash).alias("h"), F.transform(lines, F.length).alias("s")), lambda x: _let(ends(lines, x["h"], x["s"]), lambda stops: cut(lines, stops))),
-    )
+def _covered(places: Column) -> Column:
+    """The sorted numbers of the lines of all places."""
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(p["at"], p["at"] + p["n"] - 1)))))
 
 
-def _passage(chunk: Column, long: int, least: int) -> Column:
-    size = F.length(chunk["text"])
-    return ((chunk["lines"] > 1) | (size >= long)) & (size >= least)
+def _passages(covered: Column) -> Column:
+    """Runs of adjacent numbers as structs ``a, b`` (both included)."""
+    starts = F.filter(covered, lambda p, k: (k == 0) | (F.element_at(covered, F.greatest(k, F.lit(1))) != p - 1))
+    ends = F.filter(covered, lambda p, k: (k + 1 == F.size(covered)) | (F.element_at(covered, F.least(k + 2, F.size(covered))) != p + 1))
+    return F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mean: int = MEAN, long: int = LONG, least: int = LEAST) -> DataFrame:
-    """The documents with repeated chunks removed: all columns of ``docs``, the text
-    without them, and ``n_chunks``, ``n_removed``.
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, window: int = WINDOW, mean: int = MEAN, most: int = MOST) -> DataFrame:
+    """The documents with repeated passages removed: all columns of ``docs``, the text
+    without them, and ``n_lines``, ``n_removed`` (lines).
 
-    A chunk is removable if it has several lines or is one long line, and has
-    ``least`` characters.  Its first occurrence, by id (null first), text hash and
-    place, stays.  Rows equal in id and text are one document: they keep and lose the
-    same chunks.  A null text stays null; a text that loses every chunk becomes empty;
-    no row is dropped.  Columns of ``docs`` named like results are replaced.
+    The first occurrence of a run, by id (null first), text hash and place, stays.  Rows
+    equal in id and text are one document: they keep and lose the same lines.  A null
+    text stays null; a text that loses every line becomes empty; an empty table gives an
+    empty result; no row is dropped.  Columns of ``docs`` named ``n_lines`` or
+    ``n_removed`` are replaced; no other name clashes.
     """
-    kept = [c for c in docs.columns if c not in ("n_chunks", "n_removed")]
-    base = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumns({"__id": F.col(f"`{id_col}`"), "__h": F.xxhash64(F.col(f"`{text_col}`"))})
-    found = base.select("__id", "__h", F.posexplode(chunks(F.col(f"`{text_col}`"), mean, long)).alias("__at", "__chunk")).where(_passage(F.col("__chunk"), long, least))
-    places = durable(found.select("__id", "__h", "__at", F.xxhash64("__chunk.text").alias("__key")))
-    first = F.min(F.struct("__id", "__h", "__at")).alias("__first")
-    repeated = places.groupBy("__key").agg(F.count("*").alias("__n"), first).where("__n > 1")
-    flagged = places.join(repeated, "__key").withColumn("__later", ~F.struct("__id", "__h", "__at").eqNullSafe(F.col("__first")))
-    flags = durable(flagged.groupBy("__id", "__h").agg(F.collect_set(F.struct("__at", "__key", "__later")).alias("__flags")))  # of one document
-    cut = base.join(flags.withColumnsRenamed({"__id": "__fid", "__h": "__fh"}), F.col("__id").eqNullSafe(F.col("__fid")) & (F.col("__h") == F.col("__fh")), "left").drop("__fid", "__fh")
-    cut = cut.withColumn("__chunks", chunks(F.col(f"`{text_col}`"), mean, long))
-    # byte comparison: candidates of equal hash that differ in bytes
-    candidates = cut.where("__flags IS NOT NULL").select(F.explode(F.transform("__flags", lambda f: F.struct(f["__key"].alias("key"), F.element_at(F.col("__chunks"), f["__at"] + 1)["text"].alias("text")))).alias("c")).select("c.key", "c.text")
-    differ = durable(candidates.distinct().groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
-    if differ.isEmpty():
-        gone = F.transform(F.filter(F.coalesce(F.col("__flags"), F.expr("cast(array() as array<struct<__at:int,__key:bigint,__later:boolean>>)")), lambda f: f["__later"]), lambda f: f["__at"])
-        out = cut.withColumn("__gone", gone)
-    else:  # the first of each hash and text stays
-        some = cut.where("__flags IS NOT NULL").select("__id", "__h", F.explode(F.transform("__flags", lambda f: F.struct(f["__at"].alias("at"), f["__key"].alias("key"), F.element_at(F.col("__chunks"), f["__at"] + 1)["text"].alias("text")))).alias("c")).select("__id", "__h", "c.at", "c.key", "c.text")
-        exact = some.groupBy("key", "text").agg(F.min(F.struct("__id", "__h", F.col("at").alias("__at"))).alias("first"))
-        later = some.join(exact, ["key", "text"]).where(~F.struct("__id", "__h", F.col("at").alias("__at")).eqNullSafe(F.col("first")))
-        lists = later.groupBy(F.col("__id").alias("__lid"), F.col("__h").alias("__lh")).agg(F.collect_set("at").alias("__list"))
-        out = cut.join(lists, F.col("__id").eqNullSafe(F.col("__lid")) & (F.col("__h") == F.col("__lh")), "left").withColumn("__gone", F.coalesce("__list", F.expr("cast(array() as array<int>)")))
-    stays = F.filter("__chunks", lambda c, k: ~F.array_contains(F.col("__gone"), k))
-    text = F.when(F.size("__gone") == 0, F.col(f"`{text_col}`")).otherwise(F.array_join(F.transform(stays, lambda c: c["text"]), "\n"))
-    discard(differ)
-    return out.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in kept], F.size("__chunks").cast("long").alias("n_chunks"), F.size("__gone").cast("long").alias("n_removed"))
-
-
-#: The query's result in DuckDB: the same chunks, grouped by their text itself.
+    kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    text = F.col(f"`{text_col}`")
+    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    shape = (least, window, mean, most)
+    places = _places(base, line_key, *shape)
+
+    def meet(places: DataFrame) -> DataFrame:
+        own = places.select(F.col("id").alias("pid"), F.col("h").alias("ph"), "places")
+        return base.join(own, F.col("id").eqNullSafe(F.col("pid")) & (F.col("h") == F.col("ph")), "left").withColumn("lines", lines_of(F.col("text")))
+
+    met = meet(places)
+    # byte comparison: candidate lines of equal hash that differ
+    candidates = met.where("places IS NOT NULL").select(F.explode(F.transform(_covered(F.col("places")), lambda i: F.element_at("lines", i))).alias("line")).select(line_key(F.col("line")).alias("key"), "line")
+    differ = candidates.distinct().groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    if not differ.isEmpty():  # hashes can't tell all lines apart: the lines themselves are the keys
+        met = meet(_places(base, lambda line: line, *shape))
+    later = F.filter(F.coalesce("places", F.expr("cast(array() as array<struct<at:int,n:int,later:boolean>>)")), lambda p: p["later"])
+    size = lambda p: F.length(F.array_join(F.slice("lines", p["a"], p["b"] - p["a"] + 1), "\n"))
+    gone = _let(_covered(later), lambda covered: F.filter(_passages(covered), lambda p: size(p) >= least))
+    out = met.withColumn("gone", gone)
+
+    def between(p: Column, k: Column) -> Column:  # the lines before a passage, after the one before it
+        after = F.when(k > 0, F.element_at("gone", F.greatest(k, F.lit(1)))["b"]).otherwise(0)
+        return F.slice("lines", after + 1, p["a"] - after - 1)
+
+    tail = F.slice("lines", F.element_at("gone", -1)["b"] + 1, F.size("lines"))
+    stays = F.array_join(F.concat(F.flatten(F.transform("gone", between)), tail), "\n")
+    shown = F.when(F.size("gone") == 0, F.col("text")).otherwise(stays)
+    removed = F.aggregate("gone", F.lit(0).cast("long"), lambda n, p: n + p["b"] - p["a"] + 1)
+    return out.select(*[shown.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in kept], F.size("lines").cast("long").alias("n_lines"), removed.alias("n_removed"))
+
+
+def _rolled_sql(i: str) -> str:
+    return " + ".join(f"(CASE WHEN {i} > {k} THEN hs[{i} - {k}] ELSE 0 END) * {FACTOR**k}" for k in range(WINDOW))
+
+
+#: The query's result in DuckDB: the same runs, grouped by their text itself.
 ORACLE = f"""
 WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 h AS (SELECT *, list_transform(lines, lambda l: cast('0x' || substr(md5(l), 1, 7) AS BIGINT)) AS hs FROM d),
-e AS (SELECT *, list_filter(range(1, len(lines) + 1), lambda i: i = len(lines) OR length(lines[i]) >= {LONG}
-        OR length(lines[least(i + 1, len(lines))]) >= {LONG}
-        OR ((CASE WHEN i > 1 THEN hs[i - 1] ELSE 0 END) * 31 + hs[i]) % {MEAN} = 0) AS stops FROM h),
-c AS (SELECT doc_id, k, stops[k] - (CASE WHEN k > 1 THEN stops[k - 1] ELSE 0 END) AS n,
-        array_to_string(lines[(CASE WHEN k > 1 THEN stops[k - 1] ELSE 0 END) + 1 : stops[k]], chr(10)) AS chunk
-      FROM (SELECT *, unnest(range(1, len(stops) + 1)) AS k FROM e)),
-f AS (SELECT *, (n > 1 OR length(chunk) >= {LONG}) AND length(chunk) >= {LEAST} AS passage FROM c),
-r AS (SELECT *, passage AND row_number() OVER (PARTITION BY passage, chunk ORDER BY doc_id, k) > 1 AS gone FROM f),
-t AS (SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY k) FILTER (NOT gone), '') AS joined,
-        count(*) AS n_chunks, count(*) FILTER (gone) AS n_removed FROM r GROUP BY doc_id)
-SELECT d.doc_id, CASE WHEN n_removed = 0 THEN d.text ELSE joined END AS text, n_chunks, n_removed FROM t JOIN d USING (doc_id)
+e AS (SELECT *, list_filter(range(1, len(lines) + 1), lambda i: i = len(lines) OR ({_rolled_sql('i')}) % {PRIME} % {MEAN} = 0) AS ends FROM h),
+s AS (SELECT doc_id, lines, unnest(ends) AS stop, unnest(list_prepend(0, ends[:-2])) AS before, len(lines) AS total FROM e),
+c AS (SELECT doc_id, lines, total, unnest(range(before, stop, {MOST})) AS a, stop FROM s),
+k AS (SELECT doc_id, lines, total, a, least(a + {MOST}, stop) AS b FROM c),
+r AS (SELECT doc_id, lines, first_, to_ FROM (SELECT doc_id, lines, first_, unnest(range(first_, b + 1)) AS to_ FROM (SELECT doc_id, lines, b, unnest(range(a + 1, b + 1)) AS first_ FROM k))
+      WHERE to_ > first_ OR length(lines[first_]) >= {LEAST}
+      UNION ALL SELECT doc_id, lines, b, b + 1 FROM k WHERE b < total),
+f AS (SELECT doc_id, first_, to_, row_number() OVER (PARTITION BY array_to_string(lines[first_:to_], chr(10)), to_ - first_ ORDER BY doc_id, first_) > 1 AS later FROM r),
+p AS (SELECT DISTINCT doc_id, unnest(range(first_, to_ + 1)) AS i FROM f WHERE later),
+g AS (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island FROM p),
+w AS (SELECT doc_id, min(i) AS a, max(i) AS b FROM g GROUP BY doc_id, island),
+x AS (SELECT w.doc_id, unnest(range(a, b + 1)) AS i FROM w JOIN d USING (doc_id) WHERE length(array_to_string(lines[a:b], chr(10))) >= {LEAST}),
+l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM d),
+t AS (SELECT l.doc_id, coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (x.i IS NULL), '') AS joined, count(*) AS n_lines, count(x.i) AS n_removed
+      FROM l LEFT JOIN x ON x.doc_id = l.doc_id AND x.i = l.i GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN n_removed = 0 THEN d.text ELSE joined END AS text, n_lines, n_removed FROM t JOIN d USING (doc_id)
 """

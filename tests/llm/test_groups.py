@@ -153,18 +153,42 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_embeddings_cells(spark, monkeypatch):
-    """With many cells and small blocks at least nine of ten links are found, and none is false."""
-    monkeypatch.setattr(embeddings, "CELL", 40)
-    monkeypatch.setattr(embeddings, "BLOCK", 32)
-    rng = np.random.default_rng(3)
-    x = rng.normal(size=(400, 32))
-    vectors = np.concatenate([x, x + 0.07 * rng.normal(size=x.shape)]).astype(np.float32).astype(np.float64)
+def linked_pairs(d, seed, falling):
+    """Random vectors, each with a near copy; with ``falling`` most spread lies in few directions."""
+    rng = np.random.default_rng(seed)
+    scale = np.exp(-np.arange(d) / 8) if falling else np.ones(d)
+    x = rng.normal(size=(400, d)) * scale
+    noise = rng.normal(size=x.shape)
+    near = x + 0.35 * np.linalg.norm(x, axis=1, keepdims=True) * noise / np.linalg.norm(noise, axis=1, keepdims=True)
+    return np.concatenate([x, near]).astype(np.float32).astype(np.float64)
+
+
+@pytest.mark.parametrize("falling", [False, True])
+@pytest.mark.parametrize("slack", [embeddings.SLACK, float("inf")])
+def test_embeddings_cells(spark, monkeypatch, falling, slack):
+    """With many cells, two levels and small blocks at least 0.98 of the links are found
+    (all, where the slack is infinite), and none is false."""
+    for name, value in {"CELL": 40, "FEWEST": 4, "BLOCK": 32, "SPLIT": 100, "PIECE": 20_000}.items():
+        monkeypatch.setattr(embeddings, name, value)
+    vectors = linked_pairs(32, 3, falling)
     df = spark.createDataFrame([(k, [float(e) for e in v]) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
     u = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    hit = (u @ u.T >= 0.9).sum(axis=1) - 1
-    got = {r.id: r.n_links for r in embeddings.near_duplicates(df).collect()}
-    assert all(got[k] <= hit[k] for k in got) and sum(got.values()) >= 0.98 * hit.sum()
+    links = u @ u.T >= 0.9
+    np.fill_diagonal(links, False)
+    hit = links.sum(axis=1)
+    got = {r.id: r for r in embeddings.near_duplicates(df, slack=slack).collect()}
+    assert hit.sum() > 300 and all(got[k].n_links <= hit[k] for k in got)
+    assert sum(r.n_links for r in got.values()) >= (1 if slack == float("inf") else 0.98) * hit.sum()
+    if slack == float("inf"):
+        comp = join_all(range(len(u)), [(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(links)))])
+        assert {k: r.component_id for k, r in got.items()} == comp
+
+
+def test_embeddings_of_many_lengths(spark):
+    """Vectors of each length link among themselves only."""
+    df = spark.createDataFrame([(2 * d + k, [1.0] * d) for d in range(1, 40) for k in (0, 1)] + [(500, [2.0, 2.0])], "vec_id long, embedding array<double>")
+    got = {r.id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df).collect()}
+    assert got == {2 * d + k: (2 if d == 2 else 1, 2 * d) for d in range(1, 40) for k in (0, 1)} | {500: (2, 4)}
 
 
 def test_tokens_are_the_library():
@@ -230,16 +254,16 @@ def test_packing(spark, small):
     assert packing.pack_documents(twice, TOKENIZER).count() == 2 * packing.pack_documents(df, TOKENIZER).count()
 
 
-LONG_LINE = "this is a long line of a passage that goes on for rather more than ninety-six characters, as you see, yes."
+LONG_LINE = "this is a long line of a passage that goes on for rather more than a hundred characters, as you see, yes." * 2
 
 
 def test_line_dedup(spark):
     texts = [None, "", "a", f"x\n{LONG_LINE}\ny", f"{LONG_LINE}\nz", f"start\n{LONG_LINE}", "short\nshort\nshort", f"{LONG_LINE}\n{LONG_LINE}", "only\n" * 5000]
-    df = spark.createDataFrame([(i, t, 1, 2) for i, t in enumerate(texts)], "doc_id long, text string, n_chunks int, extra int")
+    df = spark.createDataFrame([(i, t, 1, 2, 3, 4) for i, t in enumerate(texts)], "doc_id long, text string, n_lines int, extra int, id int, places int")
     got = {r.doc_id: r for r in line_dedup.dedup(df).collect()}
     assert len(got) == len(texts) and got[0].text is None and got[1].text == "" and got[2].text == "a"
-    assert got[3].text == texts[3] and got[4].text == "z" and got[5].text == "start" and got[7].text == ""
-    assert got[4].extra == 2
+    assert got[3].text == texts[3] and got[4].text == "z" and got[5].text == "start" and got[6].text == texts[6] and got[7].text == ""
+    assert (got[4].extra, got[4].id, got[4].places, got[4].n_lines, got[4].n_removed) == (2, 3, 4, 2, 1)
     again = line_dedup.dedup(df.unionByName(df)).collect()
     assert sorted((r.doc_id, r.text or "") for r in again) == sorted((i, got[i].text or "") for i in got for _ in (0, 1))
     assert line_dedup.dedup(df.limit(0)).count() == 0
@@ -251,18 +275,27 @@ def test_line_dedup_is_its_sql(spark, small):
     docs = table(spark, small, "documents")
     c = duckdb.connect()
     c.execute(f"create view documents as select * from '{small}/documents.parquet'")
-    want = sorted(c.sql(line_dedup.ORACLE).select("doc_id, text, n_chunks, n_removed").fetchall())
+    want = sorted(c.sql(line_dedup.ORACLE).select("doc_id, text, n_lines, n_removed").fetchall())
     assert sorted(tuple(r) for r in line_dedup.dedup(docs.select("doc_id", "text")).collect()) == want
 
 
-def test_line_dedup_shift(spark):
-    """A passage of short lines is found at another place, and bytes decide, not hashes."""
+@pytest.mark.parametrize("weak", [False, True])
+def test_line_dedup_shift(spark, monkeypatch, weak):
+    """Passages of few and many lines are found whole at another place, other lines stay;
+    bytes decide, not hashes."""
+    if weak:
+        monkeypatch.setattr(line_dedup, "line_key", lambda line: line_dedup.F.length(line) % 3)
     rng = random.Random(8)
-    passage = [f"line {k} says {rng.randrange(10**6)} of it" for k in range(24)]
-    docs = [(0, "\n".join(["begin", *passage, "end"])), (1, "\n".join(["other", "words", "first", *passage, "tail"]))]
+    words = lambda n: " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(10**4)}" for _ in range(n))
+    docs, own = [], []
+    for lines, size in [(1, 51), (2, 26), (3, 17), (4, 14), (5, 12), (6, 10), (7, 8), (12, 8), (40, 9)] * (1 if weak else 4):
+        passage = [words(size) for _ in range(lines)]
+        for _ in range(2):
+            own.append([[words(9) for _ in range(rng.randrange(4))] for _ in range(2)])
+            docs.append((len(docs), "\n".join([*own[-1][0], *passage, *own[-1][1]])))
     got = {r.doc_id: r for r in line_dedup.dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert got[0].n_removed == 0
-    assert sum(p in got[1].text for p in passage) <= 8 and "tail" in got[1].text and "other" in got[1].text
+    for i, text in docs:
+        assert got[i].text == (text if i % 2 == 0 else "\n".join([*own[i][0], *own[i][1]]))
 
 
 def test_chat(spark, small):
