@@ -7,9 +7,10 @@ rewrites history and is reported.  Rendering a turn once more with a probe for i
 text tells which part of the span is the text, so a loss mask covers assistant texts
 and nothing else.
 
-Long conversations are rendered in blocks of turns, in parallel, where the template
-says that a turn's rendering does not depend on earlier turns (checked on each block
-against a different history); other templates get their whole conversation.
+A template is given whole conversations, prefix by prefix, in one task.  Only where it
+is known that a turn's rendering does not depend on earlier turns, as with the default
+template, long conversations are rendered in blocks of turns, in parallel; each block
+follows the real turns before it, and each task tries the template on long histories.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from pyspark.sql import types as T
 
 # The control strings of the default template.
 START, STOP = "<|im_start|>", "<|im_end|>"
-#: Turns of a block.
-BLOCK = 64
+#: Turns of a block; turns before it that it is rendered after; turns of the longest
+#: history that a template is tried on.
+BLOCK, BORDER, LONG = 64, 8, 4096
 PROBE = "probe"
 
 Turn = tuple[str, str]
@@ -80,7 +82,7 @@ class Span:
 def trace(template: Template, turns: list[Turn], history: list[Turn] | None = None) -> tuple[str, list[Span], int]:
     """Render successive prefixes: the output after ``history``, the turns' spans in it,
     and how many prefixes were rewritten by a later turn.  A rewritten turn's span
-    begins where the outputs first differ."""
+    begins where the outputs first differ.  The probe is a word that the output lacks."""
     history = list(history or [])
     before = template(history) if history else ""
     cut, spans, rewrites = len(before), [], 0
@@ -91,10 +93,13 @@ def trace(template: Template, turns: list[Turn], history: list[Turn] | None = No
         if not after.startswith(before):
             rewrites += 1
             begin = _common(before, after)
-        probed = template([*prefix, (role, PROBE)])
-        at = probed.find(PROBE)
+        probe, n = PROBE, 0
+        while probe in after or probe in before:
+            probe, n = f"{PROBE}{n}", n + 1
+        probed = template([*prefix, (role, probe)])
+        at = probed.find(probe)
         if at >= begin:
-            tail = len(probed) - at - len(PROBE)
+            tail = len(probed) - at - len(probe)
             spans.append(Span(begin - cut, len(after) - cut, at - cut, len(after) - tail - cut))
         else:  # the text isn't rendered
             spans.append(Span(begin - cut, len(after) - cut, len(after) - cut, len(after) - cut))
@@ -110,34 +115,62 @@ def _common(a: str, b: str) -> int:
     return low
 
 
-def blocks(conversations: DataFrame, template: Template = marked_turns, independent: bool = True, block: int = BLOCK, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+def check_independent(template: Template, turns: list[Turn], longest: int = LONG) -> None:
+    """Raise if the rendering of a turn depends on a history, of up to ``longest`` turns
+    (made of the given ones, over and over)."""
+    n = 1
+    while n <= longest:
+        history = [turns[k % len(turns)] for k in range(n)]
+        last = turns[n % len(turns)]
+        if template([*history, last]) != template(history) + template([last]):
+            raise ValueError(f"the template looks back, after {n} turns: use independent=False")
+        n *= 2
+
+
+def blocks(conversations: DataFrame, template: Template = marked_turns, independent: bool | None = None, block: int = BLOCK, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """Format conversations: one row per block of turns, with ``conv_id, block,
     part, formatted``, ``roles`` and ``spans`` (begin, end, text begin and end of each turn,
     in code points of the block's output) and ``rewrites``.
 
-    ``independent`` says that a turn's rendering does not depend on earlier turns; it
-    is checked, and an error tells where it isn't so.  Otherwise a conversation is one
-    block.  Turns are ordered by number (null first), then role, then text; repeated
+    ``independent`` says that a turn's rendering does not depend on earlier turns; None:
+    so for the default template only.  It is checked at every block's border, with the
+    turns before it, and once a task on long histories; an error tells where it isn't so.
+    Otherwise a conversation is one block, which one task holds.  Turns are ordered by number (null first), then role, then text; repeated
     rows are turns of their own; null roles and texts count as empty; a null
     conversation id is a conversation.  An empty table gives no row.
     """
+    independent = template is marked_turns if independent is None else independent
     number = F.floor(F.col(f"`{turn_col}`") / block).cast("long") if independent else F.lit(0).cast("long")
     rows = conversations.select(F.col(f"`{conv_col}`").cast("long").alias("conv_id"), F.coalesce(number, F.lit(-(1 << 62))).alias("block"), F.col(f"`{turn_col}`").cast("long").alias("turn"), F.coalesce(F.col(f"`{role_col}`"), F.lit("")).alias("role"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    dealt = rows.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "turn", "role", "text")
+    rows = rows.withColumn("own", F.lit(True))
+    if independent:  # the last turns of a block are history of the next one
+        last = F.pmod(F.col("turn"), F.lit(block)) >= block - BORDER
+        rows = rows.unionByName(rows.where(last).withColumns({"block": F.col("block") + 1, "own": F.lit(False)}))
+    dealt = rows.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "own", "turn", "role", "text")
+    dealt = dealt.select("conv_id", "block", "own", "turn", "role", "text")
     ddl = "conv_id long, block long, part int, formatted string, roles array<string>, spans array<array<int>>, rewrites int"
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int32())), pa.int32()]
     names = [f.split()[0] for f in ddl.split(", ")]
 
     def run(batches):
         out: list[tuple] = []
-        last, part = None, 0
-        for (conv, number), turns in _grouped(batches, 2, block if independent else None):
+        last, part, before, tried = None, 0, [], False
+        for (conv, number, own), turns in _grouped(batches, 3, block if independent else None):
             turns = [(r, t) for _, r, t in turns]
-            whole, spans, rewrites = trace(template, turns)
+            if not own:
+                last, part, before = (conv, number), -1, turns
+                continue
+            if last != (conv, number):
+                before = []
+            history = before[-BORDER:] if independent else []
+            whole, spans, rewrites = trace(template, turns, history)
             if independent:
-                alone = trace(template, turns[:1], [("user", "x"), ("assistant", "y")])[0]
-                if rewrites or not whole.startswith(alone):
-                    raise ValueError(f"the template rewrites history or depends on it (conversation {conv}): use independent=False")
+                if not tried:
+                    check_independent(template, turns)
+                    tried = True
+                if rewrites or whole != template(turns):
+                    raise ValueError(f"the template looks back (conversation {conv}): use independent=False")
+                before = turns
             part = part + 1 if last == (conv, number) else 0
             last = (conv, number)
             out.append((conv, number, part, whole, [r for r, _ in turns], [[s.begin, s.end, s.text_begin, s.text_end] for s in spans], rewrites))

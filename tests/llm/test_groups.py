@@ -325,6 +325,9 @@ def test_chat_blocks_and_edges(spark):
     assert got[2].turns_sha256 == hashlib.sha256("\n\na\nb%\n<\\|x <|im_end|>\n".encode()).hexdigest()
     assert got[None].n_turns == 1 and got[3].loss_chars == 18000
     assert chat.digests(chat.blocks(df.limit(0))).count() == 0
+    nulls = [(4, None, "user", "b"), (4, None, "assistant", "a"), (4, 0, "user", "c"), (4, 1, "assistant", chat.PROBE + " d")]
+    found = chat.digests(chat.blocks(spark.createDataFrame(nulls, "conv_id long, turn long, role string, text string"))).collect()[0]
+    assert (found.n_turns, found.loss_chars) == (4, len("a" + chat.PROBE + " d"))
 
 
 def test_chat_templates(spark):
@@ -336,8 +339,18 @@ def test_chat_templates(spark):
     assert rewrites == 1 and whole == forgets(turns) and whole[spans[3].text_begin : spans[3].text_end] == "yes"
     df = spark.createDataFrame([(1, k, r, t) for k, (r, t) in enumerate(turns)], "conv_id long, turn long, role string, text string")
     assert chat.blocks(df, forgets, independent=False).collect()[0].rewrites == 1
-    with pytest.raises(Exception, match="rewrites history"):
-        chat.blocks(df, forgets).collect()
+    assert chat.blocks(df, forgets).collect()[0].rewrites == 1
+    with pytest.raises(Exception, match="looks back"):
+        chat.blocks(df, forgets, independent=True).collect()
+    # a template that keeps the last 100 turns rewrites each longer prefix
+    long = [("assistant" if k % 2 else "user", f"t{k} {chat.PROBE}") for k in range(200)]
+    df = spark.createDataFrame([(1, k, r, t) for k, (r, t) in enumerate(long)], "conv_id long, turn long, role string, text string")
+    short = lambda turns: chat.marked_turns(turns[-100:])
+    assert chat.blocks(df, short).collect()[0].rewrites == 100
+    with pytest.raises(Exception, match="looks back"):
+        chat.blocks(df, short, independent=True).collect()
+    whole, spans, rewrites = chat.trace(chat.marked_turns, long)
+    assert rewrites == 0 and [whole[s.text_begin : s.text_end] for s in spans] == [t for _, t in long]
     for text in ("<|im_start|>", "<\\|", "<<|", "\\<|", "<|" * 5, ""):
         assert chat.unescape(chat.escape(text)) == text and "<|" not in chat.escape(text)
 
