@@ -15,12 +15,12 @@ def as_list(value: Any) -> list:
 
 
 def parse_size(text: str) -> int:
-    """Bytes of ``64M`` and the like: K, M, G, T are powers of 1024; a bare number is
-    bytes; anything else is an error."""
-    found = re.fullmatch(r"\s*(\d+)\s*([KMGT]?)\s*", str(text), re.IGNORECASE)
+    """Bytes of ``64M``, ``1.5G`` and the like: K, M, G, T are powers of 1024; a bare
+    whole number is bytes; anything else is an error."""
+    found = re.fullmatch(r"\s*(?:(\d+)|(\d+(?:\.\d*)?|\.\d+)\s*([KMGT]))\s*", str(text), re.IGNORECASE)
     if not found:
         raise ValueError(f"not a size: {text!r}")
-    return int(found[1]) * 1024 ** " KMGT".index(found[2].upper() or " ")
+    return int(found[1]) if found[1] else int(float(found[2]) * 1024 ** " KMGT".index(found[3].upper()))
 
 
 def part_count(size: int, chunk: int) -> int:

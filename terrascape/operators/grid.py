@@ -36,6 +36,18 @@ def clip(cells: DataFrame, rows: tuple[int, int], cols: tuple[int, int]) -> Data
     return cells.where(F.col("row_i").between(*rows) & F.col("col_j").between(*cols))
 
 
+def cells_of_boxes(cells: DataFrame, boxes: DataFrame, around: int = 0, tile: int = 64) -> DataFrame:
+    """Cells beside each box (``row_lo, row_hi, col_lo, col_hi``, inclusive, widened by
+    ``around``) that holds them.  Cells and boxes meet by tile, so a box is compared with
+    the cells of its tiles only, however many boxes there are."""
+    of = lambda c: F.floor(c / tile).cast("int")
+    rows = F.sequence(of(F.col("row_lo") - around), of(F.col("row_hi") + around))
+    dealt = boxes.withColumn("trow", F.explode(rows)).withColumn("tcol", F.explode(F.sequence(of(F.col("col_lo") - around), of(F.col("col_hi") + around))))
+    keyed = cells.withColumns({"trow": of(F.col("row_i")), "tcol": of(F.col("col_j"))})
+    near = F.col("row_i").between(F.col("row_lo") - around, F.col("row_hi") + around) & F.col("col_j").between(F.col("col_lo") - around, F.col("col_hi") + around)
+    return keyed.join(dealt, ["trow", "tcol"]).where(near).drop("trow", "tcol")
+
+
 def target_cells(spark, grid: Grid) -> DataFrame:
     """All cells of a grid, made in parallel by row."""
     return spark.range(grid.height).select(F.col("id").cast("int").alias("row_i"), F.explode(F.sequence(F.lit(0), F.lit(grid.width - 1))).alias("col_j"))

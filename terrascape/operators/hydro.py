@@ -22,12 +22,14 @@ def _around(cells: DataFrame, keep: list[str]) -> DataFrame:
     return cells.select(*keep, F.explode(steps).alias("s")).select(*keep, (F.col("row_i") + F.col("s.di")).alias("ni"), (F.col("col_j") + F.col("s.dj")).alias("nj"), F.col("s.slant").alias("slant"))
 
 
-def flow_edges(dem: DataFrame) -> DataFrame:
-    """``row_i, col_j, to_i, to_j, drop, slant`` to every lower neighbour."""
+def flow_edges(dem: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """``row_i, col_j, to_i, to_j, drop, slant`` to every lower neighbour (of the same
+    grid, where the columns ``by`` tell grids apart)."""
+    by = by or []
     dem = dem.where("elev IS NOT NULL")
-    below = dem.select(F.col("row_i").alias("ni"), F.col("col_j").alias("nj"), F.col("elev").alias("low"))
-    met = _around(dem, ["row_i", "col_j", "elev"]).join(below, ["ni", "nj"]).where("elev > low")
-    return met.select("row_i", "col_j", F.col("ni").alias("to_i"), F.col("nj").alias("to_j"), (F.col("elev") - F.col("low")).alias("drop"), "slant")
+    below = dem.select(*by, F.col("row_i").alias("ni"), F.col("col_j").alias("nj"), F.col("elev").alias("low"))
+    met = _around(dem, [*by, "row_i", "col_j", "elev"]).join(below, [*by, "ni", "nj"]).where("elev > low")
+    return met.select(*by, "row_i", "col_j", F.col("ni").alias("to_i"), F.col("nj").alias("to_j"), (F.col("elev") - F.col("low")).alias("drop"), "slant")
 
 
 def flow_shares(edges: DataFrame) -> DataFrame:
@@ -38,15 +40,19 @@ def flow_shares(edges: DataFrame) -> DataFrame:
     return sloped.join(total, ["row_i", "col_j"]).select("row_i", "col_j", "to_i", "to_j", (F.col("slope") / F.col("total")).alias("share"))
 
 
-def reachable(edges: DataFrame, start: DataFrame) -> DataFrame:
-    """``row_i, col_j`` of the cells that flow from ``start`` reaches, start included."""
-    key = ["row_i", "col_j"]
-    links = Stage(edges.select(*key, "to_i", "to_j")).df  # read in every round
+def reachable(edges: DataFrame, start: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """``row_i, col_j`` of the cells that flow from ``start`` reaches, start included;
+    apart for each value of the columns ``by`` of ``start`` (and of ``edges``, where it
+    has them)."""
+    by = by or []
+    key = [*by, "row_i", "col_j"]
+    on = [c for c in key if c in edges.columns]
+    links = Stage(edges.select(*on, "to_i", "to_j")).df  # read in every round
     seen = Growing(start.select(*key).distinct())
     while not seen.front.isEmpty():
-        to = seen.front.join(links, key).select(F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j")).distinct()
+        to = seen.front.join(links, on).select(*by, F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j")).distinct()
         seen.add(to.join(seen.df, key, "left_anti"))
-    return seen.df
+    return seen.settle()
 
 
 def accumulate(shares: DataFrame, weights: DataFrame) -> DataFrame:
@@ -68,16 +74,18 @@ def fill_pits(dem: DataFrame, plan: str | None = None, tile: int = 256, group_ce
     """``row_i, col_j, elev`` where every cell drains to the border: the smallest level
     over paths from the border of the highest cell on the path (Barnes and others, 2014).
     Border cells (a neighbour is missing) keep their elevation.  ``plan``: ``group``
-    (one task) up to ``group_cells`` cells, else ``tiles``, as in ``reach``."""
-    key = ["row_i", "col_j"]
-    dem = dem.where("elev IS NOT NULL").select(*key, "elev")
-    present = dem.select(F.col("row_i").alias("ni"), F.col("col_j").alias("nj"))
-    whole = _around(dem, key).join(present, ["ni", "nj"], "left_semi").groupBy(*key).count().where("count = 8").select(*key, F.lit(True).alias("inner"))
+    (one task) up to ``group_cells`` cells, else ``tiles``, as in ``reach``.  A column
+    ``aoi_id`` tells grids apart."""
+    named = "aoi_id" in dem.columns
+    key = ["aoi_id", "row_i", "col_j"]
+    dem = dem.where("elev IS NOT NULL").select((F.col("aoi_id") if named else F.lit("dem")).alias("aoi_id"), "row_i", "col_j", "elev")
+    present = dem.select("aoi_id", F.col("row_i").alias("ni"), F.col("col_j").alias("nj"))
+    whole = _around(dem, key).join(present, ["aoi_id", "ni", "nj"], "left_semi").groupBy(*key).count().where("count = 8").select(*key, F.lit(True).alias("inner"))
     edge = F.col("inner").isNull()
-    grid = dem.join(whole, key, "left").select(F.lit("dem").alias("aoi_id"), *key, F.col("elev").cast("double").alias("cost"), edge.alias("closed"), F.when(edge, F.col("elev").cast("double")).alias("v"))
+    grid = dem.join(whole, key, "left").select(*key, F.col("elev").cast("double").alias("cost"), edge.alias("closed"), F.when(edge, F.col("elev").cast("double")).alias("v"))
     plan = plan or choose_plan(grid, group_cells)
     kind = dem.schema["elev"].dataType.simpleString()
-    return least_values(grid, Rise(), plan, tile).select(*key, F.col("v").cast(kind).alias("elev"))
+    return least_values(grid, Rise(), plan, tile).select(*key[not named :], F.col("v").cast(kind).alias("elev"))
 
 
 class Rise:

@@ -6,7 +6,7 @@ A network is ``edges(hybas_id, next_down)``; 0 or null ends at an outlet.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrascape.sources.durable import Growing, Stage
@@ -17,22 +17,44 @@ _DOWN = "coalesce(next_down, 0) <> 0"
 def downstream_closure(seeds: DataFrame, edges: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Ids reachable downstream from the seeds, themselves included, with ids that
     have no row of their own.  ``key``: columns of the seeds under which closures are
-    apart (such as ``aoi_id``).  One round a step; cycles end."""
+    apart (such as ``aoi_id``).  A node has one way down, so pointers are doubled: what
+    is within 2^k steps is joined with jumps of 2^k steps, and rounds are the logarithm
+    of the longest path; cycles end.  A node with several rows must have one way down."""
     key = key or []
     cols = [*key, "hybas_id"]
-    links = edges.where(_DOWN).select("hybas_id", "next_down")
+    seen = Stage(seeds.select(*cols).where("hybas_id IS NOT NULL AND hybas_id <> 0").distinct())
+    jump = Stage(edges.where(_DOWN).groupBy("hybas_id").agg(F.min("next_down").alias("next_down")))
+    while True:
+        below = seen.df.join(jump.df, "hybas_id").select(*key, F.col("next_down").alias("hybas_id"))
+        new = Stage(below.join(seen.df, cols, "left_anti").distinct())
+        if new.df.isEmpty():
+            new.drop()
+            jump.drop()
+            return seen.df
+        grown = Stage(seen.df.unionByName(new.df))
+        far = Stage(jump.df.join(jump.df.select(F.col("hybas_id").alias("next_down"), F.col("next_down").alias("to")), "next_down").select("hybas_id", F.col("to").alias("next_down")))
+        for old in (seen, new, jump):
+            old.drop()
+        seen, jump = grown, far
+
+
+def _closure(seeds: DataFrame, edges: DataFrame, cols: list[str]) -> DataFrame:
+    """The same where a node has several ways: one round a step."""
+    links = Stage(edges.where(_DOWN).select("hybas_id", "next_down").distinct())
+    key = cols[:-1]
     seen = Growing(seeds.select(*cols).where("hybas_id IS NOT NULL AND hybas_id <> 0").distinct())
     while not seen.front.isEmpty():
-        below = seen.front.join(links, "hybas_id").select(*key, F.col("next_down").alias("hybas_id")).distinct()
+        below = seen.front.join(links.df, "hybas_id").select(*key, F.col("next_down").alias("hybas_id")).distinct()
         seen.add(below.join(seen.df, cols, "left_anti"))
-    return seen.df
+    links.drop()
+    return seen.settle()
 
 
 def upstream_closure(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     """``seed, hybas_id``: what drains into each seed, itself included."""
     turned = edges.where(_DOWN).select(F.col("next_down").alias("hybas_id"), F.col("hybas_id").alias("next_down"))
     start = seeds.select(F.col("hybas_id").alias("seed"), "hybas_id")
-    return downstream_closure(start, turned, ["seed"])
+    return _closure(start, turned, ["seed", "hybas_id"])
 
 
 def terminal_sinks(edges: DataFrame) -> DataFrame:
@@ -56,18 +78,28 @@ def terminal_sinks(edges: DataFrame) -> DataFrame:
     return ends.join(own, "p", "left").select("hybas_id", F.when(F.col("end"), F.col("p")).alias("next_sink"))
 
 
-def partitions_by_sink(seeds: DataFrame, edges: DataFrame) -> DataFrame:
-    """``next_sink, n, members``: the seeds' downstream closure by terminal sink.  The
-    sink is that of ``edges`` (a null one is an error); members are counted, their
-    rows are found by joining on the sink."""
-    found = downstream_closure(seeds, edges).join(edges.dropDuplicates(["hybas_id"]).select("hybas_id", "next_sink"), "hybas_id", "left")
+def members_by_sink(seeds: DataFrame, edges: DataFrame) -> DataFrame:
+    """``hybas_id, next_sink`` of the seeds' downstream closure, a node once; a member
+    without a sink is an error.  ``edges`` has ``next_sink``."""
+    found = downstream_closure(seeds, edges).join(edges.groupBy("hybas_id").agg(F.min("next_sink").alias("next_sink")), "hybas_id", "left")
     check_sinks(found)
+    return found
+
+
+def partitions_by_sink(seeds: DataFrame, edges: DataFrame) -> DataFrame:
+    """``next_sink, n, first_id, last_id``: the members of each partition counted."""
+    found = members_by_sink(seeds, edges)
     return found.groupBy("next_sink").agg(F.count("*").alias("n"), F.min("hybas_id").alias("first_id"), F.max("hybas_id").alias("last_id"))
 
 
+def without_sink(next_sink: Column) -> Column:
+    """Whether a member lacks a terminal sink."""
+    return next_sink.isNull()
+
+
 def check_sinks(members: DataFrame) -> None:
     """Raise if a member has no sink."""
-    bad = members.where("next_sink IS NULL").select("hybas_id").orderBy("hybas_id").limit(5).collect()
+    bad = members.where(without_sink(F.col("next_sink"))).select("hybas_id").orderBy("hybas_id").limit(5).collect()
     if bad:
         raise ValueError(f"watersheds without a terminal sink: {', '.join(str(r['hybas_id']) for r in bad)}")
 
@@ -80,18 +112,28 @@ def upstream_adjacency(edges: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def seed_ranking(candidates: DataFrame) -> DataFrame:
-    """Seeds by population, largest first; ties by id.  Ranks are counted by value, so
-    that no task sees all rows."""
+    """Seeds by population, largest first; ties by id.  Seeds are dealt by range of
+    (population, id), so that many seeds of one population share out, too; a task ranks
+    its range, and the ranges before it are added as one number each."""
     from pyspark.sql import Window
 
-    values = candidates.groupBy("pop_sum").agg(F.count("*").alias("n"))
-    bands = values.withColumn("band", F.floor(F.col("pop_sum") / 256))
-    above = bands.groupBy("band").agg(F.sum("n").alias("m")).withColumn("before_band", F.sum("m").over(Window.orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)))
-    inside = bands.withColumn("before_value", F.sum("n").over(Window.partitionBy("band").orderBy(F.desc("pop_sum")).rowsBetween(Window.unboundedPreceding, -1)))
-    offset = inside.join(above.select("band", "before_band"), "band").select("pop_sum", (F.coalesce("before_band", F.lit(0)) + F.coalesce("before_value", F.lit(0))).alias("before"))
-    ranked = candidates.join(offset, "pop_sum")
-    own = F.row_number().over(Window.partitionBy("pop_sum").orderBy("hybas_id"))
-    return ranked.select("hybas_id", "pop_sum", (F.col("before") + own).cast("long").alias("seed_rank"))
+    dealt = candidates.select("hybas_id", "pop_sum").repartitionByRange(F.desc("pop_sum"), F.asc("hybas_id"))
+    parted = Stage(dealt.withColumn("part", F.spark_partition_id())).df
+    sizes = parted.groupBy("part").agg(F.count("*").alias("n"))  # a row for each range
+    before = sizes.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("pop_sum"), "hybas_id"))
+    return parted.join(F.broadcast(before), "part").select("hybas_id", "pop_sum", (F.col("before") + own).cast("long").alias("seed_rank"))
+
+
+def first_rows(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """Of each group the first row in the given order (nulls first)."""
+    rest = [c for c in rows.columns if c not in by]
+    return rows.groupBy(*by).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("f")).select(*by, "f.*")
+
+
+def selection_totals(chosen: DataFrame, key: str = "focal_id") -> DataFrame:
+    """``key, n_visited, n_selected, pop_sum, area_ha`` of a greedy selection."""
+    return chosen.groupBy(key).agg(F.count("*").alias("n_visited"), F.sum(F.col("selected").cast("long")).alias("n_selected"), F.sum("pop_sum").cast("long").alias("pop_sum"), F.sum("area_ha").alias("area_ha"))
 
 
 def greedy_selection(candidates: DataFrame, max_area: float, key: str = "focal_id") -> DataFrame:

@@ -12,6 +12,8 @@ cell steps, and no task holds more than a tile.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -20,8 +22,9 @@ from pyspark.sql import functions as F
 from terrascape.model import NEIGHBOURS
 from terrascape.sources.durable import Stage
 
-#: Cells of an area that one task may hold.
-GROUP_CELLS = 4_000_000
+#: Cells of an area that one task may hold: four tiles.
+GROUP_CELLS = 4 * 256 * 256
+log = logging.getLogger("terrascape")
 
 
 def step_lengths(cell_len: float) -> tuple[np.float32, np.float32]:
@@ -154,7 +157,9 @@ def _by_tiles(grid: DataFrame, rule, tile: int) -> DataFrame:
             out = pd.concat([out, post[out.columns]])
         return out
 
+    round_ = 0
     while True:
+        round_ += 1
         busy = (state.df.where("fresh") if mail is None else mail.df).select(*keys).distinct()
         held = state.df.join(busy, keys, "left_semi").select(*own).withColumns({"mail": F.lit(False), "from_v": F.lit(0.0), "slant": F.lit(False)})
         rows = held if mail is None else held.unionByName(mail.df)
@@ -164,7 +169,9 @@ def _by_tiles(grid: DataFrame, rule, tile: int) -> DataFrame:
         for old in (state, done, *([mail] if mail else [])):
             old.drop()
         state, mail = kept, letters
-        if mail.df.isEmpty():
+        sent = mail.df.count()
+        log.info("tiles: round %d, %d values cross a border", round_, sent)
+        if not sent:
             mail.drop()
             return state.df.where("v IS NOT NULL").select("aoi_id", "row_i", "col_j", "v")
 

@@ -74,6 +74,42 @@ def box_join(left: DataFrame, right: DataFrame, bin_size: float, left_key: str,
     return meets.where(first).select(F.col("lk").alias(left_key), F.col("rk").alias(right_key))
 
 
+def intersects_join(left: DataFrame, right: DataFrame, bin_size: float, left_key: str, right_key: str) -> DataFrame:
+    """``left_key, right_key`` of features that meet: boxes first, then exactly.  Features
+    meet where edges cross or touch, or a point of one (any, as no edges cross) lies in
+    the other, by the even-odd rule over all rings."""
+    pairs = box_join(boxes(left, [left_key]), boxes(right, [right_key]), bin_size, left_key, right_key)
+
+    def shapes(df: DataFrame, key: str, p: str) -> DataFrame:
+        e = edges_of(df, [key]).groupBy(key).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias(f"{p}e"))
+        return e.select(key, f"{p}e")
+
+    both = pairs.join(shapes(left, left_key, "l"), left_key).join(shapes(right, right_key, "r"), right_key)
+    turn = lambda e, x, y: F.signum((e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]))
+    beside = lambda e, x, y: (F.least(e["x1"], e["x2"]) <= x) & (x <= F.greatest(e["x1"], e["x2"])) & (F.least(e["y1"], e["y2"]) <= y) & (y <= F.greatest(e["y1"], e["y2"]))
+
+    def cross(a: Column, b: Column) -> Column:
+        p, q, r, s = turn(a, b["x1"], b["y1"]), turn(a, b["x2"], b["y2"]), turn(b, a["x1"], a["y1"]), turn(b, a["x2"], a["y2"])
+        touch = ((p == 0) & beside(a, b["x1"], b["y1"])) | ((q == 0) & beside(a, b["x2"], b["y2"])) | ((r == 0) & beside(b, a["x1"], a["y1"])) | ((s == 0) & beside(b, a["x2"], a["y2"]))
+        return ((p * q < 0) & (r * s < 0)) | touch
+
+    def holds(edges: Column, x: Column, y: Column) -> Column:
+        hit = lambda e: ((e["y1"] > y) != (e["y2"] > y)) & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
+        return F.size(F.filter(edges, hit)) % 2 == 1
+
+    crossing = F.exists("le", lambda a: F.exists("re", lambda b: cross(a, b)))
+    # of features in several parts one part may lie inside the other feature, so each edge's begin is looked at
+    inside = F.exists("le", lambda a: holds(F.col("re"), a["x1"], a["y1"])) | F.exists("re", lambda b: holds(F.col("le"), b["x1"], b["y1"]))
+    return both.where(crossing | inside).select(left_key, right_key)
+
+
+def mark_intersecting(features: DataFrame, layer: DataFrame, bin_size: float, key: str, name: str) -> DataFrame:
+    """``key`` of every feature and, as ``name``, whether it meets any of the layer."""
+    other = f"{key}_of_layer"
+    hit = intersects_join(features.select(key, "rings"), layer.select(F.col(key).alias(other), "rings"), bin_size, key, other).select(key).distinct()
+    return features.select(key).join(hit.withColumn(name, F.lit(True)), key, "left").select(key, F.coalesce(name, F.lit(False)).alias(name))
+
+
 def rasterize(features: DataFrame, key: list[str], width: int, height: int) -> DataFrame:
     """``row_i, col_j`` of the cells whose centre lies in the feature, by row runs.
 

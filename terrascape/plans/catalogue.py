@@ -62,10 +62,8 @@ def _aoi_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each area's cells: its box and as far around as a travel of MAX_TIME goes."""
     cells = load(spark, sf_dir, "fx_cells").drop("source")
     around = int(MAX_TIME) + 1  # the least friction is 1 a cell
-    b = F.broadcast(load(spark, sf_dir, "fx_aoi"))  # 25 areas
-    near = F.col("row_i").between(F.col("row_lo") - around, F.col("row_hi") + around) & F.col("col_j").between(F.col("col_lo") - around, F.col("col_hi") + around)
     inside = F.col("row_i").between(F.col("row_lo"), F.col("row_hi")) & F.col("col_j").between(F.col("col_lo"), F.col("col_hi"))
-    return cells.join(b, near).select("aoi_id", *CELL, "friction", "pop", inside.alias("source"))
+    return grid.cells_of_boxes(cells, load(spark, sf_dir, "fx_aoi"), around).select("aoi_id", *CELL, "friction", "pop", inside.alias("source"))
 
 
 @query(_reach_sql(_SRC) + "SELECT row_i, col_j, t FROM reached")
@@ -136,19 +134,21 @@ def population_by_mask_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masks.wide(masks.sums(_layers(spark, sf_dir), ["aoi_id"]), ["positive", "slow"])
 
 
-@query(f"SELECT cast(floor(row_i / 256) AS INT) AS trow, cast(floor(col_j / 256) AS INT) AS tcol, cast(sum(pop) AS BIGINT) AS block_sum, count(*) AS n FROM ({CELLS}) GROUP BY ALL")
+@query(f"SELECT cast(floor(row_i / 32) AS INT) AS trow, cast(floor(col_j / 32) AS INT) AS tcol, cast(sum(pop) AS BIGINT) AS block_sum, count(*) AS n FROM ({CELLS}) GROUP BY ALL")
 def block_partial_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return masks.block_sums(load(spark, sf_dir, "fx_cells"))
+    return masks.block_sums(load(spark, sf_dir, "fx_cells"), tile=32)
 
 
-_CLOSED = f"""WITH RECURSIVE e AS ({EDGES}), c(hybas_id) AS (SELECT hybas_id FROM e WHERE hybas_id % 97 = 0
+#: Closures start where the account, from which watersheds' populations come, is in debt.
+_SEED = f"SELECT hybas_id FROM ({FOCAL}) WHERE pop_sum < 1000"
+_CLOSED = f"""WITH RECURSIVE e AS ({EDGES}), c(hybas_id) AS ({_SEED}
   UNION SELECT e.next_down FROM c JOIN e USING (hybas_id) WHERE e.next_down <> 0)"""
 _SINKS = f"""WITH RECURSIVE e AS ({EDGES}), s(hybas_id, next_sink) AS (SELECT hybas_id, hybas_id FROM e WHERE next_down = 0
   UNION ALL SELECT e.hybas_id, s.next_sink FROM s JOIN e ON e.next_down = s.hybas_id)"""
 
 
 def _seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "fx_edges").where("hybas_id % 97 = 0").select("hybas_id")
+    return load(spark, sf_dir, "fx_focal").where("pop_sum < 1000").select("hybas_id")
 
 
 @query(_CLOSED + " SELECT hybas_id FROM c")
@@ -161,7 +161,7 @@ def terminal_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return network.terminal_sinks(load(spark, sf_dir, "fx_edges"))
 
 
-@query(_SINKS + ", c(hybas_id) AS (SELECT hybas_id FROM e WHERE hybas_id % 97 = 0 UNION SELECT e.next_down FROM c JOIN e USING (hybas_id) WHERE e.next_down <> 0) SELECT next_sink, count(*) AS n, min(hybas_id) AS first_id, max(hybas_id) AS last_id FROM c JOIN s USING (hybas_id) GROUP BY next_sink")
+@query(_SINKS + f", c(hybas_id) AS ({_SEED} UNION SELECT e.next_down FROM c JOIN e USING (hybas_id) WHERE e.next_down <> 0) SELECT next_sink, count(*) AS n, min(hybas_id) AS first_id, max(hybas_id) AS last_id FROM c JOIN s USING (hybas_id) GROUP BY next_sink")
 def drain_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = load(spark, sf_dir, "fx_edges")
     return network.partitions_by_sink(_seeds(spark, sf_dir), edges.join(network.terminal_sinks(edges), "hybas_id"))
@@ -178,7 +178,7 @@ def missing_sink_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = load(spark, sf_dir, "fx_edges")
     ids = edges.select(F.col("hybas_id").alias("known"))
     met = edges.join(ids, F.col("next_down") + 100000 * (F.col("hybas_id") % 2) == F.col("known"), "left")
-    return met.select("hybas_id", "next_down", (F.col("known").isNull() & (F.col("next_down") != 0)).alias("absent"))
+    return met.select("hybas_id", "next_down", network.without_sink(F.when(F.col("next_down") == 0, F.col("hybas_id")).otherwise(F.col("known"))).alias("absent"))
 
 
 @query(f"WITH e AS ({EDGES}) SELECT next_down AS hybas_id, count(*) AS n_up, string_agg(cast(hybas_id AS VARCHAR), ',' ORDER BY hybas_id) AS upstream FROM e WHERE next_down <> 0 AND next_down IN (SELECT hybas_id FROM e) GROUP BY next_down")
@@ -187,10 +187,10 @@ def upstream_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return network.upstream_adjacency(edges, edges)
 
 
-@query(f"WITH RECURSIVE e AS ({EDGES}), u(seed, hybas_id) AS (SELECT hybas_id, hybas_id FROM e WHERE hybas_id BETWEEN 20 AND 60 UNION ALL SELECT u.seed, e.hybas_id FROM u JOIN e ON e.next_down = u.hybas_id) SELECT seed, hybas_id FROM u")
+@query(f"WITH RECURSIVE e AS ({EDGES}), u(seed, hybas_id) AS (SELECT hybas_id, hybas_id FROM e UNION ALL SELECT u.seed, e.hybas_id FROM u JOIN e ON e.next_down = u.hybas_id) SELECT seed, hybas_id FROM u")
 def upstream_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = load(spark, sf_dir, "fx_edges")
-    return network.upstream_closure(edges.where("hybas_id BETWEEN 20 AND 60"), edges)
+    return network.upstream_closure(edges, edges)
 
 
 _DISC = "SELECT cast(i AS INT) AS di, cast(j AS INT) AS dj FROM range(-6, 7) a(i), range(-6, 7) b(j) WHERE i * i + j * j <= 36"
@@ -229,28 +229,51 @@ def flow_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hydro.flow_edges(load(spark, sf_dir, "fx_dem"))
 
 
-@query(f"WITH RECURSIVE {_FLOW}, r(row_i, col_j) AS (SELECT row_i, col_j FROM d WHERE (row_i * 100 + col_j) % 997 = 0 UNION SELECT f.to_i, f.to_j FROM r JOIN f USING (row_i, col_j)) SELECT row_i, col_j FROM r")
+@query(f"WITH RECURSIVE {_FLOW}, r(row_i, col_j) AS (SELECT row_i, col_j FROM d WHERE elev >= 320 UNION SELECT f.to_i, f.to_j FROM r JOIN f USING (row_i, col_j)) SELECT row_i, col_j FROM r")
 def flow_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
     dem = load(spark, sf_dir, "fx_dem")
-    return hydro.reachable(hydro.flow_edges(dem), dem.where("(row_i * 100 + col_j) % 997 = 0"))
+    return hydro.reachable(hydro.flow_edges(dem), dem.where("elev >= 320"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_FLOW}, s AS MATERIALIZED (SELECT row_i, col_j, to_i, to_j, slope / sum(slope) OVER (PARTITION BY row_i, col_j) AS share FROM (SELECT *, "drop" / (CASE WHEN slant THEN sqrt(2.0::DOUBLE) ELSE 1.0::DOUBLE END) AS slope FROM f)),
+  w(step, row_i, col_j, acc) AS (SELECT 0, row_i, col_j, 1.0::DOUBLE FROM d UNION ALL SELECT w.step + 1, s.to_i, s.to_j, sum(w.acc * s.share) FROM w JOIN s USING (row_i, col_j) GROUP BY w.step, s.to_i, s.to_j)
+  SELECT row_i, col_j, cast(round(sum(acc) * 100000) AS BIGINT) AS acc_1e5 FROM w GROUP BY row_i, col_j""")
 def flow_accumulation(spark: SparkSession, sf_dir: str) -> DataFrame:
     dem = load(spark, sf_dir, "fx_dem")
-    return hydro.accumulate(hydro.flow_shares(hydro.flow_edges(dem)), dem.select(*CELL, F.lit(1).alias("w")))
+    got = hydro.accumulate(hydro.flow_shares(hydro.flow_edges(dem)), dem.select(*CELL, F.lit(1).alias("w")))
+    return got.select(*CELL, F.round(F.col("acc") * 100_000).cast("long").alias("acc_1e5"))
 
 
-@query(f"""WITH RECURSIVE d AS MATERIALIZED ({DEM}), n AS MATERIALIZED (SELECT a.row_i, a.col_j, b.row_i AS bi, b.col_j AS bj FROM d a, {_STEPS}, d b WHERE b.row_i = a.row_i + di AND b.col_j = a.col_j + dj),
+_FILLED = f"""d AS MATERIALIZED ({DEM}), n AS MATERIALIZED (SELECT a.row_i, a.col_j, b.row_i AS bi, b.col_j AS bj, slant FROM d a, (SELECT *, di <> 0 AND dj <> 0 AS slant FROM {_STEPS}), d b WHERE b.row_i = a.row_i + di AND b.col_j = a.col_j + dj),
 border AS (SELECT row_i, col_j FROM n GROUP BY ALL HAVING count(*) < 8),
 f(row_i, col_j, elev) USING KEY (row_i, col_j) AS (SELECT row_i, col_j, elev FROM d SEMI JOIN border USING (row_i, col_j)
   UNION SELECT x.row_i, x.col_j, min(x.elev) FROM (SELECT n.bi AS row_i, n.bj AS col_j, greatest(f.elev, d.elev) AS elev FROM f JOIN n ON n.row_i = f.row_i AND n.col_j = f.col_j JOIN d ON d.row_i = n.bi AND d.col_j = n.bj) x
-  LEFT JOIN recurring.f o ON o.row_i = x.row_i AND o.col_j = x.col_j WHERE o.elev IS NULL OR x.elev < o.elev GROUP BY ALL) SELECT row_i, col_j, elev FROM f""")
+  LEFT JOIN recurring.f o ON o.row_i = x.row_i AND o.col_j = x.col_j WHERE o.elev IS NULL OR x.elev < o.elev GROUP BY ALL)"""
+
+
+@query(f"WITH RECURSIVE {_FILLED} SELECT row_i, col_j, elev FROM f")
 def pit_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hydro.fill_pits(load(spark, sf_dir, "fx_dem"))
 
 
-@query()
+@query(f"WITH RECURSIVE {_FILLED} SELECT row_i, col_j, elev FROM f")
+def pit_fill_tiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hydro.fill_pits(load(spark, sf_dir, "fx_dem"), plan="tiles", tile=40)
+
+
+_DOWN = "l AS MATERIALIZED (SELECT n.row_i, n.col_j, n.bi AS to_i, n.bj AS to_j, a.elev - b.elev AS \"drop\", slant FROM n JOIN f a USING (row_i, col_j) JOIN f b ON b.row_i = n.bi AND b.col_j = n.bj WHERE a.elev > b.elev)"
+
+
+@query(f'WITH RECURSIVE {_FILLED}, {_DOWN} SELECT row_i, col_j, to_i, to_j, "drop", slant FROM l')
+def fill_then_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flow directions of filled terrain."""
+    return hydro.flow_edges(hydro.fill_pits(load(spark, sf_dir, "fx_dem")))
+
+
+@query(f"""WITH RECURSIVE {_FILLED}, {_DOWN}, cells AS MATERIALIZED ({CELLS}),
+  r(row_i, col_j) AS (SELECT row_i, col_j FROM cells SEMI JOIN d USING (row_i, col_j) WHERE cond > 95000 UNION SELECT l.to_i, l.to_j FROM r JOIN l USING (row_i, col_j)),
+  wide AS (SELECT DISTINCT row_i + i AS row_i, col_j + j AS col_j FROM r, range(-2, 3) a(i), range(-2, 3) b(j) WHERE i * i + j * j <= 4)
+  SELECT cast(coalesce(sum(CASE WHEN pop > 0 AND w.row_i IS NOT NULL THEN pop ELSE 0 END), 0) AS BIGINT) AS pop_sum, count(*) AS n_cells FROM cells c LEFT JOIN wide w ON w.row_i = c.row_i AND w.col_j = c.col_j""")
 def downstream_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = load(spark, sf_dir, "fx_cells")
     hit = masks.condition(cells, "value > 95000", "cond")
@@ -258,6 +281,20 @@ def downstream_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.agg(F.sum("pop").cast("long").alias("pop_sum"), F.count("*").alias("n_cells"))
 
 
+@query(f"""WITH RECURSIVE {_FILLED}, {_DOWN}, cells AS MATERIALIZED ({CELLS}),
+  start AS MATERIALIZED (SELECT row_i, col_j FROM cells SEMI JOIN d USING (row_i, col_j) WHERE cond > 95000),
+  r(row_i, col_j) AS (SELECT row_i, col_j FROM start UNION SELECT l.to_i, l.to_j FROM r JOIN l USING (row_i, col_j)),
+  wide AS (SELECT DISTINCT row_i + i AS row_i, col_j + j AS col_j FROM r, range(-2, 3) a(i), range(-2, 3) b(j) WHERE i * i + j * j <= 4),
+  far AS (SELECT d.row_i, d.col_j, min((d.row_i - s.row_i) * (d.row_i - s.row_i) + (d.col_j - s.col_j) * (d.col_j - s.col_j)) AS d2 FROM d, start s GROUP BY ALL),
+  near AS (SELECT row_i, col_j FROM wide JOIN far USING (row_i, col_j) WHERE d2 > 0 AND d2 <= 9)
+  SELECT c.row_i, c.col_j, cast(CASE WHEN pop > 0 AND w.row_i IS NOT NULL THEN pop ELSE 0 END AS BIGINT) AS pop FROM cells c LEFT JOIN near w ON w.row_i = c.row_i AND w.col_j = c.col_j""")
+def downstream_population_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells downstream of a condition, at most 2.7 km from it."""
+    cells = load(spark, sf_dir, "fx_cells")
+    hit = masks.condition(cells, "value > 95000", "cond")
+    return workflow.downstream_population(load(spark, sf_dir, "fx_dem"), hit, cells.select(*CELL, "pop"), 1800, 900, 2700)
+
+
 _NEST = "SELECT n_regionkey AS k, cast(n_nationkey AS DOUBLE) AS minx, cast(n_nationkey AS DOUBLE) / 2 AS miny, cast(n_nationkey + 20 + n_regionkey AS DOUBLE) AS maxx, cast(30 - n_regionkey * 4 AS DOUBLE) AS maxy FROM nation"
 
 
@@ -272,10 +309,10 @@ def total_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector.extent(load(spark, sf_dir, "fx_boxes"))
 
 
-@query(f"SELECT a.box_id AS left_id, b.box_id AS right_id FROM ({BOXES}) a JOIN ({BOXES}) b ON a.minx <= b.maxx AND b.minx <= a.maxx AND a.miny <= b.maxy AND b.miny <= a.maxy AND b.box_id % 3 = 0")
+@query(f"SELECT a.box_id AS left_id, b.box_id AS right_id FROM ({BOXES}) a JOIN ({BOXES}) b ON a.minx <= b.maxx AND b.minx <= a.maxx AND a.miny <= b.maxy AND b.miny <= a.maxy")
 def spatial_intersects_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     boxes = load(spark, sf_dir, "fx_boxes")
-    return vector.box_join(boxes.withColumnRenamed("box_id", "left_id"), boxes.where("box_id % 3 = 0").withColumnRenamed("box_id", "right_id"), 8.0, "left_id", "right_id")
+    return vector.box_join(boxes.withColumnRenamed("box_id", "left_id"), boxes.withColumnRenamed("box_id", "right_id"), 8.0, "left_id", "right_id")
 
 
 @query(f"SELECT aoi_id, cast(coalesce(sum(pop), 0) AS BIGINT) AS pop_sum, count(pop) AS n FROM ({AOI}) a LEFT JOIN (SELECT row_i, col_j, CASE WHEN pop > 0 THEN pop END AS pop FROM ({CELLS})) c ON c.row_i BETWEEN row_lo AND row_hi AND c.col_j BETWEEN col_lo AND col_hi GROUP BY aoi_id")
@@ -306,7 +343,12 @@ def rasterize_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector.rasterize(_triangles(spark, sf_dir), ["fid"], 100, 100)
 
 
-@query()
+@query(f"""WITH {_TRI_EDGES}, r AS (SELECT fid, i AS row_i, x1 + (i + 0.5 - y1) * (x2 - x1) / (y2 - y1) AS x FROM e, range(0, 100) g(i) WHERE least(y1, y2) <= i + 0.5 AND i + 0.5 < greatest(y1, y2)),
+  s AS (SELECT fid, row_i, min(x) AS u, max(x) AS v FROM r GROUP BY ALL),
+  k AS (SELECT fid, i, x1, y1, x2, y2, greatest(least(y1, y2), i) AS ya, least(greatest(y1, y2), i + 1) AS yb FROM e, range(0, 100) g(i) WHERE floor(least(y1, y2)) <= i AND i <= floor(greatest(y1, y2))),
+  b AS (SELECT fid, i AS row_i, x1 + (ya - y1) * (x2 - x1) / (y2 - y1) AS p, x1 + (yb - y1) * (x2 - x1) / (y2 - y1) AS q FROM k)
+  SELECT fid, cast(row_i AS INT) AS row_i, cast(j AS INT) AS col_j FROM s, range(0, 100) g(j) WHERE j + 0.5 >= u AND j + 0.5 < v
+  UNION SELECT fid, cast(row_i AS INT), cast(j AS INT) FROM b, range(0, 100) g(j) WHERE floor(least(p, q)) <= j AND j <= floor(greatest(p, q))""")
 def rasterize_all_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector.touched(_triangles(spark, sf_dir), ["fid"], 100, 100)
 
@@ -318,6 +360,31 @@ def polygon_area_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector.measures(_triangles(spark, sf_dir), ["fid"]).select("fid", milli("area").alias("area_milli"), milli("cx").alias("cx_milli"), milli("cy").alias("cy_milli"))
 
 
+_MEETS = f"""{_TRI_EDGES}, m AS (SELECT fid, x1 + 4.5 AS x1, y1 + 3.75 AS y1, x2 + 4.5 AS x2, y2 + 3.75 AS y2 FROM e),
+  side AS (SELECT e.fid AS a, m.fid AS b, sign((e.x2 - e.x1) * (m.y1 - e.y1) - (e.y2 - e.y1) * (m.x1 - e.x1)) AS p, sign((e.x2 - e.x1) * (m.y2 - e.y1) - (e.y2 - e.y1) * (m.x2 - e.x1)) AS q,
+    sign((m.x2 - m.x1) * (e.y1 - m.y1) - (m.y2 - m.y1) * (e.x1 - m.x1)) AS r, sign((m.x2 - m.x1) * (e.y2 - m.y1) - (m.y2 - m.y1) * (e.x2 - m.x1)) AS s FROM e, m),
+  within AS (SELECT a.fid AS a, b.fid AS b FROM e b, m a GROUP BY a.fid, b.fid, a.x1, a.y1 HAVING sum(CASE WHEN (b.y1 > a.y1) <> (b.y2 > a.y1) AND a.x1 < (b.x2 - b.x1) * (a.y1 - b.y1) / (b.y2 - b.y1) + b.x1 THEN 1 ELSE 0 END) % 2 = 1),
+  holds AS (SELECT a.fid AS a, b.fid AS b FROM m b, e a GROUP BY a.fid, b.fid, a.x1, a.y1 HAVING sum(CASE WHEN (b.y1 > a.y1) <> (b.y2 > a.y1) AND a.x1 < (b.x2 - b.x1) * (a.y1 - b.y1) / (b.y2 - b.y1) + b.x1 THEN 1 ELSE 0 END) % 2 = 1),
+  pairs AS (SELECT a, b FROM side WHERE p * q < 0 AND r * s < 0 UNION SELECT b, a FROM within UNION SELECT a, b FROM holds)"""
+
+
+def _moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shift = lambda ring: F.transform(ring, lambda p: F.struct((p["x"] + 4.5).alias("x"), (p["y"] + 3.75).alias("y")))
+    return _triangles(spark, sf_dir).withColumn("rings", F.transform("rings", shift))
+
+
+@query(f"WITH {_MEETS} SELECT a AS left_id, b AS right_id FROM pairs")
+def polygon_intersects_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left, right = _triangles(spark, sf_dir).withColumnRenamed("fid", "left_id"), _moved(spark, sf_dir).withColumnRenamed("fid", "right_id")
+    return vector.intersects_join(left, right, 10.0, "left_id", "right_id")
+
+
+@query(f"WITH {_MEETS} SELECT n_nationkey AS fid, n_nationkey IN (SELECT a FROM pairs WHERE b % 3 = 0) AS hits_pp FROM nation")
+def intersects_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which features meet any of a layer."""
+    return vector.mark_intersecting(_triangles(spark, sf_dir), _moved(spark, sf_dir).where("fid % 3 = 0"), 10.0, "fid", "hits_pp")
+
+
 _LON = "c_custkey * 7.5 - 3000"
 
 
@@ -326,10 +393,11 @@ def normalize_lon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", crs.normalize_lon(F.expr(_LON).cast("double")).alias("lon"))
 
 
-@query(f"""SELECT box_id, 'EPSG:' || cast((CASE WHEN miny + maxy >= 0 THEN 32600 ELSE 32700 END) + cast(floor((((minx + maxx) / 2 + 180) % 360 - 180 + 180) / 6) AS INT) + 1 AS VARCHAR) AS crs
-  FROM ({BOXES}) WHERE maxx - minx <= 6""")
+@query(f"""WITH b AS (SELECT *, ((minx + maxx) / 2 + 540) % 360 - 180 AS lon0, (miny + maxy) / 2 AS lat0 FROM ({BOXES}))
+  SELECT box_id, CASE WHEN maxx - minx <= 6 THEN 'EPSG:' || cast((CASE WHEN lat0 >= 0 THEN 32600 ELSE 32700 END) + cast(floor((lon0 + 180) / 6) AS INT) + 1 AS VARCHAR)
+    ELSE '+proj=aeqd +lat_0=' || printf('%.8f', lat0) || ' +lon_0=' || printf('%.8f', lon0) || ' +x_0=0 +y_0=0 +datum=WGS84 +units=m +no_defs' END AS crs FROM b""")
 def choose_crs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return crs.choose_crs(load(spark, sf_dir, "fx_boxes").where("maxx - minx <= 6"), "box_id").select("box_id", "crs")
+    return crs.choose_crs(load(spark, sf_dir, "fx_boxes"), "box_id").select("box_id", "crs")
 
 
 def _grids(height: int):
@@ -355,7 +423,7 @@ def seed_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1")
 def dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_custkey", "o_orderkey", "o_orderstatus")
-    return orders.groupBy("o_custkey").agg(F.min_by(F.struct("o_orderkey", "o_orderstatus"), "o_orderkey").alias("f")).select("o_custkey", "f.o_orderkey", "f.o_orderstatus")
+    return network.first_rows(orders, ["o_custkey"], ["o_orderkey"])
 
 
 @query()
@@ -364,10 +432,15 @@ def greedy_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return network.greedy_selection(focus, 100.0)
 
 
+@query()
+def selection_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return network.selection_totals(greedy_selection(spark, sf_dir))
+
+
 @query()
 def erode_to_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    area = spark.range(60).select(F.col("id").cast("int").alias("row_i"), F.explode(F.sequence(F.lit(0), F.lit(59))).alias("col_j")).where("row_i < 40 OR col_j < 30")
-    return erode.erode_to_area(area, 1500, 60)
+    area = load(spark, sf_dir, "fx_cells").where("friction > 0 OR cond > 0").select(*CELL)
+    return erode.erode_to_area(area, area.count() / 2, area.count() / 4)
 
 
 @query("SELECT cast(i AS INT) AS idx, (i - 1) * 65536 AS \"offset\", greatest(0, least(65536, n - (i - 1) * 65536)) AS size FROM (SELECT count(*) * 11 AS n FROM lineitem) t, range(1, 100000) r(i) WHERE i <= greatest(1, cast(ceil(n / 65536.0) AS BIGINT))")

@@ -10,14 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset, a local folder of this session."""
+    """``spark.checkpoint.dir``; where it is unset, a local folder of this session, but
+    only for a local master: executors elsewhere could not read it."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("terrascape.shared.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="terrascape-")
         spark.conf.set("terrascape.shared.dir", found)
     return found.rstrip("/")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a written table, wherever Spark wrote it."""
+    with contextlib.suppress(Exception):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
 class Stage:
     """A durable table: ``df`` reads what was written; ``drop()`` deletes it."""
 
@@ -27,10 +37,7 @@ class Stage:
         self.df = df.sparkSession.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
-        with contextlib.suppress(Exception):
-            jvm = self.df.sparkSession._jvm
-            path = jvm.org.apache.hadoop.fs.Path(self.path)
-            path.getFileSystem(self.df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        delete(self.df.sparkSession, self.path)
 
 
 class Growing:
@@ -49,3 +56,10 @@ class Growing:
     @property
     def df(self) -> DataFrame:
         return self.front.sparkSession.read.schema(self.schema).parquet(*self.paths)
+
+    def settle(self) -> DataFrame:
+        """All rows as one durable table; the parts are deleted."""
+        whole = Stage(self.df).df
+        for path in self.paths:
+            delete(self.front.sparkSession, path)
+        return whole
