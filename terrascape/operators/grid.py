@@ -75,6 +75,23 @@ def union_grid(grids: list[Grid], dx: float, dy: float) -> Grid:
     return _over([g.bounds for g in grids], min, max, dx, dy, grids[0].crs)
 
 
+def align_layers(layers: dict[str, tuple[DataFrame, Grid]], dx: float, dy: float) -> DataFrame:
+    """``mask_id, row_i, col_j, pop`` of all layers on one grid of the given cells over
+    the union of their extents, by nearest resampling."""
+    target, out = union_grid([g for _, g in layers.values()], dx, dy), None
+    for name, (cells, source) in layers.items():
+        one = resample(cells.select("row_i", "col_j", "pop"), source, target).withColumn("mask_id", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def within(cells: DataFrame, area: DataFrame) -> DataFrame:
+    """The cells that lie in an area (``row_i, col_j``), or in each of several (other
+    columns of ``area`` that the cells lack are kept)."""
+    more = [c for c in area.columns if c not in cells.columns]
+    return cells.join(area.select("row_i", "col_j", *more), ["row_i", "col_j"], "inner" if more else "left_semi")
+
+
 def common_bounds(bounds: list[tuple[float, float, float, float]]) -> tuple[float, float, float, float]:
     """Intersection of bounds; raises where they share no area."""
     got = (max(b[0] for b in bounds), max(b[1] for b in bounds), min(b[2] for b in bounds), min(b[3] for b in bounds))

@@ -17,11 +17,11 @@ CELL = ["row_i", "col_j"]
 EPSILON = 100 * 2.0**-52
 
 
-def condition(cells: DataFrame, expression: str, value: str = "v") -> DataFrame:
-    """``row_i, col_j, hit`` (0 or 1) of a user expression over ``value``; nodata (NULL)
-    is not evaluated and is 0."""
+def condition(cells: DataFrame, expression: str, value: str = "v", keep: list[str] | None = None) -> DataFrame:
+    """``row_i, col_j, hit`` (0 or 1) of a user expression over ``value``, beside the
+    columns ``keep``; nodata (NULL) is not evaluated and is 0."""
     hit = compile_expression(expression, F.col(value))
-    return cells.select(*CELL, F.when(F.col(value).isNotNull(), F.coalesce(hit.cast("int"), F.lit(0))).otherwise(0).alias("hit"))
+    return cells.select(*(keep or []), *CELL, F.when(F.col(value).isNotNull(), F.coalesce(hit.cast("int"), F.lit(0))).otherwise(0).alias("hit"))
 
 
 def covered_by_reach(mask: Column, pop: Column) -> Column:
@@ -34,10 +34,11 @@ def covered_downstream(mask: Column, pop: Column) -> Column:
     return F.when((mask > EPSILON) & ~F.isnan(mask.cast("double")) & (pop > 0), pop).otherwise(F.lit(0))
 
 
-def mask_population(pop: DataFrame, mask: DataFrame, rule=covered_by_reach) -> DataFrame:
+def mask_population(pop: DataFrame, mask: DataFrame, rule=covered_by_reach, by: list[str] | None = None) -> DataFrame:
     """``pop`` (``row_i, col_j, pop``) under ``mask`` (``row_i, col_j, m``): every cell
-    of ``pop``, with the masked value as ``pop``."""
-    return pop.join(mask, CELL, "left").select(*CELL, rule(F.coalesce("m", F.lit(0)), F.col("pop")).alias("pop"))
+    of ``pop``, with the masked value as ``pop``; ``by``: columns that tell grids apart."""
+    key = [*(by or []), *CELL]
+    return pop.join(mask, key, "left").select(*key, rule(F.coalesce("m", F.lit(0)), F.col("pop")).alias("pop"))
 
 
 def combine(layers: DataFrame) -> DataFrame:

@@ -144,6 +144,11 @@ def touched(features: DataFrame, key: list[str], width: int, height: int) -> Dat
     return rasterize(features, key, width, height).unionByName(met).distinct()
 
 
+def union_cells(cells: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The union of features as cells: each cell once, for each value of ``by``."""
+    return cells.select(*(by or []), "row_i", "col_j").distinct()
+
+
 def zonal_sums(zones: DataFrame, cells: DataFrame, key: str, value: str = "pop") -> DataFrame:
     """``key, pop_sum, n`` of each zone's cells; nodata counts as 0; a zone without
     cells has sum 0."""

@@ -1,4 +1,4 @@
-"""Command line: check a configuration, split a file, join its parts."""
+"""Command line: check or run a configuration, split a file, join its parts."""
 
 from __future__ import annotations
 
@@ -23,11 +23,15 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     c = sub.add_parser("check", help="check a configuration and print it")
     c.add_argument("config", type=Path)
+    r = sub.add_parser("run", help="run a configuration and write its table")
+    r.add_argument("config", type=Path)
+    r.add_argument("--validate-paths", action="store_true", help="only check that all paths exist")
     s = sub.add_parser("split", help="split a file into zipped parts with a manifest")
     s.add_argument("file", type=Path)
     s.add_argument("folder", type=Path)
     s.add_argument("--size", default="64M")
     s.add_argument("--prefix")
+    s.add_argument("--manifest-name")
     j = sub.add_parser("join", help="join the parts of a manifest")
     j.add_argument("manifest", type=Path)
     j.add_argument("--out", type=Path)
@@ -44,12 +48,23 @@ def main(argv: list[str] | None = None) -> int:
         config.validate_paths(found)
         print(config.describe(found))
         return 0
+    if args.command == "run":
+        from pyspark.sql import SparkSession
+
+        from terrascape.plans import config, run
+
+        found = config.load(args.config)
+        set_up_logging(found.log_level, found.log_file)
+        config.validate_paths(found)
+        if not args.validate_paths:
+            print(run.run(SparkSession.builder.getOrCreate(), found))
+        return 0
     from terrascape.sources import chunks
 
     if args.command == "split":
         from pyspark.sql import SparkSession
 
-        print(chunks.split_file(SparkSession.builder.getOrCreate(), args.file, args.folder, parse_size(args.size), args.prefix))
+        print(chunks.split_file(SparkSession.builder.getOrCreate(), args.file, args.folder, parse_size(args.size), args.prefix, args.manifest_name))
     else:
         print(chunks.join_file(args.manifest, args.out, not args.no_verify))
     return 0

@@ -9,11 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrascape.functions.scalars import buffer_metres
 from terrascape.model import Grid
 from terrascape.operators import focal, hydro, masks, network, reach
 from terrascape.operators.grid import common_bounds
-from terrascape.plans.config import CONDITIONAL, TRAVEL_TIME, Config
+from terrascape.operators.vector import zonal_sums
 
 
 def full_extent_area(spark: SparkSession, grids: list[Grid], name: str = "full_raster_extent") -> DataFrame:
@@ -38,71 +37,28 @@ def travel_population(cells: DataFrame, max_hours: float, cell_len: float) -> Da
     return both.select(*key, masks.covered_by_reach(F.coalesce("m", F.lit(0)), F.col("pop")).alias("pop"))
 
 
-def near_area(cells: DataFrame, boxes: DataFrame, max_hours: float, pixel_m: float) -> DataFrame:
-    """Cells of each area's box and as far around it as the time allows; ``boxes``:
-    ``aoi_id, row_lo, row_hi, col_lo, col_hi``."""
-    reach_px = int(buffer_metres(max_hours) // pixel_m) + 1
-    b = F.broadcast(boxes)  # one row an area, its name and four numbers
-    inside = F.col("row_i").between(F.col("row_lo") - reach_px, F.col("row_hi") + reach_px) & F.col("col_j").between(F.col("col_lo") - reach_px, F.col("col_hi") + reach_px)
-    return cells.join(b, inside).drop("row_lo", "row_hi", "col_lo", "col_hi")
-
-
-def downstream_population(dem: DataFrame, condition: DataFrame, pop: DataFrame, buffer_m: float, pixel_m: float, max_distance_m: float | None = None, filled: bool = False) -> DataFrame:
+def downstream_population(dem: DataFrame, condition: DataFrame, pop: DataFrame, buffer_m: float, pixel_m: float, max_distance_m: float | None = None, filled: bool = False, by: list[str] | None = None) -> DataFrame:
     """``row_i, col_j, pop``: population on or downstream of cells where the condition
     holds (``row_i, col_j, hit``), widened by ``buffer_m``; with a distance, only where
-    the straight line to the condition is longer than 0 and at most that long."""
+    the straight line to the condition is longer than 0 and at most that long.  With
+    ``by`` (``aoi_id``) all tables hold several grids, each by itself."""
+    by = by or []
+    key = [*by, "row_i", "col_j"]
     terrain = dem if filled else hydro.fill_pits(dem)
-    start = condition.where("hit > 0").select("row_i", "col_j")
-    covered = hydro.reachable(hydro.flow_edges(terrain), start.join(terrain, ["row_i", "col_j"], "left_semi"))
-    wide = focal.dilate(covered, focal.pixels_of(buffer_m, pixel_m)).select("row_i", "col_j", F.lit(1).alias("m"))
+    start = condition.where("hit > 0").select(*key)
+    covered = hydro.reachable(hydro.flow_edges(terrain, by), start.join(terrain, key, "left_semi"), by)
+    wide = focal.dilate(covered, focal.pixels_of(buffer_m, pixel_m), by).select(*key, F.lit(1).alias("m"))
     if max_distance_m is not None:
-        marks = terrain.select("row_i", "col_j").join(start.withColumn("marked", F.lit(True)), ["row_i", "col_j"], "left").fillna(False, ["marked"])
-        far = focal.distance(marks).select("row_i", "col_j", F.sqrt("d2").alias("px"))
-        wide = wide.join(far, ["row_i", "col_j"]).where(masks.within_distance(F.col("m"), F.col("px"), pixel_m, max_distance_m)).select("row_i", "col_j", "m")
-    return masks.mask_population(pop, wide, masks.covered_downstream)
-
-
-def combine(layers: dict[str, DataFrame], order: list[str]) -> DataFrame:
-    """The result table of masks (``aoi_id, row_i, col_j, pop`` each): sums by mask and
-    of the combination."""
-    every = None
-    for name in order:
-        one = layers[name].select("aoi_id", "row_i", "col_j", F.lit(name).alias("mask_id"), "pop")
-        every = one if every is None else every.unionByName(one)
-    return masks.wide(masks.sums(every, ["aoi_id"]), order)
-
-
-def run(config: Config, travel_cells: DataFrame, dem: DataFrame, pop: DataFrame, conditions: dict[str, DataFrame], areas: DataFrame) -> DataFrame:
-    """All masks of a configuration over aligned tables.
-
-    ``areas``: cells of each area (``aoi_id, row_i, col_j``); ``conditions``: cells
-    (``row_i, col_j, v``) of each conditional mask.  Watersheds' partitions are a matter
-    of file size only, so flow is computed over the grid once and shared by the masks.
-    """
-    layers: dict[str, DataFrame] = {}
-    pixel = config.numbers["travel_time_pixel_size_m"]
-    terrain = hydro.fill_pits(dem) if any(m.type == CONDITIONAL for m in config.masks) else None
-    for m in config.masks:
-        if m.type == TRAVEL_TIME:
-            layers[m.id] = travel_population(travel_cells, float(m.params["max_hours"]), pixel)
-            continue
-        hit = masks.condition(conditions[m.id], m.params["expression"])
-        one = None
-        for aoi in [r["aoi_id"] for r in areas.select("aoi_id").distinct().collect()]:  # names of areas
-            own = areas.where(F.col("aoi_id") == aoi).select("row_i", "col_j")
-            limit = m.params.get("max_downstream_distance_m")
-            part = downstream_population(terrain, hit.join(own, ["row_i", "col_j"], "left_semi"), pop, config.numbers["buffer_size_m"], pixel, None if limit is None else float(limit), filled=True).withColumn("aoi_id", F.lit(aoi))
-            one = part if one is None else one.unionByName(part)
-        layers[m.id] = one
-    return combine(layers, [m.id for m in config.masks])
+        marks = terrain.select(*key).join(start.withColumn("marked", F.lit(True)), key, "left").fillna(False, ["marked"])
+        far = focal.distance(marks, by=by).select(*key, F.sqrt("d2").alias("px"))
+        wide = wide.join(far, key).where(masks.within_distance(F.col("m"), F.col("px"), pixel_m, max_distance_m)).select(*key, "m")
+    return masks.mask_population(pop, wide, masks.covered_downstream, by)
 
 
 def priority_areas(watersheds: DataFrame, zones: DataFrame, cells: DataFrame, max_ha: float, focal_id: str) -> DataFrame:
     """Greedy choice for one focal area: zonal population of each candidate (``zones``:
     ``hybas_id, row_i, col_j``), then the walk upstream under the budget.
     ``watersheds``: ``hybas_id, next_down, hits_pp, pp_area_ha``."""
-    from terrascape.operators.vector import zonal_sums
-
     sums = zonal_sums(zones, cells, "hybas_id")
     rows = watersheds.dropDuplicates(["hybas_id"]).join(sums, "hybas_id", "left").select(F.lit(focal_id).alias("focal_id"), "hybas_id", "next_down", F.coalesce("pop_sum", F.lit(0)).cast("long").alias("pop_sum"), "hits_pp", "pp_area_ha")
     return network.greedy_selection(rows, max_ha)

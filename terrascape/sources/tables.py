@@ -39,6 +39,24 @@ def read_raster(spark: SparkSession, path: str, raster_id: str, tile: int = TILE
     return grids.clip(grids.from_tiles(tiles, tile), (r0, r1), (c0, c1)), grid
 
 
+def open_raster(spark: SparkSession, path: str, bounds=None) -> tuple[DataFrame, Grid]:
+    """Cells and grid of the only raster under ``path``."""
+    ids = [r["raster_id"] for r in spark.read.schema(HEADERS).parquet(f"{path}/headers").select("raster_id").limit(2).collect()]
+    if len(ids) != 1:
+        raise ValueError(f"{path} holds {'no' if not ids else 'more than one'} raster")
+    return read_raster(spark, path, ids[0], bounds=bounds)
+
+
+def matching(spark: SparkSession, patterns: list[str]) -> list[str]:
+    """Paths that match the patterns, wherever Spark reads them, each once, sorted."""
+    found = set()
+    for pattern in patterns:
+        place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        for status in place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(place) or []:
+            found.add(status.getPath().toString())
+    return sorted(found)
+
+
 def write_features(features: DataFrame, path: str, key: str = "fid") -> None:
     features.join(vector.boxes(features, [key]), key, "left").write.mode("overwrite").parquet(path)
 
@@ -78,5 +96,7 @@ def write_result(table: DataFrame, folder: str, run_name: str, now: datetime | N
 
 
 def write_partitions(members: DataFrame, path: str) -> None:
-    """One folder for each terminal sink."""
-    members.write.mode("overwrite").partitionBy("next_sink").parquet(path)
+    """One folder for each terminal sink (below one for each area, where members have
+    ``aoi_id``)."""
+    by = [c for c in ("aoi_id", "next_sink") if c in members.columns]
+    members.write.mode("overwrite").partitionBy(*by).parquet(path)
