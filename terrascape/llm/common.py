@@ -27,6 +27,8 @@ from terrascape.sources.durable import shared_dir
 STEP_ROWS, STEP_BYTES = 512, 2 << 20
 #: Bits of a bitmap of keys: 4 MiB at any size of the input; a full one only filters less.
 FILTER_BITS = 1 << 25
+#: Edges that a task joins at once: its memory.
+EDGES = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -137,9 +139,13 @@ def marked(held: bytes, key: str) -> bool:
     return bool(held[at >> 3] >> (at & 7) & 1)
 
 
-def rows_marked(df: DataFrame, held: bytes, id_col: str, text_col: str) -> DataFrame:
-    """``id`` (long) and ``text`` of the rows whose id is marked, and a few others (a
-    bitmap has false positives); null ids are out, null texts count as empty."""
+def rows_of(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id`` (long) and ``text`` of the rows whose id is in the only column of ``ids``;
+    null ids are out, null texts count as empty.
+
+    A bitmap keeps most other rows from travelling; where it is full (it does not grow)
+    the exact join that follows still lets no other row through."""
+    held = marks(ids.select(F.col(ids.columns[0]).cast("string")))
     sent = df.sparkSession.sparkContext.broadcast(held)
 
     def make():
@@ -149,8 +155,9 @@ def rows_marked(df: DataFrame, held: bytes, id_col: str, text_col: str) -> DataF
 
         return run
 
-    d = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return map_text(d, ["id", "text"], schema("id long, text string"), make)
+    d = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    few = map_text(d, ["id", "text"], schema("id long, text string"), make)
+    return few.join(ids.select(F.col(ids.columns[0]).alias("id")), "id", "left_semi")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -186,8 +193,9 @@ def components(edges: DataFrame) -> DataFrame:
             part = nodes[at : at + 50_000]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([find(n) for n in part], pa.int64())], schema=fields)
 
-    dealt = edges.where("a <> b").select("a", "b").repartitionByRange("a", "b")
-    stars = durable(dealt.mapInArrow(join_own, "n long, r long"))
+    edges = edges.where("a <> b").select("a", "b")
+    parts = max(int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-edges.count() // EDGES))
+    stars = durable(edges.repartitionByRange(parts, "a", "b").mapInArrow(join_own, "n long, r long"))
     roots = stars.groupBy("n").agg(F.min("r").alias("p"))
     several = stars.groupBy("n").agg(F.min("r").alias("p"), F.max("r").alias("q")).where("p <> q").select("n", "p")
     between = stars.join(several, "n").where("r <> p").select(F.col("p").alias("a"), F.col("r").alias("b"))

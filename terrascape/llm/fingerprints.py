@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrascape.llm.common import durable, map_text, marked, marks, parts_for, rows_marked, schema
+from terrascape.llm.common import durable, map_text, marked, marks, parts_for, rows_of, schema
 
 
 def canonical(text: str | None) -> str:
@@ -101,56 +101,68 @@ def fingerprint(texts: DataFrame, id_cols: list[str], text_col: str = "text") ->
 def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, checks: bool = False) -> DataFrame:
     """Each document beside its edit: the last quarter of its code points replaced by
     as many first ones of the next document in ascending id (after the last: the
-    first).  Columns: ``id, next_id, n_chars, edited_sha256`` and the digests
-    ``digest, edited_digest, next_digest`` (with ``checks``, each digest is followed
-    by a dot and the SHA-256 of the form).
-
-    Texts travel once, by range of id; each range also gets the first document of the
-    next range, and a task streams its sorted range, holding two texts at a time.
-    Equal ids are ordered by text; null ids come first; null texts count as empty.
+    first).  Columns: ``id, next_id, n_chars, edited_sha256``, the digests ``digest,
+    edited_digest, next_digest`` (with ``checks``, each digest is followed by a dot and
+    the SHA-256 of the form) and ``same`` (the edit's form is the document's).
+
+    Texts travel once, by range of id; a task streams its sorted range, holding two
+    texts at a time, and leaves its first and last document, which meet those of the
+    neighbouring ranges in a small second step.  Equal ids are ordered by a hash of the
+    text, then by text; null ids come first; null texts count as empty.
     """
     import pyarrow as pa
+    from pyspark import TaskContext
 
-    spark = docs.sparkSession
-    d = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    d = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     parts = parts or parts_for(d)
-    cuts = d.stat.approxQuantile("id", [k / parts for k in range(1, parts)], 1 / (4 * parts)) if parts > 1 else []
-    cuts = sorted({int(c) for c in cuts})  # at most ``parts`` numbers
-    if cuts:  # the range of an id: cuts not above it
-        bounds = F.lit(cuts).cast("array<long>")
-        ranged = d.withColumn("part", F.coalesce(F.size(F.filter(bounds, lambda c: c <= F.col("id"))), F.lit(0)))
-    else:
-        ranged = d.withColumn("part", F.lit(0))
-    ids = ranged.groupBy("part").agg(F.min(F.struct(F.col("id").isNotNull().alias("v"), "id")).alias("m")).collect()  # a row for each range
-    held = sorted((r["part"], r["m"]["id"]) for r in ids)
-    names = "id long, next_id long, n_chars long, edited_sha256 string, digest string, edited_digest string, next_digest string"
-    if not held:
-        return spark.createDataFrame([], names)
-    firsts = spark.createDataFrame([(held[k - 1][0], p, i) for k, (p, i) in enumerate(held)], "before int, part int, hid long")
-    heads = ranged.join(F.broadcast(firsts), "part").where("id <=> hid").groupBy("before", "id").agg(F.min("text").alias("text"))
-    heads = heads.select(F.col("before").alias("part"), F.lit(1).alias("tail"), "id", "text")
-    rows = ranged.select("part", F.lit(0).alias("tail"), "id", "text").unionByName(heads)
-    dealt = rows.repartition(parts, "part").sortWithinPartitions("part", "tail", "id", "text")
+    dealt = d.repartitionByRange(parts, "id", "h").sortWithinPartitions("id", "h", "text").select("id", "text")
+    names = "id long, next_id long, n_chars long, edited_sha256 string, digest string, edited_digest string, next_digest string, same boolean"
+    texts = [pa.string()] * 4
+    row = [("id", pa.int64()), ("next_id", pa.int64()), ("n_chars", pa.int64()), *zip(("edited_sha256", "digest", "edited_digest", "next_digest"), texts), ("same", pa.bool_())]
+    ends = [("part", pa.int32()), ("first_id", pa.int64()), ("first", pa.string()), ("last", pa.string())]
+    fields = pa.schema([*row, *ends])
 
     def name(form):
         return digest(form) + (f".{hashlib.sha256(form.encode('utf-8', 'surrogatepass')).hexdigest()}" if checks else "")
 
+    def beside(i, text, form, next_id, next_text, next_name):
+        n, k = len(text), len(text) // 4
+        edited = text[: n - k] + next_text[:k]
+        made = canonical(edited)
+        return i, next_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), name(form), name(made), next_name, made == form
+
+    def shown(rows, schema):
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)] if rows else [pa.array([], f.type) for f in schema], schema=schema)
+
     def run(batches):
-        fields = pa.schema([("id", pa.int64()), ("next_id", pa.int64()), ("n_chars", pa.int64()), *[(n, pa.string()) for n in ("edited_sha256", "digest", "edited_digest", "next_digest")]])
-        last = None  # id, text and digest of the row that waits for the next one
+        first = last = None  # id, text and form; the last one waits for the next row
         for batch in batches:
             out: list[tuple] = []
             for at in range(0, batch.num_rows, 64):
-                for _, tail, i, text in zip(*[c.to_pylist() for c in batch.slice(at, 64).columns]):
-                    own = name(canonical(text))
+                for i, text in zip(*[c.to_pylist() for c in batch.slice(at, 64).columns]):
+                    here = (i, text, canonical(text))
                     if last is not None:
-                        n, k = len(last[1]), len(last[1]) // 4
-                        edited = last[1][: n - k] + text[:k]
-                        out.append((last[0], i, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), last[2], name(canonical(edited)), own))
-                    last = None if tail else (i, text, own)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), fields)] if out else [pa.array([], f.type) for f in fields], schema=fields)
+                        out.append((*beside(*last, i, text, name(here[2])), None, None, None, None))
+                    first, last = first or here, here
+            yield shown(out, fields)
+        if last is not None:  # the ends of the range
+            yield shown([(last[0], *[None] * 7, TaskContext.get().partitionId(), first[0], first[1], last[1])], fields)
+
+    streamed = durable(dealt.mapInArrow(run, T.StructType.fromDDL(f"{names}, part int, first_id long, first string, last string")))
+    edge = streamed.where("part IS NOT NULL").select("part", "id", "first_id", "first", "last")
+    order = Window.orderBy("part")  # a number for each range
+    after = edge.select("part").withColumn("follows", F.coalesce(F.lead("part").over(order), F.min("part").over(Window.partitionBy())))
+    firsts = edge.select(F.col("part").alias("follows"), F.col("first_id").alias("next_id"), F.col("first").alias("next_text"))
+    joined = edge.select("part", "id", "last").join(after, "part").join(firsts, "follows").select("id", "last", "next_id", "next_text")
+
+    def close(batches):
+        for batch in batches:
+            for at in range(0, max(1, batch.num_rows), 64):
+                rows = zip(*[c.to_pylist() for c in batch.slice(at, 64).columns])
+                yield shown([beside(i, text, canonical(text), n, t, name(canonical(t))) for i, text, n, t in rows], pa.schema(row))
 
-    return dealt.mapInArrow(run, T.StructType.fromDDL(names))
+    columns = [c for c, _ in row]
+    return streamed.where("part IS NULL").select(*columns).unionByName(joined.mapInArrow(close, T.StructType.fromDDL(names)))
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -159,12 +171,11 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     light = durable(edits(docs, id_col, text_col))
     held = marks(_shared(light, "digest", "edited_digest"))
     forms = forms_of(docs, held, text_col)
-    # edits whose digest is shared and which differ from their document: made again from the two texts
-    repeat = light.where("edited_digest <> digest").join(_shared(light, "digest", "edited_digest").withColumnRenamed("digest", "edited_digest"), "edited_digest", "left_semi")
+    # edits whose digest is shared and whose form is not their document's: made again from the two texts
+    repeat = light.where("NOT same").join(_shared(light, "digest", "edited_digest").withColumnRenamed("digest", "edited_digest"), "edited_digest", "left_semi")
     pairs = durable(repeat.select("id", "next_id", "n_chars"))
     if not pairs.isEmpty():
-        wanted = marks(pairs.select(F.explode(F.array("id", "next_id")).alias("k")).where("k IS NOT NULL").select(F.col("k").cast("string")))
-        few = rows_marked(docs, wanted, id_col, text_col)
+        few = rows_of(docs, pairs.select(F.explode(F.array("id", "next_id")).alias("id")).where("id IS NOT NULL").distinct(), id_col, text_col)
         both = pairs.join(few, "id").join(few.select(F.col("id").alias("next_id"), F.col("text").alias("next_text")), "next_id")
         kept = F.col("n_chars") - F.floor(F.col("n_chars") / 4)
         made = both.select(F.concat(F.substring("text", F.lit(1), kept.cast("int")), F.substring("next_text", F.lit(1), (F.col("n_chars") - kept).cast("int"))).alias("text"))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrascape.llm.common import components, durable, map_text, marks, rows_marked, schema
+from terrascape.llm.common import components, durable, map_text, rows_of, schema
 
 #: Words of a shingle; buckets (2 to a power); mantissa bits of a register; bands of registers.
 WORDS, BUCKET_BITS, MANTISSA, BANDS, ROWS = 5, 7, 10, 25, 5
@@ -154,8 +154,7 @@ def _screen(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
 
 def _confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int, width: int) -> DataFrame:
     """The pairs whose full sets have 100 * intersection >= percent * union."""
-    wanted = marks(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct().select(F.col("k").cast("string")))
-    few = rows_marked(docs, wanted, id_col, text_col).groupBy("id").agg(F.min("text").alias("text"))
+    few = rows_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), id_col, text_col).groupBy("id").agg(F.min("text").alias("text"))
     both = pairs.join(few.withColumnsRenamed({"id": "a", "text": "ta"}), "a").join(few.withColumnsRenamed({"id": "b", "text": "tb"}), "b").select("a", "b", "ta", "tb")
 
     def run(batches):
@@ -220,7 +219,7 @@ def _confirm_groups(forest: DataFrame, docs: DataFrame, id_col: str, text_col: s
     full sets: enough of them to join what is linked, none where components are joined."""
     threshold = percent / 100
     tree = durable(components(forest).select(F.col("component").alias("g"), F.col("node").alias("rep")))
-    few = rows_marked(docs, marks(tree.select(F.col("rep").cast("string"))), id_col, text_col).groupBy("id").agg(F.min("text").alias("text"))
+    few = rows_of(docs, tree.select("rep"), id_col, text_col).groupBy("id").agg(F.min("text").alias("text"))
     named = tree.join(labels.withColumnsRenamed({"node": "rep", "component": "c"}), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
     members = named.join(classes.select("rep", "registers"), "rep").join(few.withColumnRenamed("id", "rep"), "rep").join(tree.groupBy("g").agg(F.count("*").alias("n")), "g")
 

@@ -106,13 +106,39 @@ def test_fingerprints(spark, docs):
     assert fingerprints.fingerprint_edits(docs.limit(0)).count() == 0
 
 
-def test_fingerprints_compare_bytes(spark, docs, monkeypatch):
-    """With a digest that collides, forms still decide."""
+def test_fingerprints_compare_bytes(spark, docs, small, monkeypatch):
+    """With a digest of four bits, nearly all of which collide, forms still decide, for
+    documents and for edits, their own document's included."""
     forms = spark.createDataFrame([("d", "a"), ("d", "b"), ("e", "c")], "digest string, form string")
     found = {(r.digest, r.form): r.variant for r in fingerprints.clashes(forms).collect()}
     assert found == {("d", "a"): 0, ("d", "b"): 1}
     plain = {r.doc_id: r.fingerprint for r in fingerprints.fingerprint(docs, ["doc_id"]).collect()}
     assert plain[9] == plain[10] and len(set(plain.values())) == len({canonical(t) for t in EDGE})
+    whole = fingerprints.digest
+    monkeypatch.setattr(fingerprints, "digest", lambda form: whole(form)[:1])
+    rows = sorted((r.doc_id, r.text or "") for r in table(spark, small, "documents").where("doc_id < 80").collect())
+    few = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    light = {r.id: r for r in fingerprints.edits(few).collect()}
+    assert all(len(r.digest) == 1 for r in light.values()) and any(r.digest == r.edited_digest and not r.same for r in light.values())
+    names: dict[str, str] = {}
+    for r in fingerprints.fingerprint_edits(few).collect():
+        k = [i for i, _ in rows].index(r.id)
+        text, nxt = rows[k][1], rows[(k + 1) % len(rows)][1]
+        n = len(text) // 4
+        for shown, form in ((r.fingerprint, canonical(text)), (r.edited_fingerprint, canonical(text[: len(text) - n] + nxt[:n]))):
+            assert names.setdefault(shown, form) == form
+        assert r.near_edited == float(r.fingerprint == r.edited_fingerprint)
+    assert len(names) == len(set(names.values()))
+
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_edits_by_range(spark, parts):
+    """The ranges' ends meet; equal ids and null ids are documents of their own."""
+    texts = [(None, "null here"), *[(k * k, f"text {k} " * (k % 5)) for k in range(30)], (4, "again"), (4, "again")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(7)
+    got = fingerprints.edits(df, parts=parts).collect()
+    order = [i for i, _ in sorted(texts, key=lambda x: (x[0] is not None, x[0] or 0))]
+    assert sorted(((r.id is not None, r.id or 0), (r.next_id is not None, r.next_id or 0)) for r in got) == sorted(((i is not None, i or 0), (n is not None, n or 0)) for i, n in zip(order, order[1:] + order[:1]))
 
 
 def test_language(spark, small, docs):
