@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from terrascape.model import PickedCRS
 
-# The WGS84 ellipsoid; the largest span of an azimuthal system, km.
+# The WGS84 ellipsoid; the largest span of an azimuthal system, km; in
+# ``pick_crs`` the limits of 6 and 84 degrees and the systems' names.
 A, FLATTENING = 6378137.0, 1 / 298.257223563
 E2 = FLATTENING * (2 - FLATTENING)
 REGION_KM = 2500

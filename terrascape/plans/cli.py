@@ -18,6 +18,7 @@ def set_up_logging(level: str = "INFO", to_file: str = "") -> logging.Logger:
     return logger
 
 
+# Names of commands and options.
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="terrascape")
     sub = p.add_subparsers(dest="command", required=True)
@@ -26,6 +27,10 @@ def parser() -> argparse.ArgumentParser:
     r = sub.add_parser("run", help="run a configuration and write its table")
     r.add_argument("config", type=Path)
     r.add_argument("--validate-paths", action="store_true", help="only check that all paths exist")
+    a = sub.add_parser("priority", help="propose priority areas")
+    a.add_argument("config", type=Path)
+    a.add_argument("--population", required=True, help="population raster")
+    a.add_argument("--cell-m", type=float, default=1000.0, help="cells of the working grid, metres")
     s = sub.add_parser("split", help="split a file into zipped parts with a manifest")
     s.add_argument("file", type=Path)
     s.add_argument("folder", type=Path)
@@ -59,6 +64,14 @@ def main(argv: list[str] | None = None) -> int:
         if not args.validate_paths:
             print(run.run(SparkSession.builder.getOrCreate(), found))
         return 0
+    if args.command == "priority":
+        from pyspark.sql import SparkSession
+
+        from terrascape.plans import priority
+
+        set_up_logging()
+        print("\n".join(priority.run(SparkSession.builder.getOrCreate(), str(args.config), args.population, args.cell_m)))
+        return 0
     from terrascape.sources import chunks
 
     if args.command == "split":

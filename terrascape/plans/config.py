@@ -10,7 +10,7 @@ from typing import Any
 from terrascape.functions.expr import ExpressionError, check_expression
 from terrascape.functions.scalars import as_list
 
-# Names of mask types and of watershed fields.
+# Names of mask types, of watershed fields and of the configuration's keys.
 TRAVEL_TIME, CONDITIONAL = "travel_time_population", "conditional_raster"
 WATERSHED_FIELDS = ("HYBAS_ID", "NEXT_DOWN", "NEXT_SINK")
 INPUT_PATHS = ("population_raster_path", "traveltime_raster_path", "dem_raster_path", "subwatershed_vector_path")

@@ -1,5 +1,5 @@
-"""The composite analyses: population within a travel time, population downstream of a
-condition, their combination, and the choice of priority areas.
+"""The composite analyses: population within a travel time and population downstream of a
+condition.
 
 Areas of interest are a column of every table, so all areas of a run are one plan.
 """
@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrascape.model import Grid
-from terrascape.operators import focal, hydro, masks, network, reach
+from terrascape.operators import focal, hydro, masks, reach
 from terrascape.operators.grid import common_bounds
-from terrascape.operators.vector import zonal_sums
 
 
 def full_extent_area(spark: SparkSession, grids: list[Grid], name: str = "full_raster_extent") -> DataFrame:
@@ -53,12 +52,3 @@ def downstream_population(dem: DataFrame, condition: DataFrame, pop: DataFrame,
         far = focal.distance(marks, by=by).select(*key, F.sqrt("d2").alias("px"))
         wide = wide.join(far, key).where(masks.within_distance(F.col("m"), F.col("px"), pixel_m, max_distance_m)).select(*key, "m")
     return masks.mask_population(pop, wide, masks.covered_downstream, by)
-
-
-def priority_areas(watersheds: DataFrame, zones: DataFrame, cells: DataFrame, max_ha: float, focal_id: str) -> DataFrame:
-    """Greedy choice for one focal area: zonal population of each candidate (``zones``:
-    ``hybas_id, row_i, col_j``), then the walk upstream under the budget.
-    ``watersheds``: ``hybas_id, next_down, hits_pp, pp_area_ha``."""
-    sums = zonal_sums(zones, cells, "hybas_id")
-    rows = watersheds.dropDuplicates(["hybas_id"]).join(sums, "hybas_id", "left").select(F.lit(focal_id).alias("focal_id"), "hybas_id", "next_down", F.coalesce("pop_sum", F.lit(0)).cast("long").alias("pop_sum"), "hits_pp", "pp_area_ha")
-    return network.greedy_selection(rows, max_ha)

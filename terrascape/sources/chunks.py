@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from terrascape.functions.scalars import part_count
 
 BUFFER = 1 << 20
+# Names of a manifest's keys, its mode, and the parts' names.
 SCHEMA = "idx int, offset bigint, size bigint, zip_filename string, member_name string, compressed_size bigint, sha256 string"
 
 

@@ -33,7 +33,7 @@ def world(spark, tmp_path_factory):
     cells = grids.target_cells(spark, WORLD)
     for name, value in {
         "pop": F.lit(1.0) + F.col("col_j") % 3,
-        "friction": F.when(F.col("row_i") == 5, -1.0).otherwise(0.001),
+        "friction": F.when(F.col("row_i") == 5, -1.0).otherwise(0.0001),
         "dem": F.col("row_i") * 0 - F.col("col_j") + 100.0,
         "rain": F.when((F.col("row_i") == 30) & (F.col("col_j") == 31), 9.0).otherwise(1.0),
     }.items():
@@ -136,3 +136,34 @@ def test_systems_round_trip(spark, box):
     lon, lat = crs.unproject(F.col("system"), F.col("x"), F.col("y"))
     for r in points.select("*", x.alias("x"), y.alias("y")).select("*", lon.alias("lon2"), lat.alias("lat2")).collect():
         assert abs((r.lon - r.lon2 + 180) % 360 - 180) < 1e-6 and abs(r.lat - r.lat2) < 1e-6
+
+
+def test_priority_areas(spark, world, capsys):
+    """Of three watersheds around a place the one below it leads upstream to it."""
+    # the place lies in watershed 1, which drains to 2; 3 and 4 are beyond the buffer
+    features(spark, [(1, square(8.95, 47.95, 9.05, 48.05))], "fid bigint", f"{world}/place.parquet")
+    text = f"""
+aggregate_vector_path: sheds.parquet
+out_dir: proposed
+focal_vectors:
+  - {{id: inland, path: place.parquet, is_marine: false, buffer_distance_m: 6000, max_proposed_priority_area_ha: 100000}}
+  - {{id: small, path: place.parquet, is_marine: false, buffer_distance_m: 6000, max_proposed_priority_area_ha: 4000}}
+  - {{id: coast, path: place.parquet, is_marine: true, buffer_distance_m: 6000, max_proposed_priority_area_ha: 100000}}
+  - {{id: lost, path: nowhere.parquet, is_marine: false, buffer_distance_m: 1, max_proposed_priority_area_ha: 1}}
+"""
+    (world / "focal.yaml").write_text(text)
+    assert cli.main(["priority", str(world / "focal.yaml"), "--population", f"{world}/pop", "--cell-m", "250"]) == 0
+    assert [p.rsplit("/", 1)[1] for p in capsys.readouterr().out.split()] == [f"{n}_proposed_areas" for n in ("inland", "small", "coast")]
+    got = {n: spark.read.parquet(f"{world}/proposed/{n}_proposed_areas/totals").first() for n in ("inland", "small", "coast")}
+    hectares = 0.1 * 111.2 * 0.1 * 111.32 * math.cos(math.radians(48)) * 100
+    assert abs(got["inland"].total_pp_selected_area_ha - hectares) < 0.02 * hectares
+    # all touched cells: a ring of one more where the shape ends on a cell's border
+    pops = {i: sum(population(r, c) for r in range(20, 41) for c in range(*cols)) for i, cols in {1: (20, 41), 2: (40, 51)}.items()}
+    walk = {r.hybas_id: r for r in spark.read.parquet(f"{world}/proposed/inland_proposed_areas/walk").collect()}
+    assert set(walk) == {1, 2} and walk[1].selected and not walk[2].selected
+    assert all(abs(walk[i].pop_sum - pops[i]) <= 0.12 * pops[i] for i in pops)
+    assert got["inland"].total_downstream_pop == sum(r.pop_sum for r in walk.values())
+    assert abs(got["small"].total_pp_selected_area_ha - 4000) <= 300
+    assert got["coast"].total_pp_selected_area_ha > got["inland"].total_pp_selected_area_ha
+    cells = spark.read.parquet(f"{world}/proposed/small_proposed_areas/cells").agg(F.min("lon"), F.max("lon"), F.min("lat"), F.max("lat")).first()
+    assert 8.95 < cells[0] < cells[1] < 9.05 and 47.95 < cells[2] < cells[3] < 48.05
