@@ -13,10 +13,11 @@ from terrascape.operators.focal import distance
 from terrascape.sources.durable import Stage
 
 
-def erode_to_area(cells: DataFrame, max_cells: float, tolerance: float, iterations: int = 50) -> DataFrame:
+def erode_to_area(cells: DataFrame, max_cells: float, tolerance: float, iterations: int = 50, step: bool = False) -> DataFrame:
     """``row_i, col_j`` of the area eroded until its count is within ``tolerance`` of
     ``max_cells``; the whole area where it is small enough, or where no depth is within
-    the tolerance after ``iterations``."""
+    the tolerance after ``iterations``.  With ``step``, as areas of cells fall in steps,
+    the largest one below ``max_cells`` is taken then."""
     area = cells.select("row_i", "col_j").distinct()
     total = area.count()
     if total <= max_cells:
@@ -42,4 +43,4 @@ def erode_to_area(cells: DataFrame, max_cells: float, tolerance: float, iteratio
         if n and abs(n - max_cells) <= tolerance:
             return depth.df.where(F.col("d2") > middle * middle).select("row_i", "col_j")
         low, high = (middle, high) if n > max_cells else (low, middle)
-    return area
+    return depth.df.where(F.col("d2") > high * high).select("row_i", "col_j") if step else area

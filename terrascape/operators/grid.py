@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,10 +111,19 @@ def _over(bounds, low, high, dx: float, dy: float, crs: str) -> Grid:
 
 
 def to_tiles(cells: DataFrame, value: str = "v", tile: int = TILE) -> DataFrame:
-    """Cells as dense tiles: ``trow, tcol, data`` (row-major; absent cells NULL)."""
+    """Cells as dense tiles: ``trow, tcol, data`` (row-major; absent cells NULL); a task
+    fills one tile's array."""
+
+    def fill(key: tuple, rows: pa.Table) -> pa.Table:
+        at, values = rows.column("k").to_numpy(), rows.column("v").combine_chunks()
+        data, absent = np.zeros(tile * tile), np.ones(tile * tile, bool)
+        data[at] = values.fill_null(0.0).to_numpy(zero_copy_only=False)
+        absent[at] = values.is_null().to_numpy(zero_copy_only=False)
+        whole = pa.ListArray.from_arrays(pa.array([0, tile * tile], pa.int32()), pa.array(data, mask=absent))
+        return pa.table([pa.array([k.as_py()], pa.int32()) for k in key] + [whole], ["trow", "tcol", "data"])
+
     keyed = cells.select(F.floor(F.col("row_i") / tile).cast("int").alias("trow"), F.floor(F.col("col_j") / tile).cast("int").alias("tcol"), (F.pmod("row_i", F.lit(tile)) * tile + F.pmod("col_j", F.lit(tile))).alias("k"), F.col(value).cast("double").alias("v"))
-    held = keyed.groupBy("trow", "tcol").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("m"))
-    return held.select("trow", "tcol", F.transform(F.sequence(F.lit(0), F.lit(tile * tile - 1)), lambda k: F.col("m")[k]).alias("data"))
+    return keyed.groupBy("trow", "tcol").applyInArrow(fill, "trow int, tcol int, data array<double>")
 
 
 def from_tiles(tiles: DataFrame, tile: int = TILE) -> DataFrame:

@@ -80,7 +80,7 @@ def propose(spark: SparkSession, place: DataFrame, watersheds: DataFrame, popula
     walk = Stage(network.greedy_selection(rows, area.max_ha)).df
     chosen = Stage(vector.union_cells(clipped.join(walk.where("selected").select("hybas_id"), "hybas_id", "left_semi"))).df
     most = area.max_ha / hectares
-    kept = Stage(erode.erode_to_area(chosen, most, 0.01 * most)).df
+    kept = Stage(erode.erode_to_area(chosen, most, 0.01 * most, step=True)).df
     lon, lat = crs.unproject(system, left + (F.col("col_j") + 0.5) * cell_m, top - (F.col("row_i") + 0.5) * cell_m)
     size = kept.agg(F.floor(F.count("*") * hectares).cast("long").alias("total_pp_selected_area_ha"))
     totals = network.selection_totals(walk).select("focal_id", F.col("pop_sum").alias("total_downstream_pop"), "n_visited", "n_selected").crossJoin(F.broadcast(size))  # one row each

@@ -259,6 +259,7 @@ def test_erosion(spark):
     got = erode.erode_to_area(square, 256, 3)
     assert {(r.row_i, r.col_j) for r in got.collect()} == {(i, j) for i in range(2, 18) for j in range(2, 18)}
     assert erode.erode_to_area(square, 300, 1).count() == 400  # no depth comes near: the whole area
+    assert erode.erode_to_area(square, 300, 1, step=True).count() == 256
 
 
 def test_travel_population(spark):

@@ -163,7 +163,7 @@ focal_vectors:
     assert set(walk) == {1, 2} and walk[1].selected and not walk[2].selected
     assert all(abs(walk[i].pop_sum - pops[i]) <= 0.12 * pops[i] for i in pops)
     assert got["inland"].total_downstream_pop == sum(r.pop_sum for r in walk.values())
-    assert abs(got["small"].total_pp_selected_area_ha - 4000) <= 300
+    assert 3300 <= got["small"].total_pp_selected_area_ha <= 4040  # a ring of cells less or more
     assert got["coast"].total_pp_selected_area_ha > got["inland"].total_pp_selected_area_ha
     cells = spark.read.parquet(f"{world}/proposed/small_proposed_areas/cells").agg(F.min("lon"), F.max("lon"), F.min("lat"), F.max("lat")).first()
     assert 8.95 < cells[0] < cells[1] < 9.05 and 47.95 < cells[2] < cells[3] < 48.05
