@@ -63,6 +63,24 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+class Scratch(list):
+    """Durable tables of one computation, deleted together when its result is written."""
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.append(durable(df))
+        return self[-1]
+
+    def table(self, written: DataFrame) -> DataFrame:
+        """A table that is durable already, to be deleted with the others."""
+        self.append(written)
+        return written
+
+    def result(self, df: DataFrame) -> DataFrame:
+        out = durable(df)
+        discard(*self)
+        return out
+
+
 def steps(batch: pa.RecordBatch, text: int) -> Iterator[list[list]]:
     """The columns of a batch as Python lists, a bounded step at a time.
     ``text``: index of the column whose bytes bound the step."""
@@ -161,8 +179,8 @@ def rows_of(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFr
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components of ``edges(a, b)`` (bigint): ``node, component`` with
-    the smallest node of the component, for nodes that have an edge.
+    """Connected components of ``edges(a, b)`` (bigint): a durable table ``node,
+    component`` with the smallest node of the component, for nodes that have an edge.
 
     First every partition of the edges, dealt by range, joins its own edges, which
     leaves a root for each node there; where a node has several roots these are the
@@ -201,9 +219,13 @@ def components(edges: DataFrame) -> DataFrame:
     between = stars.join(several, "n").where("r <> p").select(F.col("p").alias("a"), F.col("r").alias("b"))
     upper = _contract(between)
     if upper is None:
-        return roots.select(F.col("n").alias("node"), F.col("p").alias("component"))
-    named = roots.join(upper.select(F.col("n").alias("p"), F.col("p").alias("top")), "p", "left")
-    return named.select(F.col("n").alias("node"), F.coalesce("top", "p").alias("component"))
+        out = durable(roots.select(F.col("n").alias("node"), F.col("p").alias("component")))
+    else:
+        named = roots.join(upper.select(F.col("n").alias("p"), F.col("p").alias("top")), "p", "left")
+        out = durable(named.select(F.col("n").alias("node"), F.coalesce("top", "p").alias("component")))
+        discard(upper)
+    discard(stars)
+    return out
 
 
 def _contract(edges: DataFrame) -> DataFrame | None:

@@ -18,7 +18,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrascape.llm.common import components, discard, durable
+from terrascape.llm.common import Scratch, components, durable
 
 #: Vectors of a cell on average; least and most cells of a split; vectors that a split
 #: is fitted on, for each of its cells and at most.
@@ -79,13 +79,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     """
     good = valid(vectors, id_col, vector_col)
     # equal vectors: one node that knows its copies
-    nodes = durable(good.groupBy("v").agg(F.min("id").alias("node"), F.count("*").alias("copies")).withColumn("uid", F.xxhash64("v", "node")))
-    edges, counts = _cell_links(nodes.select("node", "copies", "v"), threshold, slack)
-    labels = components(edges)
+    scratch = Scratch()
+    nodes = scratch.keep(good.groupBy("v").agg(F.min("id").alias("node"), F.count("*").alias("copies")))
+    edges, counts = _cell_links(nodes.select("node", "copies", "v"), threshold, slack, scratch)
+    labels = scratch.table(components(edges))
     more = counts.groupBy("node").agg(F.sum("more").cast("long").alias("more"))
     named = nodes.join(more, "node", "left").join(labels, "node", "left")
     named = named.select("v", "copies", F.coalesce("more", F.lit(0)).alias("more"), F.coalesce("component", "node").alias("component"))
-    named = durable(named)
+    named = scratch.keep(named)
     # every id finds its node through its vector; the vectors that make a thousandth of
     # all rows each (so a thousand at most) are sent to the rows, not the rows to them
     total = good.count()
@@ -97,7 +98,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     ids = ids.groupBy("id").agg(F.max("n_links").alias("n_links"), F.min("component").alias("component"))
     joined = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id")).join(ids, "id", "left")
     component = F.when(F.col("id").isNotNull(), F.least(F.coalesce("component", "id"), "id"))
-    return joined.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    return scratch.result(joined.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept")))
 
 
 _PLACED = "cell string, home array<int>, seen array<array<int>>, node long, copies long, v array<double>"
@@ -185,7 +186,7 @@ def _split(placed: DataFrame, crowd: DataFrame, apart: float, slack: float) -> D
     return dealt.groupBy("cell", "piece").cogroup(sent.groupBy("cell", "piece")).applyInArrow(run, _PLACED)
 
 
-def _cell_links(nodes: DataFrame, threshold: float, slack: float = SLACK) -> tuple[DataFrame, DataFrame]:
+def _cell_links(nodes: DataFrame, threshold: float, slack: float, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """``(a, b)`` forest edges and ``(node, more)`` link counts of the nodes.
 
     All vectors of one length begin as one cell.  ``home`` and ``seen`` tell each level's
@@ -194,20 +195,20 @@ def _cell_links(nodes: DataFrame, threshold: float, slack: float = SLACK) -> tup
     number, so it counts once."""
     apart = math.sqrt(max(0.0, 2 - 2 * threshold))  # |u - v| of a linked pair, at most
     unit = F.expr("transform(v, x -> x / array_max(transform(v, y -> abs(y))))")  # no overflow in the squares
-    placed = durable(nodes.select(F.size("v").cast("string").alias("cell"), F.expr("cast(array() as array<int>)").alias("home"), F.expr("cast(array() as array<array<int>>)").alias("seen"), "node", "copies", unit.alias("v")))
+    placed = scratch.keep(nodes.select(F.size("v").cast("string").alias("cell"), F.expr("cast(array() as array<int>)").alias("home"), F.expr("cast(array() as array<array<int>>)").alias("seen"), "node", "copies", unit.alias("v")))
     done = []
-    crowd = durable(placed.groupBy("cell").agg(F.count("*").alias("n"), F.min(F.size("v")).alias("d")).withColumn("was", F.lit(1 << 62).cast("long")))
+    crowd = scratch.keep(placed.groupBy("cell").agg(F.count("*").alias("n"), F.min(F.size("v")).alias("d")).withColumn("was", F.lit(1 << 62).cast("long")))
     for _ in range(LEVELS):
         # a cell that its split hardly made smaller is one cluster: it is compared by blocks
         large = (F.col("n") > SPLIT) & (F.col("n") * 2 < F.col("was"))
-        big = durable(crowd.where(large).select("cell", "n", "d"))
+        big = scratch.keep(crowd.where(large).select("cell", "n", "d"))
         if big.isEmpty():
             break
         done.append(placed.join(crowd.where(~large).select("cell"), "cell", "left_semi"))
-        placed = durable(_split(placed, big, apart, slack))
+        placed = scratch.keep(_split(placed, big, apart, slack))
         sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.min(F.size("v")).alias("d"))
         within = F.regexp_replace("cell", "\\.[0-9]+$", "")
-        crowd = durable(sizes.withColumn("within", within).join(big.select(F.col("cell").alias("within"), F.col("n").alias("was")), "within").select("cell", "n", "d", "was"))
+        crowd = scratch.keep(sizes.withColumn("within", within).join(big.select(F.col("cell").alias("within"), F.col("n").alias("was")), "within").select("cell", "n", "d", "was"))
     for part in done:
         placed = placed.unionByName(part)
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -215,7 +216,7 @@ def _cell_links(nodes: DataFrame, threshold: float, slack: float = SLACK) -> tup
     dealt = placed.join(sizes, "cell").withColumn("mine", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select("cell", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "home", "seen", "node", "copies", "v")
-    found = durable(dealt.groupBy("cell", "i", "j").applyInArrow(_products(threshold), "a long, b long, more long, edge boolean"))
+    found = scratch.keep(dealt.groupBy("cell", "i", "j").applyInArrow(_products(threshold), "a long, b long, more long, edge boolean"))
     return found.where("edge").select("a", "b"), found.where("NOT edge").select(F.col("a").alias("node"), "more")
 
 

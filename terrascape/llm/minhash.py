@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrascape.llm.common import components, durable, map_text, rows_of, schema
+from terrascape.llm.common import Scratch, components, durable, map_text, rows_of, schema
 
 #: Words of a shingle; buckets (2 to a power); mantissa bits of a register; bands of registers.
 WORDS, BUCKET_BITS, MANTISSA, BANDS, ROWS = 5, 7, 10, 25, 5
@@ -292,29 +292,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     read.
     """
     threshold = percent / 100
-    sketch = durable(sketches(docs, id_col, text_col, width))
-    classes = durable(sketch.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_key").agg(F.min("id").alias("rep"), F.first("registers").alias("registers")))
-    band = durable(bands(classes))
+    scratch = Scratch()
+    sketch = scratch.keep(sketches(docs, id_col, text_col, width))
+    classes = scratch.keep(sketch.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_key").agg(F.min("id").alias("rep"), F.first("registers").alias("registers")))
+    band = scratch.keep(bands(classes))
     # first each class with the head that it shares most buckets with: a pair a class
     heads = band.groupBy("band").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "head")
     met = band.join(heads, "band").where("rep <> head").groupBy(F.col("head").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("n"))
-    first = durable(met.groupBy("b").agg(F.min_by("a", F.struct(-F.col("n"), F.col("a"))).alias("a")).select("a", "b"))
-    edges = durable(_confirm(durable(_screen(first, classes, threshold)), docs, id_col, text_col, percent, width))
+    first = scratch.keep(met.groupBy("b").agg(F.min_by("a", F.struct(-F.col("n"), F.col("a"))).alias("a")).select("a", "b"))
+    edges = scratch.keep(_confirm(scratch.keep(_screen(first, classes, threshold)), docs, id_col, text_col, percent, width))
     # then with heads of other components that it shares several buckets with
-    labels = durable(components(edges))
-    second = durable(_other_heads(band, labels).join(first, ["a", "b"], "left_anti"))
+    labels = scratch.table(components(edges))
+    second = scratch.keep(_other_heads(band, labels).join(first, ["a", "b"], "left_anti"))
     if not second.isEmpty():
-        edges = durable(edges.unionByName(_confirm(durable(_screen(second, classes, threshold)), docs, id_col, text_col, percent, width)))
-        labels = durable(components(edges))
+        edges = scratch.keep(edges.unionByName(_confirm(scratch.keep(_screen(second, classes, threshold)), docs, id_col, text_col, percent, width)))
+        labels = scratch.table(components(edges))
     # last, within the buckets that hold several components still; a pair alone in its bucket needs no block
-    alone = durable(_alone(band, labels).join(first.unionByName(second), ["a", "b"], "left_anti"))
-    third = durable(_left_over(band, classes, labels, threshold).unionByName(_screen(alone, classes, threshold)).distinct())
+    alone = scratch.keep(_alone(band, labels).join(first.unionByName(second), ["a", "b"], "left_anti"))
+    third = scratch.keep(_left_over(band, classes, labels, threshold).unionByName(_screen(alone, classes, threshold)).distinct())
     if not third.isEmpty():
-        labels = components(durable(edges.unionByName(_confirm_groups(third, docs, id_col, text_col, classes, labels, percent, width))))
+        labels = scratch.table(components(scratch.keep(edges.unionByName(_confirm_groups(third, docs, id_col, text_col, classes, labels, percent, width)))))
     named = labels.withColumnsRenamed({"node": "rep", "component": "c"})
     of_class = classes.select("set_key", "rep").join(named, "rep", "left").select("set_key", F.coalesce("c", "rep").alias("c"))
     out = sketch.join(of_class, "set_key", "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("c", "id")).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
+    return scratch.result(out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))))
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:

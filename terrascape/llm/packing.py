@@ -180,25 +180,27 @@ def pack(cut: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, group
     """Add ``sequence_id`` and ``offset`` to pieces (columns ``piece``, ``length``).
 
     Within a group longer pieces are placed first, ties by id and piece.  A repeated
-    row is a piece of its own; a null id is kept.  Empty input gives no row.
+    row is a piece of its own; a null id is kept.  Empty input gives no row; columns
+    named like results are replaced, other columns are kept.
     """
-    cut = cut.withColumn("__r", F.xxhash64(*[F.col(f"`{c}`") for c in cut.columns]))
+    names = [c for c in cut.columns if c not in ("sequence_id", "offset")]
+    cut = cut.select(*[F.col(f"`{c}`") for c in names])
+    mark = "group_" + "_" * max(map(len, names))  # a name that no column has
     full = cut.where(F.col("length") >= capacity)
     rest = cut.where(F.col("length") < capacity)
     groups = max(1, -(-rest.count() // group))
-    names = [c for c in cut.columns if c != "__r"]
     # equal rows share a hash, so what deals them is the task and place they come from
-    dealt = rest.withColumn("__g", F.pmod(F.hash("__r", F.monotonically_increasing_id()), F.lit(groups)))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema if f.name != "__r")
+    dealt = rest.withColumn(mark, F.pmod(F.hash(F.xxhash64(*[F.col(f"`{c}`") for c in names]), F.monotonically_increasing_id()), F.lit(groups)))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", id_col, "piece"], ascending=[False, True, True], kind="stable")
         bins, offsets = sum_of_squares(rows["length"].to_numpy(np.int64), capacity)
         return rows[names].assign(sequence_id=bins * groups + key[0], offset=offsets)
 
-    packed = dealt.groupBy("__g").applyInPandas(run, f"{fields}, sequence_id long, offset long")
+    packed = dealt.groupBy(mark).applyInPandas(run, f"{fields}, sequence_id long, offset long")
     # full pieces: numbers below 0, distinct by the task and place they come from
-    alone = full.select(*names, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    alone = full.select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return packed.unionByName(alone)
 
 

@@ -165,6 +165,32 @@ def test_language_mask_counts(spark):
     assert fair[0].argmax() == 1 and fair[1].argmax() == 0 and total[2] > total[0]
 
 
+def test_language_against_plain_sets(spark, small):
+    """Hits by language, totals, corrections and scores, from sets of n-grams instead of
+    sliced filters: each n-gram's languages are those whose set has it, or a false positive."""
+    docs = table(spark, small, "documents")
+    filters = language_id.fit(docs.where(~language_id.held_out()))
+    texts = [r.text for r in docs.where("text IS NOT NULL").limit(20).collect()] + ["", "Über die 12 Häuser"]
+    langs = len(filters.languages)
+    fair, total, letters = language_id.evidence(filters, texts)
+    for k, text in enumerate(texts):
+        grams = [h for hs, _ in language_id._grams(language_id._codes(f" {text.lower()} ")) for h in hs.tolist()]
+        assert total[k] == len(grams) and letters[k] == sum(c.isalpha() for c in text.lower())
+        plain = [0.0] * langs
+        for h in grams:
+            bits = (1 << langs) - 1
+            for p in range(language_id.PROBES):
+                bits &= int(filters.slots[(h >> (24 * p)) & ((1 << language_id.SLOT_BITS) - 1), 0])
+            for j in range(langs):
+                plain[j] += bits >> j & 1
+        for j in range(langs):
+            rate = filters.false_rate[j]
+            assert fair[k][j] == pytest.approx(max(0.0, (plain[j] - len(grams) * rate) / (1 - rate)))
+    # a filter of few n-grams holds what its language's rows hold, and little else
+    got = language_id.identify(docs, filters).where("lang_pred <> 'und'").collect()
+    assert all(0 < r.score <= 1 and 0 <= r.coverage <= 1 for r in got)
+
+
 def test_toxicity(spark, docs):
     data, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
     known = ~language_id.held_out()
