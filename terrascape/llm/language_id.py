@@ -138,7 +138,7 @@ def evidence(filters: Filters, texts: list[str | None]) -> tuple[np.ndarray, np.
         for a in range(0, len(text), PIECE):
             part = text[a : a + PIECE]
             if where:
-                ends.append(size)
+                ends.append(size - 1)  # a text's n-grams begin with the blank before it
             where.append(i)
             pieces += [part, " "]
             size += len(part) + 1
