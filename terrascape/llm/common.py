@@ -257,3 +257,9 @@ def _contract(edges: DataFrame) -> DataFrame | None:
         live = new
     discard(live, *old)
     return labels
+
+
+def crc_sql(e: str) -> str:
+    """DuckDB SQL for the CRC-32 of an ASCII text, bit by bit."""
+    bits = f"list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({e}, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])))"
+    return f"xor(list_reduce({bits}, lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))), 4294967295)"

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrascape.llm import merkle
+from terrascape.llm import merkle, periodic
 from terrascape.llm.common import table
 
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -16,5 +16,9 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, "doc_id", "lang", FIELDS, {"text": merkle.tampered("doc_id", "text")})
 
 
-QUERIES = {f.__name__: f for f in (op11_merkle,)}
-ORACLE_SQL = {"op11_merkle": merkle.ORACLE}
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.detect(table(spark, sf_dir, "documents"), plant=True)
+
+
+QUERIES = {f.__name__: f for f in (op11_merkle, op12_periodic)}
+ORACLE_SQL = {"op11_merkle": merkle.ORACLE, "op12_periodic": periodic.ORACLE}
