@@ -46,11 +46,16 @@ def durable(df: DataFrame) -> DataFrame:
     return out
 
 
+def size_of(df: DataFrame) -> int:
+    """The planner's estimate of a frame's bytes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def parts_for(df: DataFrame, size: int = 64 << 20) -> int:
     """Partitions of about ``size`` bytes for a frame that travels whole: by the
     planner's estimate of its size, and no fewer than the session's shuffles have."""
     most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    estimate = size_of(df)
     return max(1, most, min(1_000_000, -(-estimate // size)) if estimate < 1 << 60 else 0)
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrascape.llm.common import Scratch, parts_for
+from terrascape.llm.common import Scratch, crc_sql, parts_for
 
 #: Children of a full node; levels that a task resolves at once.
 FANOUT, BAND = 8, 3
@@ -323,12 +323,6 @@ def tampered(id_col: str, text: str) -> Column:
     return F.when(hit, F.translate(F.col(f"`{text}`"), upper, lower)).otherwise(F.col(f"`{text}`"))
 
 
-def _crc_sql(e: str) -> str:
-    """CRC-32 of an ASCII text, bit by bit."""
-    bits = f"list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({e}, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])))"
-    return f"xor(list_reduce({bits}, lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))), 4294967295)"
-
-
 def _leaf_sql(text: str) -> str:
     fields = ["doc_id", "source", "lang", "n_chars", text]
     return "sha256(" + " || ".join(f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in fields) + ")"
@@ -336,7 +330,7 @@ def _leaf_sql(text: str) -> str:
 
 #: The query's result in DuckDB: both trees and both folds as recursions over levels.
 ORACLE = f"""
-WITH RECURSIVE d AS (SELECT doc_id, source, lang, n_chars, text, CASE WHEN {_crc_sql('doc_id::VARCHAR')} % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS bad FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, source, lang, n_chars, text, CASE WHEN {crc_sql('doc_id::VARCHAR')} % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS bad FROM documents),
 n AS MATERIALIZED (SELECT doc_id, leaf, other, g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
   FROM (SELECT doc_id, coalesce('.' || lang, '') AS g, {_leaf_sql('text')} AS leaf, {_leaf_sql('bad')} AS other FROM d)),
 t(lvl, g, pos, h) AS (SELECT 0, g, pos, leaf FROM n

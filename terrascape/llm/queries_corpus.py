@@ -4,8 +4,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from terrascape.llm import merkle, periodic
+from terrascape.llm import merkle, periodic, ppm
 from terrascape.llm.common import table
 
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -20,5 +21,9 @@ def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.detect(table(spark, sf_dir, "documents"), plant=True)
 
 
-QUERIES = {f.__name__: f for f in (op11_merkle, op12_periodic)}
+def op13_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2)
+
+
+QUERIES = {f.__name__: f for f in (op11_merkle, op12_periodic, op13_ppm)}
 ORACLE_SQL = {"op11_merkle": merkle.ORACLE, "op12_periodic": periodic.ORACLE}
