@@ -148,7 +148,8 @@ def gather(docs: DataFrame, order: int) -> DataFrame:
         yield from own.rows(part << 24 | chunk)
 
     # whole tasks of input make large chunks, in which words and grams occur once
-    wide = docs.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, -(-size_of(docs) // TASK)))
+    size = size_of(docs)
+    wide = docs.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // TASK))) if size < 1 << 50 else docs  # not where it is unknown
     return wide.mapInArrow(run, ROWS)
 
 
