@@ -54,13 +54,44 @@ def grams(texts: list[list[bytes]], order: int) -> tuple[np.ndarray, np.ndarray]
     pad = b" " * order
     lines = [b" ".join(w) + b"\n" for w in texts]
     size = np.array([len(t) for t in lines])
-    whole = np.frombuffer(pad + pad.join(lines), np.uint8).astype(np.int64)
-    first = np.cumsum(size + order) - size  # of the bytes of each text
-    at = np.arange(int(size.sum())) + np.repeat(first - (np.cumsum(size) - size), size)
-    found = whole[at]
+    whole = np.frombuffer(pad + pad.join(lines), np.uint8)
+    found = whole.astype(np.int64)
     for back in range(1, order + 1):
-        found |= whole[at - back] << (8 * back)
-    return found, size
+        found[back:] |= whole[:-back].astype(np.int64) << (8 * back)
+    own = np.ones(len(whole), bool)  # the bytes of texts, not those between them
+    first = np.cumsum(size + order) - size
+    for back in range(1, order + 1):
+        own[first - back] = False
+    return found[own], size
+
+
+class Lookup:
+    """Values of distinct keys, by an open hash table: each key in the first free slot
+    from its hash on."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits)
+        slot = self._slot(keys)
+        while len(keys):
+            free = self.keys[slot] < 0
+            self.keys[slot[free]] = keys[free]  # of several for one slot, one stays
+            mine = self.keys[slot] == keys
+            self.values[slot[mine]] = values[mine]
+            keys, values, slot = keys[~mine], values[~mine], (slot[~mine] + 1) & self.last
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        """Values of keys that all are in the table."""
+        slot = self._slot(keys)
+        missed = np.flatnonzero(self.keys[slot] != keys)
+        while len(missed):
+            slot[missed] = (slot[missed] + 1) & self.last
+            missed = missed[self.keys[slot[missed]] != keys[missed]]
+        return self.values[slot]
 
 
 class Chunk:
@@ -94,7 +125,7 @@ class Chunk:
 
     def settled(self) -> tuple[np.ndarray, np.ndarray]:
         keys = np.concatenate([k for k, _ in self.grams])
-        order = np.argsort(keys)
+        order = np.argsort(keys, kind="stable")  # runs in order already
         keys, n = keys[order], np.concatenate([n for _, n in self.grams])[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
         return keys[first], (np.add.reduceat(n, first) if len(first) else n)
@@ -147,10 +178,7 @@ def gather(docs: DataFrame, order: int) -> DataFrame:
                     chunk, own = chunk + 1, Chunk(order)
         yield from own.rows(part << 24 | chunk)
 
-    # whole tasks of input make large chunks, in which words and grams occur once
-    size = size_of(docs)
-    wide = docs.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // TASK))) if size < 1 << 50 else docs  # not where it is unknown
-    return wide.mapInArrow(run, ROWS)
+    return docs.mapInArrow(run, ROWS)
 
 
 def _shorter(counts: DataFrame, order: int) -> DataFrame:
@@ -212,6 +240,9 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     """
     scratch = Scratch()
     held = F.coalesce(held, F.lit(False))
+    size, cores = size_of(docs), docs.sparkSession.sparkContext.defaultParallelism
+    if size < 1 << 50:  # known: larger tasks make larger chunks, in which words and grams occur once
+        docs = docs.coalesce(max(4 * cores, -(-size // TASK)))
     chunks = scratch.keep(gather(docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), held.alias("held"), F.col(f"`{text_col}`").alias("text")), order))
     words = chunks.where(f"kind = {WORD}")
     known = scratch.keep(words.groupBy("data").agg(F.sum("n").alias("c")).where("c > 0"))
@@ -279,12 +310,13 @@ class _Reader:
     def score(self, texts: list[np.ndarray], room: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Known words, base score without the end, and score of each text."""
         if not self.ready:
-            self.gram, self.cost = np.concatenate(self.gram), np.concatenate(self.cost)
+            self.cost = Lookup(np.concatenate(self.gram), np.concatenate(self.cost))
+            self.gram = []
             self.count = np.concatenate(self.count) if self.count else np.zeros(1, np.int64)
             self.base = np.log10(self.count + 1.0) - room
             self.ready = True
         found, size = grams([list(map(self.words.__getitem__, t.tolist())) for t in texts], self.order)
-        cost = self.cost[np.searchsorted(self.gram, found)]
+        cost = self.cost[found]
         whole = np.add.reduceat(cost, np.cumsum(size) - size)
         seen = np.array([np.count_nonzero(self.count[t]) for t in texts])
         base = np.array([self.base[t].sum() for t in texts])
