@@ -298,6 +298,27 @@ def test_line_dedup_shift(spark, monkeypatch, weak):
         assert got[i].text == (text if i % 2 == 0 else "\n".join([*own[i][0], *own[i][1]]))
 
 
+def test_line_dedup_chunks_decide(spark):
+    """Passages of short lines are found through chunks: other boundaries give other
+    chunks, and without boundaries a shifted passage is not found."""
+    rng = random.Random(5)
+    short = lambda: " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(10**4)}" for _ in range(4))
+    docs, own = [], []
+    for k in range(12):
+        passage = [short() for _ in range(14)]
+        for _ in range(2):
+            own.append([[short() for _ in range(rng.randrange(1, 7))] for _ in range(2)])
+            docs.append((len(docs), "\n".join([*own[-1][0], *passage, *own[-1][1]])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in line_dedup.dedup(df).collect()}
+    for i, text in docs:
+        assert got[i].text == (text if i % 2 == 0 else "\n".join([*own[i][0], *own[i][1]]))
+    chunks = lambda mean: {(r.doc_id, c.at, c.n) for r in df.select("doc_id", line_dedup.chunks(line_dedup.lines_of(df.text), mean=mean).alias("c")).collect() for c in r.c}
+    assert chunks(2) != chunks(3)
+    fixed = line_dedup.dedup(df, mean=10**7).where("n_removed > 0").count()  # cut after every MOST lines only
+    assert fixed < 6
+
+
 def test_chat(spark, small):
     rows = table(spark, small, "conversations").collect()
     got = {r.conv_id: r for r in chat.op1_chat(spark, small).collect()}
