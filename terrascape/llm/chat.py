@@ -30,6 +30,9 @@ START, STOP = "<|im_start|>", "<|im_end|>"
 #: Turns of a block; turns before it that it is rendered after; turns of the longest
 #: history that a template is tried on.
 BLOCK, BORDER, LONG = 64, 8, 4096
+#: Characters of each turn's text in these histories: what a template does with a turn
+#: for its history's sake shows on short texts, and long turns don't add up.
+SHORT = 32
 PROBE = "probe"
 
 Turn = tuple[str, str]
@@ -117,7 +120,9 @@ def _common(a: str, b: str) -> int:
 
 def check_independent(template: Template, turns: list[Turn], longest: int = LONG) -> None:
     """Raise if the rendering of a turn depends on a history, of up to ``longest`` turns
-    (made of the given ones, over and over)."""
+    (made of the beginnings of the given ones, over and over: at most ``longest`` times
+    SHORT characters and the roles)."""
+    turns = [(role, text[:SHORT]) for role, text in turns]
     n = 1
     while n <= longest:
         history = [turns[k % len(turns)] for k in range(n)]

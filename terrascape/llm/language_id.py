@@ -21,7 +21,8 @@ from terrascape.llm.common import filter_text, map_text, schema
 FIT_ROWS = 400
 #: N-grams held per language and order; slots of the sliced filter; probes a lookup makes.
 TOP, ORDERS, SLOT_BITS, PROBES = 3000, (3, 4), 18, 2
-#: Code points handled at once; a longer text is counted in several such pieces.
+#: Code points handled at once; a longer text is counted in several such windows, which
+#: share the n-grams' ends, so its counts are those of the whole text.
 PIECE = 1 << 20
 UNKNOWN = "und"
 
@@ -48,25 +49,20 @@ def _codes(text: str) -> np.ndarray:
     return np.where(_letters[codes], codes, 0).astype(np.uint64)
 
 
-def _grams(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(hash, start) of the n-grams of each order whose inner characters are letters
+def _grams(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, start) of the n-grams of one order whose inner characters are letters
     (an end may be a word boundary)."""
-    out = []
-    for n in ORDERS:
-        if len(codes) < n:
-            continue
-        m = len(codes) - n + 1
-        h, inner = np.full(m, n, np.uint64), np.ones(m, bool)
-        for i in range(n):
-            h = (h ^ codes[i : m + i]) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-            if 0 < i < n - 1:
-                inner &= codes[i : m + i] > 0
-        if n == 4:  # a 4-gram wholly inside or at one end of a word
-            inner &= (codes[:m] > 0) | (codes[3 : m + 3] > 0)
-        at = np.flatnonzero(inner)
-        out.append((h[at], at))
-    return out
+    m = max(0, len(codes) - n + 1)
+    h, inner = np.full(m, n, np.uint64), np.ones(m, bool)
+    for i in range(n):
+        h = (h ^ codes[i : m + i]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+        if 0 < i < n - 1:
+            inner &= codes[i : m + i] > 0
+    if n == 4:  # a 4-gram wholly inside or at one end of a word
+        inner &= (codes[:m] > 0) | (codes[3 : m + 3] > 0)
+    at = np.flatnonzero(inner)
+    return h[at], at
 
 
 def _probe(slots: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -89,21 +85,20 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     dice, chosen = F.pmod(F.xxhash64(F.col("i"), F.lit("fit")), F.lit(1_000_000)), F.lit(False)
     for name in languages:
         chosen = chosen | ((F.col("l") == name) & (dice < int(1_000_000 * min(1, rows / counts[name])) + 1))
-    grams: dict[str, list[np.ndarray]] = {name: [] for name in languages}
+    grams: dict[tuple[str, int], list[np.ndarray]] = {(name, n): [] for name in languages for n in ORDERS}
     for row in labelled.where(chosen).select("l", "t").toLocalIterator():
-        for h, _ in _grams(_codes(f" {row['t'].lower()} ")):
-            grams[row["l"]].append(h)
+        codes = _codes(f" {row['t'].lower()} ")
+        for n in ORDERS:
+            grams[row["l"], n].append(_grams(codes, n)[0])
     words = -(-len(languages) // 64)
     slots = np.zeros((1 << SLOT_BITS, words), np.uint64)
     mask = np.uint64((1 << SLOT_BITS) - 1)
-    held = np.zeros(len(languages))
     for k, name in enumerate(languages):
-        for parts in (grams[name][0 :: len(ORDERS)], grams[name][1 :: len(ORDERS)]):
-            if not parts:
+        for n in ORDERS:
+            if not grams[name, n]:
                 continue
-            h, n = np.unique(np.concatenate(parts), return_counts=True)
-            top = h[np.lexsort((h, -n))[:TOP]]
-            held[k] += len(top)
+            h, times = np.unique(np.concatenate(grams[name, n]), return_counts=True)
+            top = h[np.lexsort((h, -times))[:TOP]]
             for p in range(PROBES):
                 np.bitwise_or.at(slots[:, k // 64], ((top >> np.uint64(24 * p)) & mask).astype(np.int64), np.uint64(1 << (k % 64)))
     set_bits = np.array([((slots[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)).mean() for k in range(len(languages))])
@@ -117,31 +112,44 @@ def evidence(filters: Filters, texts: list[str | None]) -> tuple[np.ndarray, np.
     pieces, ends, size = [" "], [0], 1
     where: list[int] = []
 
+    def add(h: np.ndarray, of: np.ndarray, owner: np.ndarray) -> None:
+        np.add.at(total, owner, np.bincount(of, minlength=len(owner)))
+        found = _probe(filters.slots, h)
+        for k in range(langs):
+            bit = (found[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)
+            np.add.at(hits[:, k], owner, np.bincount(of, weights=bit, minlength=len(owner)))
+
     def count() -> None:
         nonlocal pieces, ends, size
         codes = _codes("".join(pieces))
         owner, starts = np.array(where), np.array(ends)
         letters_at = np.add.reduceat(np.append(codes > 0, 0).astype(np.int64), starts) if len(starts) else []
         np.add.at(letters, owner, letters_at)
-        for h, at in _grams(codes):
-            of = np.searchsorted(starts, at, "right") - 1
-            np.add.at(total, owner, np.bincount(of, minlength=len(owner)))
-            found = _probe(filters.slots, h)
-            for k in range(langs):
-                bit = (found[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)
-                np.add.at(hits[:, k], owner, np.bincount(of, weights=bit, minlength=len(owner)))
+        for n in ORDERS:
+            h, at = _grams(codes, n)
+            add(h, np.searchsorted(starts, at, "right") - 1, owner)
         pieces, ends, size = [" "], [0], 1
         where.clear()
 
+    def count_long(i: int, text: str) -> None:  # a window at a time; n-grams begin in it and may end after it
+        text = f" {text} "
+        for a in range(0, len(text), PIECE):
+            codes = _codes(text[a : a + PIECE + max(ORDERS) - 1])
+            letters[i] += np.count_nonzero(codes[:PIECE])
+            for n in ORDERS:
+                h, _ = _grams(codes[: PIECE + n - 1], n)
+                add(h, np.zeros(len(h), np.int64), np.array([i]))
+
     for i, text in enumerate(texts):
         text = (text or "").lower()
-        for a in range(0, len(text), PIECE):
-            part = text[a : a + PIECE]
+        if len(text) > PIECE:
+            count_long(i, text)
+        elif text:
             if where:
                 ends.append(size - 1)  # a text's n-grams begin with the blank before it
             where.append(i)
-            pieces += [part, " "]
-            size += len(part) + 1
+            pieces += [text, " "]
+            size += len(text) + 1
             if size >= PIECE:
                 count()
     if where:

@@ -351,6 +351,26 @@ def test_chat_blocks_and_edges(spark):
     assert (found.n_turns, found.loss_chars) == (4, len("a" + chat.PROBE + " d"))
 
 
+def test_chat_long_texts(spark):
+    """Turns of a megabyte: the template is tried on short histories."""
+    import tracemalloc
+
+    turns = [("user" if k % 2 else "assistant", "ab<|c " * 170_000) for k in range(3)]
+    tracemalloc.start()
+    chat.check_independent(chat.marked_turns, turns)
+    assert tracemalloc.get_traced_memory()[1] < 50 << 20
+    tracemalloc.stop()
+    df = spark.createDataFrame([(1, k, r, t) for k, (r, t) in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    got = chat.digests(chat.blocks(df)).collect()[0]
+    assert (got.n_turns, got.loss_chars) == (3, 2 * len(turns[0][1]))
+
+    def late(turns):  # looks back after 3000 turns
+        return "".join(f"[{r}]{t}\n" if k < 3000 else "[late]\n" for k, (r, t) in enumerate(turns))
+
+    with pytest.raises(ValueError):
+        chat.check_independent(late, turns)
+
+
 def test_chat_templates(spark):
     def forgets(turns):  # drops assistant texts of earlier turns
         return "".join(f"[{r}]{t if r != 'assistant' or k == len(turns) - 1 else '...'}\n" for k, (r, t) in enumerate(turns))

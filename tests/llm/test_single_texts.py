@@ -4,6 +4,7 @@ brute force, on small tables with every edge case."""
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -174,7 +175,8 @@ def test_language_against_plain_sets(spark, small):
     langs = len(filters.languages)
     fair, total, letters = language_id.evidence(filters, texts)
     for k, text in enumerate(texts):
-        grams = [h for hs, _ in language_id._grams(language_id._codes(f" {text.lower()} ")) for h in hs.tolist()]
+        codes = language_id._codes(f" {text.lower()} ")
+        grams = [h for n in language_id.ORDERS for h in language_id._grams(codes, n)[0].tolist()]
         assert total[k] == len(grams) and letters[k] == sum(c.isalpha() for c in text.lower())
         plain = [0.0] * langs
         for h in grams:
@@ -191,6 +193,45 @@ def test_language_against_plain_sets(spark, small):
     assert all(0 < r.score <= 1 and 0 <= r.coverage <= 1 for r in got)
 
 
+def plain_grams(text, n):
+    """n-grams as strings: other characters are blanks, inner ones letters."""
+    line = "".join(c if c.isalpha() else " " for c in f" {text.lower()} ")
+    found = [line[k : k + n] for k in range(len(line) - n + 1)]
+    return [g for g in found if " " not in g[1:-1] and (n == 3 or g[0] != " " or g[-1] != " ")]
+
+
+def test_language_filters_hold_the_frequent_grams(spark, small):
+    """Which n-grams are held, from sets built of the rows' strings; a row of one letter,
+    and an empty one, change nothing else."""
+    known = table(spark, small, "documents").where(~language_id.held_out())
+    filters = language_id.fit(known)
+    odd = spark.createDataFrame([(9_000_000 + k, t, "de") for k, t in enumerate(["x", "", "!", "ab"])], "doc_id long, text string, lang string")
+    assert (language_id.fit(known.select("doc_id", "text", "lang").unionByName(odd)).slots != filters.slots).sum() <= 4 * 2 * language_id.PROBES
+    rows = known.where("text IS NOT NULL AND lang IS NOT NULL").collect()
+    for k, name in enumerate(filters.languages):
+        for n in language_id.ORDERS:
+            count = Counter(g for r in rows if r.lang == name for g in plain_grams(r.text, n))
+            ranked = sorted(count.values(), reverse=True)
+            least = ranked[language_id.TOP - 1] if len(ranked) > language_id.TOP else 0
+            frequent = [g for g, c in count.items() if c > least]
+            assert frequent
+            rare = [g for g, c in count.items() if c < least]
+            held = lambda g: bool(int(language_id._probe(filters.slots, language_id._grams(language_id._codes(g), n)[0])[0, 0]) >> k & 1)
+            assert all(map(held, frequent))
+            assert sum(map(held, rare)) <= 0.05 * len(rare) + 5  # false positives
+
+
+def test_language_windows_of_long_texts(spark, small, monkeypatch):
+    """A text counted in windows has the counts of the whole text."""
+    filters = language_id.fit(table(spark, small, "documents").where(~language_id.held_out()))
+    texts = ["the quick brown fox " * 40, "x", None, "übermäßig lange wörter " * 33]
+    want = language_id.evidence(filters, texts)
+    for size in (1, 5, 64, 701):
+        monkeypatch.setattr(language_id, "PIECE", size)
+        for a, b in zip(language_id.evidence(filters, texts), want):
+            assert a == pytest.approx(b)
+
+
 def test_toxicity(spark, docs):
     data, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
     known = ~language_id.held_out()
