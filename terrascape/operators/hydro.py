@@ -1,20 +1,31 @@
-"""Terrain flow on a grid of elevations: pit filling, multiple-flow directions,
+"""Terrain flow on a grid of elevations: pit filling, flats, multiple-flow directions,
 reachability and weighted accumulation.
 
 Cells are ``row_i, col_j, elev`` (one grid; NULL elevations are outside).  Flow goes
-to every lower neighbour, in shares by slope (Quinn and others, 1991); flats don't flow.
+to every lower neighbour, in shares by slope (Quinn and others, 1991).  A cell inside the
+grid without a lower neighbour lies in a flat; its water goes towards the flat's outlets
+and away from higher terrain (Barnes, Lehman and Mulla, 2014).
+
+Reachability and accumulation take a tile at a time: a tile leaves a map from the cells
+where water may enter to those where it leaves, the maps are joined in rounds that follow
+tile crossings, and a last pass fills the tiles.  So the cells are read a fixed number of
+times, however long a flow path is.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrascape.model import NEIGHBOURS
 from terrascape.operators.reach import GROUP_CELLS, choose_plan, least_values
 from terrascape.sources.durable import Growing, Stage
 
+#: Cells of a side of the tiles of flow: a task holds 4 * FLOW_TILE values for each cell.
+FLOW_TILE = 64
+
 
 def _around(cells: DataFrame, keep: list[str]) -> DataFrame:
     """Each cell beside its 8 neighbour places ``ni, nj``."""
@@ -22,14 +33,68 @@ def _around(cells: DataFrame, keep: list[str]) -> DataFrame:
     return cells.select(*keep, F.explode(steps).alias("s")).select(*keep, (F.col("row_i") + F.col("s.di")).alias("ni"), (F.col("col_j") + F.col("s.dj")).alias("nj"), F.col("s.slant").alias("slant"))
 
 
-def flow_edges(dem: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """``row_i, col_j, to_i, to_j, drop, slant`` to every lower neighbour (of the same
-    grid, where the columns ``by`` tell grids apart)."""
+class Steps:
+    """The rule of counting steps."""
+
+    dtype = np.float32
+
+    def __call__(self, steps: np.ndarray, cost: np.ndarray, slant) -> np.ndarray:
+        return steps + np.float32(1)
+
+
+def flat_gradients(met: DataFrame, by: list[str], plan: str | None = None, tile: int = 256, group_cells: int = GROUP_CELLS) -> DataFrame:
+    """``row_i, col_j, level, away`` of the cells that lie in flats with an outlet.
+
+    ``met``: each cell (``by, row_i, col_j, elev``) beside each neighbour (``ni, nj,
+    low``).  Cells of a flat have 8 neighbours, none lower, so two of them that touch
+    are equally high and of one flat.  ``away``: steps from higher terrain, 0 without
+    any; ``level``: twice the steps from an outlet (a neighbour as high that has a lower
+    one or lies on the border) less ``away``: lower towards outlets, and off the walls
+    where that is a tie.
+    """
+    key = [*by, "row_i", "col_j"]
+    flat = met.groupBy(*key).agg(F.first("elev").alias("elev"), F.count("*").alias("n"), F.min("low").alias("least"), F.max("low").alias("most")).where("n = 8 AND least >= elev")
+    flat = Stage(flat.select(*key, "elev", (F.col("most") > F.col("elev")).alias("walled")))
+    there = flat.df.select(*by, F.col("row_i").alias("ni"), F.col("col_j").alias("nj"), F.lit(True).alias("same"))
+    beside = met.where("low = elev").join(flat.df.select(*key), key, "left_semi").join(there, [*by, "ni", "nj"], "left")
+    outlets = beside.where("same IS NULL").select(*key).distinct().withColumn("open", F.lit(True))
+    cells = Stage(flat.df.join(outlets, key, "left"))
+
+    def steps(first: str) -> DataFrame:
+        area = F.concat_ws("/", *[F.col(c).cast("string") for c in by]) if by else F.lit("dem")
+        named = cells.df.select(area.alias("aoi_id"), "row_i", "col_j", F.lit(1.0).alias("cost"), F.lit(False).alias("closed"), F.when(F.col(first), 1.0).alias("v"))
+        return least_values(named, Steps(), plan or choose_plan(named, group_cells), tile)
+
+    area = F.concat_ws("/", *[F.col(c).cast("string") for c in by]) if by else F.lit("dem")
+    near, far = steps("open").withColumnRenamed("v", "near"), steps("walled").withColumnRenamed("v", "far")
+    where = ["aoi_id", "row_i", "col_j"]
+    found = cells.df.select(*by, "row_i", "col_j", area.alias("aoi_id") if "aoi_id" not in by else F.lit(0).alias("unused")).withColumn("aoi_id", area)
+    found = found.join(near, where).join(far, where, "left")
+    away = F.coalesce("far", F.lit(0.0)).cast("long")
+    out = Stage(found.select(*key, (2 * F.col("near").cast("long") - away).alias("level"), away.alias("away")))
+    flat.drop()
+    cells.drop()
+    return out.df
+
+
+def flow_edges(dem: DataFrame, by: list[str] | None = None, plan: str | None = None, tile: int = 256) -> DataFrame:
+    """``row_i, col_j, to_i, to_j, drop, slant, flat``: flow to every lower neighbour (of
+    the same grid, where the columns ``by`` tell grids apart), and in flats (``flat``) to
+    outlets and to neighbours whose gradient is lower; there ``drop`` is that of the
+    gradient, 2 to an outlet.  Flats without an outlet, as pits have, don't flow."""
     by = by or []
+    key = [*by, "row_i", "col_j"]
     dem = dem.where("elev IS NOT NULL")
     below = dem.select(*by, F.col("row_i").alias("ni"), F.col("col_j").alias("nj"), F.col("elev").alias("low"))
-    met = _around(dem, [*by, "row_i", "col_j", "elev"]).join(below, [*by, "ni", "nj"]).where("elev > low")
-    return met.select(*by, "row_i", "col_j", F.col("ni").alias("to_i"), F.col("nj").alias("to_j"), (F.col("elev") - F.col("low")).alias("drop"), "slant")
+    met = _around(dem, [*key, "elev"]).join(below, [*by, "ni", "nj"])
+    level = flat_gradients(met, by, plan, tile)
+    there = level.select(*by, F.col("row_i").alias("ni"), F.col("col_j").alias("nj"), F.col("level").alias("next"))
+    inside = met.where("low = elev").join(level, key).join(there, [*by, "ni", "nj"], "left")
+    fall = F.when(F.col("next").isNull(), 2).otherwise(F.col("level") - F.col("next"))
+    columns = [*key, F.col("ni").alias("to_i"), F.col("nj").alias("to_j")]
+    slopes = met.where("elev > low").select(*columns, (F.col("elev") - F.col("low")).alias("drop"), "slant", F.lit(False).alias("flat"))
+    kind = slopes.schema["drop"].dataType.simpleString()
+    return slopes.unionByName(inside.where(fall > 0).select(*columns, fall.cast(kind).alias("drop"), "slant", F.lit(True).alias("flat")))
 
 
 def flow_shares(edges: DataFrame) -> DataFrame:
@@ -40,34 +105,192 @@ def flow_shares(edges: DataFrame) -> DataFrame:
     return sloped.join(total, ["row_i", "col_j"]).select("row_i", "col_j", "to_i", "to_j", (F.col("slope") / F.col("total")).alias("share"))
 
 
-def reachable(edges: DataFrame, start: DataFrame, by: list[str] | None = None) -> DataFrame:
+def _tile_of(i: str, j: str, tile: int) -> list[Column]:
+    return [F.floor(F.col(i) / tile).cast("int").alias("tr"), F.floor(F.col(j) / tile).cast("int").alias("tc")]
+
+
+class _Paths:
+    """The flow edges of one tile, in an order in which all that flows into a cell comes
+    before what flows out of it."""
+
+    def __init__(self, rows: pd.DataFrame, tile: int) -> None:
+        tr, tc = int(rows["tr"].iloc[0]), int(rows["tc"].iloc[0])
+        self.tile, self.i0, self.j0 = tile, tr * tile, tc * tile
+        edge = rows[rows["kind"] == "edge"]
+        self.start = self.at(edge["row_i"], edge["col_j"])
+        to_i, to_j = edge["to_i"].to_numpy(np.int64), edge["to_j"].to_numpy(np.int64)
+        inner = (to_i // tile == tr) & (to_j // tile == tc)
+        share = edge["share"].to_numpy(np.float64)
+        self.out = self.start[~inner], to_i[~inner], to_j[~inner], share[~inner]
+        start, stop, share = self.start[inner], self.at(to_i[inner], to_j[inner]), share[inner]
+        level = self._levels(start, stop)
+        order = np.lexsort((stop, level[stop]))
+        start, stop, self.share = start[order], stop[order], share[order]
+        self.start, self.stop = start, stop
+        cut = np.flatnonzero(np.diff(level[stop], prepend=-1)) if len(stop) else np.empty(0, np.int64)
+        self.cuts = [*cut.tolist(), len(stop)]
+
+    def at(self, i, j) -> np.ndarray:
+        return (np.asarray(i, np.int64) - self.i0) * self.tile + np.asarray(j, np.int64) - self.j0
+
+    def _levels(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        n = self.tile * self.tile
+        level, left = np.zeros(n, np.int64), np.bincount(stop, minlength=n)
+        order = np.argsort(start, kind="stable")
+        first = np.searchsorted(start[order], np.arange(n + 1))
+        ready, k, done = np.flatnonzero((left == 0) & (np.diff(first) > 0)), 0, 0
+        while len(ready):
+            size = first[ready + 1] - first[ready]
+            done += int(size.sum())
+            k += 1
+            e = order[np.repeat(first[ready] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+            np.subtract.at(left, stop[e], 1)
+            reached = np.unique(stop[e])
+            ready = reached[left[reached] == 0]
+            level[ready] = k
+        if done < len(start):
+            raise ValueError("flow edges have a cycle")
+        return level
+
+    def flow(self, value: np.ndarray, weighed: bool) -> np.ndarray:
+        """``value`` (cells, columns) and all that flows in, in shares (or as marks)."""
+        for a, b in zip(self.cuts, self.cuts[1:]):
+            stop = self.stop[a:b]
+            first = np.flatnonzero(np.diff(stop, prepend=-1))
+            come = value[self.start[a:b]]
+            if weighed:
+                value[stop[first]] += np.add.reduceat(come * self.share[a:b, None], first, axis=0)
+            else:
+                value[stop[first]] |= np.logical_or.reduceat(come, first, axis=0)
+        return value
+
+
+_MAP = "row_i int, col_j int, to_i int, to_j int, flow double"
+
+
+def _edge_rows(links: DataFrame, by: list[str], tile: int) -> DataFrame:
+    none = F.lit(None).cast("double")
+    return links.select(*by, F.lit("edge").alias("kind"), *_tile_of("row_i", "col_j", tile), "row_i", "col_j", "to_i", "to_j", "share", none.alias("w"))
+
+
+def _cell_rows(cells: DataFrame, by: list[str], kind: str, tile: int) -> DataFrame:
+    none = F.lit(None)
+    weight = F.col("w").cast("double") if "w" in cells.columns else F.lit(1.0)
+    return cells.select(*by, F.lit(kind).alias("kind"), *_tile_of("row_i", "col_j", tile), "row_i", "col_j", none.cast("int").alias("to_i"), none.cast("int").alias("to_j"), none.cast("double").alias("share"), weight.alias("w"))
+
+
+def _crossings(links: DataFrame, by: list[str], tile: int) -> DataFrame:
+    """The cells where water may enter a tile."""
+    other = (F.floor(F.col("row_i") / tile) != F.floor(F.col("to_i") / tile)) | (F.floor(F.col("col_j") / tile) != F.floor(F.col("to_j") / tile))
+    return links.where(other).select(*by, F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j")).distinct()
+
+
+def _tile_maps(links: DataFrame, by: list[str], tile: int, weighed: bool) -> DataFrame:
+    """``row_i, col_j, to_i, to_j, flow``: from a cell where water may enter a tile to a
+    cell of another tile that it comes to next, and which share of it does."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        paths = _Paths(rows, tile)
+        enter = rows[rows["kind"] == "enter"]
+        value = np.zeros((tile * tile, len(enter)), np.float64 if weighed else bool)
+        value[paths.at(enter["row_i"], enter["col_j"]), np.arange(len(enter))] = 1
+        value = paths.flow(value, weighed)
+        start, to_i, to_j, share = paths.out
+        leave = value[start] * share[:, None] if weighed else value[start]
+        k, e = np.nonzero(leave)
+        found = enter[["row_i", "col_j"]].iloc[e].reset_index(drop=True).assign(to_i=to_i[k], to_j=to_j[k], flow=leave[k, e].astype(np.float64))
+        found = found.groupby(["row_i", "col_j", "to_i", "to_j"], as_index=False)["flow"].sum() if len(found) else found
+        return found.assign(**{c: rows[c].iloc[0] for c in by})[[*by, "row_i", "col_j", "to_i", "to_j", "flow"]]
+
+    rows = _edge_rows(links, by, tile).unionByName(_cell_rows(_crossings(links, by, tile), by, "enter", tile))
+    ddl = ", ".join([*[f"`{c}` {links.schema[c].dataType.simpleString()}" for c in by], _MAP])
+    return rows.groupBy(*by, "tr", "tc").applyInPandas(run, ddl)
+
+
+def reachable(edges: DataFrame, start: DataFrame, by: list[str] | None = None, tile: int = FLOW_TILE) -> DataFrame:
     """``row_i, col_j`` of the cells that flow from ``start`` reaches, start included;
     apart for each value of the columns ``by`` of ``start`` (and of ``edges``, where it
-    has them)."""
+    has them).  Edges that form a cycle are an error."""
     by = by or []
     key = [*by, "row_i", "col_j"]
-    on = [c for c in key if c in edges.columns]
-    links = Stage(edges.select(*on, "to_i", "to_j")).df  # read in every round
-    seen = Growing(start.select(*key).distinct())
-    while not seen.front.isEmpty():
-        to = seen.front.join(links, on).select(*by, F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j")).distinct()
-        seen.add(to.join(seen.df, key, "left_anti"))
-    return seen.settle()
+    on = [c for c in by if c in edges.columns]
+    links = Stage(edges.select(*on, "row_i", "col_j", "to_i", "to_j", F.lit(1.0).alias("share")))
+    start = Stage(start.select(*key).distinct())
+    ddl = ", ".join([*[f"`{c}` {start.df.schema[c].dataType.simpleString()}" for c in by], "row_i int, col_j int, outside boolean"])
 
+    def spread(rows: pd.DataFrame) -> pd.DataFrame:
+        paths = _Paths(rows, tile)
+        mark = rows[rows["kind"] == "mark"]
+        value = np.zeros((tile * tile, 1), bool)
+        value[paths.at(mark["row_i"], mark["col_j"])] = True
+        value = paths.flow(value, False)[:, 0]
+        own = np.flatnonzero(value)
+        begin, to_i, to_j, _ = paths.out
+        gone = value[begin]
+        i, j = np.concatenate([own // tile + paths.i0, to_i[gone]]), np.concatenate([own % tile + paths.j0, to_j[gone]])
+        found = pd.DataFrame({"row_i": i, "col_j": j, "outside": np.arange(len(i)) >= len(own)}).drop_duplicates()
+        return found.assign(**{c: rows[c].iloc[0] for c in by})[[*by, "row_i", "col_j", "outside"]]
 
-def accumulate(shares: DataFrame, weights: DataFrame) -> DataFrame:
-    """``row_i, col_j, acc``: own weight plus the shares of what flows in.
+    def spread_all(marks: DataFrame) -> DataFrame:
+        busy = marks.select(*by, *_tile_of("row_i", "col_j", tile)).distinct()
+        own = _edge_rows(links.df, on, tile).join(busy, [*on, "tr", "tc"]).select(*by, "kind", "tr", "tc", "row_i", "col_j", "to_i", "to_j", "share", "w")
+        return own.unionByName(_cell_rows(marks, by, "mark", tile)).groupBy(*by, "tr", "tc").applyInPandas(spread, ddl)
 
-    Rounds move all water one step on and add it up where it passes, so they follow
-    the longest path; flow edges have no cycle.
-    """
+    first = spread_all(start.df).where("outside").select(*key).distinct()
+    entered = Growing(first)
+    maps = None
+    while not entered.front.isEmpty():
+        maps = maps or Stage(_tile_maps(links.df, on, tile, False))
+        to = entered.front.join(maps.df, [*on, "row_i", "col_j"]).select(*by, F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j")).distinct()
+        entered.add(to.join(entered.df, key, "left_anti"))
+    marks = start.df.unionByName(entered.df).distinct()
+    found = Stage(spread_all(marks).where("NOT outside").select(*key).unionByName(marks).distinct())
+    for old in (links, start, *([maps] if maps else [])):
+        old.drop()
+    entered.drop()
+    return found.df
+
+
+def accumulate(shares: DataFrame, weights: DataFrame, tile: int = FLOW_TILE) -> DataFrame:
+    """``row_i, col_j, acc``: own weight plus the shares of what flows in, for cells that
+    have a weight or inflow.  Edges that form a cycle are an error."""
     key = ["row_i", "col_j"]
-    links = Stage(shares).df  # read in every round
-    water = Growing(weights.select(*key, F.col("w").cast("double").alias("acc")))
-    while not water.front.isEmpty():
-        sent = water.front.where("acc <> 0").join(links, key).select(F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j"), (F.col("acc") * F.col("share")).alias("acc"))
-        water.add(sent.groupBy(*key).agg(F.sum("acc").alias("acc")))
-    return water.df.groupBy(*key).agg(F.sum("acc").alias("acc"))
+    links = Stage(shares.select(*key, "to_i", "to_j", F.col("share").cast("double").alias("share")))
+    own = Stage(weights.groupBy(*key).agg(F.sum(F.col("w").cast("double")).alias("w")))
+
+    def pour(rows: pd.DataFrame) -> tuple[_Paths, np.ndarray]:
+        paths = _Paths(rows, tile)
+        water = rows[rows["kind"] == "water"]
+        value = np.zeros((tile * tile, 1))
+        np.add.at(value[:, 0], paths.at(water["row_i"], water["col_j"]), water["w"].to_numpy(np.float64))
+        return paths, paths.flow(value, True)[:, 0]
+
+    def leave(rows: pd.DataFrame) -> pd.DataFrame:
+        paths, value = pour(rows)
+        start, to_i, to_j, share = paths.out
+        return pd.DataFrame({"row_i": to_i, "col_j": to_j, "w": value[start] * share})
+
+    def fill(rows: pd.DataFrame) -> pd.DataFrame:
+        paths, value = pour(rows)
+        water = rows[rows["kind"] == "water"]
+        cells = np.unique(np.concatenate([paths.at(water["row_i"], water["col_j"]), paths.stop]))
+        return pd.DataFrame({"row_i": cells // tile + paths.i0, "col_j": cells % tile + paths.j0, "acc": value[cells]})
+
+    def by_tile(water: DataFrame):
+        return _edge_rows(links.df, [], tile).unionByName(_cell_rows(water, [], "water", tile)).groupBy("tr", "tc")
+
+    sent = by_tile(own.df).applyInPandas(leave, "row_i int, col_j int, w double").where("w <> 0")
+    entered = Growing(sent.groupBy(*key).agg(F.sum("w").alias("w")))
+    maps = None
+    while not entered.front.isEmpty():
+        maps = maps or Stage(_tile_maps(links.df, [], tile, True))
+        to = entered.front.join(maps.df, key).select(F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j"), (F.col("w") * F.col("flow")).alias("w"))
+        entered.add(to.groupBy(*key).agg(F.sum("w").alias("w")))
+    whole = Stage(by_tile(own.df.unionByName(entered.df)).applyInPandas(fill, "row_i int, col_j int, acc double"))
+    for old in (links, own, *([maps] if maps else [])):
+        old.drop()
+    entered.drop()
+    return whole.df
 
 
 def fill_pits(dem: DataFrame, plan: str | None = None, tile: int = 256, group_cells: int = GROUP_CELLS) -> DataFrame:

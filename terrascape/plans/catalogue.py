@@ -220,31 +220,57 @@ def max_distance_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.where(masks.within_distance(F.lit(1), F.sqrt("d2"), 900.0, 9000.0)).select(*CELL)
 
 
-_FLOW = f"""d AS MATERIALIZED ({DEM}), f AS MATERIALIZED (SELECT a.row_i, a.col_j, b.row_i AS to_i, b.col_j AS to_j, a.elev - b.elev AS "drop", a.row_i <> b.row_i AND a.col_j <> b.col_j AS slant
-  FROM d a, {_STEPS}, d b WHERE b.row_i = a.row_i + di AND b.col_j = a.col_j + dj AND a.elev > b.elev)"""
+def _beside(z: str, name: str = "n") -> str:
+    """Cells of the relation ``z`` beside their neighbours ``bi, bj``."""
+    return f"{name} AS MATERIALIZED (SELECT a.row_i, a.col_j, b.row_i AS bi, b.col_j AS bj, slant FROM {z} a, (SELECT *, di <> 0 AND dj <> 0 AS slant FROM {_STEPS}), {z} b WHERE b.row_i = a.row_i + di AND b.col_j = a.col_j + dj)"
 
 
-@query(f'WITH {_FLOW} SELECT row_i, col_j, to_i, to_j, "drop", slant FROM f')
+def _directed(z: str) -> str:
+    """``l``: flow edges over the elevations ``z`` with the neighbours ``n``, flats
+    included: steps from outlets and from walls, breadth first, then lower gradients."""
+
+    def steps(name: str, first: str) -> str:
+        return f"""{name}(row_i, col_j, k) USING KEY (row_i, col_j) AS (SELECT row_i, col_j, 1 AS k FROM ({first})
+  UNION SELECT x.row_i, x.col_j, min(x.k) FROM (SELECT n.bi AS row_i, n.bj AS col_j, {name}.k + 1 AS k FROM {name} JOIN n ON n.row_i = {name}.row_i AND n.col_j = {name}.col_j SEMI JOIN still s ON s.row_i = n.bi AND s.col_j = n.bj) x
+  LEFT JOIN recurring.{name} o ON o.row_i = x.row_i AND o.col_j = x.col_j WHERE o.k IS NULL OR x.k < o.k GROUP BY ALL)"""
+
+    return f"""w AS MATERIALIZED (SELECT n.*, a.elev, b.elev AS low FROM n JOIN {z} a USING (row_i, col_j) JOIN {z} b ON b.row_i = n.bi AND b.col_j = n.bj),
+  still AS MATERIALIZED (SELECT row_i, col_j, max(low) > min(elev) AS walled FROM w GROUP BY row_i, col_j HAVING count(*) = 8 AND min(low) >= min(elev)),
+  {steps('near', 'SELECT DISTINCT w.row_i, w.col_j FROM w SEMI JOIN still s ON s.row_i = w.row_i AND s.col_j = w.col_j ANTI JOIN still t ON t.row_i = w.bi AND t.col_j = w.bj WHERE low = elev')},
+  {steps('far', 'SELECT row_i, col_j FROM still WHERE walled')},
+  g AS MATERIALIZED (SELECT row_i, col_j, 2 * near.k - coalesce(far.k, 0) AS level FROM near LEFT JOIN far USING (row_i, col_j)),
+  l AS MATERIALIZED (SELECT row_i, col_j, bi AS to_i, bj AS to_j, elev - low AS "drop", slant, false AS flat FROM w WHERE elev > low
+    UNION ALL SELECT w.row_i, w.col_j, bi, bj, cast(CASE WHEN t.level IS NULL THEN 2 ELSE g.level - t.level END AS BIGINT), slant, true FROM w JOIN g USING (row_i, col_j) LEFT JOIN g t ON t.row_i = w.bi AND t.col_j = w.bj
+      WHERE elev = low AND (t.level IS NULL OR g.level > t.level))"""
+
+
+_FLOW = f"""d AS MATERIALIZED ({DEM}), {_beside('d')}, {_directed('d')}"""
+
+
+@query(f'WITH RECURSIVE {_FLOW} SELECT row_i, col_j, to_i, to_j, "drop", slant, flat FROM l')
 def flow_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hydro.flow_edges(load(spark, sf_dir, "fx_dem"))
 
 
-@query(f"WITH RECURSIVE {_FLOW}, r(row_i, col_j) AS (SELECT row_i, col_j FROM d WHERE elev >= 320 UNION SELECT f.to_i, f.to_j FROM r JOIN f USING (row_i, col_j)) SELECT row_i, col_j FROM r")
+@query(f"WITH RECURSIVE {_FLOW}, r(row_i, col_j) AS (SELECT row_i, col_j FROM d WHERE elev >= 320 UNION SELECT l.to_i, l.to_j FROM r JOIN l USING (row_i, col_j)) SELECT row_i, col_j FROM r")
 def flow_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
     dem = load(spark, sf_dir, "fx_dem")
     return hydro.reachable(hydro.flow_edges(dem), dem.where("elev >= 320"))
 
 
-@query(f"""WITH RECURSIVE {_FLOW}, s AS MATERIALIZED (SELECT row_i, col_j, to_i, to_j, slope / sum(slope) OVER (PARTITION BY row_i, col_j) AS share FROM (SELECT *, "drop" / (CASE WHEN slant THEN sqrt(2.0::DOUBLE) ELSE 1.0::DOUBLE END) AS slope FROM f)),
-  w(step, row_i, col_j, acc) AS (SELECT 0, row_i, col_j, 1.0::DOUBLE FROM d UNION ALL SELECT w.step + 1, s.to_i, s.to_j, sum(w.acc * s.share) FROM w JOIN s USING (row_i, col_j) GROUP BY w.step, s.to_i, s.to_j)
-  SELECT row_i, col_j, cast(round(sum(acc) * 100000) AS BIGINT) AS acc_1e5 FROM w GROUP BY row_i, col_j""")
+_POURED = """s AS MATERIALIZED (SELECT row_i, col_j, to_i, to_j, slope / sum(slope) OVER (PARTITION BY row_i, col_j) AS share FROM (SELECT *, "drop" / (CASE WHEN slant THEN sqrt(2.0::DOUBLE) ELSE 1.0::DOUBLE END) AS slope FROM l)),
+  p(step, row_i, col_j, acc) AS (SELECT 0, row_i, col_j, 1.0::DOUBLE FROM d UNION ALL SELECT p.step + 1, s.to_i, s.to_j, sum(p.acc * s.share) FROM p JOIN s USING (row_i, col_j) GROUP BY p.step, s.to_i, s.to_j)
+  SELECT row_i, col_j, cast(round(sum(acc) * 100000) AS BIGINT) AS acc_1e5 FROM p GROUP BY row_i, col_j"""
+
+
+@query(f"WITH RECURSIVE {_FLOW}, {_POURED}")
 def flow_accumulation(spark: SparkSession, sf_dir: str) -> DataFrame:
     dem = load(spark, sf_dir, "fx_dem")
     got = hydro.accumulate(hydro.flow_shares(hydro.flow_edges(dem)), dem.select(*CELL, F.lit(1).alias("w")))
     return got.select(*CELL, F.round(F.col("acc") * 100_000).cast("long").alias("acc_1e5"))
 
 
-_FILLED = f"""d AS MATERIALIZED ({DEM}), n AS MATERIALIZED (SELECT a.row_i, a.col_j, b.row_i AS bi, b.col_j AS bj, slant FROM d a, (SELECT *, di <> 0 AND dj <> 0 AS slant FROM {_STEPS}), d b WHERE b.row_i = a.row_i + di AND b.col_j = a.col_j + dj),
+_FILLED = f"""d AS MATERIALIZED ({DEM}), {_beside('d')},
 border AS (SELECT row_i, col_j FROM n GROUP BY ALL HAVING count(*) < 8),
 f(row_i, col_j, elev) USING KEY (row_i, col_j) AS (SELECT row_i, col_j, elev FROM d SEMI JOIN border USING (row_i, col_j)
   UNION SELECT x.row_i, x.col_j, min(x.elev) FROM (SELECT n.bi AS row_i, n.bj AS col_j, greatest(f.elev, d.elev) AS elev FROM f JOIN n ON n.row_i = f.row_i AND n.col_j = f.col_j JOIN d ON d.row_i = n.bi AND d.col_j = n.bj) x
@@ -261,15 +287,24 @@ def pit_fill_tiled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hydro.fill_pits(load(spark, sf_dir, "fx_dem"), plan="tiles", tile=40)
 
 
-_DOWN = "l AS MATERIALIZED (SELECT n.row_i, n.col_j, n.bi AS to_i, n.bj AS to_j, a.elev - b.elev AS \"drop\", slant FROM n JOIN f a USING (row_i, col_j) JOIN f b ON b.row_i = n.bi AND b.col_j = n.bj WHERE a.elev > b.elev)"
+_DOWN = f"z AS MATERIALIZED (SELECT row_i, col_j, elev FROM f), {_directed('z')}"
 
 
-@query(f'WITH RECURSIVE {_FILLED}, {_DOWN} SELECT row_i, col_j, to_i, to_j, "drop", slant FROM l')
+@query(f'WITH RECURSIVE {_FILLED}, {_DOWN} SELECT row_i, col_j, to_i, to_j, "drop", slant, flat FROM l')
 def fill_then_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flow directions of filled terrain."""
     return hydro.flow_edges(hydro.fill_pits(load(spark, sf_dir, "fx_dem")))
 
 
+@query(f"WITH RECURSIVE {_FILLED}, {_DOWN}, {_POURED}")
+def filled_accumulation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Water of all cells over filled terrain, through the flats that filling makes."""
+    dem = load(spark, sf_dir, "fx_dem")
+    shares = hydro.flow_shares(hydro.flow_edges(hydro.fill_pits(dem)))
+    got = hydro.accumulate(shares, dem.select(*CELL, F.lit(1).alias("w")))
+    return got.select(*CELL, F.round(F.col("acc") * 100_000).cast("long").alias("acc_1e5"))
+
+
 @query(f"""WITH RECURSIVE {_FILLED}, {_DOWN}, cells AS MATERIALIZED ({CELLS}),
   r(row_i, col_j) AS (SELECT row_i, col_j FROM cells SEMI JOIN d USING (row_i, col_j) WHERE cond > 95000 UNION SELECT l.to_i, l.to_j FROM r JOIN l USING (row_i, col_j)),
   wide AS (SELECT DISTINCT row_i + i AS row_i, col_j + j AS col_j FROM r, range(-2, 3) a(i), range(-2, 3) b(j) WHERE i * i + j * j <= 4)
@@ -285,9 +320,9 @@ def downstream_population(spark: SparkSession, sf_dir: str) -> DataFrame:
   start AS MATERIALIZED (SELECT row_i, col_j FROM cells SEMI JOIN d USING (row_i, col_j) WHERE cond > 95000),
   r(row_i, col_j) AS (SELECT row_i, col_j FROM start UNION SELECT l.to_i, l.to_j FROM r JOIN l USING (row_i, col_j)),
   wide AS (SELECT DISTINCT row_i + i AS row_i, col_j + j AS col_j FROM r, range(-2, 3) a(i), range(-2, 3) b(j) WHERE i * i + j * j <= 4),
-  far AS (SELECT d.row_i, d.col_j, min((d.row_i - s.row_i) * (d.row_i - s.row_i) + (d.col_j - s.col_j) * (d.col_j - s.col_j)) AS d2 FROM d, start s GROUP BY ALL),
-  near AS (SELECT row_i, col_j FROM wide JOIN far USING (row_i, col_j) WHERE d2 > 0 AND d2 <= 9)
-  SELECT c.row_i, c.col_j, cast(CASE WHEN pop > 0 AND w.row_i IS NOT NULL THEN pop ELSE 0 END AS BIGINT) AS pop FROM cells c LEFT JOIN near w ON w.row_i = c.row_i AND w.col_j = c.col_j""")
+  apart AS (SELECT d.row_i, d.col_j, min((d.row_i - s.row_i) * (d.row_i - s.row_i) + (d.col_j - s.col_j) * (d.col_j - s.col_j)) AS d2 FROM d, start s GROUP BY ALL),
+  within AS (SELECT row_i, col_j FROM wide JOIN apart USING (row_i, col_j) WHERE d2 > 0 AND d2 <= 9)
+  SELECT c.row_i, c.col_j, cast(CASE WHEN pop > 0 AND w.row_i IS NOT NULL THEN pop ELSE 0 END AS BIGINT) AS pop FROM cells c LEFT JOIN within w ON w.row_i = c.row_i AND w.col_j = c.col_j""")
 def downstream_population_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells downstream of a condition, at most 2.7 km from it."""
     cells = load(spark, sf_dir, "fx_cells")

@@ -57,9 +57,13 @@ class Growing:
     def df(self) -> DataFrame:
         return self.front.sparkSession.read.schema(self.schema).parquet(*self.paths)
 
+    def drop(self) -> None:
+        """Delete all parts."""
+        for path in self.paths:
+            delete(self.front.sparkSession, path)
+
     def settle(self) -> DataFrame:
         """All rows as one durable table; the parts are deleted."""
         whole = Stage(self.df).df
-        for path in self.paths:
-            delete(self.front.sparkSession, path)
+        self.drop()
         return whole

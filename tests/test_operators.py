@@ -162,6 +162,95 @@ def test_hydro(spark):
     assert abs(acc[2, 2] - 25) < 1e-9  # all water ends in the pit
 
 
+def terrain(spark, z):
+    return spark.createDataFrame([(i, j, v) for i, row in enumerate(z) for j, v in enumerate(row) if v is not None], "row_i int, col_j int, elev long")
+
+
+def test_filled_pits_let_water_through(spark):
+    wall = [20] * 9
+    dem = terrain(spark, [wall, [9, 8, 7, 3, 3, 6, 5, 4, 1], wall])
+    filled = hydro.fill_pits(dem)
+    head = dem.where("row_i = 1 AND col_j = 0")
+    got = {(r.row_i, r.col_j) for r in hydro.reachable(hydro.flow_edges(filled), head).collect()}
+    assert got == {(1, j) for j in range(9)}
+    unfilled = {(r.row_i, r.col_j) for r in hydro.reachable(hydro.flow_edges(dem), head).collect()}
+    assert unfilled == {(1, j) for j in range(4)}  # a flat without an outlet keeps its water
+
+
+def brute_flow(z):
+    """Flow edges with flats directed, breadth first, from plain dictionaries."""
+    cells = {(i, j): v for i, row in enumerate(z) for j, v in enumerate(row) if v is not None}
+    around = {c: [(c[0] + i, c[1] + j) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i, j) != (0, 0) and (c[0] + i, c[1] + j) in cells] for c in cells}
+    still = {c for c in cells if len(around[c]) == 8 and min(cells[n] for n in around[c]) >= cells[c]}
+
+    def steps(first):
+        found, front, k = dict.fromkeys(first, 1), list(first), 1
+        while front:
+            k += 1
+            front = [n for n in {n for c in front for n in around[c]} if n in still and n not in found]
+            found |= dict.fromkeys(front, k)
+        return found
+
+    near = steps([c for c in still if any(cells[n] == cells[c] and n not in still for n in around[c])])
+    far = steps([c for c in still if any(cells[n] > cells[c] for n in around[c])])
+    level = {c: 2 * near[c] - far.get(c, 0) for c in near}
+    edges = {(*c, *n, cells[c] - cells[n], False) for c in cells for n in around[c] if cells[n] < cells[c]}
+    for c in level:
+        for n in around[c]:
+            drop = 2 if n not in still else level[c] - level[n] if n in level else 0
+            if cells[n] == cells[c] and drop > 0:
+                edges.add((*c, *n, drop, True))
+    return cells, edges
+
+
+@pytest.mark.parametrize("seed,low,tile", [(1, 3, 5), (2, 2, 7), (3, 6, 64)])
+def test_flats_and_tiles(spark, seed, low, tile):
+    """Flow over random terraces, reached cells and water, against plain walks; tiles of
+    several sizes, whose borders flow paths cross more than once."""
+    import random
+
+    rng = random.Random(seed)
+    z = [[None if rng.random() < 0.02 else rng.randrange(low) for _ in range(23)] for _ in range(19)]
+    filled = {(r.row_i, r.col_j): r.elev for r in hydro.fill_pits(terrain(spark, z)).collect()}
+    z = [[filled.get((i, j)) for j in range(23)] for i in range(19)]
+    dem = terrain(spark, z)
+    cells, want = brute_flow(z)
+    for plan in ("group", "tiles"):
+        edges = hydro.flow_edges(dem, plan=plan, tile=tile)
+        assert {(r.row_i, r.col_j, r.to_i, r.to_j, r.drop, r.flat) for r in edges.collect()} == want
+    after = {}
+    for a, b, c, d, drop, _ in want:
+        after.setdefault((a, b), []).append(((c, d), drop / (2**0.5 if a != c and b != d else 1)))
+    inner = [c for c in cells if all((c[0] + i, c[1] + j) in cells for i in (-1, 0, 1) for j in (-1, 0, 1))]
+    assert all(c in after for c in inner)  # every cell inside drains
+    start = rng.sample(sorted(cells), 3)
+    seen, front = set(start), list(start)
+    while front:
+        front = list({n for c in front for n, _ in after.get(c, [])} - seen)
+        seen |= set(front)
+    marks = spark.createDataFrame(start, "row_i int, col_j int")
+    assert {(r.row_i, r.col_j) for r in hydro.reachable(edges, marks, tile=tile).collect()} == seen
+    keyed = hydro.reachable(edges, marks.selectExpr("concat('a', row_i) AS aoi_id", "row_i", "col_j"), ["aoi_id"], tile=tile)
+    assert {(r.row_i, r.col_j) for r in keyed.collect()} == seen
+    water, left = {c: 1.0 for c in cells}, {c: 0 for c in cells}
+    for c in after:
+        for n, _ in after[c]:
+            left[n] += 1
+    ready = [c for c in cells if not left[c]]
+    while ready:
+        c = ready.pop()
+        total = sum(s for _, s in after.get(c, []))
+        for n, s in after.get(c, []):
+            water[n] += water[c] * s / total
+            left[n] -= 1
+            if not left[n]:
+                ready.append(n)
+    got = {(r.row_i, r.col_j): r.acc for r in hydro.accumulate(hydro.flow_shares(edges), dem.selectExpr("row_i", "col_j", "1 AS w"), tile=tile).collect()}
+    assert got == pytest.approx(water)
+    with pytest.raises(Exception, match="cycle"):
+        hydro.reachable(spark.createDataFrame([(0, 0, 0, 1), (0, 1, 0, 0)], "row_i int, col_j int, to_i int, to_j int"), marks).count()
+
+
 SQUARE = [[{"x": 0.0, "y": 0.0}, {"x": 4.0, "y": 0.0}, {"x": 4.0, "y": 4.0}, {"x": 0.0, "y": 4.0}], [{"x": 1.0, "y": 1.0}, {"x": 1.0, "y": 3.0}, {"x": 3.0, "y": 3.0}, {"x": 3.0, "y": 1.0}]]
 FEATURE = "fid long, rings array<array<struct<x:double,y:double>>>"
 
