@@ -35,7 +35,7 @@ ORDER = 5
 #: Bytes of text and distinct words after which a chunk is closed; input of a task.
 CHUNK, WORDS, TASK = 128 << 20, 1_000_000, 32 << 20
 #: Distinct grams, with counts still apart, that a task keeps before it adds them up.
-LOOSE = 4_000_000
+LOOSE = 2_000_000
 DOC, WORD, GRAM = 2, 1, 0
 ROWS = "kind int, chunk long, key long, n long, held boolean, data binary"
 _SHAPE = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("held", pa.bool_()), ("data", pa.binary())])
@@ -155,12 +155,13 @@ def _batch(kind: int, chunk: int, key, n, held, data) -> pa.RecordBatch:
 
 
 def packed(ids: np.ndarray) -> bytes:
-    """Word numbers by byte planes, of which the higher ones are nearly all 0."""
-    return np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """Word numbers by byte planes, of which the higher ones are nearly all 0, compressed."""
+    return pa.compress(np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True)
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def unpacked(data: bytes, size: int) -> np.ndarray:
+    planes = pa.decompress(data, 4 * size, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 def gather(docs: DataFrame, order: int) -> DataFrame:
@@ -275,7 +276,7 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
                     if kind != DOC:
                         continue
                     for ids, tokens, told, data in zip(*([c.slice(k, 64).to_pylist() for k in range(0, len(c), 64)] for c in part)):
-                        got = [reader.score([unpacked(d) for d in data], room)]
+                        got = [reader.score([unpacked(d, k - 1) for d, k in zip(data, tokens)], room)]
                         for seen, base, whole in got:
                             yield pa.RecordBatch.from_arrays(
                                 [pa.array(ids, pa.int64()), pa.array(told), pa.array(tokens, pa.int64()), pa.array(seen + (ends > 0), pa.int64()), pa.array(np.full(len(ids), n), pa.int64()), pa.array(base + end), pa.array(whole)], schema=shape
