@@ -48,10 +48,11 @@ def combine(layers: DataFrame) -> DataFrame:
 
 
 def sums(layers: DataFrame, by: list[str]) -> DataFrame:
-    """Sum of each mask and of the combination, by the given columns."""
-    each = layers.groupBy(*by, "mask_id").agg(F.sum("pop").cast("long").alias("pop_sum"))
+    """Sum of each mask and of the combination, by the given columns: whole for whole
+    populations, 64-bit floats for fractional ones, which nothing cuts."""
+    each = layers.groupBy(*by, "mask_id").agg(F.sum("pop").alias("pop_sum"))
     most = layers.groupBy(*by, *CELL).agg(F.max("pop").alias("pop"))
-    together = (most.groupBy(*by) if by else most.groupBy()).agg(F.sum("pop").cast("long").alias("pop_sum"))
+    together = (most.groupBy(*by) if by else most.groupBy()).agg(F.sum("pop").alias("pop_sum"))
     return each.unionByName(together.select(*by, F.lit("combined pop").alias("mask_id"), "pop_sum"))
 
 
@@ -66,7 +67,7 @@ def wide(results: DataFrame, masks: list[str], missing: str | None = "n/a") -> D
 
 def block_sums(cells: DataFrame, value: str = "pop", tile: int = TILE) -> DataFrame:
     """Partial sums by tile; nodata values are summed as they are."""
-    return cells.groupBy(F.floor(F.col("row_i") / tile).cast("int").alias("trow"), F.floor(F.col("col_j") / tile).cast("int").alias("tcol")).agg(F.sum(value).cast("long").alias("block_sum"), F.count("*").alias("n"))
+    return cells.groupBy(F.floor(F.col("row_i") / tile).cast("int").alias("trow"), F.floor(F.col("col_j") / tile).cast("int").alias("tcol")).agg(F.sum(value).alias("block_sum"), F.count("*").alias("n"))
 
 
 def within_distance(mask: Column, pixels: Column, pixel_m: float, max_m: float) -> Column:

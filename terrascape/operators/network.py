@@ -133,7 +133,7 @@ def first_rows(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
 
 def selection_totals(chosen: DataFrame, key: str = "focal_id") -> DataFrame:
     """``key, n_visited, n_selected, pop_sum, area_ha`` of a greedy selection."""
-    return chosen.groupBy(key).agg(F.count("*").alias("n_visited"), F.sum(F.col("selected").cast("long")).alias("n_selected"), F.sum("pop_sum").cast("long").alias("pop_sum"), F.sum("area_ha").alias("area_ha"))
+    return chosen.groupBy(key).agg(F.count("*").alias("n_visited"), F.sum(F.col("selected").cast("long")).alias("n_selected"), F.sum("pop_sum").alias("pop_sum"), F.sum("area_ha").alias("area_ha"))
 
 
 def greedy_selection(candidates: DataFrame, max_area: float, key: str = "focal_id") -> DataFrame:
@@ -174,4 +174,4 @@ def greedy_selection(candidates: DataFrame, max_area: float, key: str = "focal_i
         return pd.DataFrame(out, columns=[key, "step", "hybas_id", "selected", "pop_sum", "area_ha"])
 
     kind = candidates.schema[key].dataType.simpleString()
-    return candidates.groupBy(key).applyInPandas(run, f"{key} {kind}, step int, hybas_id bigint, selected boolean, pop_sum bigint, area_ha double")
+    return candidates.groupBy(key).applyInPandas(run, f"{key} {kind}, step int, hybas_id bigint, selected boolean, pop_sum {candidates.schema['pop_sum'].dataType.simpleString()}, area_ha double")

@@ -151,6 +151,6 @@ def union_cells(cells: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def zonal_sums(zones: DataFrame, cells: DataFrame, key: str, value: str = "pop") -> DataFrame:
     """``key, pop_sum, n`` of each zone's cells; nodata counts as 0; a zone without
-    cells has sum 0."""
+    cells has sum 0.  Fractional values have fractional sums."""
     met = zones.join(cells, ["row_i", "col_j"], "left")
-    return met.groupBy(key).agg(F.coalesce(F.sum(value), F.lit(0)).cast("long").alias("pop_sum"), F.count(value).alias("n"))
+    return met.groupBy(key).agg(F.coalesce(F.sum(value), F.lit(0)).alias("pop_sum"), F.count(value).alias("n"))

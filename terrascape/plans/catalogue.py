@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrascape.functions import crs
@@ -134,6 +134,24 @@ def population_by_mask_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masks.wide(masks.sums(_layers(spark, sf_dir), ["aoi_id"]), ["positive", "slow"])
 
 
+#: Populations with fractions of eighths, whose sums are exact in any order.
+_PEOPLE = "CASE WHEN pop > 0 THEN pop + (3 * col_j + row_i) % 8 / 8.0::DOUBLE ELSE 0.0::DOUBLE END"
+
+
+def _people() -> Column:
+    return F.when(F.col("pop") > 0, F.col("pop") + (3 * F.col("col_j") + F.col("row_i")) % 8 / 8).otherwise(0.0)
+
+
+@query(f"""WITH c AS (SELECT row_i, col_j, cond, friction, n_name AS aoi_id, {_PEOPLE} AS pop FROM ({CELLS}), nation WHERE row_i % 25 = n_nationkey),
+  layers AS (SELECT 'positive' AS mask_id, aoi_id, row_i, col_j, CASE WHEN cond > 0 THEN pop ELSE 0 END AS pop FROM c UNION ALL SELECT 'slow', aoi_id, row_i, col_j, CASE WHEN friction >= 5 THEN pop ELSE 0 END FROM c WHERE col_j < 80)
+  SELECT aoi_id, mask_id, sum(pop) AS pop_sum FROM layers GROUP BY ALL UNION ALL SELECT aoi_id, 'combined pop', sum(pop) FROM (SELECT aoi_id, row_i, col_j, max(pop) AS pop FROM layers GROUP BY ALL) GROUP BY aoi_id""")
+def fractional_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of fractional populations by area and mask, and of the combined mask."""
+    people = load(spark, sf_dir, "fx_cells").select(*CELL, _people().alias("people"))
+    layers = _layers(spark, sf_dir).withColumn("hit", F.col("pop") > 0).join(people, CELL)
+    return masks.sums(layers.select("mask_id", "aoi_id", *CELL, F.when(F.col("hit"), F.col("people")).otherwise(0.0).alias("pop")), ["aoi_id"])
+
+
 @query(f"SELECT cast(floor(row_i / 32) AS INT) AS trow, cast(floor(col_j / 32) AS INT) AS tcol, cast(sum(pop) AS BIGINT) AS block_sum, count(*) AS n FROM ({CELLS}) GROUP BY ALL")
 def block_partial_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masks.block_sums(load(spark, sf_dir, "fx_cells"), tile=32)
@@ -388,6 +406,20 @@ def rasterize_all_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector.touched(_triangles(spark, sf_dir), ["fid"], 100, 100)
 
 
+_TOUCHED = f"""{_TRI_EDGES}, r AS (SELECT fid, i AS row_i, x1 + (i + 0.5 - y1) * (x2 - x1) / (y2 - y1) AS x FROM e, range(0, 100) g(i) WHERE least(y1, y2) <= i + 0.5 AND i + 0.5 < greatest(y1, y2)),
+  s AS (SELECT fid, row_i, min(x) AS u, max(x) AS v FROM r GROUP BY ALL),
+  k AS (SELECT fid, i, x1, y1, x2, y2, greatest(least(y1, y2), i) AS ya, least(greatest(y1, y2), i + 1) AS yb FROM e, range(0, 100) g(i) WHERE floor(least(y1, y2)) <= i AND i <= floor(greatest(y1, y2))),
+  b AS (SELECT fid, i AS row_i, x1 + (ya - y1) * (x2 - x1) / (y2 - y1) AS p, x1 + (yb - y1) * (x2 - x1) / (y2 - y1) AS q FROM k),
+  zones AS (SELECT fid, row_i, j AS col_j FROM s, range(0, 100) g(j) WHERE j + 0.5 >= u AND j + 0.5 < v UNION SELECT fid, row_i, j FROM b, range(0, 100) g(j) WHERE floor(least(p, q)) <= j AND j <= floor(greatest(p, q)))"""
+
+
+@query(f"WITH {_TOUCHED} SELECT fid, coalesce(sum(people), 0.0::DOUBLE) AS pop_sum, count(people) AS n FROM zones z LEFT JOIN (SELECT row_i, col_j, {_PEOPLE} AS people FROM ({CELLS})) c ON c.row_i = z.row_i AND c.col_j = z.col_j GROUP BY fid")
+def touched_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fractional populations of all cells that a feature touches."""
+    zones = vector.touched(_triangles(spark, sf_dir), ["fid"], 100, 100)
+    return vector.zonal_sums(zones, load(spark, sf_dir, "fx_cells").select(*CELL, _people().alias("pop")), "fid")
+
+
 @query("WITH t AS (SELECT n_nationkey AS fid, " + ", ".join(f"cast({e} AS DOUBLE) AS {n}" for e, n in zip(_TRIANGLE, ("ax", "ay", "bx", "by_", "cx", "cy"))) + """ FROM nation)
   SELECT fid, cast(round(abs((bx - ax) * (cy - ay) - (cx - ax) * (by_ - ay)) / 2 * 1000) AS BIGINT) AS area_milli, cast(round((ax + bx + cx) / 3 * 1000) AS BIGINT) AS cx_milli, cast(round((ay + by_ + cy) / 3 * 1000) AS BIGINT) AS cy_milli FROM t""")
 def polygon_area_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:

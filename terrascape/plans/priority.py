@@ -76,14 +76,14 @@ def propose(spark: SparkSession, place: DataFrame, watersheds: DataFrame, popula
     areas = clipped.groupBy("hybas_id").agg((F.count("*") * hectares).alias("pp_area_ha"))
     meeting = near.join(found, "hybas_id", "left_semi")
     rows = meeting.select("hybas_id", "next_down").join(zonal_population(meeting, *population), "hybas_id", "left").join(areas, "hybas_id", "left")
-    rows = rows.select(F.lit(area.id).alias("focal_id"), "hybas_id", "next_down", F.coalesce("pop_sum", F.lit(0)).cast("long").alias("pop_sum"), F.col("pp_area_ha").isNotNull().alias("hits_pp"), F.coalesce("pp_area_ha", F.lit(0.0)).alias("pp_area_ha"))
+    rows = rows.select(F.lit(area.id).alias("focal_id"), "hybas_id", "next_down", F.coalesce("pop_sum", F.lit(0)).cast("double").alias("pop_sum"), F.col("pp_area_ha").isNotNull().alias("hits_pp"), F.coalesce("pp_area_ha", F.lit(0.0)).alias("pp_area_ha"))
     walk = Stage(network.greedy_selection(rows, area.max_ha)).df
     chosen = Stage(vector.union_cells(clipped.join(walk.where("selected").select("hybas_id"), "hybas_id", "left_semi"))).df
     most = area.max_ha / hectares
     kept = Stage(erode.erode_to_area(chosen, most, 0.01 * most, step=True)).df
     lon, lat = crs.unproject(system, left + (F.col("col_j") + 0.5) * cell_m, top - (F.col("row_i") + 0.5) * cell_m)
     size = kept.agg(F.floor(F.count("*") * hectares).cast("long").alias("total_pp_selected_area_ha"))
-    totals = network.selection_totals(walk).select("focal_id", F.col("pop_sum").alias("total_downstream_pop"), "n_visited", "n_selected").crossJoin(F.broadcast(size))  # one row each
+    totals = network.selection_totals(walk).select("focal_id", F.floor("pop_sum").cast("long").alias("total_downstream_pop"), "n_visited", "n_selected").crossJoin(F.broadcast(size))  # one row each
     return kept.select(*CELL, lon.alias("lon"), lat.alias("lat")), walk, totals
 
 
