@@ -35,7 +35,7 @@ ORDER = 5
 #: Bytes of text and distinct words after which a chunk is closed; input of a task.
 CHUNK, WORDS, TASK = 128 << 20, 1_000_000, 32 << 20
 #: Distinct grams, with counts still apart, that a task keeps before it adds them up.
-LOOSE = 2_000_000
+LOOSE = 1_000_000
 DOC, WORD, GRAM = 2, 1, 0
 ROWS = "kind int, chunk long, key long, n long, held boolean, data binary"
 _SHAPE = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("held", pa.bool_()), ("data", pa.binary())])
@@ -133,7 +133,9 @@ class Chunk:
     def rows(self, chunk: int):
         """Record batches of the distinct grams and words."""
         keys, n = self.settled()
+        self.grams = []
         gram, learned = keys >> 1, np.where(keys & 1, 0, n)
+        del keys, n
         first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.empty(0, np.int64)
         gram, learned = gram[first], (np.add.reduceat(learned, first) if len(first) else learned)
         for at in range(0, len(gram), STEP):
@@ -171,8 +173,9 @@ def gather(docs: DataFrame, order: int) -> DataFrame:
         part, chunk, own = TaskContext.get().partitionId(), 0, Chunk(order)
         for batch in batches:
             for ids, held, texts in steps(batch, 2):
-                split = [words_of(t) for t in texts]
-                numbers = own.add(split, held)
+                numbers = []
+                for a in range(0, len(ids), 128):  # grams take 8 bytes a byte of text, several times
+                    numbers += own.add([words_of(t) for t in texts[a : a + 128]], held[a : a + 128])
                 yield _batch(DOC, part << 24 | chunk, pa.array(ids, pa.int64()), [len(n) + 1 for n in numbers], held, [packed(n) for n in numbers])
                 if own.bytes > CHUNK or len(own.number) > WORDS:
                     yield from own.rows(part << 24 | chunk)
