@@ -24,6 +24,8 @@ from terrascape.sources.durable import Stage
 
 #: Cells of an area that one task may hold: four tiles.
 GROUP_CELLS = 4 * 256 * 256
+#: Folders that the versions of tiles are dealt to.
+BANDS = 64
 log = logging.getLogger("terrascape")
 
 
@@ -120,19 +122,20 @@ def least_values(grid: DataFrame, rule, plan: str, tile: int = 256) -> DataFrame
 
 
 def _by_tiles(grid: DataFrame, rule, tile: int) -> DataFrame:
-    tiled = grid.withColumns({"tr": F.floor(F.col("row_i") / tile).cast("int"), "tc": F.floor(F.col("col_j") / tile).cast("int")})
-    state = Stage(tiled.withColumn("fresh", F.col("v").isNotNull()))
-    mail = None  # values at neighbours in other tiles, and whether the step is diagonal
+    """Rounds over tiles.  A round writes a new version of the tiles that it settles and
+    nothing of the others; a small table tells the newest version of each tile.  Versions
+    lie in BANDS folders by the tile's hash, of which a round reads those of its tiles."""
     keys = ["aoi_id", "tr", "tc"]
-    own = ["aoi_id", "row_i", "col_j", "cost", "closed", "v", "tr", "tc", "fresh"]
-    ddl = "aoi_id string, row_i int, col_j int, cost double, closed boolean, v double, tr int, tc int, fresh boolean, mail boolean, from_v double, slant boolean"
-
-    def rim(r, c):
-        return (r % tile == 0) | (r % tile == tile - 1) | (c % tile == 0) | (c % tile == tile - 1)
+    own = [*keys, "row_i", "col_j", "cost", "closed", "v", "fresh", "band"]
+    fields = "aoi_id string, tr int, tc int, row_i int, col_j int, cost double, closed boolean, v double, fresh boolean, mail boolean, from_v double, slant boolean, band int"
+    where = F.pmod(F.hash(*keys), F.lit(BANDS)).alias("band")
+    tiled = grid.withColumns({"tr": F.floor(F.col("row_i") / tile).cast("int"), "tc": F.floor(F.col("col_j") / tile).cast("int")})
+    first = tiled.select(*keys, "row_i", "col_j", "cost", "closed", "v", F.col("v").isNotNull().alias("fresh"), F.lit(False).alias("mail"), F.lit(0.0).alias("from_v"), F.lit(False).alias("slant"), where)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        held = rows[~rows["mail"].astype(bool)].reset_index(drop=True)
-        sent = rows[rows["mail"].astype(bool)].merge(held[["row_i", "col_j"]].assign(k=np.arange(len(held))), on=["row_i", "col_j"])
+        mail = rows["mail"].to_numpy(bool)
+        held = rows[~mail].reset_index(drop=True)
+        sent = rows[mail].merge(held[["row_i", "col_j"]].assign(k=np.arange(len(held))), on=["row_i", "col_j"])
         r, c = held["row_i"].to_numpy(np.int64), held["col_j"].to_numpy(np.int64)
         cost, closed, fresh = held["cost"].to_numpy(np.float64), held["closed"].to_numpy(bool), held["fresh"].to_numpy(bool)
         old = held["v"].to_numpy(np.float64)
@@ -145,35 +148,51 @@ def _by_tiles(grid: DataFrame, rule, tile: int) -> DataFrame:
         # only what is new spreads; other values are settled already
         moved = fresh | (start < old)
         new = np.minimum(start, settle(r, c, cost, closed, np.where(moved, start, np.inf), rule).astype(np.float64)) if len(held) else start
-        out = held.assign(v=np.where(np.isfinite(new), new, np.nan), fresh=False, mail=False, from_v=0.0, slant=False)
-        letters = []
-        for k in np.flatnonzero(((new < old) | fresh) & rim(r, c)).tolist():
-            for i, j, slant in NEIGHBOURS:
-                a, b = int(r[k]) + i, int(c[k]) + j
-                if (a // tile, b // tile) != (int(r[k]) // tile, int(c[k]) // tile):
-                    letters.append((held["aoi_id"].iloc[0], a, b, a // tile, b // tile, new[k], slant))
-        if letters:
-            post = pd.DataFrame(letters, columns=["aoi_id", "row_i", "col_j", "tr", "tc", "from_v", "slant"]).assign(cost=0.0, closed=False, v=np.nan, fresh=False, mail=True)
-            out = pd.concat([out, post[out.columns]])
-        return out
-
-    round_ = 0
+        out = held.assign(v=np.where(np.isfinite(new), new, np.nan), fresh=False)
+        told, parts = np.flatnonzero((new < old) | fresh), [out]
+        for i, j, slant in NEIGHBOURS:
+            a, b = r[told] + i, c[told] + j
+            over = (a // tile != r[told] // tile) | (b // tile != c[told] // tile)
+            if over.any():
+                a, b, value = a[over], b[over], new[told][over]
+                parts.append(pd.DataFrame({"aoi_id": held["aoi_id"].iloc[0], "tr": a // tile, "tc": b // tile, "row_i": a, "col_j": b, "cost": 0.0, "closed": False, "v": np.nan, "fresh": False, "mail": True, "from_v": value, "slant": slant, "band": -1}))
+        return pd.concat(parts)[out.columns] if len(parts) > 1 else out
+
+    versions = [Stage(first.repartition("band"), partition_by="band")]
+    newest = Stage(versions[0].df.select(*keys).distinct().withColumn("version", F.lit(0)))
+    busy = versions[0].df.where("fresh").select(*keys).distinct()
+    letters: DataFrame | None = None
+
+    def current(tiles: DataFrame, bands: list[int] | None) -> DataFrame:
+        """The newest rows of ``tiles`` (with ``version``)."""
+        every = None
+        for k, stage in enumerate(versions):
+            part = (stage.df if bands is None else stage.df.where(F.col("band").isin(bands))).where("NOT mail").withColumn("version", F.lit(k))
+            every = part if every is None else every.unionByName(part)
+        return every.join(tiles, [*keys, "version"], "left_semi")
+
     while True:
-        round_ += 1
-        busy = (state.df.where("fresh") if mail is None else mail.df).select(*keys).distinct()
-        held = state.df.join(busy, keys, "left_semi").select(*own).withColumns({"mail": F.lit(False), "from_v": F.lit(0.0), "slant": F.lit(False)})
-        rows = held if mail is None else held.unionByName(mail.df)
-        done = Stage(rows.groupBy(*keys).applyInPandas(run, ddl))
-        kept = Stage(state.df.join(busy, keys, "left_anti").unionByName(done.df.where("NOT mail").select(*own)))
-        letters = Stage(done.df.where("mail"))
-        for old in (state, done, *([mail] if mail else [])):
-            old.drop()
-        state, mail = kept, letters
-        sent = mail.df.count()
+        round_ = len(versions)
+        wanted = Stage(newest.df.join(busy, keys, "left_semi"))
+        bands = [r["band"] for r in wanted.df.select(where).distinct().collect()]  # at most BANDS
+        rows = current(wanted.df, bands).select(*own, "mail", "from_v", "slant")
+        if letters is not None:
+            rows = rows.unionByName(letters.select(*rows.columns))
+        done = Stage(rows.select(*[f.split()[0] for f in fields.split(", ")]).groupBy(*keys).applyInPandas(run, fields), partition_by="band")
+        versions.append(done)
+        letters = done.df.where("band = -1")
+        busy = letters.select(*keys).distinct()
+        sent = letters.count()
         log.info("tiles: round %d, %d values cross a border", round_, sent)
+        later = Stage(newest.df.join(wanted.df.select(*keys), keys, "left_anti").unionByName(wanted.df.select(*keys, F.lit(round_).alias("version"))))
+        newest.drop()
+        wanted.drop()
+        newest = later
         if not sent:
-            mail.drop()
-            return state.df.where("v IS NOT NULL").select("aoi_id", "row_i", "col_j", "v")
+            whole = Stage(current(newest.df, None).where("v IS NOT NULL").select("aoi_id", "row_i", "col_j", "v"))
+            for stage in (*versions, newest):
+                stage.drop()
+            return whole.df
 
 
 def reach_relaxed(cells: DataFrame, max_time: float, cell_len: float = 1.0) -> DataFrame:

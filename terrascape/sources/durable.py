@@ -31,9 +31,9 @@ def delete(spark: SparkSession, path: str) -> None:
 class Stage:
     """A durable table: ``df`` reads what was written; ``drop()`` deletes it."""
 
-    def __init__(self, df: DataFrame) -> None:
+    def __init__(self, df: DataFrame, partition_by: str | None = None) -> None:
         self.path = f"{shared_dir(df.sparkSession)}/terrascape-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        df.write.parquet(self.path, partitionBy=partition_by)
         self.df = df.sparkSession.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
