@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrascape.sources.durable import Stage
+
 
 def edges_of(features: DataFrame, key: list[str]) -> DataFrame:
     """``x1, y1, x2, y2`` of every edge; rings are closed if they aren't."""
@@ -74,33 +76,73 @@ def box_join(left: DataFrame, right: DataFrame, bin_size: float, left_key: str,
     return meets.where(first).select(F.col("lk").alias(left_key), F.col("rk").alias(right_key))
 
 
-def intersects_join(left: DataFrame, right: DataFrame, bin_size: float, left_key: str, right_key: str) -> DataFrame:
-    """``left_key, right_key`` of features that meet: boxes first, then exactly.  Features
-    meet where edges cross or touch, or a point of one (any, as no edges cross) lies in
-    the other, by the even-odd rule over all rings."""
-    pairs = box_join(boxes(left, [left_key]), boxes(right, [right_key]), bin_size, left_key, right_key)
-
-    def shapes(df: DataFrame, key: str, p: str) -> DataFrame:
-        e = edges_of(df, [key]).groupBy(key).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias(f"{p}e"))
-        return e.select(key, f"{p}e")
-
-    both = pairs.join(shapes(left, left_key, "l"), left_key).join(shapes(right, right_key, "r"), right_key)
+def edge_bins(edges: DataFrame, size: float) -> DataFrame:
+    """Each edge in every square bin that it passes (``bx, by``), a row band at a time, so
+    a long edge has as many bins as it is long.  Bins overlap by a millionth of their
+    size, more than rounding moves a crossing."""
+    low, high, slack = F.least("y1", "y2"), F.greatest("y1", "y2"), 1e-6 * size
+    band = lambda y: F.floor(y / size).cast("long")
+    rows = edges.withColumn("by", F.explode(F.sequence(band(low), band(high))))
+    at = lambda y: F.col("x1") + (y - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
+    a, b = at(F.greatest(low, F.col("by") * size)), at(F.least(high, (F.col("by") + 1) * size))
+    level = F.col("y1") == F.col("y2")
+    left = F.when(level, F.least("x1", "x2")).otherwise(F.least(a, b)) - slack
+    right = F.when(level, F.greatest("x1", "x2")).otherwise(F.greatest(a, b)) + slack
+    return rows.withColumn("bx", F.explode(F.sequence(band(left), band(right))))
+
+
+def crossing_pairs(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
+    """``lk, rk`` of edges (``lk`` or ``rk``, and ``x1, y1, x2, y2``) that cross or touch,
+    each pair once: edges meet in the bins that both pass."""
+    name = {c: f"r{c}" for c in ("x1", "y1", "x2", "y2")}
+    l, r = edge_bins(left, size), edge_bins(right, size).withColumnsRenamed(name)  # noqa: E741
+    e, f = ({c: F.col(p + c) for c in name} for p in ("", "r"))
+    met = l.join(r, ["bx", "by"]).where((F.least("x1", "x2") <= F.greatest("rx1", "rx2")) & (F.least("rx1", "rx2") <= F.greatest("x1", "x2")) & (F.least("y1", "y2") <= F.greatest("ry1", "ry2")) & (F.least("ry1", "ry2") <= F.greatest("y1", "y2")))
     turn = lambda e, x, y: F.signum((e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]))
     beside = lambda e, x, y: (F.least(e["x1"], e["x2"]) <= x) & (x <= F.greatest(e["x1"], e["x2"])) & (F.least(e["y1"], e["y2"]) <= y) & (y <= F.greatest(e["y1"], e["y2"]))
-
-    def cross(a: Column, b: Column) -> Column:
-        p, q, r, s = turn(a, b["x1"], b["y1"]), turn(a, b["x2"], b["y2"]), turn(b, a["x1"], a["y1"]), turn(b, a["x2"], a["y2"])
-        touch = ((p == 0) & beside(a, b["x1"], b["y1"])) | ((q == 0) & beside(a, b["x2"], b["y2"])) | ((r == 0) & beside(b, a["x1"], a["y1"])) | ((s == 0) & beside(b, a["x2"], a["y2"]))
-        return ((p * q < 0) & (r * s < 0)) | touch
-
-    def holds(edges: Column, x: Column, y: Column) -> Column:
-        hit = lambda e: ((e["y1"] > y) != (e["y2"] > y)) & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
-        return F.size(F.filter(edges, hit)) % 2 == 1
-
-    crossing = F.exists("le", lambda a: F.exists("re", lambda b: cross(a, b)))
-    # of features in several parts one part may lie inside the other feature, so each edge's begin is looked at
-    inside = F.exists("le", lambda a: holds(F.col("re"), a["x1"], a["y1"])) | F.exists("re", lambda b: holds(F.col("le"), b["x1"], b["y1"]))
-    return both.where(crossing | inside).select(left_key, right_key)
+    p, q, s, t = turn(e, f["x1"], f["y1"]), turn(e, f["x2"], f["y2"]), turn(f, e["x1"], e["y1"]), turn(f, e["x2"], e["y2"])
+    touch = ((p == 0) & beside(e, f["x1"], f["y1"])) | ((q == 0) & beside(e, f["x2"], f["y2"])) | ((s == 0) & beside(f, e["x1"], e["y1"])) | ((t == 0) & beside(f, e["x2"], e["y2"]))
+    return met.where(((p * q < 0) & (s * t < 0)) | touch).select("lk", "rk").distinct()
+
+
+def points_inside(points: DataFrame, edges: DataFrame, pairs: DataFrame, size: float) -> DataFrame:
+    """``pk, ek`` of ``pairs`` where a point of ``pk`` (``pk, ring, x, y``) lies in the
+    feature of ``ek`` (edges ``ek, x1, y1, x2, y2``), by the even-odd rule: points and
+    edges meet in row bands, and crossings to the right of a point are counted."""
+    band = lambda y: F.floor(y / size).cast("long")
+    asked = pairs.join(points, "pk").withColumn("band", band(F.col("y")))
+    rows = edges.where("y1 <> y2").withColumn("band", F.explode(F.sequence(band(F.least("y1", "y2")), band(F.greatest("y1", "y2")))))
+    met = asked.join(rows, ["ek", "band"])
+    hit = ((F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))) & (F.col("x") < (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
+    return met.where(hit).groupBy("pk", "ring", "ek").agg(F.count("*").alias("n")).where("n % 2 = 1").select("pk", "ek").distinct()
+
+
+def intersects_join(left: DataFrame, right: DataFrame, bin_size: float, left_key: str, right_key: str, edge_bin: float | None = None) -> DataFrame:
+    """``left_key, right_key`` of features that meet.  Features meet where edges cross or
+    touch, or, as then each ring lies wholly in or out of the other feature, where a
+    ring's first point lies in it, by the even-odd rule over all rings.
+
+    Edges are dealt to bins of ``edge_bin`` (a quarter of ``bin_size`` unless given) and
+    points to row bands of edges, so no task holds a whole feature, however many edges
+    it has.  Boxes (``box_join``) tell which pairs points are looked up for."""
+    size = edge_bin or bin_size / 4
+    l = Stage(edges_of(left.select(F.col(left_key).alias("lk"), "rings"), ["lk"]))  # noqa: E741
+    r = Stage(edges_of(right.select(F.col(right_key).alias("rk"), "rings"), ["rk"]))
+    corner = lambda e, key: e.groupBy(key).agg(F.min(F.least("x1", "x2")).alias("minx"), F.min(F.least("y1", "y2")).alias("miny"), F.max(F.greatest("x1", "x2")).alias("maxx"), F.max(F.greatest("y1", "y2")).alias("maxy"))
+    pairs = box_join(corner(l.df, "lk"), corner(r.df, "rk"), bin_size, "lk", "rk")
+    cross = Stage(crossing_pairs(l.df.drop("ring"), r.df.drop("ring"), size))
+    apart = Stage(pairs.join(cross.df, ["lk", "rk"], "left_anti"))
+
+    def inside(points: DataFrame, p: str, edges: DataFrame, e: str) -> DataFrame:
+        first = points.groupBy(F.col(p).alias("pk"), "ring").agg(F.min(F.struct("x1", "y1")).alias("at")).select("pk", "ring", F.col("at.x1").alias("x"), F.col("at.y1").alias("y"))
+        asked = apart.df.select(F.col(p).alias("pk"), F.col(e).alias("ek"))
+        return points_inside(first, edges.drop("ring").withColumnRenamed(e, "ek"), asked, size).select(F.col("pk").alias(p), F.col("ek").alias(e))
+
+    held = inside(l.df, "lk", r.df, "rk").unionByName(inside(r.df, "rk", l.df, "lk"))
+    found = Stage(cross.df.unionByName(held).distinct().select(F.col("lk").alias(left_key), F.col("rk").alias(right_key)))
+    for old in (l, r, cross, apart):
+        old.drop()
+    return found.df
 
 
 def mark_intersecting(features: DataFrame, layer: DataFrame, bin_size: float, key: str, name: str) -> DataFrame:

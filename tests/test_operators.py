@@ -270,6 +270,77 @@ def test_vector(spark):
         grid.common_bounds([(0, 0, 1, 1), (2, 2, 3, 3)])
 
 
+def brute_meet(a, b):
+    """Whether two features meet: every pair of edges, and every corner."""
+    edges = lambda rings: [(r[k], r[(k + 1) % len(r)]) for r in rings for k in range(len(r))]
+    turn = lambda p, q, r: (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+    on = lambda p, q, r: turn(p, q, r) == 0 and min(p[0], q[0]) <= r[0] <= max(p[0], q[0]) and min(p[1], q[1]) <= r[1] <= max(p[1], q[1])
+
+    def cross(e, f):
+        (p, q), (r, s) = e, f
+        return turn(p, q, r) * turn(p, q, s) < 0 and turn(r, s, p) * turn(r, s, q) < 0 or on(p, q, r) or on(p, q, s) or on(r, s, p) or on(r, s, q)
+
+    def inside(x, y, rings):
+        return sum((p[1] > y) != (q[1] > y) and x < (q[0] - p[0]) * (y - p[1]) / (q[1] - p[1]) + p[0] for p, q in edges(rings)) % 2 == 1
+
+    return any(cross(e, f) for e in edges(a) for f in edges(b)) or any(inside(*p, b) for r in a for p in r) or any(inside(*p, a) for r in b for p in r)
+
+
+@pytest.mark.parametrize("edge_bin", [0.7, 3.0, 100.0])
+def test_intersects_join_by_edges(spark, edge_bin):
+    """Random features of several rings, holes, touching and nested ones, at bins smaller
+    and larger than they are."""
+    import random
+
+    rng = random.Random(int(edge_bin))
+
+    def ring(x, y, size, n):
+        angles = sorted(rng.uniform(0, 2 * math.pi) for _ in range(n))
+        return [(round(x + size * math.cos(t), 2), round(y + size * math.sin(t), 2)) for t in angles]
+
+    def feature():
+        x, y, size = rng.uniform(-20, 20), rng.uniform(-20, 20), rng.uniform(0.2, 6)
+        rings = [ring(x, y, size, rng.randint(3, 9))]
+        if rng.random() < 0.4:
+            rings.append(ring(x, y, size / 3, 5))
+        if rng.random() < 0.3:
+            rings.append(ring(x + 10, y - 7, 1, 4))
+        return rings
+
+    left, right = [feature() for _ in range(30)], [feature() for _ in range(30)]
+    left += [[[(0, 0), (8, 0), (8, 8), (0, 8)], [(2, 2), (6, 2), (6, 6), (2, 6)]], [[(30, 30), (31, 30), (31, 31)]]]
+    right += [[[(3, 3), (5, 3), (5, 5), (3, 5)]], [[(8, 8), (9, 8), (9, 9)]], [[(1, 0.5), (1.5, 0.5), (1.5, 1)]]]
+    points = lambda rings: [[{"x": float(x), "y": float(y)} for x, y in r] for r in rings]
+    a = spark.createDataFrame([(k, points(f)) for k, f in enumerate(left)], FEATURE).withColumnRenamed("fid", "a")
+    b = spark.createDataFrame([(k, points(f)) for k, f in enumerate(right)], FEATURE).withColumnRenamed("fid", "b")
+    got = [(r.a, r.b) for r in vector.intersects_join(a, b, 5.0, "a", "b", edge_bin).collect()]
+    assert sorted(got) == sorted((i, j) for i, f in enumerate(left) for j, g in enumerate(right) if brute_meet(f, g))
+
+
+def test_long_edges_have_few_bins(spark):
+    """An edge lies in bins along its way, not in all of its box."""
+    edge = spark.createDataFrame([(1, 0.0, 0.0, 1000.0, 1000.0), (2, 0.0, 0.5, 1000.0, 0.5)], "lk int, x1 double, y1 double, x2 double, y2 double")
+    assert vector.edge_bins(edge, 1.0).groupBy("lk").count().agg(F.max("count")).first()[0] < 3100
+
+
+def test_tiles_write_what_changes(spark, monkeypatch):
+    """A front that passes a row of tiles writes the tiles it meets, not the others."""
+    written = []
+
+    class Told(reach.Stage):
+        def __init__(self, df, partition_by=None):
+            super().__init__(df, partition_by)
+            if partition_by:
+                written.append(self.df.where("NOT mail").count())
+
+    monkeypatch.setattr(reach, "Stage", Told)
+    cells = grid_of(spark, " ".join("S" + "1" * 79 for _ in range(4)))
+    got = reach.reach(cells, 1e6, plan="tiles", tile=4)
+    assert got.count() == 320
+    assert written[0] == 320 and len(written) >= 20
+    assert max(written[2:]) <= 4 * 16 and sum(written) <= 320 + 3 * 320
+
+
 def test_repair_and_full_extent(spark):
     p = lambda *xy: [{"x": float(x), "y": float(y)} for x, y in xy]
     rows = [(1, [p((0, 0), (2, 0), (2, 0), (2, 2), (0, 0))]), (2, [p((1, 1), (1, 1))]), (3, [])]
