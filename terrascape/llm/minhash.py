@@ -320,5 +320,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
     """The rows, whole, less those that are not the first of their component."""
-    gone = near_duplicates(docs, id_col, text_col, percent).where("NOT kept").select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    name = "gone_" + "_" * max(map(len, docs.columns))  # a name that no column has
+    gone = near_duplicates(docs, id_col, text_col, percent).where("NOT kept").select(F.col("id").alias(name)).distinct()
+    return docs.join(gone, F.col(f"`{id_col}`") == F.col(name), "left_anti")

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Parts into which a shard's rows are dealt to number them.
-PARTS = 64
+#: Rows of the parts into which a shard's rows are dealt to number them.
+PART_ROWS = 20_000
 
 
 def jump(key: np.ndarray, shards: int) -> np.ndarray:
@@ -51,18 +51,19 @@ def assign(rows: DataFrame, key: str = "doc_id", shards: int = 40, order: list[s
 
     Equal keys share a shard, whatever else the rows hold; a null key is a key of its
     own; repeated rows get a slot each.  Slots follow a hash of the row, then
-    ``order`` (default: all columns).  A shard is numbered in PARTS parts whose
-    sizes are added up first, so no task sees a whole shard; only the sizes of
-    shards * PARTS parts meet in one place.
+    ``order`` (default: all columns).  A shard is numbered in parts of about PART_ROWS
+    rows, as many as the rows ask for, whose sizes are added up first; so no task sees a
+    whole shard.  Columns named as the results are replaced; no other name clashes.
     """
     rows = rows.drop("law", "shard", "grown_shard", "slot")  # results replace columns of their names
     order = order or rows.columns
-    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in order]), F.lit(PARTS)).cast("int")
-    both = rows.withColumns({"shard": shard_of(F.col(f"`{key}`"), shards), "grown_shard": shard_of(F.col(f"`{key}`"), shards + 1), "__part": part})
-    sizes = both.groupBy("shard", "__part").agg(F.count("*").alias("__size"))
-    before = Window.partitionBy("shard").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("shard", "__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
-    inside = Window.partitionBy("shard", "__part").orderBy(*[F.col(f"`{c}`") for c in order])
-    numbered = both.withColumn("__number", F.row_number().over(inside) - 1)
-    placed = numbered.join(F.broadcast(offsets), ["shard", "__part"])  # shards * PARTS rows
-    return placed.select(*[F.col(f"`{c}`") for c in rows.columns], F.lit("key").alias("law"), "shard", (F.col("__number") + F.col("__offset")).cast("long").alias("slot"), "grown_shard")
+    parts = max(1, -(-rows.count() // (shards * PART_ROWS)))
+    column = F.col(f"`{key}`")
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row")
+    both = rows.select(whole, shard_of(column, shards).alias("shard"), shard_of(column, shards + 1).alias("grown_shard"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in order]), F.lit(parts)).alias("part"))
+    sizes = both.groupBy("shard", "part").agg(F.count("*").alias("size"))
+    before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("shard", "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("shard", "part").orderBy(*[F.col(f"row.`{c}`") for c in order])
+    placed = both.withColumn("number", F.row_number().over(inside) - 1).join(offsets, ["shard", "part"])
+    return placed.select(*[F.col(f"row.`{c}`").alias(c) for c in rows.columns], F.lit("key").alias("law"), "shard", (F.col("number") + F.col("offset")).cast("long").alias("slot"), "grown_shard")

@@ -298,6 +298,12 @@ def test_line_dedup_shift(spark, monkeypatch, weak):
         assert got[i].text == (text if i % 2 == 0 else "\n".join([*own[i][0], *own[i][1]]))
 
 
+def test_representatives_clashing_names(spark):
+    df = spark.createDataFrame([(k, "the same five words and more of them here", 1, 2) for k in range(3)] + [(None, None, 1, 2), (9, "x", 1, 2)], "doc_id long, text string, `__gone` int, gone_ int")
+    got = minhash.keep_representatives(df)
+    assert got.columns == df.columns and sorted(str(r.doc_id) for r in got.collect()) == ["0", "9", "None"]
+
+
 def test_line_dedup_chunks_decide(spark):
     """Passages of short lines are found through chunks: other boundaries give other
     chunks, and without boundaries a shifted passage is not found."""

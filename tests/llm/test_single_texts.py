@@ -307,3 +307,13 @@ def test_op4_columns(spark, small):
         data = (texts[r.doc_id] or "").encode()
         assert (r.size, r.text_crc32) == (len(data) + 16, zlib.crc32(data))
     assert op4_sharding(spark, small).select(F.col("slot")).schema[0].dataType.simpleString() == "bigint"
+
+
+def test_sharding_clashing_names_and_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "PART_ROWS", 3)
+    rows = spark.createDataFrame([(k, 7, 8, 9, 10, "p") for k in range(500)] + [(3, 7, 8, 9, 10, "p")] * 40, "doc_id long, part int, offset int, `__part` int, number int, size string").withColumn("row", F.lit(5))
+    got = sharding.assign(rows, "doc_id", 4).collect()
+    assert len(got) == 540 and {(r.part, r.offset, r["__part"], r.number, r["size"], r.row) for r in got} == {(7, 8, 9, 10, "p", 5)}
+    for shard in range(4):
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
+    assert sharding.assign(rows.limit(0), "doc_id", 4).count() == 0
