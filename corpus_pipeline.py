@@ -3,6 +3,10 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is written as
 Parquet and read again as the next one's ``docs``.  The first four return the columns
 of ``documents``; a stage's decisions hold for all that follow.
+
+In every stage a null id is a document (MinHash keeps rows with a null id, as no link can
+name them), repeated rows are documents of their own until MinHash, where those of equal
+ids share one fate, and ties go to the smaller id; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrascape.llm import language_id, line_dedup, minhash, packing, toxicity
-from terrascape.llm.common import durable, table
+from terrascape.llm.common import discard, durable, table
 from terrascape.llm.queries_groups import word_tokenizer
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -54,9 +58,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after another, over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = durable(docs)
-    return docs
+    docs, old = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        docs = durable(stage(spark, docs, sf_dir))
+        if old is not None:  # what a stage read goes when its result is written
+            discard(old)
+        old = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
