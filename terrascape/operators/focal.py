@@ -21,6 +21,15 @@ def disc_kernel(spark: SparkSession, radius: int) -> DataFrame:
     return spark.range(1).select(F.explode(side).alias("di")).select("di", F.explode(side).alias("dj")).where(F.col("di") * F.col("di") + F.col("dj") * F.col("dj") <= radius * radius)
 
 
+def disc_cells(radii: DataFrame, key: str, metres: str, pixel_m: float) -> DataFrame:
+    """``key, di, dj``: the cells within each row's radius (``metres``; in cells, half to
+    even)."""
+    r = F.bround(F.col(metres) / pixel_m).cast("int")
+    side = F.sequence(-F.col("r"), F.col("r"))
+    rows = radii.select(key, r.alias("r")).withColumn("di", F.explode(side)).withColumn("dj", F.explode(side))
+    return rows.where("di * di + dj * dj <= r * r").select(key, "di", "dj")
+
+
 def dilate(marked: DataFrame, radius: int, by: list[str] | None = None) -> DataFrame:
     """``row_i, col_j, hits``: how many marked cells lie within the radius, where any
     does; apart for each value of the columns ``by``.

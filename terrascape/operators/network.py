@@ -78,10 +78,15 @@ def terminal_sinks(edges: DataFrame) -> DataFrame:
     return ends.join(own, "p", "left").select("hybas_id", F.when(F.col("end"), F.col("p")).alias("next_sink"))
 
 
+def members(seeds: DataFrame, edges: DataFrame) -> DataFrame:
+    """``hybas_id, next_sink`` of the seeds' downstream closure, a node once; null where
+    ``edges`` (with ``next_sink``) tells none."""
+    return downstream_closure(seeds, edges).join(edges.groupBy("hybas_id").agg(F.min("next_sink").alias("next_sink")), "hybas_id", "left")
+
+
 def members_by_sink(seeds: DataFrame, edges: DataFrame) -> DataFrame:
-    """``hybas_id, next_sink`` of the seeds' downstream closure, a node once; a member
-    without a sink is an error.  ``edges`` has ``next_sink``."""
-    found = downstream_closure(seeds, edges).join(edges.groupBy("hybas_id").agg(F.min("next_sink").alias("next_sink")), "hybas_id", "left")
+    """``members``, of which none may lack a sink."""
+    found = members(seeds, edges)
     check_sinks(found)
     return found
 

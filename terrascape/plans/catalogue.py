@@ -191,12 +191,14 @@ def watershed_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edges.join(network.downstream_closure(_seeds(spark, sf_dir), edges), "hybas_id", "left_semi")
 
 
-@query(f"WITH e AS ({EDGES}) SELECT e.hybas_id, e.next_down, d.hybas_id IS NULL AND e.next_down <> 0 AS absent FROM e LEFT JOIN e d ON d.hybas_id = e.next_down + 100000 * (e.hybas_id % 2)")
+@query(_SINKS + f", c(hybas_id) AS ({_SEED} UNION SELECT e.next_down FROM c JOIN e USING (hybas_id) WHERE e.next_down <> 0) SELECT hybas_id, CASE WHEN hybas_id % 13 <> 0 THEN next_sink END AS next_sink, hybas_id % 13 = 0 AS absent FROM c JOIN s USING (hybas_id)")
 def missing_sink_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of drain partitions that lack a sink, where the network tells none for
+    every 13th watershed."""
     edges = load(spark, sf_dir, "fx_edges")
-    ids = edges.select(F.col("hybas_id").alias("known"))
-    met = edges.join(ids, F.col("next_down") + 100000 * (F.col("hybas_id") % 2) == F.col("known"), "left")
-    return met.select("hybas_id", "next_down", network.without_sink(F.when(F.col("next_down") == 0, F.col("hybas_id")).otherwise(F.col("known"))).alias("absent"))
+    told = edges.join(network.terminal_sinks(edges), "hybas_id").withColumn("next_sink", F.expr("CASE WHEN hybas_id % 13 <> 0 THEN next_sink END"))
+    found = network.members(_seeds(spark, sf_dir), told)
+    return found.select("hybas_id", "next_sink", network.without_sink(F.col("next_sink")).alias("absent"))
 
 
 @query(f"WITH e AS ({EDGES}) SELECT next_down AS hybas_id, count(*) AS n_up, string_agg(cast(hybas_id AS VARCHAR), ',' ORDER BY hybas_id) AS upstream FROM e WHERE next_down <> 0 AND next_down IN (SELECT hybas_id FROM e) GROUP BY next_down")
@@ -214,9 +216,11 @@ def upstream_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DISC = "SELECT cast(i AS INT) AS di, cast(j AS INT) AS dj FROM range(-6, 7) a(i), range(-6, 7) b(j) WHERE i * i + j * j <= 36"
 
 
-@query(_DISC)
+@query("WITH r AS (SELECT n_nationkey, cast(round_even(450.0 * n_nationkey / 900, 0) AS INT) AS r FROM nation) SELECT n_nationkey, cast(i AS INT) AS di, cast(j AS INT) AS dj FROM r, range(-12, 13) a(i), range(-12, 13) b(j) WHERE i * i + j * j <= r * r")
 def disc_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return focal.disc_kernel(spark, focal.pixels_of(5000, 900))
+    """The cells of a buffer of each nation, of 450 m a number."""
+    radii = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", (F.col("n_nationkey") * 450.0).alias("metres"))
+    return focal.disc_cells(radii, "n_nationkey", "metres", 900.0)
 
 
 @query(f"WITH k AS ({_DISC}) SELECT cast(row_i + di AS INT) AS row_i, cast(col_j + dj AS INT) AS col_j, count(*) AS hits FROM ({CELLS}), k WHERE source GROUP BY ALL")
@@ -510,7 +514,8 @@ def erode_to_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return erode.erode_to_area(area, area.count() / 2, area.count() / 4)
 
 
-@query("SELECT cast(i AS INT) AS idx, (i - 1) * 65536 AS \"offset\", greatest(0, least(65536, n - (i - 1) * 65536)) AS size FROM (SELECT count(*) * 11 AS n FROM lineitem) t, range(1, 100000) r(i) WHERE i <= greatest(1, cast(ceil(n / 65536.0) AS BIGINT))")
+@query("SELECT cast(i AS INT) AS idx, (i - 1) * 65536 AS \"offset\", greatest(0, least(65536, n - (i - 1) * 65536)) AS size FROM (SELECT cast(sum(octet_length(encode(text))) AS BIGINT) AS n FROM documents) t, range(1, 100000) r(i) WHERE i <= greatest(1, cast(ceil(n / 65536.0) AS BIGINT))")
 def chunk_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() * 11
+    """The parts of a file of all texts."""
+    size = spark.read.parquet(f"{sf_dir}/documents.parquet").agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     return chunks.ranges(spark, size, 65536)

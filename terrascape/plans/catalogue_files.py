@@ -73,12 +73,19 @@ def partition_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT cast(i AS INT) AS idx, cast(octet_length(part) AS BIGINT) AS size, sha256(part) AS sha256 FROM (SELECT i, encode(substr(whole, cast((i - 1) * 40000 + 1 AS BIGINT), 40000)) AS part
-  FROM (SELECT repeat('terrascape' || chr(10), n) AS whole, 11 * n AS size FROM (SELECT count(*) AS n FROM orders)), range(1, 100000) r(i) WHERE i <= greatest(1, cast(ceil(size / 40000.0) AS BIGINT)))""")
+  FROM (SELECT whole, octet_length(encode(whole)) AS size FROM (SELECT string_agg(o_orderkey || ' ' || o_orderdate::DATE || chr(10), '' ORDER BY o_orderkey) AS whole FROM orders)), range(1, 100000) r(i) WHERE i <= greatest(1, cast(ceil(size / 40000.0) AS BIGINT)))""")
 def chunk_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file split into zipped parts, joined again and compared; the manifest's digests."""
-    folder = Path(_place(spark).removeprefix("file:"))
+    """A file of orders split into zipped parts, joined again and compared; the
+    manifest's digests.  Splitting works on a file that driver and executors open by
+    path, so the shared folder must be one of a file system."""
+    place = _place(spark).removeprefix("file:")
+    if "://" in place:
+        raise ValueError(f"files are split in a folder of a file system, not at {place}")
+    folder = Path(place)
     folder.mkdir(parents=True)
-    (folder / "whole.txt").write_text("terrascape\n" * spark.read.parquet(f"{sf_dir}/orders.parquet").count())
+    lines = spark.read.parquet(f"{sf_dir}/orders.parquet").orderBy("o_orderkey").select(F.concat_ws(" ", "o_orderkey", F.to_date("o_orderdate")).alias("line"))
+    with open(folder / "whole.txt", "w", newline="") as out:
+        out.writelines(f"{r['line']}\n" for r in lines.toLocalIterator())  # a partition at a time
     manifest = chunks.split_file(spark, folder / "whole.txt", folder / "parts", 40_000)
     chunks.join_file(manifest, folder / "again.txt")
     parts = json.loads(manifest.read_text())["parts"]
@@ -180,7 +187,7 @@ def systems_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("k", F.round(turned * 100_000).cast("long").alias("lon_1e5"), F.round(F.col("lat") * 100_000).cast("long").alias("lat_1e5"))
 
 
-@query(f"""WITH {c._FLOW} SELECT row_i, col_j, to_i, to_j, cast(round(slope / sum(slope) OVER (PARTITION BY row_i, col_j) * 1000000) AS BIGINT) AS share_1e6 FROM (SELECT *, "drop" / (CASE WHEN slant THEN sqrt(2.0::DOUBLE) ELSE 1.0::DOUBLE END) AS slope FROM f)""")
+@query(f"""WITH RECURSIVE {c._FLOW} SELECT row_i, col_j, to_i, to_j, cast(round(slope / sum(slope) OVER (PARTITION BY row_i, col_j) * 1000000) AS BIGINT) AS share_1e6 FROM (SELECT *, "drop" / (CASE WHEN slant THEN sqrt(2.0::DOUBLE) ELSE 1.0::DOUBLE END) AS slope FROM l)""")
 def flow_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     shares = hydro.flow_shares(hydro.flow_edges(load(spark, sf_dir, "fx_dem")))
     return shares.select(*CELL, "to_i", "to_j", F.round(F.col("share") * 1_000_000).cast("long").alias("share_1e6"))
@@ -189,3 +196,15 @@ def flow_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH e AS ({EDGES}) SELECT count(*) AS n_edges, count(*) FILTER (next_down = 0) AS n_outlets FROM e")
 def network_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "fx_edges").agg(F.count("*").alias("n_edges"), F.count(F.when(F.col("next_down") == 0, 1)).alias("n_outlets"))
+
+
+@query("""WITH b AS (SELECT s_suppkey AS box_id, (s_suppkey * 37 % 360) - 180.0 AS minx, (s_suppkey * 17 % 100) - 50.0 AS miny, 80.0 + s_suppkey % 3 * 10 AS wide, 2.0 + s_suppkey % 5 AS tall FROM supplier),
+  d AS (SELECT *, miny + tall / 2 AS lat0, minx + wide / 2 AS lon FROM b)
+  SELECT box_id, '+proj=eqdc +lat_1=' || printf('%.8f', miny + tall / 4) || ' +lat_2=' || printf('%.8f', miny + 3 * tall / 4) || ' +lat_0=' || printf('%.8f', lat0) || ' +lon_0=' || printf('%.8f', CASE WHEN lon >= 180 THEN lon - 360 ELSE lon END) || ' +x_0=0 +y_0=0 +datum=WGS84 +units=m +no_defs' AS crs FROM d""")
+def choose_crs_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes of thousands of kilometres that are wider than tall: conic systems."""
+    wide, tall = 80.0 + F.col("s_suppkey") % 3 * 10, 2.0 + F.col("s_suppkey") % 5
+    minx, miny = F.col("s_suppkey") * 37 % 360 - 180.0, F.col("s_suppkey") * 17 % 100 - 50.0
+    right = minx + wide
+    boxes = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("box_id"), minx.alias("minx"), miny.alias("miny"), F.when(right > 180, right - 360).otherwise(right).alias("maxx"), (miny + tall).alias("maxy"))
+    return crs.choose_crs(boxes, "box_id").select("box_id", "crs")
