@@ -7,6 +7,9 @@ cell (i, j) is (j + 0.5, i + 0.5).
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -145,6 +148,104 @@ def intersects_join(left: DataFrame, right: DataFrame, bin_size: float, left_key
     return found.df
 
 
+def boundary_edges(features: DataFrame, key: str, bin_size: float) -> DataFrame:
+    """``key, x1, y1, x2, y2``: the boundary of what the even-odd rule calls inside, the
+    inside to the left of each edge.
+
+    A feature's edges that cross or touch, found by bins, are split there, and pieces
+    that lie twice on each other go; each piece then has the inside on one side, which a
+    ray from its middle tells: it counts the pieces beyond, met in bands.
+    """
+    ring = features.select(F.col(key).alias("k"), F.posexplode("rings").alias("ring", "p"))
+    n = F.size("p")
+    nxt = lambda i: F.element_at("p", F.when(i + 2 <= n, i + 2).otherwise(1))
+    sides = F.transform("p", lambda p, i: F.struct(p["x"].alias("x1"), p["y"].alias("y1"), nxt(i)["x"].alias("x2"), nxt(i)["y"].alias("y2")))
+    e = Stage(ring.select("k", "ring", F.posexplode(sides).alias("at", "e")).select("k", F.struct("ring", "at").alias("id"), "e.*").where("x1 <> x2 OR y1 <> y2"))
+    binned = edge_bins(e.df, bin_size)
+    met = binned.join(binned.withColumnsRenamed({"id": "jd", "x1": "u1", "y1": "v1", "x2": "u2", "y2": "v2"}), ["k", "bx", "by"]).where("id <> jd").drop("bx", "by").distinct()
+    turn = lambda ax, ay, bx, by, x, y: (F.col(bx) - F.col(ax)) * (F.col(y) - F.col(ay)) - (F.col(by) - F.col(ay)) * (F.col(x) - F.col(ax))
+    p, q = turn("x1", "y1", "x2", "y2", "u1", "v1"), turn("x1", "y1", "x2", "y2", "u2", "v2")
+    r, s = turn("u1", "v1", "u2", "v2", "x1", "y1"), turn("u1", "v1", "u2", "v2", "x2", "y2")
+    # the crossing is computed from the smaller of both edges, so both get the same point
+    lead = F.col("id") < F.col("jd")
+    t = F.when(lead, r / (r - s)).otherwise(p / (p - q))
+    along = lambda a, b, c, d: F.when(lead, F.col(a) + t * (F.col(b) - F.col(a))).otherwise(F.col(c) + t * (F.col(d) - F.col(c)))
+    on = lambda x, y: (F.least("x1", "x2") <= F.col(x)) & (F.col(x) <= F.greatest("x1", "x2")) & (F.least("y1", "y2") <= F.col(y)) & (F.col(y) <= F.greatest("y1", "y2"))
+    point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    found = F.array(
+        F.when((F.signum(p) * F.signum(q) < 0) & (F.signum(r) * F.signum(s) < 0), point(along("x1", "x2", "u1", "u2"), along("y1", "y2", "v1", "v2"))),
+        F.when((p == 0) & on("u1", "v1"), point(F.col("u1"), F.col("v1"))),
+        F.when((q == 0) & on("u2", "v2"), point(F.col("u2"), F.col("v2"))),
+    )
+    cuts = met.select("k", "id", F.explode(F.filter(found, lambda c: c.isNotNull())).alias("c")).groupBy("k", "id").agg(F.collect_set("c").alias("cuts"))
+    far = lambda c: (c["x"] - F.col("x1")) * (F.col("x2") - F.col("x1")) + (c["y"] - F.col("y1")) * (F.col("y2") - F.col("y1"))
+    every = F.array_union(F.coalesce("cuts", F.expr("cast(array() as array<struct<x:double,y:double>>)")), F.array(point(F.col("x1"), F.col("y1")), point(F.col("x2"), F.col("y2"))))
+    order = F.array_sort(F.transform(every, lambda c: F.struct(far(c).alias("d"), c["x"].alias("x"), c["y"].alias("y"))))
+    parts = e.df.join(cuts, ["k", "id"], "left").select("k", order.alias("o")).select("k", F.posexplode("o").alias("i", "a"), "o").where("i + 1 < size(o)").select("k", "a", F.element_at("o", F.col("i") + 2).alias("b"))
+    low, high = F.least(F.struct("a.x", "a.y"), F.struct("b.x", "b.y")), F.greatest(F.struct("a.x", "a.y"), F.struct("b.x", "b.y"))
+    once = parts.select("k", low.alias("a"), high.alias("b")).groupBy("k", "a", "b").agg(F.count("*").alias("n")).where("n % 2 = 1 AND a <> b")
+    piece = Stage(once.select("k", F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2")))
+    e.drop()
+    out = None
+    # a ray to the right from the middle of a piece; upwards where the piece lies level
+    for level, (m, c) in ((False, ("y", "x")), (True, ("x", "y"))):
+        own = piece.df.where(F.col("y1") == F.col("y2") if level else F.col("y1") != F.col("y2"))
+        own = own.withColumns({"mx": (F.col("x1") + F.col("x2")) / 2, "my": (F.col("y1") + F.col("y2")) / 2})
+        band = lambda v: F.floor(v / bin_size).cast("long")
+        lo, hi = F.least(f"{m}1", f"{m}2"), F.greatest(f"{m}1", f"{m}2")
+        walls = piece.df.where(lo < hi).withColumn("band", F.explode(F.sequence(band(lo), band(hi)))).withColumnsRenamed({"x1": "u1", "y1": "v1", "x2": "u2", "y2": "v2"})
+        a, b, d, f = (("v1", "v2", "u1", "u2") if m == "y" else ("u1", "u2", "v1", "v2"))
+        at = F.col(d) + (F.col(f"m{m}") - F.col(a)) / (F.col(b) - F.col(a)) * (F.col(f) - F.col(d))
+        same = (F.col("u1") == F.col("x1")) & (F.col("v1") == F.col("y1")) & (F.col("u2") == F.col("x2")) & (F.col("v2") == F.col("y2"))
+        hit = ((F.col(a) > F.col(f"m{m}")) != (F.col(b) > F.col(f"m{m}"))) & (at > F.col(f"m{c}")) & ~same
+        keyed = own.withColumn("band", band(F.col(f"m{m}")))
+        hits = keyed.join(walls, ["k", "band"], "left").groupBy("k", "x1", "y1", "x2", "y2").agg(F.count(F.when(hit, 1)).alias("n"))
+        # beyond the piece (right of it, above it) is inside where the ray meets an odd number
+        beyond = F.col("n") % 2 == 1
+        keep = ((F.col("y1") > F.col("y2")) == beyond) if not level else ((F.col("x1") < F.col("x2")) == beyond)
+        turned = hits.select("k", *[F.when(keep, F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("x1", "x2"), ("y1", "y2"), ("x2", "x1"), ("y2", "y1"))])
+        out = turned if out is None else out.unionByName(turned)
+    found = Stage(out.withColumnRenamed("k", key))
+    piece.drop()
+    return found.df
+
+
+def node(features: DataFrame, key: str, bin_size: float) -> DataFrame:
+    """``key, rings``: the features with rings that neither cross nor overlap themselves or each
+    other, of the same inside by the even-odd rule: shells turn left, holes right.  A
+    feature without an inside is gone.  A task holds the boundary of one feature."""
+    kind = features.schema[key].dataType.simpleString()
+
+    def walk(rows: pd.DataFrame) -> pd.DataFrame:
+        start = list(zip(rows["x1"], rows["y1"]))
+        stop = list(zip(rows["x2"], rows["y2"]))
+        leaving: dict[tuple, list[int]] = {}
+        for i, p in enumerate(start):
+            leaving.setdefault(p, []).append(i)
+        left, rings = set(range(len(start))), []
+        while left:
+            first = i = min(left)
+            ring = []
+            while True:
+                left.discard(i)
+                ring.append(start[i])
+                x, y = stop[i]
+                ways = [j for j in leaving[x, y] if j in left or j == first]
+                if not ways or stop[i] == start[first]:
+                    break
+                back = math.atan2(start[i][1] - y, start[i][0] - x)
+                # the first way clockwise from where it came keeps to the same part
+                i = min(ways, key=lambda j: (back - math.atan2(stop[j][1] - y, stop[j][0] - x)) % (2 * math.pi) or 2 * math.pi)
+                if i == first:
+                    break
+            rings.append(ring)
+        area = lambda r: sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:] + r[:1]))
+        rings.sort(key=lambda r: (-area(r), r))
+        return pd.DataFrame({key: [rows[key].iloc[0]], "rings": [[[{"x": float(x), "y": float(y)} for x, y in r] for r in rings]]})
+
+    return boundary_edges(features, key, bin_size).groupBy(key).applyInPandas(walk, f"`{key}` {kind}, rings array<array<struct<x:double,y:double>>>")
+
+
 def mark_intersecting(features: DataFrame, layer: DataFrame, bin_size: float, key: str, name: str) -> DataFrame:
     """``key`` of every feature and, as ``name``, whether it meets any of the layer."""
     other = f"{key}_of_layer"

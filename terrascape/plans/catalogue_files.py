@@ -208,3 +208,19 @@ def choose_crs_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     right = minx + wide
     boxes = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("box_id"), minx.alias("minx"), miny.alias("miny"), F.when(right > 180, right - 360).otherwise(right).alias("maxx"), (miny + tall).alias("maxy"))
     return crs.choose_crs(boxes, "box_id").select("box_id", "crs")
+
+
+@query("SELECT n_nationkey AS fid, cast(2 AS INT) AS n_rings, cast(2000 * (1 + n_nationkey % 4) * (1 + n_nationkey % 3) AS BIGINT) AS area_milli, cast(1000 * (1 + n_nationkey % 4) * (1 + n_nationkey % 3) AS BIGINT) AS first_milli FROM nation")
+def noded_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rings that cross themselves, a bow-tie for each nation, as rings that don't: their
+    number, whole area and the area of the first."""
+    nations = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    key = F.col("n_nationkey")
+    x, y, a, b = key * 7.25, key * 3.5, 1.0 + key % 4, 1.0 + key % 3
+    corner = lambda i, j: F.struct((x + 2 * i * a).alias("x"), (y + 2 * j * b).alias("y"))
+    bows = nations.select(key.cast("int").alias("fid"), F.array(F.array(corner(0, 0), corner(1, 1), corner(1, 0), corner(0, 1))).alias("rings"))
+    rings = vector.node(bows, "fid", 2.0)
+    one = rings.select("fid", F.array(F.element_at("rings", 1)).alias("rings"))
+    size = vector.measures(rings, ["fid"]).select("fid", F.round(F.col("area") * 1000).cast("long").alias("area_milli"))
+    first = vector.measures(one, ["fid"]).select("fid", F.round(F.col("area") * 1000).cast("long").alias("first_milli"))
+    return rings.select("fid", F.size("rings").alias("n_rings")).join(size, "fid").join(first, "fid")

@@ -317,6 +317,36 @@ def test_intersects_join_by_edges(spark, edge_bin):
     assert sorted(got) == sorted((i, j) for i, f in enumerate(left) for j, g in enumerate(right) if brute_meet(f, g))
 
 
+def inside(x, y, rings):
+    edges = [(r[k], r[(k + 1) % len(r)]) for r in rings for k in range(len(r))]
+    return sum((p[1] > y) != (q[1] > y) and x < (q[0] - p[0]) * (y - p[1]) / (q[1] - p[1]) + p[0] for p, q in edges) % 2 == 1
+
+
+def test_node_repairs_rings(spark):
+    """Bow-ties, stars, rings that overlap, touch or lie on each other: rings without
+    crossings, of the same inside."""
+    import random
+
+    rng = random.Random(6)
+    bow = [[(0, 0), (2, 2), (2, 0), (0, 2)]]
+    star = [[(round(10 * math.cos(k * 4 * math.pi / 5), 3), round(10 * math.sin(k * 4 * math.pi / 5), 3)) for k in range(5)]]
+    twice = [[(0, 0), (4, 0), (4, 4), (0, 4)], [(2, 2), (6, 2), (6, 6), (2, 6)], [(10, 0), (12, 0), (12, 2), (10, 2)], [(12, 0), (14, 0), (14, 2), (12, 2)]]
+    gone = [[(0, 0), (4, 0), (4, 4)], [(0, 0), (4, 0), (4, 4)]]
+    features = [bow, star, twice, gone] + [[[(rng.randint(0, 12), rng.randint(0, 12)) for _ in range(rng.randint(3, 8))] for _ in range(rng.randint(1, 2))] for _ in range(25)]
+    points = lambda rings: [[{"x": float(x), "y": float(y)} for x, y in r] for r in rings]
+    df = spark.createDataFrame([(k, points(f)) for k, f in enumerate(features)], FEATURE)
+    got = {r.fid: [[(p.x, p.y) for p in ring] for ring in r.rings] for r in vector.node(df, "fid", 3.0).collect()}
+    area = lambda r: sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:] + r[:1])) / 2
+    assert sorted(area(r) for r in got[0]) == [1, 1] and 3 not in got
+    assert len(got[1]) == 5 and sum(map(area, got[2])) == 16 - 4 + 16 - 4 + 8
+    for k, rings in enumerate(features):
+        for _ in range(60):
+            x, y = rng.uniform(-11, 13), rng.uniform(-11, 13)
+            assert inside(x, y, rings) == inside(x, y, got.get(k, []))
+        grid_area = sum(inside(a / 7 + 0.0123, b / 7 + 0.0217, rings) for a in range(-80, 100) for b in range(-80, 100)) / 49
+        assert abs(sum(map(area, got.get(k, []))) - grid_area) < 0.1 * grid_area + 2
+
+
 def test_long_edges_have_few_bins(spark):
     """An edge lies in bins along its way, not in all of its box."""
     edge = spark.createDataFrame([(1, 0.0, 0.0, 1000.0, 1000.0), (2, 0.0, 0.5, 1000.0, 0.5)], "lk int, x1 double, y1 double, x2 double, y2 double")
