@@ -72,7 +72,7 @@ def parse(raw: dict, stem: str) -> Config:
         value = inputs.get(key)
         if not value:
             problems.append(f"{key} is missing")
-        elif not os.path.exists(value):
+        elif not _there(value):
             problems.append(f"{key} does not exist: {value}")
     if full and patterns:
         problems.append("aoi_vector_pattern must be empty with analyze_full_raster_extent")
@@ -121,6 +121,11 @@ def _sections(sections: list) -> tuple[list[Mask], list[dict]]:
     return masks, combine
 
 
+def _there(path) -> bool:
+    """Whether a local path exists; paths of other stores are told when Spark reads them."""
+    return "://" in str(path) or os.path.exists(path)
+
+
 def validate_paths(config: Config, fields: list[str] | None = None) -> None:
     """Existence of every path (patterns with wildcards are skipped), also of mask
     parameters that end in ``_path``; ``fields``: those of the watershed layer."""
@@ -129,7 +134,7 @@ def validate_paths(config: Config, fields: list[str] | None = None) -> None:
     def check(value, label):
         if not value:
             problems.append(f"{label}: missing")
-        elif not any(c in str(value) for c in "*?[") and not os.path.exists(value):
+        elif not any(c in str(value) for c in "*?[") and not _there(value):
             problems.append(f"{label}: not found: {value}")
 
     for key, value in config.paths.items():
@@ -175,6 +180,6 @@ def load_focal(path: str | Path) -> tuple[str, str, list[FocalArea]]:
 
     path = Path(path)
     raw = yaml.safe_load(path.read_text(encoding="utf-8")) or {}
-    place = lambda p: p if os.path.isabs(p) else str((path.parent / p).resolve())
+    place = lambda p: p if os.path.isabs(p) or "://" in p else str((path.parent / p).resolve())
     areas = [FocalArea(a["id"], place(a["path"]), bool(a["is_marine"]), float(a["buffer_distance_m"]), float(a["max_proposed_priority_area_ha"])) for a in raw["focal_vectors"]]
     return place(raw["aggregate_vector_path"]), place(raw["out_dir"]), areas

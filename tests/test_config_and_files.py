@@ -103,3 +103,9 @@ def test_tampering_is_found(spark, tmp_path):
     (tmp_path / "out" / told["parts"][0]["zip_filename"]).unlink()
     with pytest.raises(FileNotFoundError, match="part000001"):
         chunks.join_file(manifest, tmp_path / "b")
+
+
+def test_paths_of_other_stores_are_not_looked_for_locally(tmp_path):
+    from terrascape.plans.config import _there
+
+    assert _there("viewfs://store/in/pop") and _there(tmp_path) and not _there(tmp_path / "gone")
