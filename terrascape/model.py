@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 CELLS = "raster_id string, row_i int, col_j int, v double"
-HEADERS = "raster_id string, x0 double, y0 double, dx double, dy double, width int, height int, nodata double, crs string"
+HEADERS = "raster_id string, x0 double, y0 double, dx double, dy double, width int, height int, nodata double, crs string, dtype string"
 TILES = "raster_id string, trow int, tcol int, data array<double>"
 FEATURES = "layer string, fid bigint, rings array<array<struct<x:double,y:double>>>"
 EDGES = "hybas_id bigint, next_down bigint, next_sink bigint"

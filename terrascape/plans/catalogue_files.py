@@ -224,3 +224,15 @@ def noded_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = vector.measures(rings, ["fid"]).select("fid", F.round(F.col("area") * 1000).cast("long").alias("area_milli"))
     first = vector.measures(one, ["fid"]).select("fid", F.round(F.col("area") * 1000).cast("long").alias("first_milli"))
     return rings.select("fid", F.size("rings").alias("n_rings")).join(size, "fid").join(first, "fid")
+
+
+@query(f"SELECT row_i, col_j, pop AS v, 'bigint' AS dtype, cast(-9999 AS DOUBLE) AS nodata FROM ({CELLS}) WHERE pop <> -9999 AND row_i BETWEEN 1 AND 8")
+def raster_nodata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raster of whole numbers with a nodata value, written and its window read: the
+    type stays, nodata cells are missing."""
+    cells = load(spark, sf_dir, "fx_cells").select(*CELL, F.col("pop").alias("v"))
+    path = _place(spark)
+    tables.write_raster(cells, _grid(cells), path, "pop", nodata=-9999)
+    found, _ = tables.read_raster(spark, path, "pop", bounds=(0.5, -8.5, 99.5, -1.5))
+    header = tables.raster_header(spark, path, "pop")
+    return found.select(*CELL, "v", F.lit(header["dtype"]).alias("dtype"), F.lit(header["nodata"]).alias("nodata"))

@@ -17,26 +17,40 @@ from terrascape.operators import grid as grids
 from terrascape.operators import vector
 
 
-def write_raster(cells: DataFrame, grid: Grid, path: str, raster_id: str, value: str = "v", tile: int = TILE) -> None:
-    """Tiles and header of one raster; other rasters under ``path`` stay."""
+def write_raster(cells: DataFrame, grid: Grid, path: str, raster_id: str, value: str = "v", tile: int = TILE, nodata: float | None = None) -> None:
+    """Tiles and header of one raster; other rasters under ``path`` stay.  The header
+    keeps the values' type and ``nodata``, cells of which are missing in the tiles."""
+    kind = cells.schema[value].dataType.simpleString()
+    if nodata is not None:
+        cells = cells.where(F.col(value).isNull() | (F.col(value).cast("double") != float(nodata)))
     tiles = grids.to_tiles(cells, value, tile).withColumn("raster_id", F.lit(raster_id))
     tiles.write.mode("append").partitionBy("raster_id").parquet(f"{path}/tiles")
-    row = (raster_id, *map(float, (grid.x0, grid.y0, grid.dx, grid.dy)), grid.width, grid.height, None, grid.crs)
+    row = (raster_id, *map(float, (grid.x0, grid.y0, grid.dx, grid.dy)), grid.width, grid.height, None if nodata is None else float(nodata), grid.crs, kind)
     cells.sparkSession.createDataFrame([row], HEADERS).coalesce(1).write.mode("append").parquet(f"{path}/headers")
 
 
 def read_raster(spark: SparkSession, path: str, raster_id: str, tile: int = TILE, bounds=None) -> tuple[DataFrame, Grid]:
-    """Cells and grid; with ``bounds`` only the tiles that meet them are read."""
+    """Cells, of the type that was written, and grid; with ``bounds`` only the tiles that
+    meet them are read."""
     h = spark.read.schema(HEADERS).parquet(f"{path}/headers").where(F.col("raster_id") == raster_id).first()
     if h is None:
         raise FileNotFoundError(f"no raster {raster_id!r} under {path}")
     grid = Grid(h["x0"], h["y0"], h["dx"], h["dy"], h["width"], h["height"], h["crs"])
     tiles = spark.read.parquet(f"{path}/tiles").where(F.col("raster_id") == raster_id)
+    typed = lambda cells: cells.withColumn("v", F.col("v").cast(h["dtype"] or "double"))
     if bounds is None:
-        return grids.from_tiles(tiles, tile), grid
+        return typed(grids.from_tiles(tiles, tile)), grid
     r0, r1, c0, c1 = grids.window(grid, bounds)
     tiles = tiles.where(F.col("trow").between(r0 // tile, r1 // tile) & F.col("tcol").between(c0 // tile, c1 // tile))
-    return grids.clip(grids.from_tiles(tiles, tile), (r0, r1), (c0, c1)), grid
+    return typed(grids.clip(grids.from_tiles(tiles, tile), (r0, r1), (c0, c1))), grid
+
+
+def raster_header(spark: SparkSession, path: str, raster_id: str) -> dict:
+    """The header of a raster: its grid, ``nodata`` and ``dtype``."""
+    found = spark.read.schema(HEADERS).parquet(f"{path}/headers").where(F.col("raster_id") == raster_id).first()
+    if found is None:
+        raise FileNotFoundError(f"no raster {raster_id!r} under {path}")
+    return found.asDict()
 
 
 def open_raster(spark: SparkSession, path: str, bounds=None) -> tuple[DataFrame, Grid]:
