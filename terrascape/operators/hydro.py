@@ -42,59 +42,98 @@ class Steps:
         return steps + np.float32(1)
 
 
-def flat_gradients(met: DataFrame, by: list[str], plan: str | None = None, tile: int = 256, group_cells: int = GROUP_CELLS) -> DataFrame:
-    """``row_i, col_j, level, away`` of the cells that lie in flats with an outlet.
-
-    ``met``: each cell (``by, row_i, col_j, elev``) beside each neighbour (``ni, nj,
-    low``).  Cells of a flat have 8 neighbours, none lower, so two of them that touch
-    are equally high and of one flat.  ``away``: steps from higher terrain, 0 without
-    any; ``level``: twice the steps from an outlet (a neighbour as high that has a lower
-    one or lies on the border) less ``away``: lower towards outlets, and off the walls
-    where that is a tie.
+#: Cells beyond its own that a tile of elevations is given: a neighbour's neighbours.
+HALO = 2
+_NEAR = "kind string, row_i int, col_j int, to_i int, to_j int, drop {elev}, slant boolean, walled boolean, open boolean"
+
+
+def _neighbourhood(dem: DataFrame, by: list[str], tile: int) -> DataFrame:
+    """What tiles of elevations tell, each seeing HALO cells around it.  Rows of a kind:
+    ``slope`` (an edge to a lower neighbour), ``flat`` (a cell with 8 neighbours, none
+    lower; ``walled``: one is higher, ``open``: one is as high and not flat itself) and
+    ``outlet`` (an edge from a flat cell to such a neighbour)."""
+    kind = dem.schema["elev"].dataType.simpleString()
+    corners = [F.struct(F.floor((F.col("row_i") + i) / tile).cast("int").alias("tr"), F.floor((F.col("col_j") + j) / tile).cast("int").alias("tc")) for i in (-HALO, 0, HALO) for j in (-HALO, 0, HALO)]
+    dealt = dem.select(*by, "row_i", "col_j", "elev", F.explode(F.array_distinct(F.array(*corners))).alias("t")).select(*by, "t.*", "row_i", "col_j", "elev")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        i0, j0 = int(rows["tr"].iloc[0]) * tile - HALO, int(rows["tc"].iloc[0]) * tile - HALO
+        side = tile + 2 * HALO
+        z, there = np.zeros((side + 2, side + 2), rows["elev"].dtype), np.zeros((side + 2, side + 2), bool)
+        at = rows["row_i"].to_numpy(np.int64) - i0 + 1, rows["col_j"].to_numpy(np.int64) - j0 + 1
+        z[at], there[at] = rows["elev"].to_numpy(), True
+        shift = lambda m, i, j: m[1 + i : side + 1 + i, 1 + j : side + 1 + j]
+        own, known = shift(z, 0, 0), shift(there, 0, 0)
+        count, lower, higher = np.zeros((side, side), int), np.zeros((side, side), bool), np.zeros((side, side), bool)
+        for i, j, _ in NEIGHBOURS:
+            near, seen = shift(z, i, j), shift(there, i, j)
+            count += seen
+            lower |= seen & (near < own)
+            higher |= seen & (near > own)
+        flat = np.zeros_like(there)
+        flat[1:-1, 1:-1] = known & (count == 8) & ~lower
+        still, inner = shift(flat, 0, 0), np.zeros((side, side), bool)
+        inner[HALO:-HALO, HALO:-HALO] = known[HALO:-HALO, HALO:-HALO]
+        open_, parts = np.zeros((side, side), bool), []
+
+        def edges(name: str, where: np.ndarray, i: int, j: int, slant: bool, drop: np.ndarray) -> None:
+            r, c = np.nonzero(where)
+            parts.append(pd.DataFrame({"kind": name, "row_i": r + i0, "col_j": c + j0, "to_i": r + i0 + i, "to_j": c + j0 + j, "drop": drop[r, c], "slant": slant, "walled": False, "open": False}))
+
+        for i, j, slant in NEIGHBOURS:
+            near, seen = shift(z, i, j), shift(there, i, j)
+            edges("slope", inner & seen & (near < own), i, j, slant, own - near)
+            out = still & seen & (near == own) & ~shift(flat, i, j)
+            open_ |= out
+            edges("outlet", inner & out, i, j, slant, np.full_like(own, 2))
+        r, c = np.nonzero(inner & still)
+        parts.append(pd.DataFrame({"kind": "flat", "row_i": r + i0, "col_j": c + j0, "to_i": 0, "to_j": 0, "drop": own[r, c] * 0, "slant": False, "walled": higher[r, c], "open": open_[r, c]}))
+        found = pd.concat([p for p in parts if len(p)] or parts[:1])
+        return found.assign(**{c: rows[c].iloc[0] for c in by})[[*by, "kind", "row_i", "col_j", "to_i", "to_j", "drop", "slant", "walled", "open"]]
+
+    ddl = ", ".join([*[f"`{c}` {dem.schema[c].dataType.simpleString()}" for c in by], _NEAR.format(elev=kind)])
+    return dealt.groupBy(*by, "tr", "tc").applyInPandas(run, ddl)
+
+
+def flat_gradients(flat: DataFrame, by: list[str], plan: str | None = None, tile: int = 256, group_cells: int = GROUP_CELLS) -> DataFrame:
+    """``row_i, col_j, level`` of the cells that lie in flats with an outlet.
+
+    ``flat``: ``row_i, col_j, walled, open`` of the cells of flats; as none has a lower
+    neighbour, two of them that touch are equally high and of one flat.  ``level``: twice
+    the steps from an outlet less the steps from higher terrain (0 without any): lower
+    towards outlets, and off the walls where that is a tie.
     """
-    key = [*by, "row_i", "col_j"]
-    flat = met.groupBy(*key).agg(F.first("elev").alias("elev"), F.count("*").alias("n"), F.min("low").alias("least"), F.max("low").alias("most")).where("n = 8 AND least >= elev")
-    flat = Stage(flat.select(*key, "elev", (F.col("most") > F.col("elev")).alias("walled")))
-    there = flat.df.select(*by, F.col("row_i").alias("ni"), F.col("col_j").alias("nj"), F.lit(True).alias("same"))
-    beside = met.where("low = elev").join(flat.df.select(*key), key, "left_semi").join(there, [*by, "ni", "nj"], "left")
-    outlets = beside.where("same IS NULL").select(*key).distinct().withColumn("open", F.lit(True))
-    cells = Stage(flat.df.join(outlets, key, "left"))
+    area = F.concat_ws("/", *[F.col(c).cast("string") for c in by]) if by else F.lit("dem")
+    named = flat.withColumn("area", area)
 
     def steps(first: str) -> DataFrame:
-        area = F.concat_ws("/", *[F.col(c).cast("string") for c in by]) if by else F.lit("dem")
-        named = cells.df.select(area.alias("aoi_id"), "row_i", "col_j", F.lit(1.0).alias("cost"), F.lit(False).alias("closed"), F.when(F.col(first), 1.0).alias("v"))
-        return least_values(named, Steps(), plan or choose_plan(named, group_cells), tile)
+        cells = named.select(F.col("area").alias("aoi_id"), "row_i", "col_j", F.lit(1.0).alias("cost"), F.lit(False).alias("closed"), F.when(F.col(first), 1.0).alias("v"))
+        return least_values(cells, Steps(), plan or choose_plan(cells, group_cells), tile).withColumnsRenamed({"aoi_id": "area", "v": first})
 
-    area = F.concat_ws("/", *[F.col(c).cast("string") for c in by]) if by else F.lit("dem")
-    near, far = steps("open").withColumnRenamed("v", "near"), steps("walled").withColumnRenamed("v", "far")
-    where = ["aoi_id", "row_i", "col_j"]
-    found = cells.df.select(*by, "row_i", "col_j", area.alias("aoi_id") if "aoi_id" not in by else F.lit(0).alias("unused")).withColumn("aoi_id", area)
-    found = found.join(near, where).join(far, where, "left")
-    away = F.coalesce("far", F.lit(0.0)).cast("long")
-    out = Stage(found.select(*key, (2 * F.col("near").cast("long") - away).alias("level"), away.alias("away")))
-    flat.drop()
-    cells.drop()
-    return out.df
+    where = ["area", "row_i", "col_j"]
+    found = named.select(*by, *where).join(steps("open"), where).join(steps("walled"), where, "left")
+    return found.select(*by, "row_i", "col_j", (2 * F.col("open") - F.coalesce("walled", F.lit(0.0))).cast("long").alias("level"))
 
 
 def flow_edges(dem: DataFrame, by: list[str] | None = None, plan: str | None = None, tile: int = 256) -> DataFrame:
     """``row_i, col_j, to_i, to_j, drop, slant, flat``: flow to every lower neighbour (of
     the same grid, where the columns ``by`` tell grids apart), and in flats (``flat``) to
     outlets and to neighbours whose gradient is lower; there ``drop`` is that of the
-    gradient, 2 to an outlet.  Flats without an outlet, as pits have, don't flow."""
+    gradient, 2 to an outlet.  Flats without an outlet, as pits have, don't flow.  Cells
+    travel once, by tile, with their neighbours at the tile's border."""
     by = by or []
     key = [*by, "row_i", "col_j"]
-    dem = dem.where("elev IS NOT NULL")
-    below = dem.select(*by, F.col("row_i").alias("ni"), F.col("col_j").alias("nj"), F.col("elev").alias("low"))
-    met = _around(dem, [*key, "elev"]).join(below, [*by, "ni", "nj"])
-    level = flat_gradients(met, by, plan, tile)
+    near = Stage(_neighbourhood(dem.where("elev IS NOT NULL"), by, tile)).df
+    columns = [*key, "to_i", "to_j", "drop", "slant"]
+    edges = near.where("kind <> 'flat'").select(*columns, (F.col("kind") == "outlet").alias("flat"))
+    flat = near.where("kind = 'flat'").select(*key, "walled", "open")
+    if flat.isEmpty():
+        return edges
+    level = Stage(flat_gradients(flat, by, plan, tile)).df
     there = level.select(*by, F.col("row_i").alias("ni"), F.col("col_j").alias("nj"), F.col("level").alias("next"))
-    inside = met.where("low = elev").join(level, key).join(there, [*by, "ni", "nj"], "left")
-    fall = F.when(F.col("next").isNull(), 2).otherwise(F.col("level") - F.col("next"))
-    columns = [*key, F.col("ni").alias("to_i"), F.col("nj").alias("to_j")]
-    slopes = met.where("elev > low").select(*columns, (F.col("elev") - F.col("low")).alias("drop"), "slant", F.lit(False).alias("flat"))
-    kind = slopes.schema["drop"].dataType.simpleString()
-    return slopes.unionByName(inside.where(fall > 0).select(*columns, fall.cast(kind).alias("drop"), "slant", F.lit(True).alias("flat")))
+    inside = _around(level, [*key, "level"]).join(there, [*by, "ni", "nj"]).where("level > next")
+    fall = (F.col("level") - F.col("next")).cast(near.schema["drop"].dataType)
+    return edges.unionByName(inside.select(*key, F.col("ni").alias("to_i"), F.col("nj").alias("to_j"), fall.alias("drop"), "slant", F.lit(True).alias("flat")))
 
 
 def flow_shares(edges: DataFrame) -> DataFrame:

@@ -469,7 +469,7 @@ def test_scalars():
 
 def connect(folder):
     c = duckdb.connect()
-    for t in ("events", "orders", "customer", "nation", "supplier", "lineitem"):
+    for t in ("events", "orders", "customer", "nation", "supplier", "lineitem", "documents"):
         c.execute(f"create view {t} as select * from '{folder}/{t}.parquet'")
     return c
 
