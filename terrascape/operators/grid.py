@@ -58,7 +58,9 @@ def target_cells(spark, grid: Grid) -> DataFrame:
 def resample(cells: DataFrame, source: Grid, target: Grid, to_source: Callable[[Column, Column], tuple[Column, Column]] | None = None, bounds=None) -> DataFrame:
     """Nearest resampling: each target cell takes the source cell that holds its centre
     (``to_source``: from target to source coordinates; default: the same system).
-    Values are neither spread nor conserved; cells outside the source are absent."""
+    Values are neither spread nor conserved; cells outside the source are absent.
+    Target cells are made, so Spark can't tell how many there are; they are never sent
+    to all tasks."""
     goal = target_cells(cells.sparkSession, target)
     if bounds is not None:
         r0, r1, c0, c1 = window(target, bounds)
@@ -69,7 +71,7 @@ def resample(cells: DataFrame, source: Grid, target: Grid, to_source: Callable[[
     row, col = cell_of(source, x, y)
     wanted = goal.select("row_i", "col_j", row.alias("si"), col.alias("sj")).where((F.col("si").between(0, source.height - 1)) & F.col("sj").between(0, source.width - 1))
     values = [c for c in cells.columns if c not in ("row_i", "col_j")]
-    return wanted.join(cells.withColumnsRenamed({"row_i": "si", "col_j": "sj"}), ["si", "sj"]).select("row_i", "col_j", *values)
+    return wanted.hint("merge").join(cells.withColumnsRenamed({"row_i": "si", "col_j": "sj"}), ["si", "sj"]).select("row_i", "col_j", *values)
 
 
 def union_grid(grids: list[Grid], dx: float, dy: float) -> Grid:
