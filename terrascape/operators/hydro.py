@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrascape.model import NEIGHBOURS
@@ -53,8 +53,7 @@ def _neighbourhood(dem: DataFrame, by: list[str], tile: int) -> DataFrame:
     lower; ``walled``: one is higher, ``open``: one is as high and not flat itself) and
     ``outlet`` (an edge from a flat cell to such a neighbour)."""
     kind = dem.schema["elev"].dataType.simpleString()
-    corners = [F.struct(F.floor((F.col("row_i") + i) / tile).cast("int").alias("tr"), F.floor((F.col("col_j") + j) / tile).cast("int").alias("tc")) for i in (-HALO, 0, HALO) for j in (-HALO, 0, HALO)]
-    dealt = dem.select(*by, "row_i", "col_j", "elev", F.explode(F.array_distinct(F.array(*corners))).alias("t")).select(*by, "t.*", "row_i", "col_j", "elev")
+    dealt = _dealt(dem, [*by, "row_i", "col_j", "elev"], HALO, tile)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         i0, j0 = int(rows["tr"].iloc[0]) * tile - HALO, int(rows["tc"].iloc[0]) * tile - HALO
@@ -140,8 +139,8 @@ def flow_shares(edges: DataFrame) -> DataFrame:
     """Flow edges with ``share``: slope over the sum of the cell's slopes."""
     slope = F.col("drop") / F.when(F.col("slant"), F.sqrt(F.lit(2.0))).otherwise(1.0)
     sloped = edges.withColumn("slope", slope)
-    total = sloped.groupBy("row_i", "col_j").agg(F.sum("slope").alias("total"))
-    return sloped.join(total, ["row_i", "col_j"]).select("row_i", "col_j", "to_i", "to_j", (F.col("slope") / F.col("total")).alias("share"))
+    total = F.sum("slope").over(Window.partitionBy("row_i", "col_j"))
+    return sloped.select("row_i", "col_j", "to_i", "to_j", (F.col("slope") / total).alias("share"))
 
 
 def _tile_of(i: str, j: str, tile: int) -> list[Column]:
@@ -272,7 +271,7 @@ def reachable(edges: DataFrame, start: DataFrame, by: list[str] | None = None, t
 
     def spread_all(marks: DataFrame) -> DataFrame:
         busy = marks.select(*by, *_tile_of("row_i", "col_j", tile)).distinct()
-        own = _edge_rows(links.df, on, tile).join(busy, [*on, "tr", "tc"]).select(*by, "kind", "tr", "tc", "row_i", "col_j", "to_i", "to_j", "share", "w")
+        own = _edge_rows(links.df, on, tile).join(F.broadcast(busy), [*on, "tr", "tc"]).select(*by, "kind", "tr", "tc", "row_i", "col_j", "to_i", "to_j", "share", "w")
         return own.unionByName(_cell_rows(marks, by, "mark", tile)).groupBy(*by, "tr", "tc").applyInPandas(spread, ddl)
 
     first = spread_all(start.df).where("outside").select(*key).distinct()
@@ -280,7 +279,7 @@ def reachable(edges: DataFrame, start: DataFrame, by: list[str] | None = None, t
     maps = None
     while not entered.front.isEmpty():
         maps = maps or Stage(_tile_maps(links.df, on, tile, False))
-        to = entered.front.join(maps.df, [*on, "row_i", "col_j"]).select(*by, F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j")).distinct()
+        to = entered.beside.join(maps.df, [*on, "row_i", "col_j"]).select(*by, F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j")).distinct()
         entered.add(to.join(entered.df, key, "left_anti"))
     marks = start.df.unionByName(entered.df).distinct()
     found = Stage(spread_all(marks).where("NOT outside").select(*key).unionByName(marks).distinct())
@@ -323,7 +322,7 @@ def accumulate(shares: DataFrame, weights: DataFrame, tile: int = FLOW_TILE) ->
     maps = None
     while not entered.front.isEmpty():
         maps = maps or Stage(_tile_maps(links.df, [], tile, True))
-        to = entered.front.join(maps.df, key).select(F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j"), (F.col("w") * F.col("flow")).alias("w"))
+        to = entered.beside.join(maps.df, key).select(F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j"), (F.col("w") * F.col("flow")).alias("w"))
         entered.add(to.groupBy(*key).agg(F.sum("w").alias("w")))
     whole = Stage(by_tile(own.df.unionByName(entered.df)).applyInPandas(fill, "row_i int, col_j int, acc double"))
     for old in (links, own, *([maps] if maps else [])):
@@ -332,6 +331,31 @@ def accumulate(shares: DataFrame, weights: DataFrame, tile: int = FLOW_TILE) ->
     return whole.df
 
 
+def _dealt(cells: DataFrame, keep: list[str], halo: int, tile: int) -> DataFrame:
+    """Each cell in its tile ``tr, tc`` and in those that see it within ``halo`` cells."""
+    corners = [F.struct(F.floor((F.col("row_i") + i) / tile).cast("int").alias("tr"), F.floor((F.col("col_j") + j) / tile).cast("int").alias("tc")) for i in (-halo, 0, halo) for j in (-halo, 0, halo)]
+    return cells.select(*keep, F.explode(F.array_distinct(F.array(*corners))).alias("t")).select("t.*", *keep)
+
+
+def _bordered(dem: DataFrame, tile: int) -> DataFrame:
+    """The cells as ``least_values`` takes them: those that lack a neighbour are closed
+    seeds of their own elevation.  A tile sees one cell around it, so a cell travels
+    once, not once for each neighbour."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        i0, j0 = int(rows["tr"].iloc[0]) * tile, int(rows["tc"].iloc[0]) * tile
+        r, c = rows["row_i"].to_numpy(np.int64) - i0 + 1, rows["col_j"].to_numpy(np.int64) - j0 + 1
+        there = np.zeros((tile + 2, tile + 2), bool)
+        there[r, c] = True
+        own = (r > 0) & (r <= tile) & (c > 0) & (c <= tile)
+        r, c = r[own], c[own]
+        edge = ~np.logical_and.reduce([there[r + i, c + j] for i, j, _ in NEIGHBOURS])
+        return rows.loc[own, ["aoi_id", "row_i", "col_j", "cost"]].assign(closed=edge, v=np.where(edge, rows.loc[own, "cost"], np.nan))
+
+    cells = dem.select("aoi_id", "row_i", "col_j", F.col("elev").cast("double").alias("cost"))
+    return _dealt(cells, cells.columns, 1, tile).groupBy("aoi_id", "tr", "tc").applyInPandas(run, "aoi_id string, row_i int, col_j int, cost double, closed boolean, v double")
+
+
 def fill_pits(dem: DataFrame, plan: str | None = None, tile: int = 256, group_cells: int = GROUP_CELLS) -> DataFrame:
     """``row_i, col_j, elev`` where every cell drains to the border: the smallest level
     over paths from the border of the highest cell on the path (Barnes and others, 2014).
@@ -341,13 +365,9 @@ def fill_pits(dem: DataFrame, plan: str | None = None, tile: int = 256, group_ce
     named = "aoi_id" in dem.columns
     key = ["aoi_id", "row_i", "col_j"]
     dem = dem.where("elev IS NOT NULL").select((F.col("aoi_id") if named else F.lit("dem")).alias("aoi_id"), "row_i", "col_j", "elev")
-    present = dem.select("aoi_id", F.col("row_i").alias("ni"), F.col("col_j").alias("nj"))
-    whole = _around(dem, key).join(present, ["aoi_id", "ni", "nj"], "left_semi").groupBy(*key).count().where("count = 8").select(*key, F.lit(True).alias("inner"))
-    edge = F.col("inner").isNull()
-    grid = dem.join(whole, key, "left").select(*key, F.col("elev").cast("double").alias("cost"), edge.alias("closed"), F.when(edge, F.col("elev").cast("double")).alias("v"))
-    plan = plan or choose_plan(grid, group_cells)
+    plan = plan or choose_plan(dem, group_cells)
     kind = dem.schema["elev"].dataType.simpleString()
-    return least_values(grid, Rise(), plan, tile).select(*key[not named :], F.col("v").cast(kind).alias("elev"))
+    return least_values(_bordered(dem, tile), Rise(), plan, tile).select(*key[not named :], F.col("v").cast(kind).alias("elev"))
 
 
 class Rise:

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from terrascape.model import Grid
-from terrascape.operators import grid
+from terrascape.operators import grid, hydro, masks
+from terrascape.sources.durable import Stage
 from terrascape.sources.fixtures import load
 
 
@@ -22,3 +23,28 @@ def test_made_target_cells_are_not_broadcast(spark):
 def test_fixture_tables_are_joined_by_shuffle(spark, small):
     assert "Broadcast" not in plan_of(load(spark, small, "fx_cells"))
     assert "Broadcast" not in plan_of(load(spark, small, "fx_focal"))
+
+
+def test_filling_moves_a_cell_once_to_find_the_border(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(hydro, "least_values", lambda cells, *a: seen.append(cells) or cells)
+    dem = spark.range(36).select((F.col("id") / 6).cast("int").alias("row_i"), (F.col("id") % 6).cast("int").alias("col_j"), F.col("id").alias("elev"))
+    hydro.fill_pits(dem.where("id <> 14"), tile=4)
+    plan = plan_of(seen[0])
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    inner = {(r["row_i"], r["col_j"]) for r in seen[0].where("NOT closed").collect()}
+    border = {(i, j) for i in range(6) for j in range(6) if i in (0, 5) or j in (0, 5)} | {(i, j) for i in (1, 2, 3) for j in (1, 2, 3)}
+    assert inner == {(i, j) for i in range(6) for j in range(6)} - border
+
+
+def test_written_cells_are_joined_by_shuffle(spark):
+    cells = Stage(spark.range(3_000_000).select((F.col("id") / 3000).cast("int").alias("row_i"), (F.col("id") % 3000).cast("int").alias("col_j")))
+    assert cells.bytes < 10 << 20  # Spark's own limit
+    assert "Broadcast" not in plan_of(cells.df.join(cells.df, ["row_i", "col_j"], "left_semi"))
+    few = Stage(spark.range(10).select(F.col("id").cast("int").alias("row_i")))
+    assert "Broadcast" in plan_of(few.df.join(few.df.distinct(), "row_i"))
+
+
+def test_masks_meet_population_by_shuffle(spark):
+    pop = spark.range(50).select(F.col("id").cast("int").alias("row_i"), F.lit(0).alias("col_j"), F.col("id").alias("pop"))
+    assert "Broadcast" not in plan_of(masks.mask_population(pop, pop.select("row_i", "col_j", F.lit(1).alias("m"))))
