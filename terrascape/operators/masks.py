@@ -38,7 +38,7 @@ def mask_population(pop: DataFrame, mask: DataFrame, rule=covered_by_reach, by:
     """``pop`` (``row_i, col_j, pop``) under ``mask`` (``row_i, col_j, m``): every cell
     of ``pop``, with the masked value as ``pop``; ``by``: columns that tell grids apart."""
     key = [*(by or []), *CELL]
-    return pop.join(mask, key, "left").select(*key, rule(F.coalesce("m", F.lit(0)), F.col("pop")).alias("pop"))
+    return pop.join(mask.hint("merge"), key, "left").select(*key, rule(F.coalesce("m", F.lit(0)), F.col("pop")).alias("pop"))
 
 
 def combine(layers: DataFrame) -> DataFrame:

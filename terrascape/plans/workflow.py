@@ -45,10 +45,10 @@ def downstream_population(dem: DataFrame, condition: DataFrame, pop: DataFrame,
     key = [*by, "row_i", "col_j"]
     terrain = dem if filled else hydro.fill_pits(dem)
     start = condition.where("hit > 0").select(*key)
-    covered = hydro.reachable(hydro.flow_edges(terrain, by), start.join(terrain, key, "left_semi"), by)
+    covered = hydro.reachable(hydro.flow_edges(terrain, by), start.join(terrain.hint("merge"), key, "left_semi"), by)
     wide = focal.dilate(covered, focal.pixels_of(buffer_m, pixel_m), by).select(*key, F.lit(1).alias("m"))
     if max_distance_m is not None:
-        marks = terrain.select(*key).join(start.withColumn("marked", F.lit(True)), key, "left").fillna(False, ["marked"])
+        marks = terrain.select(*key).join(start.withColumn("marked", F.lit(True)).hint("merge"), key, "left").fillna(False, ["marked"])
         far = focal.distance(marks, by=by).select(*key, F.sqrt("d2").alias("px"))
-        wide = wide.join(far, key).where(masks.within_distance(F.col("m"), F.col("px"), pixel_m, max_distance_m)).select(*key, "m")
+        wide = wide.join(far.hint("merge"), key).where(masks.within_distance(F.col("m"), F.col("px"), pixel_m, max_distance_m)).select(*key, "m")
     return masks.mask_population(pop, wide, masks.covered_downstream, by)
