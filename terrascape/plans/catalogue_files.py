@@ -83,9 +83,8 @@ def chunk_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
         raise ValueError(f"files are split in a folder of a file system, not at {place}")
     folder = Path(place)
     folder.mkdir(parents=True)
-    lines = spark.read.parquet(f"{sf_dir}/orders.parquet").orderBy("o_orderkey").select(F.concat_ws(" ", "o_orderkey", F.to_date("o_orderdate")).alias("line"))
-    with open(folder / "whole.txt", "w", newline="") as out:
-        out.writelines(f"{r['line']}\n" for r in lines.toLocalIterator())  # a partition at a time
+    lines = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.concat_ws(" ", "o_orderkey", F.to_date("o_orderdate")).alias("line"))
+    chunks.write_lines(lines, "o_orderkey", folder / "whole.txt")
     manifest = chunks.split_file(spark, folder / "whole.txt", folder / "parts", 40_000)
     chunks.join_file(manifest, folder / "again.txt")
     parts = json.loads(manifest.read_text())["parts"]

@@ -11,9 +11,12 @@ import json
 import zipfile
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from terrascape.functions.scalars import part_count
+from terrascape.sources.durable import Stage
 
 BUFFER = 1 << 20
 # Names of a manifest's keys, its mode, and the parts' names.
@@ -34,6 +37,42 @@ def file_sha256(path: str | Path) -> str:
     return h.hexdigest()
 
 
+def write_lines(lines: DataFrame, order: str, path: str | Path) -> Path:
+    """Write the column ``line`` to one file, by ``order``.  Rows are dealt by range, and
+    each task writes its range where those before it end: the driver sees a size for
+    each range, no line."""
+    path = Path(path).resolve()
+    path.parent.mkdir(parents=True, exist_ok=True)
+    target, spark = str(path), lines.sparkSession
+    dealt = Stage(lines.select(F.col(order).alias("k"), "line").repartitionByRange("k").withColumn("part", F.spark_partition_id()), partition_by="part")
+    sizes = dealt.df.groupBy("part").agg(F.sum(F.octet_length(F.coalesce("line", F.lit(""))) + 1).alias("size")).orderBy("part").collect()  # a row a range
+    begin, starts = 0, []
+    for r in sizes:
+        starts.append((r["part"], begin))
+        begin += r["size"]
+    with open(path, "wb") as whole:
+        whole.truncate(begin)
+
+    def run(batches):
+        at: dict[int, int] = {}  # a task holds whole ranges, each in order
+        with open(target, "r+b") as whole:
+            for d in batches:
+                for (part, start), rows in d.groupby(["part", "start"], sort=False):
+                    data = "".join(f"{line or ''}\n" for line in rows["line"]).encode()
+                    whole.seek(at.get(part, start))
+                    whole.write(data)
+                    at[part] = whole.tell()
+        yield pd.DataFrame({"part": list(at), "stop": list(at.values())}).astype("int64")
+
+    known = spark.createDataFrame(starts, "part int, start long")
+    sorted_ = dealt.df.join(F.broadcast(known), "part").repartition("part").sortWithinPartitions("part", "k").select("part", "start", "line")
+    stops = sorted_.mapInPandas(run, "part long, stop long").agg(F.max("stop").alias("stop")).first()["stop"]
+    dealt.drop()
+    if (stops or 0) != begin:
+        raise ValueError(f"{path}: {stops} bytes were written of {begin}")
+    return path
+
+
 def split_file(spark: SparkSession, source: str | Path, folder: str | Path, chunk: int, prefix: str | None = None, manifest_name: str | None = None) -> Path:
     """Write the parts in parallel, then the manifest; returns its path."""
     source, folder = Path(source).resolve(), Path(folder).resolve()
