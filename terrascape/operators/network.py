@@ -5,7 +5,11 @@ A network is ``edges(hybas_id, next_down)``; 0 or null ends at an outlet.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections import deque
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -149,34 +153,47 @@ def greedy_selection(candidates: DataFrame, max_area: float, key: str = "focal_i
     population (ties: smallest id) starts a breadth-first walk upstream.  Every visited
     watershed's population counts; the first that lies in the priority place
     (``hits_pp`` and a positive ``pp_area_ha``) is selected and ends the walk.  The
-    budget is looked at between seeds only, so it may be overshot.
+    budget is looked at between seeds only, so it may be overshot.  A task holds some ten
+    numbers for each watershed of its focal area.
     """
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("hybas_id").drop_duplicates("hybas_id")
-        info = {r.hybas_id: r for r in rows.itertuples(index=False)}
-        upstream: dict = {}
-        for r in rows.itertuples(index=False):
-            if r.next_down in info:
-                upstream.setdefault(r.next_down, []).append(r.hybas_id)
-        order = sorted(info.values(), key=lambda r: (-r.pop_sum, r.hybas_id))
-        seen, area, out = set(), 0.0, []
+    kept = [key, "hybas_id", "next_down", "pop_sum", "hits_pp", "pp_area_ha"]
+
+    def run(group: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("hybas_id")
+        ids = rows["hybas_id"].to_numpy()
+        first = np.diff(ids, prepend=ids[0] - 1) != 0
+        rows, ids = rows.filter(pa.array(first)), ids[first]
+        area = rows["pp_area_ha"].cast(pa.float64()).fill_null(0.0).to_numpy()
+        hit = rows["hits_pp"].fill_null(False).to_numpy() & (area > 0)
+        # upstream ids of the k-th are ids[up[at[k] : at[k + 1]]], ascending
+        down = rows["next_down"]
+        below = down.fill_null(0).to_numpy()
+        place = np.minimum(np.searchsorted(ids, below), len(ids) - 1)
+        up = np.flatnonzero((ids[place] == below) & down.is_valid().to_numpy())
+        up = up[np.argsort(place[up], kind="stable")]
+        at = np.searchsorted(place[up], np.arange(len(ids) + 1))
+        order = pc.sort_indices(rows, sort_keys=[("pop_sum", "descending"), ("hybas_id", "ascending")]).to_numpy()
+        seen, total, visited = np.zeros(len(ids), bool), 0.0, []
         for seed in order:
-            if not area < max_area:
+            if not total < max_area:
                 break
-            queue = [seed.hybas_id]
+            queue = deque([seed])
             while queue:
-                here = info[queue.pop(0)]
-                if here.hybas_id in seen:
+                here = queue.popleft()
+                if seen[here]:
                     continue
-                seen.add(here.hybas_id)
-                hit = bool(here.hits_pp) and here.pp_area_ha > 0
-                out.append((getattr(here, key), len(out), here.hybas_id, hit, here.pop_sum, float(here.pp_area_ha) if hit else 0.0))
-                if hit:
-                    area += here.pp_area_ha
+                seen[here] = True
+                visited.append(here)
+                if hit[here]:
+                    total += float(area[here])
                     break
-                queue += [u for u in upstream.get(here.hybas_id, []) if u not in seen]
-        return pd.DataFrame(out, columns=[key, "step", "hybas_id", "selected", "pop_sum", "area_ha"])
+                near = up[at[here] : at[here + 1]]
+                queue.extend(near[~seen[near]])
+        way = np.array(visited, np.int64)
+        out = [pa.array([group[0].as_py()] * len(way), group[0].type), pa.array(np.arange(len(way)), pa.int32()), pa.array(ids[way], pa.int64())]
+        out += [pa.array(hit[way]), rows["pop_sum"].take(pa.array(way)), pa.array(np.where(hit[way], area[way], 0.0))]
+        return pa.table(out, names=[key, "step", "hybas_id", "selected", "pop_sum", "area_ha"])
 
     kind = candidates.schema[key].dataType.simpleString()
-    return candidates.groupBy(key).applyInPandas(run, f"{key} {kind}, step int, hybas_id bigint, selected boolean, pop_sum {candidates.schema['pop_sum'].dataType.simpleString()}, area_ha double")
+    return candidates.select(*kept).groupBy(key).applyInArrow(run, f"{key} {kind}, step int, hybas_id bigint, selected boolean, pop_sum {candidates.schema['pop_sum'].dataType.simpleString()}, area_ha double")

@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from terrascape.model import Grid
-from terrascape.operators import grid, hydro, masks
+from terrascape.operators import grid, hydro, masks, network
+from terrascape.plans import catalogue_files
+from terrascape.sources import chunks
 from terrascape.sources.durable import Stage
 from terrascape.sources.fixtures import load
 
@@ -48,3 +50,24 @@ def test_written_cells_are_joined_by_shuffle(spark):
 def test_masks_meet_population_by_shuffle(spark):
     pop = spark.range(50).select(F.col("id").cast("int").alias("row_i"), F.lit(0).alias("col_j"), F.col("id").alias("pop"))
     assert "Broadcast" not in plan_of(masks.mask_population(pop, pop.select("row_i", "col_j", F.lit(1).alias("m"))))
+
+
+def test_lines_are_written_by_tasks(spark, small, tmp_path, monkeypatch):
+    def no_rows(*_):
+        raise AssertionError("lines pass the driver")
+
+    monkeypatch.setattr(type(spark.range(0)), "toLocalIterator", no_rows)
+    assert catalogue_files.chunk_digests(spark, small).count() == 1
+    lines = spark.range(5000).repartition(7).select(F.col("id").alias("k"), F.concat(F.lit("zeile é "), F.col("id").cast("string")).alias("line"))
+    path = chunks.write_lines(lines, "k", tmp_path / "whole.txt")
+    assert path.read_bytes() == "".join(f"zeile é {i}\n" for i in range(5000)).encode()
+    assert chunks.write_lines(lines.where("k < 0"), "k", tmp_path / "none.txt").read_bytes() == b""
+
+
+def test_selection_holds_numbers_only(spark):
+    rows = [("a", 1, 0, 5, False, 2), ("a", 2, 1, 9, True, 3), ("a", 3, 1, 9, None, 1), ("a", 4, 3, None, True, None), ("a", 5, None, 1, True, 4), ("a", 5, None, 1, True, 4)]
+    focus = spark.createDataFrame(rows, "focal_id string, hybas_id long, next_down long, pop_sum long, hits_pp boolean, pp_area_ha long").withColumn("outline", F.lit("polygon"))
+    got = network.greedy_selection(focus, 7.0)
+    plan = plan_of(got)
+    assert "FlatMapGroupsInArrow" in plan and "outline" not in plan.split("Exchange")[0]
+    assert [tuple(r)[1:] for r in got.orderBy("step").collect()] == [(0, 2, True, 9, 3.0), (1, 3, False, 9, 0.0), (2, 4, False, None, 0.0), (3, 1, False, 5, 0.0), (4, 5, True, 1, 4.0)]
