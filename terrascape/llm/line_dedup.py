@@ -84,9 +84,10 @@ def boundaries(hashes: Column, factor: int, window: int = WINDOW, mean: int = ME
     return _let(_let(hit, merged), bounded)
 
 
-def chunks(lines: Column, window: int = WINDOW, mean: int = MEAN, most: int = MOST, long: int = LONG) -> Column:
+def chunks(lines: Column, window: int = WINDOW, mean: int = MEAN, most: int = MOST, long: int = LONG, pairs: bool = False) -> Column:
     """What is looked up of a text: its chunks of several lines and its long lines, as
-    structs ``at`` (first line, from 1) and ``n`` (lines)."""
+    structs ``at`` (first line, from 1) and ``n`` (lines); with ``pairs`` every two
+    adjacent lines, too."""
 
     def spans(stops: Column) -> Column:
         def one(stop: Column, k: Column) -> Column:
@@ -97,7 +98,8 @@ def chunks(lines: Column, window: int = WINDOW, mean: int = MEAN, most: int = MO
 
     alone = F.filter(F.transform(lines, lambda line, k: F.when(F.length(line) >= long, F.struct((k + 1).alias("at"), F.lit(1).alias("n")))), lambda c: c.isNotNull())
     several = lambda hashes: F.concat(*[_let(boundaries(hashes, f, window, mean, most), spans) for f in FACTORS])
-    return F.array_distinct(F.concat(_let(line_hashes(lines), several), alone))
+    two = F.slice(F.transform(lines, lambda line, k: F.struct((k + 1).alias("at"), F.lit(2).alias("n"))), F.lit(1), F.size(lines) - 1)
+    return F.array_distinct(F.concat(_let(line_hashes(lines), several), alone, *([two] if pairs else [])))
 
 
 def line_key(line: Column) -> Column:
@@ -168,7 +170,7 @@ def _passages(covered: Column) -> Column:
     return F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, window: int = WINDOW, mean: int = MEAN, most: int = MOST, long: int = LONG) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, window: int = WINDOW, mean: int = MEAN, most: int = MOST, long: int = LONG, pairs: bool = False) -> DataFrame:
     """The documents with repeated passages removed: all columns of ``docs``, the text
     without them, and ``n_lines``, ``n_removed`` (lines).
 
@@ -176,12 +178,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
     equal in id and text are one document: they keep and lose the same lines.  A null
     text stays null; a text that loses every line becomes empty; an empty table gives an
     empty result; no row is dropped.  Columns of ``docs`` named ``n_lines`` or
-    ``n_removed`` are replaced; no other name clashes.
+    ``n_removed`` are replaced; no other name clashes.  With ``pairs`` nothing that
+    repeats is missed: a passage that holds no whole chunk is found by its pairs of lines.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     text = F.col(f"`{text_col}`")
     base = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    shape = (window, mean, most, long)
+    shape = (window, mean, most, long, pairs)
 
     def meet(places: DataFrame) -> DataFrame:
         own = places.select(F.col("id").alias("pid"), F.col("h").alias("ph"), "places")
@@ -246,3 +249,6 @@ t AS (SELECT l.d, coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (x.i IS
       FROM l LEFT JOIN x ON x.d = l.d AND x.i = l.i GROUP BY l.d)
 SELECT doc_id, CASE WHEN n_removed = 0 THEN text ELSE joined END AS text, n_lines, n_removed FROM t JOIN d USING (d)
 """
+_CHUNKS = f"SELECT DISTINCT d, a + 1 AS pos, least({MOST}, stop - a) AS n FROM c WHERE least({MOST}, stop - a) > 1\n"
+#: The same with ``pairs``.
+WHOLE = ORACLE.replace(_CHUNKS, f"SELECT d, a + 1 AS pos, least({MOST}, stop - a) AS n FROM c WHERE least({MOST}, stop - a) > 1 UNION SELECT d, unnest(range(1, len(lines))), 2 FROM d\n")

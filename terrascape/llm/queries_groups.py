@@ -20,7 +20,7 @@ def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), pairs=True)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
@@ -33,4 +33,4 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op6_embeddings, op7_packing, op8_line_dedup, op10_minhash)}
-ORACLE_SQL = {"op8_line_dedup": line_dedup.ORACLE}
+ORACLE_SQL = {"op8_line_dedup": line_dedup.WHOLE}
