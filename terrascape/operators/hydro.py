@@ -47,11 +47,12 @@ HALO = 2
 _NEAR = "kind string, row_i int, col_j int, to_i int, to_j int, drop {elev}, slant boolean, walled boolean, open boolean"
 
 
-def _neighbourhood(dem: DataFrame, by: list[str], tile: int) -> DataFrame:
+def _neighbourhood(dem: DataFrame, by: list[str], tile: int, slopes: bool = True) -> DataFrame:
     """What tiles of elevations tell, each seeing HALO cells around it.  Rows of a kind:
     ``slope`` (an edge to a lower neighbour), ``flat`` (a cell with 8 neighbours, none
     lower; ``walled``: one is higher, ``open``: one is as high and not flat itself) and
-    ``outlet`` (an edge from a flat cell to such a neighbour)."""
+    ``outlet`` (an edge from a flat cell to such a neighbour).  Without ``slopes`` those
+    of flat cells only."""
     kind = dem.schema["elev"].dataType.simpleString()
     dealt = _dealt(dem, [*by, "row_i", "col_j", "elev"], HALO, tile)
 
@@ -81,10 +82,12 @@ def _neighbourhood(dem: DataFrame, by: list[str], tile: int) -> DataFrame:
 
         for i, j, slant in NEIGHBOURS:
             near, seen = shift(z, i, j), shift(there, i, j)
-            edges("slope", inner & seen & (near < own), i, j, slant, own - near)
+            if slopes:
+                edges("slope", inner & seen & (near < own), i, j, slant, own - near)
             out = still & seen & (near == own) & ~shift(flat, i, j)
             open_ |= out
-            edges("outlet", inner & out, i, j, slant, np.full_like(own, 2))
+            if slopes:
+                edges("outlet", inner & out, i, j, slant, np.full_like(own, 2))
         r, c = np.nonzero(inner & still)
         parts.append(pd.DataFrame({"kind": "flat", "row_i": r + i0, "col_j": c + j0, "to_i": 0, "to_j": 0, "drop": own[r, c] * 0, "slant": False, "walled": higher[r, c], "open": open_[r, c]}))
         found = pd.concat([p for p in parts if len(p)] or parts[:1])
@@ -151,22 +154,39 @@ class _Paths:
     """The flow edges of one tile, in an order in which all that flows into a cell comes
     before what flows out of it."""
 
-    def __init__(self, rows: pd.DataFrame, tile: int) -> None:
-        tr, tc = int(rows["tr"].iloc[0]), int(rows["tc"].iloc[0])
+    def __init__(self, tr: int, tc: int, tile: int, row_i, col_j, to_i, to_j, share: np.ndarray) -> None:
         self.tile, self.i0, self.j0 = tile, tr * tile, tc * tile
-        edge = rows[rows["kind"] == "edge"]
-        self.start = self.at(edge["row_i"], edge["col_j"])
-        to_i, to_j = edge["to_i"].to_numpy(np.int64), edge["to_j"].to_numpy(np.int64)
+        start = self.at(row_i, col_j)
         inner = (to_i // tile == tr) & (to_j // tile == tc)
-        share = edge["share"].to_numpy(np.float64)
-        self.out = self.start[~inner], to_i[~inner], to_j[~inner], share[~inner]
-        start, stop, share = self.start[inner], self.at(to_i[inner], to_j[inner]), share[inner]
+        self.out = start[~inner], to_i[~inner], to_j[~inner], share[~inner]
+        start, stop, share = start[inner], self.at(to_i[inner], to_j[inner]), share[inner]
         level = self._levels(start, stop)
         order = np.lexsort((stop, level[stop]))
-        start, stop, self.share = start[order], stop[order], share[order]
-        self.start, self.stop = start, stop
-        cut = np.flatnonzero(np.diff(level[stop], prepend=-1)) if len(stop) else np.empty(0, np.int64)
-        self.cuts = [*cut.tolist(), len(stop)]
+        self.start, self.stop, self.share = start[order], stop[order], share[order]
+        self.cuts = self._cut(level[self.stop])
+
+    @classmethod
+    def of(cls, rows: pd.DataFrame, tile: int) -> _Paths:
+        edge = rows[rows["kind"] == "edge"]
+        to_i, to_j = edge["to_i"].to_numpy(np.int64), edge["to_j"].to_numpy(np.int64)
+        return cls(int(rows["tr"].iloc[0]), int(rows["tc"].iloc[0]), tile, edge["row_i"], edge["col_j"], to_i, to_j, edge["share"].to_numpy(np.float64))
+
+    @staticmethod
+    def _cut(level: np.ndarray) -> list[int]:
+        return [*np.flatnonzero(np.diff(level, prepend=-1)).tolist(), len(level)]
+
+    def packed(self) -> dict[str, bytes]:
+        """The inner edges, as ``unpacked`` takes them."""
+        cuts = np.asarray(self.cuts, np.int32)
+        return {"start": self.start.astype(np.int32).tobytes(), "stop": self.stop.astype(np.int32).tobytes(), "share": self.share.tobytes(), "cuts": cuts.tobytes()}
+
+    @classmethod
+    def unpacked(cls, row, tile: int) -> _Paths:
+        self = cls.__new__(cls)
+        self.tile, self.i0, self.j0 = tile, int(row.tr) * tile, int(row.tc) * tile
+        self.start, self.stop, self.share = np.frombuffer(row.start, np.int32), np.frombuffer(row.stop, np.int32), np.frombuffer(row.share, np.float64)
+        self.cuts = np.frombuffer(row.cuts, np.int32).tolist()
+        return self
 
     def at(self, i, j) -> np.ndarray:
         return (np.asarray(i, np.int64) - self.i0) * self.tile + np.asarray(j, np.int64) - self.j0
@@ -223,21 +243,25 @@ def _crossings(links: DataFrame, by: list[str], tile: int) -> DataFrame:
     return links.where(other).select(*by, F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j")).distinct()
 
 
+def _map_rows(paths: _Paths, row_i: np.ndarray, col_j: np.ndarray, weighed: bool) -> pd.DataFrame:
+    """``row_i, col_j, to_i, to_j, flow`` from the given cells of a tile to other tiles'."""
+    value = np.zeros((paths.tile * paths.tile, len(row_i)), np.float64 if weighed else bool)
+    value[paths.at(row_i, col_j), np.arange(len(row_i))] = 1
+    value = paths.flow(value, weighed)
+    start, to_i, to_j, share = paths.out
+    leave = value[start] * share[:, None] if weighed else value[start]
+    k, e = np.nonzero(leave)
+    found = pd.DataFrame({"row_i": row_i[e], "col_j": col_j[e], "to_i": to_i[k], "to_j": to_j[k], "flow": leave[k, e].astype(np.float64)})
+    return found.groupby(["row_i", "col_j", "to_i", "to_j"], as_index=False)["flow"].sum() if len(found) else found
+
+
 def _tile_maps(links: DataFrame, by: list[str], tile: int, weighed: bool) -> DataFrame:
     """``row_i, col_j, to_i, to_j, flow``: from a cell where water may enter a tile to a
     cell of another tile that it comes to next, and which share of it does."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        paths = _Paths(rows, tile)
         enter = rows[rows["kind"] == "enter"]
-        value = np.zeros((tile * tile, len(enter)), np.float64 if weighed else bool)
-        value[paths.at(enter["row_i"], enter["col_j"]), np.arange(len(enter))] = 1
-        value = paths.flow(value, weighed)
-        start, to_i, to_j, share = paths.out
-        leave = value[start] * share[:, None] if weighed else value[start]
-        k, e = np.nonzero(leave)
-        found = enter[["row_i", "col_j"]].iloc[e].reset_index(drop=True).assign(to_i=to_i[k], to_j=to_j[k], flow=leave[k, e].astype(np.float64))
-        found = found.groupby(["row_i", "col_j", "to_i", "to_j"], as_index=False)["flow"].sum() if len(found) else found
+        found = _map_rows(_Paths.of(rows, tile), enter["row_i"].to_numpy(), enter["col_j"].to_numpy(), weighed)
         return found.assign(**{c: rows[c].iloc[0] for c in by})[[*by, "row_i", "col_j", "to_i", "to_j", "flow"]]
 
     rows = _edge_rows(links, by, tile).unionByName(_cell_rows(_crossings(links, by, tile), by, "enter", tile))
@@ -257,7 +281,7 @@ def reachable(edges: DataFrame, start: DataFrame, by: list[str] | None = None, t
     ddl = ", ".join([*[f"`{c}` {start.df.schema[c].dataType.simpleString()}" for c in by], "row_i int, col_j int, outside boolean"])
 
     def spread(rows: pd.DataFrame) -> pd.DataFrame:
-        paths = _Paths(rows, tile)
+        paths = _Paths.of(rows, tile)
         mark = rows[rows["kind"] == "mark"]
         value = np.zeros((tile * tile, 1), bool)
         value[paths.at(mark["row_i"], mark["col_j"])] = True
@@ -289,46 +313,127 @@ def reachable(edges: DataFrame, start: DataFrame, by: list[str] | None = None, t
     return found.df
 
 
+_POURED = "kind string, tr int, tc int, row_i int, col_j int, to_i int, to_j int, flow double, cells binary, water binary, start binary, stop binary, share binary, cuts binary"
+
+
+def _poured(paths: _Paths, tr: int, tc: int, cells: np.ndarray, w: np.ndarray, row_i: np.ndarray, col_j: np.ndarray) -> pd.DataFrame:
+    """What a tile tells of its flow, rows of a kind: ``sent`` (its own water to a cell of
+    another tile), ``map`` (as ``_map_rows``, from the cells where water may enter) and
+    ``tile`` (its cells, their water and its paths, packed)."""
+    own = np.zeros(paths.tile * paths.tile)
+    np.add.at(own, cells, w)
+    value = paths.flow(own.copy()[:, None], True)[:, 0]
+    start, to_i, to_j, share = paths.out
+    sent = pd.DataFrame({"kind": "sent", "row_i": to_i, "col_j": to_j, "flow": value[start] * share})
+    seen = np.unique(np.concatenate([cells, paths.stop])).astype(np.int32)
+    packed = pd.DataFrame([{"kind": "tile", "cells": seen.tobytes(), "water": own[seen].tobytes(), **paths.packed()}])
+    parts = [sent[sent["flow"] != 0], _map_rows(paths, row_i, col_j, True).assign(kind="map"), packed]
+    found = pd.concat([p for p in parts if len(p)]).assign(tr=tr, tc=tc).reindex(columns=[f.split()[0] for f in _POURED.split(", ")])
+    return found.astype({c: "Int32" for c in ("row_i", "col_j", "to_i", "to_j")})
+
+
+def _gathered(poured: DataFrame, tile: int) -> DataFrame:
+    """``row_i, col_j, acc`` from what the tiles tell: water goes through the maps in rounds,
+    then each tile adds what entered it."""
+    key = ["row_i", "col_j"]
+    told = Stage(poured, partition_by="kind")
+    entered = Growing(told.df.where("kind = 'sent'").groupBy(*key).agg(F.sum("flow").alias("w")))
+    maps = told.df.where("kind = 'map'").select(*key, "to_i", "to_j", "flow")
+    while not entered.front.isEmpty():
+        to = entered.beside.join(maps, key).select(F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j"), (F.col("w") * F.col("flow")).alias("w"))
+        entered.add(to.groupBy(*key).agg(F.sum("w").alias("w")))
+
+    def fill(rows: pd.DataFrame) -> pd.DataFrame:
+        held = rows["kind"].to_numpy() == "tile"
+        come, value = rows[~held], np.zeros((tile * tile, 1))
+        if not held.any():
+            raise ValueError("water enters a tile without cells")
+        row = next(rows[held].itertuples())
+        paths, cells = _Paths.unpacked(row, tile), np.frombuffer(row.cells, np.int32)
+        value[cells, 0] = np.frombuffer(row.water)
+        at = paths.at(come["row_i"], come["col_j"])
+        np.add.at(value[:, 0], at, come["flow"].to_numpy(np.float64))
+        value = paths.flow(value, True)[:, 0]
+        cells = np.union1d(cells, at)
+        return pd.DataFrame({"row_i": cells // tile + paths.i0, "col_j": cells % tile + paths.j0, "acc": value[cells]})
+
+    come = entered.df.select(F.lit("come").alias("kind"), *_tile_of("row_i", "col_j", tile), *key, F.col("w").alias("flow"))
+    rows = told.df.where("kind = 'tile'").unionByName(come, allowMissingColumns=True)
+    whole = Stage(rows.groupBy("tr", "tc").applyInPandas(fill, "row_i int, col_j int, acc double"))
+    told.drop()
+    entered.drop()
+    return whole.df
+
+
 def accumulate(shares: DataFrame, weights: DataFrame, tile: int = FLOW_TILE) -> DataFrame:
     """``row_i, col_j, acc``: own weight plus the shares of what flows in, for cells that
     have a weight or inflow.  Edges that form a cycle are an error."""
-    key = ["row_i", "col_j"]
-    links = Stage(shares.select(*key, "to_i", "to_j", F.col("share").cast("double").alias("share")))
-    own = Stage(weights.groupBy(*key).agg(F.sum(F.col("w").cast("double")).alias("w")))
 
-    def pour(rows: pd.DataFrame) -> tuple[_Paths, np.ndarray]:
-        paths = _Paths(rows, tile)
-        water = rows[rows["kind"] == "water"]
-        value = np.zeros((tile * tile, 1))
-        np.add.at(value[:, 0], paths.at(water["row_i"], water["col_j"]), water["w"].to_numpy(np.float64))
-        return paths, paths.flow(value, True)[:, 0]
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        paths, water, enter = _Paths.of(rows, tile), rows[rows["kind"] == "water"], rows[rows["kind"] == "enter"]
+        return _poured(paths, int(rows["tr"].iloc[0]), int(rows["tc"].iloc[0]), paths.at(water["row_i"], water["col_j"]), water["w"].to_numpy(np.float64), enter["row_i"].to_numpy(), enter["col_j"].to_numpy())
 
-    def leave(rows: pd.DataFrame) -> pd.DataFrame:
-        paths, value = pour(rows)
-        start, to_i, to_j, share = paths.out
-        return pd.DataFrame({"row_i": to_i, "col_j": to_j, "w": value[start] * share})
+    links = Stage(shares.select("row_i", "col_j", "to_i", "to_j", F.col("share").cast("double").alias("share")))
+    own = weights.groupBy("row_i", "col_j").agg(F.sum(F.col("w").cast("double")).alias("w"))
+    rows = _edge_rows(links.df, [], tile).unionByName(_cell_rows(own, [], "water", tile)).unionByName(_cell_rows(_crossings(links.df, [], tile), [], "enter", tile))
+    found = _gathered(rows.groupBy("tr", "tc").applyInPandas(run, _POURED), tile)
+    links.drop()
+    return found
 
-    def fill(rows: pd.DataFrame) -> pd.DataFrame:
-        paths, value = pour(rows)
-        water = rows[rows["kind"] == "water"]
-        cells = np.unique(np.concatenate([paths.at(water["row_i"], water["col_j"]), paths.stop]))
-        return pd.DataFrame({"row_i": cells // tile + paths.i0, "col_j": cells % tile + paths.j0, "acc": value[cells]})
 
-    def by_tile(water: DataFrame):
-        return _edge_rows(links.df, [], tile).unionByName(_cell_rows(water, [], "water", tile)).groupBy("tr", "tc")
+def flow_accumulation(dem: DataFrame, weights: DataFrame, plan: str | None = None, tile: int = 256, flow_tile: int = FLOW_TILE) -> DataFrame:
+    """``accumulate(flow_shares(flow_edges(dem)), weights)`` without edges as rows: a tile
+    finds them from its elevations, its flats' levels and one cell around it.  A null
+    weight counts as 0."""
+    key = ["row_i", "col_j"]
+    dem = dem.where("elev IS NOT NULL").select(*key, "elev")
+    flat = Stage(_neighbourhood(dem, [], tile, slopes=False))
+    level = None if flat.df.isEmpty() else Stage(flat_gradients(flat.df.select(*key, "walled", "open"), [], plan, tile))
+    none = F.lit(0).cast(dem.schema["elev"].dataType).alias("elev")
+    rows = dem.select(*key, F.lit(0).cast("byte").alias("kind"), "elev", F.lit(0.0).alias("v"))
+    if level:
+        rows = rows.unionByName(level.df.select(*key, F.lit(1).cast("byte").alias("kind"), none, F.col("level").cast("double").alias("v")))
+    seen = _dealt(rows, rows.columns, 1, flow_tile)
+    water = weights.select(*_tile_of("row_i", "col_j", flow_tile), *key, F.lit(2).cast("byte").alias("kind"), none, F.coalesce(F.col("w").cast("double"), F.lit(0.0)).alias("v"))
+    side = flow_tile + 2
 
-    sent = by_tile(own.df).applyInPandas(leave, "row_i int, col_j int, w double").where("w <> 0")
-    entered = Growing(sent.groupBy(*key).agg(F.sum("w").alias("w")))
-    maps = None
-    while not entered.front.isEmpty():
-        maps = maps or Stage(_tile_maps(links.df, [], tile, True))
-        to = entered.beside.join(maps.df, key).select(F.col("to_i").alias("row_i"), F.col("to_j").alias("col_j"), (F.col("w") * F.col("flow")).alias("w"))
-        entered.add(to.groupBy(*key).agg(F.sum("w").alias("w")))
-    whole = Stage(by_tile(own.df.unionByName(entered.df)).applyInPandas(fill, "row_i int, col_j int, acc double"))
-    for old in (links, own, *([maps] if maps else [])):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        tr, tc = int(rows["tr"].iloc[0]), int(rows["tc"].iloc[0])
+        i0, j0, kind = tr * flow_tile - 1, tc * flow_tile - 1, rows["kind"].to_numpy()
+        r, c = rows["row_i"].to_numpy(np.int64) - i0, rows["col_j"].to_numpy(np.int64) - j0
+        elev, v = rows["elev"].to_numpy(), rows["v"].to_numpy(np.float64)
+        z, there, grade = np.zeros((side, side), elev.dtype), np.zeros((side, side), bool), np.full((side, side), np.nan)
+        at = r[kind == 0], c[kind == 0]
+        z[at], there[at] = elev[kind == 0], True
+        grade[r[kind == 1], c[kind == 1]] = v[kind == 1]
+        enter, begin, parts = np.zeros((side, side), bool), np.zeros((side, side)), []
+        for i, j, slant in NEIGHBOURS:
+            # from the cells that have such a neighbour in the tile's box to that neighbour
+            a = slice(max(0, -i), side - max(0, i)), slice(max(0, -j), side - max(0, j))
+            b = slice(max(0, i), side - max(0, -i)), slice(max(0, j), side - max(0, -j))
+            both, had = there[a] & there[b], ~np.isnan(grade[a])
+            drop = np.where(both & (z[b] < z[a]), z[a] - z[b], 0).astype(np.float64)
+            flat = both & (z[b] == z[a]) & had
+            drop[flat & np.isnan(grade[b])] = 2
+            lower = flat & (grade[b] < grade[a])
+            drop[lower] = (grade[a] - grade[b])[lower]
+            y, x = np.nonzero(drop > 0)
+            slope = drop[y, x] / (np.sqrt(2.0) if slant else 1.0)
+            y, x = y + a[0].start, x + a[1].start
+            own = (y > 0) & (y <= flow_tile) & (x > 0) & (x <= flow_tile)
+            enter[y[~own] + i, x[~own] + j] = True
+            begin[y[own], x[own]] += slope[own]
+            parts.append((y[own], x[own], y[own] + i, x[own] + j, slope[own]))
+        y, x, to_y, to_x, slope = (np.concatenate(p) for p in zip(*parts))
+        enter[[0, -1]] = enter[:, [0, -1]] = False
+        paths = _Paths(tr, tc, flow_tile, y + i0, x + j0, to_y + i0, to_x + j0, slope / begin[y, x])
+        y, x = np.nonzero(enter)
+        return _poured(paths, tr, tc, paths.at(r[kind == 2] + i0, c[kind == 2] + j0), v[kind == 2], y + i0, x + j0)
+
+    found = _gathered(seen.select(water.columns).unionByName(water).groupBy("tr", "tc").applyInPandas(run, _POURED), flow_tile)
+    for old in (flat, *([level] if level else [])):
         old.drop()
-    entered.drop()
-    return whole.df
+    return found
 
 
 def _dealt(cells: DataFrame, keep: list[str], halo: int, tile: int) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrascape.model import NEIGHBOURS
-from terrascape.sources.durable import Stage
+from terrascape.sources.durable import SMALL, Stage
 
 #: Cells of an area that one task may hold: four tiles.
 GROUP_CELLS = 4 * 256 * 256
@@ -121,78 +121,106 @@ def least_values(grid: DataFrame, rule, plan: str, tile: int = 256) -> DataFrame
     return grid.groupBy("aoi_id").applyInPandas(run, "aoi_id string, row_i int, col_j int, v double")
 
 
+#: A cell of a packed tile, and a value that crosses a border: the cell that it enters.
+_CELL = np.dtype([("r", "<i4"), ("c", "<i4"), ("cost", "<f8"), ("closed", "?")])
+_TOLD = np.dtype([("r", "<i4"), ("c", "<i4"), ("v", "<f8"), ("slant", "?")])
+_PACKED = "aoi_id string, tr int, tc int, kind string, n int, data binary, band int"
+
+
 def _by_tiles(grid: DataFrame, rule, tile: int) -> DataFrame:
-    """Rounds over tiles.  A round writes a new version of the tiles that it settles and
-    nothing of the others; a small table tells the newest version of each tile.  Versions
-    lie in BANDS folders by the tile's hash, of which a round reads those of its tiles."""
+    """Rounds over tiles.  Cells are packed once: a tile is one row (``cells``), its values
+    another (``value``), and what it tells a neighbouring tile a third (``mail``).  A round
+    writes new values of the tiles that it settles and nothing of the others; a small table
+    tells the newest version of each tile.  Rows lie in BANDS folders by the tile's hash,
+    of which a round reads those of its tiles."""
     keys = ["aoi_id", "tr", "tc"]
-    own = [*keys, "row_i", "col_j", "cost", "closed", "v", "fresh", "band"]
-    fields = "aoi_id string, tr int, tc int, row_i int, col_j int, cost double, closed boolean, v double, fresh boolean, mail boolean, from_v double, slant boolean, band int"
-    where = F.pmod(F.hash(*keys), F.lit(BANDS)).alias("band")
-    tiled = grid.withColumns({"tr": F.floor(F.col("row_i") / tile).cast("int"), "tc": F.floor(F.col("col_j") / tile).cast("int")})
-    first = tiled.select(*keys, "row_i", "col_j", "cost", "closed", "v", F.col("v").isNotNull().alias("fresh"), F.lit(False).alias("mail"), F.lit(0.0).alias("from_v"), F.lit(False).alias("slant"), where)
+    names = [f.split()[0] for f in _PACKED.split(", ")]
+    band = F.pmod(F.hash(*keys), F.lit(BANDS))
+    where = [F.floor(F.col("row_i") / tile).cast("int").alias("tr"), F.floor(F.col("col_j") / tile).cast("int").alias("tc")]
+
+    def written(rows: pd.DataFrame, found: list[tuple[str, int, int, bytes, int]]) -> pd.DataFrame:
+        return pd.DataFrame([(rows["aoi_id"].iloc[0], i, j, kind, len(data), data.tobytes(), b) for kind, i, j, data, b in found], columns=names)
+
+    def letters_of(cells: np.ndarray, new: np.ndarray, told: np.ndarray, tr: int, tc: int) -> list:
+        r, c, value, found = cells["r"][told].astype(np.int64), cells["c"][told].astype(np.int64), new[told], {}
+        edge = (r % tile == 0) | (r % tile == tile - 1) | (c % tile == 0) | (c % tile == tile - 1)
+        r, c, value = r[edge], c[edge], value[edge]
+        for i, j, slant in NEIGHBOURS:
+            over = ((r + i) // tile - tr) * 3 + (c + j) // tile - tc
+            for to in np.unique(over[over != 0]).tolist():
+                at = over == to
+                letter = np.empty(int(at.sum()), _TOLD)
+                letter["r"], letter["c"], letter["v"], letter["slant"] = r[at] + i, c[at] + j, value[at], slant
+                found.setdefault(to, []).append(letter)
+        return [("mail", tr + (to + 1) // 3, tc + (to + 1) % 3 - 1, np.concatenate(parts), -1) for to, parts in found.items()]
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        cells = np.empty(len(rows), _CELL)
+        for name, column in (("r", "row_i"), ("c", "col_j"), ("cost", "cost"), ("closed", "closed")):
+            cells[name] = rows[column].to_numpy()
+        tr, tc, at = (int(rows[c].iloc[0]) for c in ("tr", "tc", "band"))
+        start = rows["v"].to_numpy(np.float64)
+        start = np.where(np.isnan(start), np.inf, start)
+        new = np.minimum(start, settle(rows["row_i"].to_numpy(np.int64), rows["col_j"].to_numpy(np.int64), cells["cost"], cells["closed"], start, rule).astype(np.float64))
+        return written(rows, [("cells", tr, tc, cells, at), ("value", tr, tc, new, at), *letters_of(cells, new, np.flatnonzero(np.isfinite(new)), tr, tc)])
+
+    def of(rows: pd.DataFrame, kind: str, dtype) -> np.ndarray:
+        return np.concatenate([np.empty(0, dtype), *(np.frombuffer(d, dtype) for d in rows.loc[rows["kind"] == kind, "data"])])
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        mail = rows["mail"].to_numpy(bool)
-        held = rows[~mail].reset_index(drop=True)
-        sent = rows[mail].merge(held[["row_i", "col_j"]].assign(k=np.arange(len(held))), on=["row_i", "col_j"])
-        r, c = held["row_i"].to_numpy(np.int64), held["col_j"].to_numpy(np.int64)
-        cost, closed, fresh = held["cost"].to_numpy(np.float64), held["closed"].to_numpy(bool), held["fresh"].to_numpy(bool)
-        old = held["v"].to_numpy(np.float64)
-        old = np.where(np.isnan(old), np.inf, old)
-        start = old.copy()
-        if len(sent):
-            k = sent["k"].to_numpy()
-            arrive = rule(sent["from_v"].to_numpy(rule.dtype), np.where(closed[k], 0, cost[k]).astype(rule.dtype), sent["slant"].to_numpy(bool)).astype(np.float64)
-            np.minimum.at(start, k, np.where(closed[k], np.inf, arrive))
+        cells, old, mail = of(rows, "cells", _CELL), of(rows, "value", np.float64), of(rows, "mail", _TOLD)
+        if not len(cells):
+            return written(rows, [])
+        tr, tc, at = (int(rows[c].iloc[0]) for c in ("tr", "tc", "band"))
+        place = np.full((tile, tile), -1, np.int64)
+        place[cells["r"] - tr * tile, cells["c"] - tc * tile] = np.arange(len(cells))
+        k = place[mail["r"] - tr * tile, mail["c"] - tc * tile]
+        mail, k = mail[k >= 0], k[k >= 0]
+        closed, start = cells["closed"], old.copy()
+        arrive = rule(mail["v"].astype(rule.dtype), np.where(closed[k], 0, cells["cost"][k]).astype(rule.dtype), mail["slant"]).astype(np.float64)
+        np.minimum.at(start, k, np.where(closed[k], np.inf, arrive))
         # only what is new spreads; other values are settled already
-        moved = fresh | (start < old)
-        new = np.minimum(start, settle(r, c, cost, closed, np.where(moved, start, np.inf), rule).astype(np.float64)) if len(held) else start
-        out = held.assign(v=np.where(np.isfinite(new), new, np.nan), fresh=False)
-        told, parts = np.flatnonzero((new < old) | fresh), [out]
-        for i, j, slant in NEIGHBOURS:
-            a, b = r[told] + i, c[told] + j
-            over = (a // tile != r[told] // tile) | (b // tile != c[told] // tile)
-            if over.any():
-                a, b, value = a[over], b[over], new[told][over]
-                parts.append(pd.DataFrame({"aoi_id": held["aoi_id"].iloc[0], "tr": a // tile, "tc": b // tile, "row_i": a, "col_j": b, "cost": 0.0, "closed": False, "v": np.nan, "fresh": False, "mail": True, "from_v": value, "slant": slant, "band": -1}))
-        return pd.concat(parts)[out.columns] if len(parts) > 1 else out
-
-    versions = [Stage(first.repartition("band"), partition_by="band")]
-    newest = Stage(versions[0].df.select(*keys).distinct().withColumn("version", F.lit(0)))
-    busy = versions[0].df.where("fresh").select(*keys).distinct()
-    letters: DataFrame | None = None
-
-    def current(tiles: DataFrame, bands: list[int] | None) -> DataFrame:
-        """The newest rows of ``tiles`` (with ``version``)."""
-        every = None
+        new = np.minimum(start, settle(cells["r"].astype(np.int64), cells["c"].astype(np.int64), cells["cost"], closed, np.where(start < old, start, np.inf), rule).astype(np.float64))
+        told = np.flatnonzero(new < old)
+        return written(rows, [("value", tr, tc, new, at), *letters_of(cells, new, told, tr, tc)] if len(told) else [("value", tr, tc, new, at)])
+
+    def unpack(rows: pd.DataFrame) -> pd.DataFrame:
+        cells, value = of(rows, "cells", _CELL), of(rows, "value", np.float64)
+        got = np.isfinite(value)
+        return pd.DataFrame({"aoi_id": rows["aoi_id"].iloc[0], "row_i": cells["r"][got], "col_j": cells["c"][got], "v": value[got]})
+
+    tiled = grid.select("aoi_id", *where, "row_i", "col_j", "cost", "closed", "v").withColumn("band", band)
+    packed = Stage(tiled.groupBy(*keys).applyInPandas(pack, _PACKED).repartition("band"), partition_by="band")
+    versions = [packed]
+    newest = Stage(packed.df.where("kind = 'cells'").select(*keys, F.lit(0).alias("version")))
+
+    def current(tiles: Stage, bands: list[int] | None) -> DataFrame:
+        """The cells and the newest values of ``tiles`` (with ``version``)."""
+        few = F.broadcast(tiles.df) if tiles.bytes <= SMALL else tiles.df
+        every = packed.df.where("kind = 'cells'").select(*names).join(few.select(*keys), keys, "left_semi")
         for k, stage in enumerate(versions):
-            part = (stage.df if bands is None else stage.df.where(F.col("band").isin(bands))).where("NOT mail").withColumn("version", F.lit(k))
-            every = part if every is None else every.unionByName(part)
-        return every.join(tiles, [*keys, "version"], "left_semi")
+            part = stage.df.where("kind = 'value'").select(*names).join(few.where(F.col("version") == k).select(*keys), keys, "left_semi")
+            every = every.unionByName(part)
+        return every if bands is None else every.where(F.col("band").isin(bands))
 
     while True:
-        round_ = len(versions)
-        wanted = Stage(newest.df.join(busy, keys, "left_semi"))
-        bands = [r["band"] for r in wanted.df.select(where).distinct().collect()]  # at most BANDS
-        rows = current(wanted.df, bands).select(*own, "mail", "from_v", "slant")
-        if letters is not None:
-            rows = rows.unionByName(letters.select(*rows.columns))
-        done = Stage(rows.select(*[f.split()[0] for f in fields.split(", ")]).groupBy(*keys).applyInPandas(run, fields), partition_by="band")
-        versions.append(done)
-        letters = done.df.where("band = -1")
-        busy = letters.select(*keys).distinct()
-        sent = letters.count()
-        log.info("tiles: round %d, %d values cross a border", round_, sent)
-        later = Stage(newest.df.join(wanted.df.select(*keys), keys, "left_anti").unionByName(wanted.df.select(*keys, F.lit(round_).alias("version"))))
-        newest.drop()
-        wanted.drop()
-        newest = later
+        letters = versions[-1].df.where("band = -1").select(*names)
+        sent = letters.agg(F.sum("n")).first()[0] or 0
+        log.info("tiles: round %d, %d values cross a border", len(versions), sent)
         if not sent:
-            whole = Stage(current(newest.df, None).where("v IS NOT NULL").select("aoi_id", "row_i", "col_j", "v"))
+            whole = Stage(current(newest, None).groupBy(*keys).applyInPandas(unpack, "aoi_id string, row_i int, col_j int, v double"))
             for stage in (*versions, newest):
                 stage.drop()
             return whole.df
+        wanted = Stage(newest.df.join(letters.select(*keys).distinct(), keys, "left_semi"))
+        bands = [r["band"] for r in wanted.df.select(band.alias("band")).distinct().collect()]  # at most BANDS
+        rows = current(wanted, bands).unionByName(letters.withColumn("band", band))
+        done = Stage(rows.repartition("band").groupBy("band", *keys).applyInPandas(run, _PACKED), partition_by="band")
+        later = Stage(newest.df.join(wanted.df.select(*keys), keys, "left_anti").unionByName(wanted.df.select(*keys, F.lit(len(versions)).alias("version"))))
+        versions.append(done)
+        newest.drop()
+        wanted.drop()
+        newest = later
 
 
 def reach_relaxed(cells: DataFrame, max_time: float, cell_len: float = 1.0) -> DataFrame:

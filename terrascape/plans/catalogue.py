@@ -288,7 +288,7 @@ _POURED = """s AS MATERIALIZED (SELECT row_i, col_j, to_i, to_j, slope / sum(slo
 @query(f"WITH RECURSIVE {_FLOW}, {_POURED}")
 def flow_accumulation(spark: SparkSession, sf_dir: str) -> DataFrame:
     dem = load(spark, sf_dir, "fx_dem")
-    got = hydro.accumulate(hydro.flow_shares(hydro.flow_edges(dem)), dem.select(*CELL, F.lit(1).alias("w")))
+    got = hydro.flow_accumulation(dem, dem.select(*CELL, F.lit(1).alias("w")))
     return got.select(*CELL, F.round(F.col("acc") * 100_000).cast("long").alias("acc_1e5"))
 
 
@@ -322,8 +322,7 @@ def fill_then_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 def filled_accumulation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Water of all cells over filled terrain, through the flats that filling makes."""
     dem = load(spark, sf_dir, "fx_dem")
-    shares = hydro.flow_shares(hydro.flow_edges(hydro.fill_pits(dem)))
-    got = hydro.accumulate(shares, dem.select(*CELL, F.lit(1).alias("w")))
+    got = hydro.flow_accumulation(hydro.fill_pits(dem), dem.select(*CELL, F.lit(1).alias("w")))
     return got.select(*CELL, F.round(F.col("acc") * 100_000).cast("long").alias("acc_1e5"))
 
 

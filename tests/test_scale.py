@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from terrascape.model import Grid
-from terrascape.operators import grid, hydro, masks, network
+from terrascape.operators import grid, hydro, masks, network, reach
 from terrascape.plans import catalogue_files
 from terrascape.sources import chunks
 from terrascape.sources.durable import Stage
@@ -71,3 +71,27 @@ def test_selection_holds_numbers_only(spark):
     plan = plan_of(got)
     assert "FlatMapGroupsInArrow" in plan and "outline" not in plan.split("Exchange")[0]
     assert [tuple(r)[1:] for r in got.orderBy("step").collect()] == [(0, 2, True, 9, 3.0), (1, 3, False, 9, 0.0), (2, 4, False, None, 0.0), (3, 1, False, 5, 0.0), (4, 5, True, 1, 4.0)]
+
+
+def test_rounds_and_accumulation_move_tiles_not_cells(spark, monkeypatch):
+    written = []
+
+    class Counted(Stage):
+        def __init__(self, df, partition_by=None):
+            super().__init__(df, partition_by)
+            written.append(self.df.count())
+
+    rows = [(i, j, i * 7 % 5 + j * 11 % 4 + abs(j - 9)) for i in range(36) for j in range(20) if (i, j) != (17, 4)]
+    dem = spark.createDataFrame(rows, "row_i int, col_j int, elev long")
+    alone = hydro.fill_pits(dem, plan="group")
+    monkeypatch.setattr(reach, "Stage", Counted)
+    filled = hydro.fill_pits(dem, plan="tiles", tile=12)
+    assert not filled.exceptAll(alone).count() and filled.count() == len(rows)
+    assert max(written[:-1]) <= 6 * (2 + 8) and written[-1] == len(rows)
+    weights = dem.selectExpr("row_i", "col_j", "row_i % 3 + 1 AS w").unionByName(spark.createDataFrame([(99, 99, 5), (0, 0, 2)], dem.schema).withColumnRenamed("elev", "w"))
+    want = {(r.row_i, r.col_j): r.acc for r in hydro.accumulate(hydro.flow_shares(hydro.flow_edges(filled)), weights).collect()}
+    written.clear()
+    monkeypatch.setattr(hydro, "Stage", Counted)
+    monkeypatch.setattr(hydro, "flow_shares", None)
+    got = {(r.row_i, r.col_j): r.acc for r in hydro.flow_accumulation(filled, weights, flow_tile=8).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want) and got[99, 99] == 5
